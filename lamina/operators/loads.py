@@ -189,13 +189,13 @@ def upsert_into(
     A row whose partition value changes touches the old and the new partition. Only
     the list of touched directories comes to the driver.
     """
-    if not storage.has_files(spark, path):
-        first = upsert(spark.createDataFrame([], schema), source, keys, **options)
-        return load(first, path, "partition_overwrite" if partition_columns else "full_refresh",
-                    partition_columns)
-    target = read_table(spark, path, schema)
     values = options.pop("value_columns", [c for c in schema.names if c not in keys])
     parts = list(partition_columns)
+    if not storage.has_files(spark, path):
+        empty = spark.createDataFrame([], schema)
+        first = upsert(empty, source, keys, values, parts, **options)
+        return load(first, path, "partition_overwrite" if parts else "full_refresh", parts)
+    target = read_table(spark, path, schema)
     if not parts:
         merged = upsert(target, source, keys, values, parts, **options)
         return load(merged, path, "full_refresh", validate=lambda _: None)
