@@ -174,8 +174,11 @@ def impact(edges: DataFrame, start: str, direction: str, depth: int = 5) -> Data
     if direction not in ("upstream", "downstream"):
         raise ValueError(f"unknown direction {direction!r}")
     here, there = ("source", "target") if direction == "downstream" else ("target", "source")
-    steps = edges.select(F.col(here).alias("here"), F.col(there).alias("there"))
     spark = edges.sparkSession
+    # read once per level, so computed once
+    steps = staged(
+        edges.select(F.col(here).alias("here"), F.col(there).alias("there")), "impact-edges"
+    )
     schema = "node string, depth int"
     visited = frontier = spark.createDataFrame([(start, 0)], schema)
     for level in range(1, depth + 1):

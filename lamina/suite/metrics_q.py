@@ -204,7 +204,6 @@ def row_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Lineage: one completed run per row of the key graph region - nation - customer - order -
 # line - report by return flag. Node names carry the key.
 EDGES = """
-    SELECT DISTINCT * FROM (
     SELECT 'region:' || n_regionkey AS source, 'nation:' || n_nationkey AS target,
            'n_regionkey' AS via FROM nation
     UNION ALL SELECT 'nation:' || c_nationkey, 'customer:' || c_custkey, 'c_nationkey' FROM customer
@@ -212,7 +211,7 @@ EDGES = """
     UNION ALL SELECT 'order:' || l_orderkey, 'line:' || l_orderkey || '-' || l_linenumber,
                      'l_orderkey' FROM lineitem
     UNION ALL SELECT 'line:' || l_orderkey || '-' || l_linenumber, 'report:' || l_returnflag,
-                     'l_linenumber' FROM lineitem)
+                     'l_linenumber' FROM lineitem
 """
 
 
@@ -239,18 +238,20 @@ def lineage_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(F.struct(namespace, F.col("target").alias("name"), facets)).alias("outputs"),
     )
     path = scratch(spark, "lineage")
-    started = events.withColumn("event_type", F.lit("START"))
-    events.unionByName(started).write.json(path)
+    kinds = F.when(
+        F.col("job_name") == "c_nationkey", F.array(F.lit("START"), F.lit("COMPLETE"))
+    ).otherwise(F.array(F.lit("COMPLETE")))
+    events.withColumn("event_type", F.explode(kinds)).write.json(path)
     return lineage.read_events(spark, path)
 
 
-@suite.query(f"SELECT source, target FROM ({EDGES})")
+@suite.query(f"SELECT DISTINCT source, target FROM ({EDGES})")
 def lineage_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lineage.table_edges(lineage_events(spark, sf_dir))
 
 
 @suite.query(f"""
-    SELECT source, 'id' AS source_column, target, via AS target_column FROM ({EDGES})
+    SELECT DISTINCT source, 'id' AS source_column, target, via AS target_column FROM ({EDGES})
 """)
 def lineage_column_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lineage.column_edges(lineage_events(spark, sf_dir))
