@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamina.functions.masks import mask, unmask_for
+from lamina.operators.skew import lookup_join
 
 # weakest to strictest
 TIERS = ("public", "internal", "confidential", "restricted_pii")
@@ -130,8 +131,8 @@ def erase_where(df: DataFrame, conditions: Mapping[str, object]) -> DataFrame:
 
 def erase_ids(df: DataFrame, id_column: str, ids: DataFrame) -> DataFrame:
     """Drop rows whose id is listed; ``ids`` may be of any size, so no batches are needed."""
-    listed = ids.select(F.col(ids.columns[0]).alias("__erased")).distinct()
-    return df.join(listed, F.col(id_column) == F.col("__erased"), "left_anti")
+    listed = ids.select(F.col(ids.columns[0]).alias(id_column)).distinct()
+    return lookup_join(df, listed, [id_column], "left_anti")
 
 
 def erase_cascade(
@@ -146,9 +147,9 @@ def erase_cascade(
     ``link`` is the parent's column the children refer to; ``children`` maps a name to
     (rows, referring column).
     """
-    listed = ids.select(F.col(ids.columns[0]).alias("__erased")).distinct()
-    gone = parent.join(listed, F.col(id_column) == F.col("__erased"), "left_semi")
-    links = gone.select(F.col(link))
+    listed = ids.select(F.col(ids.columns[0]).alias(id_column)).distinct()
+    gone = lookup_join(parent, listed, [id_column], "left_semi")
+    links = gone.select(link)
     out = {"parent": erase_ids(parent, id_column, ids)}
     for name, (rows, column) in children.items():
         out[name] = erase_ids(rows, column, links)

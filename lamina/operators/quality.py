@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lamina.functions import coerce
-from lamina.operators.skew import lookup_join
+from lamina.operators.skew import hot_hashes, lookup_join
 
 RESULT_COLUMNS = (
     "check_name", "kind", "dataset", "status", "observed", "expected", "message",
@@ -201,14 +201,14 @@ def flag_violations(
         elif check.kind == "uniqueness":
             keys = list(check.columns)
             bad = _repeated_keys(df, keys).select(*keys, F.lit(True).alias(flag))
-            out = lookup_join(out, bad, keys, null_safe=True, counts=_key_counts(df, keys))
+            out = lookup_join(out, bad, keys, null_safe=True, hot=hot_hashes(df, keys))
             rule = F.coalesce(F.col(flag), F.lit(False))
         elif check.kind == "referential_integrity" and _target(check, references) is not None:
             keys = [check.column]
             bad = _orphan_keys(df, check, _target(check, references)).select(
                 *keys, F.lit(True).alias(flag)
             )
-            out = lookup_join(out, bad, keys, counts=_key_counts(df, keys))
+            out = lookup_join(out, bad, keys, hot=hot_hashes(df, keys))
             rule = F.coalesce(F.col(flag), F.lit(False))
         else:
             continue

@@ -9,22 +9,39 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# The most frequent keys that are spread over salts. A key outside them holds at most
-# 1/HOT_KEYS of the rows. The list is at most HOT_KEYS rows, so it may be broadcast.
-HOT_KEYS = 256
+# A key is hot when it holds more than 1/HOT_SHARE of the rows and at least HOT_ROWS of
+# them, so there are at most HOT_SHARE hot keys. The sketch tracks enough items to find
+# every one of them.
+HOT_SHARE = 256
+HOT_ROWS = 100_000
+TRACKED = 10_000
 SALTS = 64
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], counts: DataFrame | None = None) -> DataFrame:
-    """At most HOT_KEYS most frequent keys; counted map-side before the shuffle."""
-    if counts is None:
-        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    top = counts.orderBy(F.desc("n"), *keys).limit(HOT_KEYS)
-    return top.select(*[F.col(k).alias(f"__hot_{k}") for k in keys], F.lit(True).alias("__hot"))
+def _key_hash(schema: T.StructType, keys: Sequence[str], names: Sequence[str]) -> Column:
+    """Hash of the columns ``names`` in the types of ``keys``: equal keys hash alike."""
+    parts = []
+    for key, name in zip(keys, names):
+        dtype = schema[key].dataType
+        value = F.col(f"`{name}`").try_cast(dtype)
+        # a floating zero may be signed
+        parts.append(value + F.lit(0.0) if isinstance(dtype, T.FractionalType) else value)
+    return F.xxhash64(*parts)
 
 
-def _same(left: Sequence[str], right: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(x).eqNullSafe(F.col(y)) for x, y in zip(left, right)])
+def hot_hashes(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> list[int]:
+    """Hashes of the hot keys; one pass over the key columns, one sketch per task.
+
+    The sketch only decides how rows are spread. It is evaluated once, here, so that
+    both sides of a join use the same list.
+    """
+    hashed = df.select(_key_hash(df.schema, keys, keys).alias("h"))
+    found = hashed.agg(
+        F.count(F.lit(1)).alias("total"),
+        F.expr(f"approx_top_k(h, {HOT_SHARE}, {TRACKED})").alias("top"),
+    ).first()
+    limit = max(hot_rows, found["total"] // HOT_SHARE)
+    return [item["item"] for item in found["top"] or [] if item["count"] > limit]
 
 
 def lookup_join(
@@ -33,39 +50,35 @@ def lookup_join(
     keys: Sequence[str],
     how: str = "left",
     null_safe: bool = False,
-    counts: DataFrame | None = None,
+    hot: list[int] | None = None,
 ) -> DataFrame:
-    """Join a possibly skewed ``left`` to ``right``, which holds one row per key.
+    """Join a possibly skewed ``left`` to ``right``, which holds about one row per key.
 
-    Rows of hot keys get a salt taken from a hash of the whole row, and the right
-    row of a hot key is repeated once per salt, so one key is spread over SALTS
-    tasks. Every other key holds too small a share to matter. The result is that of
-    ``left.join(right, keys, how)`` with null keys equal to each other if ``null_safe``.
+    Without hot keys this is a plain join. Rows of a hot key get a salt from a hash of
+    the whole row, and the right rows of that key are repeated once per salt, so the key
+    is spread over SALTS tasks. The result is that of ``left.join(right, keys, how)``,
+    with null keys equal to each other if ``null_safe``. ``hot`` takes a list from
+    ``hot_hashes`` of the same keys that is already at hand.
     """
     keys = list(keys)
-    hot = F.broadcast(hot_keys(left, keys, counts))
-    hot_names = [f"__hot_{k}" for k in keys]
+    right_names = [f"__right_{k}" for k in keys]
+    other = right.withColumnsRenamed(dict(zip(keys, right_names)))
+    pairs = [
+        F.col(k).eqNullSafe(F.col(r)) if null_safe else F.col(k) == F.col(r)
+        for k, r in zip(keys, right_names)
+    ]
+    match = reduce(lambda a, b: a & b, pairs)
+    hot = hot_hashes(left, keys) if hot is None else hot
+    if not hot:
+        return left.join(other, match, how).drop(*right_names)
     hashed = [f.name for f in left.schema.fields if not isinstance(f.dataType, T.MapType)]
-    salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(*hashed), F.lit(SALTS))).otherwise(0)
-    spread = (
-        left.join(hot, _same(keys, hot_names), "left")
-        .withColumn("__salt", salt.cast("int"))
-        .drop(*hot_names, "__hot")
+    salt = F.pmod(F.xxhash64(*hashed), F.lit(SALTS)).cast("int")
+    spread = left.withColumn(
+        "__salt", F.when(_key_hash(left.schema, keys, keys).isin(hot), salt).otherwise(F.lit(0))
     )
-    every_salt = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(
-        F.array(F.lit(0))
-    )
-    copies = right.join(hot, _same(keys, hot_names), "left").withColumn(
-        "__right_salt", F.explode(every_salt)
-    )
-    copies = copies.drop(*hot_names, "__hot").withColumnsRenamed({k: f"__right_{k}" for k in keys})
-    right_names = [f"__right_{k}" for k in keys]
-    if null_safe:
-        condition = _same(keys, right_names)
-    else:
-        condition = reduce(
-            lambda a, b: a & b, [F.col(x) == F.col(y) for x, y in zip(keys, right_names)]
-        )
-    condition = condition & (F.col("__salt") == F.col("__right_salt"))
-    out = spread.join(copies, condition, how)
-    return out.drop("__salt", "__right_salt", *right_names)
+    salts = F.when(
+        _key_hash(left.schema, keys, right_names).isin(hot), F.sequence(F.lit(0), F.lit(SALTS - 1))
+    ).otherwise(F.array(F.lit(0)))
+    copies = other.withColumn("__right_salt", F.explode(salts))
+    match = match & (F.col("__salt") == F.col("__right_salt"))
+    return spread.join(copies, match, how).drop("__salt", "__right_salt", *right_names)
