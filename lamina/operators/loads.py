@@ -110,7 +110,7 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], newest_first: Sequence[st
 
 def union_evolved(parts: Sequence[DataFrame]) -> DataFrame:
     """Rows of all parts; a column a part lacks is null."""
-    out = parts[0]
+    out = parts[0].select("*")
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
     return out
@@ -118,8 +118,19 @@ def union_evolved(parts: Sequence[DataFrame]) -> DataFrame:
 
 def repeated_matches(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Source keys that occur more than once and match a target row."""
-    repeated = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-    return repeated.join(target.select(*keys).distinct(), list(keys), "left_semi")
+    return _repeated(source, keys).join(target.select(*keys).distinct(), list(keys), "left_semi")
+
+
+def _repeated(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return source.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+
+
+def _check_unambiguous(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> None:
+    # the target is only read when the source repeats a key at all
+    if _repeated(source, keys).isEmpty():
+        return
+    if not repeated_matches(target, source, keys).isEmpty():
+        raise ValueError(f"several source rows match one target row on {list(keys)}")
 
 
 def upsert(
@@ -146,8 +157,8 @@ def upsert(
         raise ValueError("upsert needs an update or an insert branch")
     values = [c for c in (partition_columns if value_columns is None else value_columns)
               if c not in keys]
-    if update and not repeated_matches(target, source, keys).isEmpty():
-        raise ValueError(f"several source rows match one target row on {keys}")
+    if update:
+        _check_unambiguous(target, source, keys)
     carried = list(dict.fromkeys([*keys, *values, *partition_columns]))
     out = target
     if update and values:

@@ -141,3 +141,20 @@ def report(
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def provider_call(
+    catalog: str, procedure: str, table: str, options: dict[str, str] | None = None, **arguments: str
+) -> str:
+    """CALL statement for table formats that bring their own maintenance procedures.
+
+    ``arguments`` are SQL literals, for example ``older_than="TIMESTAMP '2024-01-01'"``.
+    """
+    def quoted(text):
+        return "'" + str(text).replace("'", "''") + "'"
+
+    parts = [f"table => {quoted(table)}", *[f"{k} => {v}" for k, v in arguments.items()]]
+    if options:
+        pairs = ", ".join(f"{quoted(k)}, {quoted(v)}" for k, v in options.items())
+        parts.append(f"options => map({pairs})")
+    return f"CALL {catalog}.system.{procedure}({', '.join(parts)})"

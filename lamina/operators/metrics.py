@@ -138,33 +138,49 @@ def compute(df: DataFrame, metric: Metric) -> DataFrame:
 def _accumulate(grouped: DataFrame, metric: Metric) -> DataFrame:
     """Running or rolling total over the time dimension within the other dimensions.
 
-    The rows are already aggregated, so a window holds one row per time value. A date
-    or text time dimension (day, month) keeps that small. A timestamp may be
-    fine-grained: its running total is taken per day first and then within the day.
+    The rows are already aggregated, so a window holds one row per time value; dates
+    and months are few. A timestamp may be fine-grained: its running total is built
+    from totals per day and per second, so a window holds at most the days of the
+    table, the seconds of a day or the microseconds of a second.
     """
     time = metric.time_dimension
     others = [d for d in metric.dims if d != time]
-    name, order = metric.name, F.col(time)
+    name = metric.name
     fine_grained = isinstance(grouped.schema[time].dataType, (T.TimestampType, T.TimestampNTZType))
-    if metric.rolling_periods is not None:
-        if fine_grained:
-            raise ValueError(f"{metric.id}: truncate {time} to a date for a rolling total")
-        frame = W.partitionBy(*others).orderBy(order).rowsBetween(-(metric.rolling_periods - 1), 0)
-        return grouped.withColumn(name, F.sum(name).over(frame))
-    if not fine_grained:
-        frame = W.partitionBy(*others).orderBy(order).rowsBetween(W.unboundedPreceding, 0)
-        return grouped.withColumn(name, F.sum(name).over(frame))
-    dated = grouped.withColumn("__day", F.to_date(time))
-    days = dated.groupBy(*others, "__day").agg(F.sum(name).alias("__total"))
-    before = W.partitionBy(*others).orderBy("__day").rowsBetween(W.unboundedPreceding, -1)
-    days = days.withColumn("__before", F.coalesce(F.sum("__total").over(before), F.lit(0)))
-    within = W.partitionBy(*others, "__day").orderBy(order).rowsBetween(W.unboundedPreceding, 0)
-    joined = dated.withColumn("__running", F.sum(name).over(within)).alias("a").join(
-        days.alias("b"),
-        _dims_match([*others, "__day"]),
+    if metric.rolling_periods is None:
+        blocks = ["second", "day"] if fine_grained else []
+        before = _before(grouped, name, others, time, blocks)
+        return before.select(*metric.dims, (F.col("__before") + F.col(name)).alias(name))
+    if fine_grained:
+        raise ValueError(f"{metric.id}: truncate {time} to a date for a rolling total")
+    frame = W.partitionBy(*others).orderBy(time).rowsBetween(-(metric.rolling_periods - 1), 0)
+    return grouped.withColumn(name, F.sum(name).over(frame))
+
+
+def _before(
+    df: DataFrame, value: str, others: Sequence[str], order: str, blocks: Sequence[str]
+) -> DataFrame:
+    """``df`` plus ``__before``, the total of all earlier rows of the same ``others``.
+
+    With blocks (time units, finest first) the earlier blocks are added up first and
+    only the rows of one block meet in a window.
+    """
+    earlier = (W.unboundedPreceding, -1)
+    if not blocks:
+        window = W.partitionBy(*others).orderBy(order).rowsBetween(*earlier)
+        return df.withColumn("__before", F.coalesce(F.sum(value).over(window), F.lit(0)))
+    unit, *coarser = blocks
+    block = f"__{unit}"
+    dated = df.withColumn(block, F.date_trunc(unit, order))
+    totals = dated.groupBy(*others, block).agg(F.sum(value).alias(value))
+    totals = _before(totals, value, others, block, coarser).select(
+        *others, block, F.col("__before").alias("__blocks")
     )
-    kept = [F.col(f"a.{d}") for d in metric.dims]
-    return joined.select(*kept, (F.col("__before") + F.col("__running")).alias(name))
+    window = W.partitionBy(*others, block).orderBy(order).rowsBetween(*earlier)
+    inner = dated.withColumn("__inner", F.coalesce(F.sum(value).over(window), F.lit(0)))
+    joined = inner.alias("a").join(totals.alias("b"), _dims_match([*others, block]))
+    total = (F.col("__blocks") + F.col("__inner")).alias("__before")
+    return joined.select(*[F.col(f"a.{c}") for c in df.columns], total)
 
 
 def _dims_match(names: Sequence[str]) -> Column:
@@ -215,3 +231,11 @@ def differences(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows that two ways of serving a metric do not share; empty when they agree."""
     only_left = left.exceptAll(right).withColumn("side", F.lit("left"))
     return only_left.unionByName(right.exceptAll(left).withColumn("side", F.lit("right")))
+
+
+def write_audit(stats: DataFrame, path: str, mode: str, run_id: str, finished_at: str) -> None:
+    """Append the audit row of one metric run."""
+    row = stats.withColumns(
+        {"mode": F.lit(mode), "run_id": F.lit(run_id), "finished_at": F.lit(finished_at)}
+    )
+    row.write.mode("append").parquet(path)

@@ -96,10 +96,10 @@ def relationalize(
     jobs only scan the fields they need instead of replaying their parents.
     """
     specs = plan_tables(entity, df.schema, max_identifier)
-    return {spec.name: _table(df, spec, row_id) for spec in specs}
+    return {spec.name: table_for(df, spec, row_id) for spec in specs}
 
 
-def _table(df: DataFrame, spec: TableSpec, row_id: Column) -> DataFrame:
+def table_for(df: DataFrame, spec: TableSpec, row_id: Column) -> DataFrame:
     if not spec.arrays:
         columns = [
             _reach(F.col(f"`{a[0]}`"), a[1:]).alias(name) for _, a, name in spec.columns

@@ -16,7 +16,8 @@ def scan_documents(
     """JSON documents, one per file; an array at the root gives one row per element.
 
     Adds the file path and the element's position, which identify a row without a
-    shuffle. Without a schema the files are read once more to infer it.
+    shuffle. Without a schema the files are read once more to infer it. A file that is
+    not JSON is an error; a file must fit into an executor's memory.
     """
     if schema is None:
         schema = spark.read.option("multiLine", True).json(paths).schema
@@ -25,9 +26,10 @@ def scan_documents(
     )
     # ltrim keeps a byte-order mark; drop it before looking at the first character
     body = F.regexp_replace("value", "^\ufeff?\\s*", "")
+    strict = {"mode": "FAILFAST"}
     parsed = F.when(
-        F.startswith(body, F.lit("[")), F.from_json(body, T.ArrayType(schema))
-    ).otherwise(F.array(F.from_json(body, schema)))
+        F.startswith(body, F.lit("[")), F.from_json(body, T.ArrayType(schema), strict)
+    ).otherwise(F.array(F.from_json(body, schema, strict)))
     rows = whole.select(ARTIFACT, F.posexplode(parsed).alias(POSITION, "doc"))
     return rows.select(ARTIFACT, POSITION, "doc.*")
 

@@ -141,14 +141,14 @@ sql_query(
     ),
 )
 CARRIERS = """
-    WITH shipments AS ({shipments})
-    SELECT sup.s_name AS carrier, count(*) AS shipments,
-           sum({days}) / CAST(count({days}) AS DOUBLE) AS avg_days,
-           min({year}) AS first_year
-    FROM shipments s
-    JOIN orders o ON o.o_orderkey = s.order_id
-    LEFT JOIN supplier sup ON sup.s_suppkey = s.carrier_id
-    GROUP BY sup.s_name
+    WITH shipments AS ({shipments}), carriers AS (
+        SELECT s.carrier_id, count(*) AS shipments,
+               sum({days}) / CAST(count({days}) AS DOUBLE) AS avg_days,
+               min({year}) AS first_year
+        FROM shipments s JOIN orders o ON o.o_orderkey = s.order_id
+        GROUP BY s.carrier_id)
+    SELECT sup.s_name AS carrier, c.shipments, c.avg_days, c.first_year
+    FROM carriers c LEFT JOIN supplier sup ON sup.s_suppkey = c.carrier_id
 """
 sql_query(
     "carrier_performance", "orders lineitem supplier",
@@ -203,12 +203,20 @@ sql_query("rank_topk", "orders", """
         FROM orders) ranked
     WHERE position <= 10
 """)
-sql_query("lag_lead", "orders", """
-    SELECT o_custkey, o_orderkey,
-           lag(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS prev,
-           lead(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS next
-    FROM orders
-""")
+LAG_LEAD = """
+    WITH monthly AS (
+        SELECT o_orderpriority, {month} AS month, count(*) AS orders
+        FROM orders GROUP BY 1, 2)
+    SELECT o_orderpriority, month, orders,
+           lag(orders) OVER (PARTITION BY o_orderpriority ORDER BY month) AS prev,
+           lead(orders) OVER (PARTITION BY o_orderpriority ORDER BY month) AS next
+    FROM monthly
+"""
+sql_query(
+    "lag_lead", "orders",
+    LAG_LEAD.format(month="date_format(o_orderdate, 'yyyy-MM')"),
+    LAG_LEAD.format(month="strftime(o_orderdate, '%Y-%m')"),
+)
 sql_query("set_ops", "customer orders", """
     SELECT 'ordered' AS label, c_custkey FROM (
         SELECT c_custkey FROM customer INTERSECT SELECT o_custkey FROM orders) a

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamina.operators import relational
+from lamina.operators.normalize import normalize
 from lamina.sources import files, landing
 from lamina.session import scratch
 from lamina.suite import Suite, table
@@ -189,3 +190,26 @@ def landed_artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing.landed_manifest(
         spark, path, run_id="run-1", source="app", entity="events", payload_format="jsonl"
     )
+
+
+@suite.query(f"""
+    SELECT 'document' AS table_name, 'run-1' AS _run_id, count(*) AS rows_stored FROM documents
+    UNION ALL SELECT 'document__lines', 'run-1', count(*) FROM ({LINES})
+    UNION ALL SELECT 'document__words', 'run-1', sum(len(string_split(line, ' ')))::BIGINT
+              FROM ({LINES})
+""")
+def normalize_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All tables of a nested source written as one run and read back."""
+    root = scratch(spark, "normalize")
+    normalize(
+        nested_documents(spark, sf_dir), root, source="crawl", entity="document",
+        row_id=relational.document_key(F.col("doc_id")), run_id="run-1",
+        ingest_date="2024-01-02", partition={"ingest_date": "2024-01-02"},
+    )
+    counts = [
+        landing.read_level2(spark, root, "crawl", "document", name)
+        .groupBy("_run_id").agg(F.count(F.lit(1)).alias("rows_stored"))
+        .select(F.lit(name).alias("table_name"), "_run_id", "rows_stored")
+        for name in ("document", "document__lines", "document__words")
+    ]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])

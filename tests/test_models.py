@@ -187,6 +187,28 @@ def test_running_totals(spark):
     assert [r[2] for r in sorted(metrics.compute(fine, running).collect())] == [1, 3, 7, 8]
 
 
+def test_running_totals_over_microseconds(spark):
+    times = ["2024-01-01 00:00:00.1", "2024-01-01 00:00:00.2", "2024-01-01 00:00:05",
+             "2024-01-01 23:59:59", "2024-01-02 00:00:00", "2024-03-01 12:00:00"]
+    df = spark.createDataFrame([(g, t, 1) for g in (None, "a") for t in times],
+                               "g string, at string, amount int")
+    df = df.withColumn("at", F.col("at").cast("timestamp_ntz"))
+    spec = metric(aggregation="cumulative_rolling",
+                  dimensions=(Dimension("g"), Dimension("at", True)))
+    out = metrics.compute(df, spec).orderBy("g", "at").collect()
+    assert [r["m"] for r in out] == [1, 2, 3, 4, 5, 6] * 2
+
+
+def test_metric_audit_rows_accumulate(spark, folder):
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "g string, amount int")
+    stats = metrics.audit_stats(df, metric(dimensions=(Dimension("g"),)))
+    for run in ("r1", "r2"):
+        metrics.write_audit(stats, f"{folder}/audit", "view", run, "2024-01-01T00:00:00Z")
+    rows = spark.read.parquet(f"{folder}/audit").collect()
+    assert sorted(r["run_id"] for r in rows) == ["r1", "r2"]
+    assert {(r["total_sum"], r["non_null_count"]) for r in rows} == {(3.0, 2)}
+
+
 def test_points_carry_labels(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2)], "g string, amount int")
     row = metrics.points(df, metric(dimensions=(Dimension("g"),))).first()

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from lamina.functions.names import NameRegistry, identifier, path_fragment
 from lamina.operators import relational
+from lamina.operators.normalize import normalize
 from lamina.sources import files, landing
 
 ORDER = {
@@ -193,3 +194,27 @@ def test_level2_runs_accumulate_and_refuse_overwrite(spark, folder):
         put("001", "2024-01-01", spark.range(2))
     with pytest.raises(FileNotFoundError):
         landing.read_level2(spark, folder, "shop", "orders", "nothing")
+
+
+def test_broken_document_is_an_error(spark, folder):
+    with open(f"{folder}/a.json", "w", encoding="utf-8") as handle:
+        handle.write('{"a": 1')
+    schema = T.StructType([T.StructField("a", T.LongType())])
+    with pytest.raises(Exception, match="MALFORMED|malformed"):
+        files.scan_documents(spark, f"{folder}/a.json", schema).collect()
+
+
+def test_normalize_writes_every_table_once(spark, folder, order_tables):
+    docs = files.scan_documents(spark, f"{folder}/order.json")
+    identity = [files.ARTIFACT, files.POSITION]
+    key = relational.document_key(*[F.col(c) for c in identity])
+    catalog, manifests = normalize(
+        docs, f"{folder}/out", source="shop", entity="orders", row_id=key, run_id="r1",
+        ingest_date="2024-01-02", partition={"ingest_date": "2024-01-02"}, identity_columns=identity,
+    )
+    assert {m["table_name"]: m["rows_written"] for m in manifests}["orders__jurisdictions"] == 3
+    root = landing.read_level2(spark, f"{folder}/out", "shop", "orders", "orders").first()
+    assert root["source_name"] == "shop" and root["_run_id"] == "r1"
+    assert root["_row_id"] == order_tables[1]["orders"].first()["_row_id"]
+    assert files.ARTIFACT not in root.asDict()
+    assert catalog.filter("table_name = 'orders'").count() == 5

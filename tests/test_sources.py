@@ -385,3 +385,11 @@ def test_read_table_keeps_partition_text(spark, folder):
     df = spark.createDataFrame([(1, "2026-01-01")], "id int, d string")
     loads.load(df, f"{folder}/t", "partition_overwrite", ["d"])
     assert loads.read_table(spark, f"{folder}/t", df.schema).first()["d"] == "2026-01-01"
+
+
+def test_provider_call():
+    text = maintenance.provider_call(
+        "lake", "rewrite_data_files", "db.o'k", {"min-input-files": "5"}, strategy="'binpack'"
+    )
+    assert text == ("CALL lake.system.rewrite_data_files(table => 'db.o''k', "
+                    "strategy => 'binpack', options => map('min-input-files', '5'))")
