@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lamina.functions.literals import literal
 from lamina.operators.loads import LoadResult, load
 
 MIN_INPUT_FILES = 5
@@ -96,7 +97,8 @@ def expired_runs(
         F.col("__rank") <= keep
     )
     limit = as_of - timedelta(days=max(0, retain_days))
-    old = manifests.filter(F.col(written_column) < F.lit(limit))
+    dtype = manifests.schema[written_column].dataType
+    old = manifests.filter(F.col(written_column) < literal(limit, dtype))
     return old.join(kept.select(*group, run_column), [*group, run_column], "left_anti")
 
 
@@ -105,7 +107,7 @@ def orphan_files(
 ) -> DataFrame:
     """Files no manifest names, old enough not to belong to a running write."""
     limit = as_of - timedelta(days=max(1, older_than_days))
-    old = files.filter(F.col("modified") < F.lit(limit))
+    old = files.filter(F.col("modified") < literal(limit, files.schema["modified"].dataType))
     return old.join(known.select("path"), "path", "left_anti")
 
 

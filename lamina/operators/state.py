@@ -6,7 +6,9 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from lamina.functions.literals import literal
 from lamina.operators.loads import latest_per_key
 
 OWNER = ["environment", "source_name", "entity_name"]
@@ -59,14 +61,14 @@ def current(history: DataFrame) -> DataFrame:
 
 
 def overlaps(
-    start: Column, end: Column, low: datetime | None, high: datetime | None
+    start: Column, end: Column, low: datetime | None, high: datetime | None, dtype: T.DataType
 ) -> Column:
-    """Inclusive interval overlap; a null bound on either side is open."""
+    """Inclusive interval overlap of columns of ``dtype``; a null bound on either side is open."""
     keep = F.lit(True)
     if low is not None:
-        keep = keep & (end.isNull() | (end >= F.lit(low)))
+        keep = keep & (end.isNull() | (end >= literal(low, dtype)))
     if high is not None:
-        keep = keep & (start.isNull() | (start <= F.lit(high)))
+        keep = keep & (start.isNull() | (start <= literal(high, dtype)))
     return keep
 
 
@@ -76,9 +78,9 @@ def replay_entries(
     window_start: datetime | None = None,
     window_end: datetime | None = None,
 ) -> DataFrame:
-    out = history.filter(
-        overlaps(F.col("window_start"), F.col("window_end"), window_start, window_end)
-    )
+    dtype = history.schema["window_end"].dataType
+    start, end = F.col("window_start"), F.col("window_end")
+    out = history.filter(overlaps(start, end, window_start, window_end, dtype))
     return out.filter(F.col("run_id") == run_id) if run_id else out
 
 
@@ -86,7 +88,8 @@ def backfill_seed(history: DataFrame, window_start: datetime) -> DataFrame:
     """Per source and entity the entry whose window ends last, at or before ``window_start``."""
     if window_start is None:
         raise ValueError("a backfill needs a window start")
-    eligible = history.filter(F.col("window_end") <= F.lit(window_start))
+    limit = literal(window_start, history.schema["window_end"].dataType)
+    eligible = history.filter(F.col("window_end") <= limit)
     return latest_per_key(eligible, OWNER, ["window_end", "recorded_at", "run_id"])
 
 
@@ -103,4 +106,5 @@ def select_manifests(
             out = out.filter(F.col(name) == value)
     start = F.coalesce("window_start", "ingest_started_at")
     end = F.coalesce("window_end", "ingest_completed_at")
-    return out.filter(overlaps(start, end, window_start, window_end))
+    dtype = manifests.schema["ingest_completed_at"].dataType
+    return out.filter(overlaps(start, end, window_start, window_end, dtype))

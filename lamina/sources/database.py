@@ -8,6 +8,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lamina.functions.literals import literal
+
 TOKEN = re.compile(r"\{([A-Za-z0-9_.]+)\}")
 
 
@@ -55,7 +57,7 @@ def start_watermark(
 
 def delta(df: DataFrame, column: str, after: object, filters: Sequence[str] = ()) -> DataFrame:
     """Rows strictly after the watermark that pass every filter."""
-    out = df.filter(F.col(column) > F.lit(after))
+    out = df.filter(F.col(column) > literal(after, df.schema[column].dataType))
     for predicate in filters:
         out = out.filter(predicate)
     return out
@@ -65,7 +67,7 @@ def watermark_after(pulled: DataFrame, column: str, before: object) -> DataFrame
     """One row: the largest non-null value pulled, else the value before."""
     dtype = pulled.schema[column].dataType
     return pulled.agg(
-        F.coalesce(F.max(column), F.lit(before).cast(dtype)).alias("watermark")
+        F.coalesce(F.max(column), literal(before, dtype).cast(dtype)).alias("watermark")
     )
 
 

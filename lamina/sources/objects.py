@@ -6,8 +6,10 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lamina import storage
+from lamina.functions.literals import literal
 
 LISTING_SCHEMA = "key string, size_bytes bigint, modified timestamp"
 
@@ -63,15 +65,15 @@ def sync_decisions(
         F.when(known & F.coalesce(resized, F.lit(False)), True)
         .when(known & F.coalesce(touched, F.lit(False)), True)
         .when(known & (F.col("modified").isNull() | recorded), False)
-        .otherwise(_newer(last_synced_at))
+        .otherwise(_newer(last_synced_at, listing.schema["modified"].dataType))
     )
     return listing.join(state, "key", "left").select(*listing.columns, rule.alias("should_sync"))
 
 
-def _newer(last_synced_at: datetime | None) -> Column:
+def _newer(last_synced_at: datetime | None, dtype: T.DataType) -> Column:
     if last_synced_at is None:
         return F.lit(True)
-    return F.col("modified").isNull() | (F.col("modified") > F.lit(last_synced_at))
+    return F.col("modified").isNull() | (F.col("modified") > literal(last_synced_at, dtype))
 
 
 def seen_after(seen: DataFrame, synced: DataFrame) -> DataFrame:
@@ -87,5 +89,6 @@ def seen_after(seen: DataFrame, synced: DataFrame) -> DataFrame:
 def last_synced_after(synced: DataFrame, before: datetime | None) -> DataFrame:
     """One row: newest modification time synced, else the earlier value."""
     newest = F.max("modified")
-    value = newest if before is None else F.coalesce(newest, F.lit(before))
+    dtype = synced.schema["modified"].dataType
+    value = newest if before is None else F.coalesce(newest, literal(before, dtype))
     return synced.agg(value.alias("last_synced_at"))

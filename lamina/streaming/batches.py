@@ -85,9 +85,10 @@ def windowed_counts(
     events: DataFrame, time: str, width: str, keys: Sequence[str], lateness: str | None = None
 ) -> DataFrame:
     """Counts per event-time window and key; ``lateness`` bounds the state kept."""
-    if isinstance(events.schema[time].dataType, T.TimestampNTZType):
-        events = events.withColumn(time, F.col(time).cast("timestamp"))
     if lateness is not None:
+        # a watermark needs an instant; zone-less times count in the session's zone
+        if isinstance(events.schema[time].dataType, T.TimestampNTZType):
+            events = events.withColumn(time, F.col(time).cast("timestamp"))
         events = events.withWatermark(time, lateness)
     counted = events.groupBy(F.window(time, width), *keys).agg(F.count(F.lit(1)).alias("n"))
     return counted.select(F.col("window.start").alias("window_start"), *keys, "n")

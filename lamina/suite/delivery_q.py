@@ -6,7 +6,9 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from lamina.functions.literals import literal
 from lamina.operators import export, loads, maintenance, telemetry
 from lamina.operators.export import Publish
 from lamina.session import scratch
@@ -167,7 +169,7 @@ def run_expiry(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def orphan_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as stored files; those with a label are the ones a manifest knows."""
-    written = F.lit(datetime(2024, 1, 1)) + F.make_dt_interval(hours=F.col("page_id").cast("int"))
+    written = literal(datetime(2024, 1, 1), T.TimestampNTZType()) + F.make_dt_interval(hours=F.col("page_id").cast("int"))
     pages = table(spark, sf_dir, "pages")
     files = pages.select(F.col("url").alias("path"), written.alias("modified"), "page_id")
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"))
@@ -251,8 +253,7 @@ def stream_event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     batches.run_available(
         counts, batches.result_table(out), scratch(spark, "stream-state"), "complete"
     )
-    stored = spark.read.parquet(out)
-    return stored.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    return spark.read.parquet(out)
 
 
 @suite.query("""
@@ -264,7 +265,7 @@ def stream_offsets_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, out = scratch(spark, "stream-in"), scratch(spark, "stream-out")
     checkpoint = scratch(spark, "stream-state")
     events = table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
-    early = F.col("ts") < F.lit(datetime(2024, 1, 16))
+    early = F.col("ts") < literal(datetime(2024, 1, 16), T.TimestampNTZType())
     for arrived in (events.filter(early), events.filter(~early)):
         arrived.write.mode("append").parquet(source)
         stream = batches.read_files(spark, source, events.schema, max_files=4)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from lamina.functions.literals import literal
 from lamina.operators import state
 from lamina.session import scratch
 from lamina.sources import database, eventlog, objects, paged
@@ -37,7 +39,7 @@ SYNC_SQL = f"""
 
 
 def file_drop(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    start = F.lit(datetime(2024, 1, 1, tzinfo=timezone.utc))
+    start = literal(datetime(2024, 1, 1), T.TimestampNTZType())
     minutes = lambda n: F.make_dt_interval(mins=n)
     files = table(spark, sf_dir, "documents").select(
         F.concat_ws("/", "source", "doc_id").alias("key"),
@@ -57,7 +59,7 @@ def file_drop(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 def _last_sync() -> datetime:
-    return datetime.fromisoformat(LAST_SYNC).replace(tzinfo=timezone.utc)
+    return datetime.fromisoformat(LAST_SYNC)
 
 
 @suite.query(f"{SYNC_SQL} SELECT key, size_bytes, should_sync FROM decided")
@@ -76,8 +78,7 @@ def file_sync_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
 def file_sync_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     files, seen = file_drop(spark, sf_dir)
     synced = objects.sync_decisions(files, seen, _last_sync()).filter("should_sync")
-    after = objects.seen_after(seen, synced)
-    return after.withColumn("seen_modified", F.col("seen_modified").cast("timestamp_ntz"))
+    return objects.seen_after(seen, synced)
 
 
 @suite.query(f"""
@@ -86,8 +87,7 @@ def file_sync_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
 def file_sync_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
     files, seen = file_drop(spark, sf_dir)
     synced = objects.sync_decisions(files, seen, _last_sync()).filter("should_sync")
-    after = objects.last_synced_after(synced, _last_sync())
-    return after.select(F.col("last_synced_at").cast("timestamp_ntz").alias("last_synced_at"))
+    return objects.last_synced_after(synced, _last_sync())
 
 
 @suite.query("""

@@ -1,5 +1,6 @@
 """Command line: compare registered queries with their SQL. ``check_queries.py [sf] [names...]``"""
 
+import os
 import sys
 import time
 from pathlib import Path
@@ -19,6 +20,7 @@ def main(argv: list[str]) -> int:
         "check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"}
     )
     spark.sparkContext.setLogLevel("ERROR")
+    spark.conf.set("spark.sql.session.timeZone", os.environ.get("CHECK_ZONE", "UTC"))
     con = compare.connect(sf_dir)
     queries, oracles = entry_point.queries(), entry_point.oracle_sql()
     bad = 0
