@@ -29,7 +29,7 @@ def _key_hash(schema: T.StructType, keys: Sequence[str], names: Sequence[str]) -
     return F.xxhash64(*parts)
 
 
-def hot_hashes(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> list[int]:
+def hot_hashes(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> list[int]:
     """Hashes of the hot keys; one pass over the key columns, one sketch per task.
 
     The sketch only decides how rows are spread. It is evaluated once, here, so that
@@ -40,7 +40,7 @@ def hot_hashes(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) ->
         F.count(F.lit(1)).alias("total"),
         F.expr(f"approx_top_k(h, {HOT_SHARE}, {TRACKED})").alias("top"),
     ).first()
-    limit = max(hot_rows, found["total"] // HOT_SHARE)
+    limit = max(HOT_ROWS if hot_rows is None else hot_rows, found["total"] // HOT_SHARE)
     return [item["item"] for item in found["top"] or [] if item["count"] > limit]
 
 

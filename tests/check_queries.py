@@ -1,4 +1,8 @@
-"""Command line: compare registered queries with their SQL. ``check_queries.py [sf] [names...]``"""
+"""Command line: compare registered queries with their SQL.
+
+``check_queries.py [scale or folder] [names...]``; CHECK_ZONE sets the session's zone and
+CHECK_HOT_ROWS the size from which a key is salted.
+"""
 
 import os
 import sys
@@ -10,12 +14,14 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import __spark_entry__ as entry_point
 import compare
+from lamina.operators import skew
 from lamina.session import build_session
 
 
 def main(argv: list[str]) -> int:
     sf = argv[0] if argv else "0.01"
-    sf_dir = f"/root/testdata/sf{sf}"
+    sf_dir = sf if sf.startswith("/") else f"/root/testdata/sf{sf}"
+    skew.HOT_ROWS = int(os.environ.get("CHECK_HOT_ROWS", skew.HOT_ROWS))
     spark = build_session(
         "check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"}
     )
