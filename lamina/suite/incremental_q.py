@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lamina.functions.literals import literal
-from lamina.operators import state
+from lamina.operators import ingest, state
 from lamina.session import scratch
 from lamina.sources import database, eventlog, objects, paged
 from lamina.suite import Suite, table
@@ -224,19 +224,14 @@ def fetch_page(params: dict, options: dict) -> dict:
 
 
 @suite.query("""
-    SELECT c_custkey // 200 AS page_index, CAST(c_custkey % 200 AS INTEGER) AS item_index,
-           c_custkey AS id, c_name AS name, c_mktsegment AS segment
+    SELECT c_custkey // 200 + 1 AS page, c_custkey AS id, c_name AS name, c_mktsegment AS segment
     FROM customer
 """)
 def envelope_unwrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items of response envelopes, unwrapped from the landed documents."""
     schema = "items array<struct<id:bigint,name:string,segment:string>>, total bigint"
-    folder = page_files(spark, sf_dir)
-    docs = spark.read.schema(f"{schema}, page bigint").json(folder)
-    items = docs.select(
-        (F.col("page") - 1).alias("page_index"), F.posexplode("items").alias("item_index", "item")
-    )
-    return items.select("page_index", "item_index", "item.*")
+    docs = spark.read.schema(f"{schema}, page bigint").json(page_files(spark, sf_dir))
+    return paged.unwrap(docs, "items", keep=["page"])
 
 
 # Ingest manifests: one landed artifact per priority and month of orders.
@@ -334,3 +329,57 @@ def paged_source_pull(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pulled.select("page_index", "item_index", parsed).select(
         "page_index", "item_index", "item.*"
     )
+
+
+@suite.query("""
+    SELECT o_orderkey, o_orderdate, CASE WHEN o_orderdate < TIMESTAMP '1998-01-01' THEN 'run-1'
+           ELSE 'run-2' END AS run_id
+    FROM orders WHERE o_orderdate > TIMESTAMP '1995-06-30'
+""")
+def incremental_database_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three delta runs against a growing source; the last finds nothing new."""
+    root, state_path = scratch(spark, "ingest"), scratch(spark, "state")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    cut = literal(datetime(1998, 1, 1), T.TimestampNTZType())
+    owner = {"environment": "test", "source_name": "shop", "entity_name": "orders"}
+    snapshots = (orders.filter(F.col("o_orderdate") < cut), orders, orders)
+    for i, snapshot in enumerate(snapshots, start=1):
+        ingest.run_watermark_delta(
+            snapshot, "o_orderdate", root=root, state_path=state_path, owner=owner,
+            run_id=f"run-{i}", recorded_at=datetime(2024, 1, i), default=datetime(1995, 6, 30),
+        )
+    schema = T.StructType([*orders.schema.fields, T.StructField("run_id", T.StringType())])
+    return spark.read.schema(schema).parquet(root)
+
+
+@suite.query(f"""
+    SELECT topic, partition, "offset", key, CASE WHEN rn <= 150 THEN 'run-1' ELSE 'run-2' END AS run_id
+    FROM (SELECT *, row_number() OVER (PARTITION BY topic, partition ORDER BY "offset") AS rn
+          FROM ({LOG_SQL})) WHERE rn <= 300
+""")
+def incremental_log_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two bounded batches of a log; the second starts at the committed offsets."""
+    root, state_path = scratch(spark, "ingest"), scratch(spark, "state")
+    log = event_log(spark, sf_dir).select("topic", "partition", "offset", "key")
+    owner = {"environment": "test", "source_name": "app", "entity_name": "events"}
+    for i in (1, 2):
+        ingest.run_log_batch(
+            log, root=root, state_path=state_path, owner=owner, run_id=f"run-{i}",
+            recorded_at=datetime(2024, 1, i), max_messages=150,
+        )
+    schema = T.StructType([*log.schema.fields, T.StructField("run_id", T.StringType())])
+    return spark.read.schema(schema).parquet(root)
+
+
+@suite.query("SELECT DISTINCT c_mktsegment AS folder, true AS has_bytes FROM customer")
+def object_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing of a file drop with one folder per market segment."""
+    drop = scratch(spark, "drop")
+    rows = table(spark, sf_dir, "customer").select("c_name", "c_mktsegment")
+    rows.write.partitionBy("c_mktsegment").text(f"{drop}/customers")
+    listed = objects.list_objects(spark, drop, "customers")
+    folder = F.regexp_extract("key", "^customers/c_mktsegment=([^/]+)/part-", 1)
+    data = listed.filter(folder != "")
+    return data.groupBy(folder.alias("folder")).agg(
+        (F.sum("size_bytes") > 0).alias("has_bytes")
+    )

@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lamina.functions.hashing import artifact_id, row_md5
 from lamina.plans.models import Model, Runner, SourceRef, token_context
 from lamina.session import scratch
 from lamina.suite import Suite, table
@@ -256,3 +257,69 @@ def quantile_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.percentile_approx("o_totalprice", 0.0).alias("low"),
         F.percentile_approx("o_totalprice", 1.0).alias("high"),
     )
+
+
+sql_query(
+    "array_functions", "documents",
+    """
+    SELECT doc_id, size(filter(split(text, ' '), w -> length(w) > 5)) AS long_words,
+           aggregate(transform(split(text, ' '), w -> CAST(length(w) AS BIGINT)), 0L,
+                     (a, n) -> a + n) AS letters,
+           array_max(transform(split(text, '\n'), l -> length(l))) AS longest_line
+    FROM documents
+    """,
+    """
+    SELECT doc_id, CAST(len(list_filter(string_split(text, ' '), lambda w: length(w) > 5)) AS INTEGER)
+               AS long_words,
+           CAST(list_sum(list_transform(string_split(text, ' '), lambda w: length(w))) AS BIGINT)
+               AS letters,
+           CAST(list_max(list_transform(string_split(text, chr(10)), lambda l: length(l))) AS INTEGER)
+               AS longest_line
+    FROM documents
+    """,
+)
+sql_query(
+    "json_functions", "events",
+    """
+    SELECT event_id, variant_get(parse_json(props), '$.k', 'bigint') AS k,
+           get_json_object(props, '$.missing') AS missing,
+           to_json(named_struct('id', event_id, 'type', event_type)) AS body
+    FROM events
+    """,
+    """
+    SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k,
+           json_extract_string(props, '$.missing') AS missing,
+           CAST(to_json({'id': event_id, 'type': event_type}) AS VARCHAR) AS body
+    FROM events
+    """,
+)
+sql_query(
+    "formatted_report", "orders",
+    """
+    SELECT date_format(o_orderdate, 'yyyy') AS year, format_number(sum(o_totalprice), 2) AS total,
+           datediff(max(o_orderdate), min(o_orderdate)) AS days,
+           CAST(date_part('doy', max(o_orderdate)) AS BIGINT) AS last_day
+    FROM orders GROUP BY 1
+    """,
+    """
+    SELECT strftime(o_orderdate, '%Y') AS year, format('{:,.2f}', sum(o_totalprice)) AS total,
+           CAST(date_diff('day', min(o_orderdate), max(o_orderdate)) AS INTEGER) AS days,
+           date_part('doy', max(o_orderdate)) AS last_day
+    FROM orders GROUP BY 1
+    """,
+)
+
+
+@suite.query("""
+    SELECT o_orderkey, md5(CAST(to_json({'o_orderkey': o_orderkey,
+               'o_orderpriority': o_orderpriority, 'o_orderstatus': o_orderstatus}) AS VARCHAR))
+               AS row_digest,
+           substr(sha256('run-1:' || o_orderpriority), 1, 24) AS artifact
+    FROM orders
+""")
+def row_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["o_orderkey", "o_orderstatus", "o_orderpriority"]
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey", row_md5(columns).alias("row_digest"),
+        artifact_id(F.lit("run-1"), F.col("o_orderpriority")).alias("artifact"),
+    )

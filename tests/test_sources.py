@@ -8,7 +8,7 @@ from datetime import datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from lamina.operators import export, loads, maintenance, parity, state, telemetry
+from lamina.operators import export, ingest, loads, maintenance, parity, state, telemetry
 from lamina.operators.export import ExportRefused, Publish
 from lamina.sources import database, eventlog, landing, objects, paged
 from lamina.streaming import batches
@@ -393,3 +393,31 @@ def test_provider_call():
     )
     assert text == ("CALL lake.system.rewrite_data_files(table => 'db.o''k', "
                     "strategy => 'binpack', options => map('min-input-files', '5'))")
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "string", "bigint"])
+def test_watermark_runs_commit_after_persisting(spark, folder, kind):
+    owner = {"environment": "e", "source_name": "s", "entity_name": kind}
+    stamps = [f"2024-01-0{d} 00:00:00.5" for d in range(1, 5)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(stamps)], "id int, t string")
+    df = df.withColumn("w", F.col("id").cast("bigint") if kind == "bigint" else F.col("t").cast(kind))
+    default = {"bigint": -1, "string": "2024"}.get(kind, datetime(2023, 1, 1))
+
+    def run(number, rows):
+        return ingest.run_watermark_delta(
+            rows, "w", root=f"{folder}/{kind}", state_path=f"{folder}/state", owner=owner,
+            run_id=f"r{number}", recorded_at=datetime(2024, 1, number), default=default,
+        )
+
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert run(1, df.filter("id < 2")).rows == 2
+        assert run(2, df).rows == 2
+        last = run(3, df)
+        assert (last.rows, last.path) == (0, None)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert ingest.load_checkpoint(spark, f"{folder}/state", owner) == last.checkpoint
+    assert state.read_history(spark, f"{folder}/state").count() == 2
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS|already exists"):
+        run(1, df)
