@@ -124,6 +124,20 @@ def conformance(df: DataFrame, declared: Sequence[ColumnContract]) -> DataFrame:
     return df.agg(F.array(*aggregates).alias("rows")).select(F.inline("rows"))
 
 
+def enforce_rows(
+    df: DataFrame, declared: Sequence[ColumnContract], mode: str = "off"
+) -> tuple[DataFrame, DataFrame | None]:
+    """(rows to go on with, violating rows): ``strict`` raises on any, ``off`` looks at none."""
+    if mode not in MODES:
+        raise ValueError(f"unknown contract mode {mode!r}")
+    if mode == "off":
+        return df, None
+    clean, bad = conform(df, declared)
+    if mode == "strict" and not bad.isEmpty():
+        raise ContractViolation("some rows do not fit the declared types")
+    return clean, bad
+
+
 def conform(
     df: DataFrame, declared: Sequence[ColumnContract]
 ) -> tuple[DataFrame, DataFrame]:

@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from lamina import storage
 from lamina.session import scratch
 
 FORMATS = ("csv", "tsv", "jsonl")
@@ -107,24 +108,27 @@ def publish(
         raise ExportRefused(f"{spec.name}: missing columns {missing}")
     if spec.columns:
         df = df.select(*spec.columns)
-    seen, stage = Observation(), scratch(spark, f"export-{spec.name}")
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(stage)
-    rows = int(seen.get["rows"])
-    if spec.max_rows is not None and rows > spec.max_rows:
-        raise ExportRefused(f"{spec.name}: {rows} rows exceed the ceiling of {spec.max_rows}")
-    if rows == 0 and not spec.allow_empty:
-        raise ExportRefused(f"{spec.name}: no rows")
-    ready = spark.read.schema(df.schema).parquet(stage)
-    if single_file:
-        if spec.max_rows is None:
-            raise ExportRefused(f"{spec.name}: a single file needs a row ceiling")
-        ready = ready.coalesce(1)
+    if single_file and spec.max_rows is None:
+        raise ExportRefused(f"{spec.name}: a single file needs a row ceiling")
     paths = plan_paths(spec, root, run_id, window_label)
-    _write(ready, spec, paths["run"], "errorifexists")
-    if spec.replacement == "partition_replace":
-        _write(ready, spec, paths["stable"], "overwrite", spec.partition_columns)
-    elif paths["stable"]:
-        _write(ready, spec, paths["stable"], "overwrite")
+    seen, stage = Observation(), scratch(spark, f"export-{spec.name}")
+    try:
+        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(stage)
+        rows = int(seen.get["rows"])
+        if spec.max_rows is not None and rows > spec.max_rows:
+            raise ExportRefused(f"{spec.name}: {rows} rows exceed the ceiling of {spec.max_rows}")
+        if rows == 0 and not spec.allow_empty:
+            raise ExportRefused(f"{spec.name}: no rows")
+        ready = spark.read.schema(df.schema).parquet(stage)
+        if single_file:
+            ready = ready.coalesce(1)
+        _write(ready, spec, paths["run"], "errorifexists")
+        if spec.replacement == "partition_replace":
+            _write(ready, spec, paths["stable"], "overwrite", spec.partition_columns)
+        elif paths["stable"]:
+            _write(ready, spec, paths["stable"], "overwrite")
+    finally:
+        storage.delete(spark, stage)
     context = {
         "run_id": run_id,
         "domain": spec.domain,

@@ -73,12 +73,19 @@ def load(
         raise ValueError(f"partition columns {missing} are not in the output")
     if mode == "partition_overwrite" and not partition_columns:
         raise ValueError("partition_overwrite needs partition columns")
-    if validate is not None:
-        stage = scratch(df.sparkSession, "stage")
+    if validate is None:
+        return _publish(clustered(df, partition_columns), path, mode, partition_columns)
+    spark, stage = df.sparkSession, scratch(df.sparkSession, "stage")
+    try:
         clustered(df, partition_columns).write.parquet(stage)
-        df = df.sparkSession.read.schema(df.schema).parquet(stage)
-        validate(df)
-    out = df if validate is not None else clustered(df, partition_columns)
+        ready = read_table(spark, stage, df.schema)
+        validate(ready)
+        return _publish(ready, path, mode, partition_columns)
+    finally:
+        storage.delete(spark, stage)
+
+
+def _publish(out: DataFrame, path: str, mode: str, partition_columns: Sequence[str]) -> LoadResult:
     if mode == "append":
         rows = _write(out, path, "append", partition_columns)
     elif mode == "full_refresh":

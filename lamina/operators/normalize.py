@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
+from lamina import storage
 from lamina.operators import relational
-from lamina.session import staged
+from lamina.session import scratch
 from lamina.sources import landing
 
 
@@ -33,16 +35,20 @@ def normalize(
     specs = relational.plan_tables(entity, body.schema)
     version = relational.mapping_version(specs)
     keyed = docs.select(row_id.alias("__key"), *[f"`{c}`" for c in body.columns])
-    keyed = staged(keyed, f"normalize-{entity}")
-    tables = {
-        s.name: relational.table_for(keyed, s, keyed["__key"]) for s in specs
-    }
-    manifests = [
-        landing.write_level2(
-            relational.with_lineage(df, source, ingest_date, run_id), root,
-            source=source, entity=entity, table=name, mapping_version=version,
-            run_id=run_id, partition=partition,
-        )
-        for name, df in tables.items()
-    ]
+    stage = scratch(docs.sparkSession, f"normalize-{entity}")
+    try:
+        keyed.write.parquet(stage)
+        stored = docs.sparkSession.read.schema(keyed.schema).parquet(stage)
+        manifests = [
+            landing.write_level2(
+                relational.with_lineage(
+                    relational.table_for(stored, spec, F.col("__key")), source, ingest_date, run_id
+                ),
+                root, source=source, entity=entity, table=spec.name, mapping_version=version,
+                run_id=run_id, partition=partition,
+            )
+            for spec in specs
+        ]
+    finally:
+        storage.delete(docs.sparkSession, stage)
     return relational.mapping_catalog(docs.sparkSession, source, entity, specs), manifests

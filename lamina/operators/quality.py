@@ -172,6 +172,14 @@ def _target(check: Check, references: Mapping[str, DataFrame]) -> DataFrame | No
     return references.get(wanted, references.get(wanted.split(".")[-1]))
 
 
+def _with_key_columns(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """A key column the data lacks counts as null in every row."""
+    wanted = [k for c in checks if c.kind == "uniqueness" for k in c.columns]
+    wanted += [c.column for c in checks if c.kind == "referential_integrity"]
+    missing = {k: F.lit(None).cast("string") for k in wanted if k not in df.columns}
+    return df.withColumns(missing) if missing else df
+
+
 def violations(
     df: DataFrame,
     check: Check,
@@ -193,11 +201,12 @@ def flag_violations(
 ) -> DataFrame:
     """``df`` plus ``_violations``, the names of the checks each row breaks."""
     references = references or {}
+    original, df = df, _with_key_columns(df, checks)
     out, flags = df, []
     for i, check in enumerate(checks):
         flag = f"__bad_{i}"
         if check.kind in ROW_LOCAL:
-            rule = row_rule(check, df.schema, now)
+            rule = row_rule(check, original.schema, now)
         elif check.kind == "uniqueness":
             keys = list(check.columns)
             bad = _repeated_keys(df, keys).select(*keys, F.lit(True).alias(flag))
@@ -214,7 +223,7 @@ def flag_violations(
             continue
         flags.append(F.when(rule, F.lit(check.check_name)))
     names = F.array_compact(F.array(*flags)) if flags else F.array().cast("array<string>")
-    return out.select(*df.columns, names.alias("_violations"))
+    return out.select(*original.columns, names.alias("_violations"))
 
 
 def _result_row(check: Check, dataset: str, observed: Column, failed: Column, total: Column):
@@ -275,6 +284,7 @@ def evaluate(
                 observed = F.col(f"age_{i}") / 1000000 if has_age else F.lit(None)
             rows.append(_result_row(c, dataset, observed, bad, total))
         results.append(counted.select(F.inline(F.array(*rows))))
+    df = _with_key_columns(df, checks)
     for c in checks:
         if c in one_pass:
             continue

@@ -122,8 +122,12 @@ def _child_id() -> Column:
 
 
 def document_key(*parts: Column) -> Column:
-    """Row key from what identifies a document: artifact and position, or its natural key."""
-    return F.sha2(F.concat_ws("|", *[p.cast("string") for p in parts]), 256)
+    """Row key from what identifies a document: artifact and position, or its natural key.
+
+    128 bits of the digest: child tables repeat the key on every row, so its size counts.
+    """
+    digest = F.sha2(F.concat_ws("|", *[p.cast("string") for p in parts]), 256)
+    return F.left(digest, F.lit(32))
 
 
 def mapping_version(specs: list[TableSpec]) -> str:

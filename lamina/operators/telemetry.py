@@ -15,11 +15,6 @@ AUDIT_SCHEMA = (
 LABELS = ["stage", "job_name", "environment", "trigger_type", "status"]
 
 
-def _labels(*more: Column) -> Column:
-    pairs = [x for name in LABELS for x in (F.lit(name), F.col(name))]
-    return F.create_map(*pairs, *more)
-
-
 def _point(name: Column, kind: str, value: Column, labels: Column) -> Column:
     return F.struct(
         name.alias("metric_name"),
@@ -31,27 +26,32 @@ def _point(name: Column, kind: str, value: Column, labels: Column) -> Column:
 
 def run_metrics(audit: DataFrame) -> DataFrame:
     """Metric points of every run: duration, counts, status, extras and validations."""
+    pairs = [x for name in LABELS for x in (F.lit(name), F.col(name))]
+    audit = audit.withColumn("__labels", F.create_map(*pairs))
+    labels = F.col("__labels")
     micros = F.timestamp_diff("MICROSECOND", F.col("started_at"), F.col("completed_at"))
     fixed = F.array(
-        _point(F.lit("run_duration_seconds"), "gauge", micros / 1000000, _labels()),
-        _point(F.lit("records_read_total"), "counter", F.col("records_read"), _labels()),
-        _point(F.lit("records_written_total"), "counter", F.col("records_written"), _labels()),
-        _point(F.lit("files_written_total"), "counter", F.col("files_written"), _labels()),
+        _point(F.lit("run_duration_seconds"), "gauge", micros / 1000000, labels),
+        _point(F.lit("records_read_total"), "counter", F.col("records_read"), labels),
+        _point(F.lit("records_written_total"), "counter", F.col("records_written"), labels),
+        _point(F.lit("files_written_total"), "counter", F.col("files_written"), labels),
         _point(F.lit("run_status"), "gauge",
-               F.when(F.col("status") == "success", 1).otherwise(0), _labels()),
+               F.when(F.col("status") == "success", 1).otherwise(0), labels),
     )
     known = F.filter(fixed, lambda p: p["value"].isNotNull())
     clean = lambda key: F.regexp_replace(F.lower(key), "[^a-z0-9_]+", "_")
     extras = F.transform(
         F.map_entries("extra"),
-        lambda e: _point(F.concat(F.lit("extra_"), clean(e["key"])), "gauge", e["value"], _labels()),
+        lambda e: _point(F.concat(F.lit("extra_"), clean(e["key"])), "gauge", e["value"], labels),
     )
     checks = F.transform(
         "validations",
         lambda v: _point(
             F.lit("validation_result"), "counter", F.lit(1),
-            _labels(F.lit("validation_status"), F.coalesce(v["status"], F.lit("unknown")),
-                    F.lit("check_name"), F.coalesce(v["check_name"], F.lit("unnamed"))),
+            F.map_concat(labels, F.create_map(
+                F.lit("validation_status"), F.coalesce(v["status"], F.lit("unknown")),
+                F.lit("check_name"), F.coalesce(v["check_name"], F.lit("unnamed")),
+            )),
         ),
     )
     empty = F.array().cast(

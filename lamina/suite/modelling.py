@@ -110,7 +110,7 @@ sql_query("top_customers", "orders customer", """
     FROM (SELECT o_custkey, count(*) AS orders, round(sum(o_totalprice), 2) AS total
           FROM orders GROUP BY o_custkey) o
     JOIN customer c ON c.c_custkey = o.o_custkey
-    ORDER BY o.total DESC, c.c_name LIMIT 20
+    ORDER BY o.total DESC, c.c_name
 """)
 sql_query("layer_counts", "region nation customer supplier part orders lineitem", " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}"

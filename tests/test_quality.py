@@ -151,6 +151,27 @@ def test_uniqueness_against_brute_force(spark, data):
     assert quality.violations(df, check).count() == want
 
 
+def test_missing_key_columns_count_as_null(spark):
+    df = spark.range(3)
+    unique = Check("u", "uniqueness", columns=("nope",))
+    assert result(df, unique)["observed"] == 3.0
+    flagged = quality.violations(df, unique)
+    assert flagged.columns == ["id"] and flagged.count() == 3
+    fk = Check("f", "referential_integrity", column="nope", target_dataset_id="t", target_column="id")
+    assert result(df, fk, {"t": df.withColumn("id", df["id"].cast("string"))})["status"] == "pass"
+
+
+def test_row_contract_modes(spark):
+    df = spark.createDataFrame([("1",), ("x",)], "a string")
+    declared = [ColumnContract("a", "int")]
+    assert contracts.enforce_rows(df, declared) == (df, None)
+    clean, bad = contracts.enforce_rows(df, declared, "warn")
+    assert (clean.count(), bad.count()) == (1, 1)
+    with pytest.raises(contracts.ContractViolation):
+        contracts.enforce_rows(df, declared, "strict")
+    assert contracts.enforce_rows(df.limit(1), declared, "strict")[0].count() == 1
+
+
 def test_contract_diff_buckets():
     schema = T._parse_datatype_string("a int, b string, d array<map<string, struct<x:decimal(18,4)>>>")
     declared = [ColumnContract("a", " bigint "), ColumnContract("b", "STRING", False),
