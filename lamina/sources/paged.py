@@ -1,4 +1,4 @@
-"""Paged API pulls as a Python data source, one input partition per page.
+"""Paged API pulls as a Python data source, an input partition per run of pages.
 
 The transport is a fetch function ``fetch(params, options) -> document``; retries and
 credentials belong to it. When the response states a total, all pages are read in
@@ -22,6 +22,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 MODES = ("none", "page", "offset", "cursor")
 SCHEMA = "page_index bigint, item_index int, item string"
+# Partitions planned at most; beyond that each reads several pages in a row.
+MAX_PARTITIONS = 10_000
 
 
 def at_path(document, path: str):
@@ -83,10 +85,12 @@ class Paging:
         return min(pages, self.max_pages) if self.max_pages else pages
 
 
-class _Page(InputPartition):
-    def __init__(self, index: int, walk: bool):
-        self.index = index
-        self.walk = walk
+class _Pages(InputPartition):
+    """Pages ``first`` up to ``end``; without an end, pages are walked until one is the last."""
+
+    def __init__(self, first: int, end: int | None):
+        self.first = first
+        self.end = end
 
 
 class _Reader(DataSourceReader):
@@ -94,21 +98,26 @@ class _Reader(DataSourceReader):
         self.paging, self.fetch, self.options = paging, fetch, options
 
     def partitions(self) -> list[InputPartition]:
-        first = None
+        count = None
         if self.paging.mode != "cursor":
-            first = self.paging.page_count(self.fetch(self.paging.params(0), self.options))
-        return [_Page(0, True)] if first is None else [_Page(i, False) for i in range(first)]
-
-    def read(self, partition: _Page) -> Iterator[tuple]:
-        paging, index, cursor = self.paging, partition.index, None
-        while True:
+            count = self.paging.page_count(self.fetch(self.paging.params(0), self.options))
+        if count is None:
+            return [_Pages(0, None)]
+        step = math.ceil(count / MAX_PARTITIONS)
+        return [_Pages(i, min(i + step, count)) for i in range(0, count, step)]
+
+    def read(self, partition: _Pages) -> Iterator[tuple]:
+        paging, index, cursor = self.paging, partition.first, None
+        while partition.end is None or index < partition.end:
             document = self.fetch(paging.params(index, cursor), self.options)
             items = at_path(document, paging.items_path)
             rows = items if isinstance(items, list) else [items]
             for position, item in enumerate(rows):
                 yield index, position, json.dumps(item, ensure_ascii=False)
             index += 1
-            if not partition.walk or not rows or (paging.max_pages and index >= paging.max_pages):
+            if partition.end is not None:
+                continue
+            if not rows or (paging.max_pages and index >= paging.max_pages):
                 return
             if paging.mode == "cursor":
                 cursor = at_path(document, paging.cursor_path)
