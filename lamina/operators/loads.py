@@ -205,7 +205,8 @@ def upsert_into(
     """Upsert a parquet table in place, rewriting only the partitions it touches.
 
     A row whose partition value changes touches the old and the new partition. Only
-    the list of touched directories comes to the driver.
+    the list of touched directories comes to the driver. The partitions are replaced one
+    after the other: readers may see some of them new and some old meanwhile.
     """
     values = options.pop("value_columns", [c for c in schema.names if c not in keys])
     parts = list(partition_columns)

@@ -177,6 +177,14 @@ def test_pages_in_parallel(spark, fetchers):
     assert paged.resume_after(paging, 3) == 4
 
 
+def test_many_pages_share_partitions(spark, fetchers, monkeypatch):
+    monkeypatch.setattr(paged, "MAX_PARTITIONS", 2)
+    paging = paged.Paging("page", 2, items_path="data.items", total_path="total")
+    assert ids(paged.read_pages(spark, paging, fetch_with_total)) == list(range(7))
+    planned = paged._Reader(paging, fetch_with_total, {}).partitions()
+    assert [(p.first, p.end) for p in planned] == [(0, 2), (2, 4)]
+
+
 def test_walked_pages(spark, fetchers):
     assert ids(paged.read_pages(spark, paged.Paging("offset", 3, items_path="items"), fetch_offset)) == list(range(7))
     cursor = paged.Paging("cursor", items_path="items", cursor_path="next")
