@@ -215,8 +215,8 @@ EDGES = """
 """
 
 
-def lineage_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events as JSON lines, written and read back."""
+def lineage_events(spark: SparkSession, sf_dir: str, columns: bool = False) -> DataFrame:
+    """The events as JSON lines, written and read back; with column facets if asked for."""
     for t in ("nation", "customer", "orders", "lineitem"):
         table(spark, sf_dir, t).createOrReplaceTempView(t)
     edges = spark.sql(EDGES)
@@ -235,7 +235,8 @@ def lineage_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.md5(F.concat("source", "target")).alias("run_id"),
         F.col("via").alias("job_name"),
         F.array(F.struct(namespace, F.col("source").alias("name"))).alias("inputs"),
-        F.array(F.struct(namespace, F.col("target").alias("name"), facets)).alias("outputs"),
+        F.array(F.struct(namespace, F.col("target").alias("name"), *([facets] if columns else [])))
+        .alias("outputs"),
     )
     path = scratch(spark, "lineage")
     kinds = F.when(
@@ -254,7 +255,7 @@ def lineage_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT DISTINCT source, 'id' AS source_column, target, via AS target_column FROM ({EDGES})
 """)
 def lineage_column_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lineage.column_edges(lineage_events(spark, sf_dir))
+    return lineage.column_edges(lineage_events(spark, sf_dir, columns=True))
 
 
 def walk_sql(start: str, here: str, there: str, depth: int) -> str:
