@@ -199,7 +199,11 @@ def flag_violations(
     references: Mapping[str, DataFrame] | None = None,
     now: datetime | None = None,
 ) -> DataFrame:
-    """``df`` plus ``_violations``, the names of the checks each row breaks."""
+    """``df`` plus ``_violations``, the names of the checks each row breaks.
+
+    ``df`` is read once per uniqueness or foreign-key check besides the result itself, so
+    it should be a stored table or a cheap view of one.
+    """
     references = references or {}
     original, df = df, _with_key_columns(df, checks)
     out, flags = df, []

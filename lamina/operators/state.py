@@ -93,6 +93,16 @@ def backfill_seed(history: DataFrame, window_start: datetime) -> DataFrame:
     return latest_per_key(eligible, OWNER, ["window_end", "recorded_at", "run_id"])
 
 
+def rerun_selection(history: DataFrame, run_id: str) -> dict:
+    """What an earlier run worked on, to run it again: owner and window."""
+    row = history.filter(F.col("run_id") == run_id).select(
+        *OWNER, "window_start", "window_end"
+    ).first()
+    if row is None:
+        raise ValueError(f"no run {run_id!r} in the history")
+    return row.asDict()
+
+
 def select_manifests(
     manifests: DataFrame,
     window_start: datetime | None = None,

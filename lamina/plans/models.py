@@ -7,13 +7,14 @@ import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date
+from functools import reduce
 from graphlib import CycleError, TopologicalSorter
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 from lamina import storage
-from lamina.operators import contracts, quality
+from lamina.operators import contracts, lineage, quality
 from lamina.operators.loads import LoadResult, default_partitions, load, read_table
 
 STAGES = ("level3", "level4")
@@ -68,6 +69,8 @@ class ModelRun:
     load: LoadResult
     checks: list = field(default_factory=list)
     contract_warnings: list = field(default_factory=list)
+    inputs: list[str] = field(default_factory=list)
+    lineage: dict[str, list[tuple[str, str]]] = field(default_factory=dict)
 
 
 def _parse(text: str) -> dict:
@@ -282,7 +285,27 @@ class Runner:
         parts = default_partitions(model.stage, model.load_mode, model.partition_columns)
         done = load(df, path, model.load_mode, parts, validate if checks else None)
         self.outputs[model.id] = read_table(self.spark, path, df.schema)
-        return ModelRun(model.id, done, rows, warnings)
+        datasets = self._datasets(model)
+        return ModelRun(
+            model.id, done, rows, warnings, sorted(datasets.values()),
+            lineage.column_lineage(df, datasets),
+        )
+
+    def _datasets(self, model: Model) -> dict[str, str]:
+        """View name -> dataset name of the model's inputs."""
+        sources = {r.logical_name: f"{r.source_name}.{r.entity_name}" for r in model.sources}
+        return {**sources, **{self._tables[d]: self._tables[d] for d in dependency_ids(model)}}
+
+    def lineage_events(self, event_time: str) -> DataFrame:
+        """A COMPLETE event per finished model with its column lineage."""
+        events = [
+            lineage.run_event(
+                self.spark, "COMPLETE", event_time, str(self.context.get("run_id")), run.model_id,
+                run.inputs, self._tables[run.model_id], self.outputs[run.model_id], run.lineage,
+            )
+            for run in self.runs
+        ]
+        return reduce(DataFrame.unionByName, events)
 
     def explain(self, models: Sequence[Model]) -> dict[str, str]:
         """Formatted plan per model; writes nothing. Dependants see a zero-row result."""

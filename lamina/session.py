@@ -54,16 +54,11 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/lamina/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: survives the loss of any executor."""
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(shared_root(spark))
-    return df.checkpoint(eager=True)
-
-
 def staged(df: DataFrame, label: str, partition_columns: list[str] | None = None) -> DataFrame:
-    """Write ``df`` to a table in the shared folder and read it back."""
+    """Write ``df`` to a table in the shared folder and read it back.
+
+    Cuts the lineage and survives the loss of any executor.
+    """
     path = scratch(df.sparkSession, label)
     writer = df.write.mode("errorifexists")
     if partition_columns:

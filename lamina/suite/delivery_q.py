@@ -212,7 +212,8 @@ def audit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
                epoch(completed_at - started_at) AS value, job_name, status,
                CAST(NULL AS VARCHAR) AS check_name FROM a
         UNION ALL SELECT run_id, 'records_read_total', 'counter', records_read, job_name, status, NULL FROM a
-        UNION ALL SELECT run_id, 'records_written_total', 'counter', records_written, job_name, status, NULL FROM a
+        UNION ALL SELECT run_id, 'records_written_total', 'counter', records_written, job_name,
+                         status, NULL FROM a
         UNION ALL SELECT run_id, 'run_status', 'gauge', CASE WHEN status = 'success' THEN 1 ELSE 0 END,
                          job_name, status, NULL FROM a
         UNION ALL SELECT run_id, 'extra_total_price', 'gauge', price, job_name, status, NULL FROM a

@@ -248,12 +248,15 @@ def test_column_lineage(spark, views, sql, expected):
 def test_flagship_model_lineage(spark, folder):
     runner = Runner(spark, folder, token_context("t", "r", date(1996, 1, 1), date(1996, 12, 31)),
                     lambda ref: spark.read.parquet("/root/testdata/sf0.001/orders.parquet"))
-    runner.run(modelling.SALES_MODELS)
-    runner.outputs["level3.sales.canonical_orders"].createOrReplaceTempView("canonical_orders")
-    found = lineage.column_lineage(
-        spark.sql(modelling.ORDER_SUMMARY.sql), {"canonical_orders": "canonical_orders"}
-    )
-    assert found["total_amount"] == [("canonical_orders", "amount")]
+    runs = runner.run(modelling.SALES_MODELS)
+    assert runs[0].lineage["amount"] == [("shop.orders", "o_totalprice")]
+    assert runs[2].lineage["total_amount"] == [("canonical_orders", "amount")]
+    edges = lineage.column_edges(runner.lineage_events("2024-01-01T00:00:00Z"))
+    reached = lineage.column_impact(edges, "shop.orders.o_totalprice", "downstream")
+    assert sorted(tuple(r) for r in reached.collect()) == [
+        ("base_orders", "amount", 1), ("canonical_orders", "amount", 2),
+        ("order_summary", "total_amount", 3),
+    ]
 
 
 def event(spark, source, target, mapping, kind="COMPLETE"):

@@ -241,6 +241,9 @@ def test_checkpoint_history(spark, folder):
     found = state.replay_entries(history, None, datetime(2024, 1, 2), datetime(2024, 1, 4))
     assert [r["run_id"] for r in found.collect()] == ["r1"]
     assert state.replay_entries(history, "r5").count() == 1
+    assert state.rerun_selection(history, "r5")["window_end"] == datetime(2024, 1, 6)
+    with pytest.raises(ValueError):
+        state.rerun_selection(history, "other")
     assert state.window_label(None, None) == "open"
     assert history.filter("run_id = 'r1'").first()["window_label"] == "2024-01-01_to_2024-01-02"
 
