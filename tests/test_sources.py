@@ -432,3 +432,41 @@ def test_watermark_runs_commit_after_persisting(spark, folder, kind):
     assert state.read_history(spark, f"{folder}/state").count() == 2
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS|already exists"):
         run(1, df)
+
+
+def test_windows_close_behind_the_watermark(spark, folder):
+    source, out, checkpoint = (f"{folder}/{x}" for x in ("in", "out", "state"))
+    rows = [(datetime(2024, 1, d, h), "a" if h % 2 else "b") for d in (1, 2, 3) for h in range(0, 24, 3)]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz, kind string")
+    df.write.parquet(source)
+    stream = batches.windowed_counts(
+        batches.read_files(spark, source, df.schema), "ts", "1 day", ["kind"], lateness="1 hour"
+    )
+    batches.run_available(stream, batches.batch_table(out), checkpoint)
+    closed = spark.read.parquet(out)
+    assert closed.filter("n = 4").count() == closed.count() == 4  # two days, two kinds
+
+
+def test_a_cluster_must_name_a_shared_folder():
+    from types import SimpleNamespace
+
+    from lamina.session import shared_root
+
+    def session(master, setting):
+        conf = SimpleNamespace(get=lambda key, default=None: setting)
+        context = SimpleNamespace(
+            master=master, applicationId="app", getConf=lambda: SimpleNamespace(get=lambda key, default=None: None)
+        )
+        return SimpleNamespace(conf=conf, sparkContext=context)
+
+    assert shared_root(session("yarn", "hdfs://cluster/checkpoints/")) == "hdfs://cluster/checkpoints"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_root(session("yarn", None))
+    assert shared_root(session("local[2]", None)) == shared_root(session("local[2]", None))
+
+
+def test_range_shaped_pulls_are_partitioned(spark):
+    with pytest.raises(Exception, match="No suitable driver|ClassNotFound|driver"):
+        database.read_database(
+            spark, "jdbc:nothing:x", query="SELECT 1", partition_column="id", bounds=(0, 10), partitions=2
+        )
