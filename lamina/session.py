@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lamina import storage
+
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -27,31 +28,27 @@ def build_session(app: str = "lamina", master: str | None = None, **conf: str) -
     return builder.getOrCreate()
 
 
-_local_roots: dict[str, str] = {}
-
-
 def shared_root(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
-
-    A machine-local folder is used only when the session runs in local mode and
-    names none; on a cluster a missing setting is an error.
+    """The folder every executor can reach: ``spark.checkpoint.dir``, or the checkpoint folder set
+    on the context. Neither being set is an error, in every mode.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    configured = configured or spark.sparkContext.getCheckpointDir()
     if not configured:
-        configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    app = spark.sparkContext.applicationId
-    if app not in _local_roots:
-        _local_roots[app] = tempfile.mkdtemp(prefix="lamina-")
-    return _local_roots[app]
+    return configured.rstrip("/")
+
+
+_marked: set[str] = set()
 
 
 def scratch(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_root(spark)}/lamina/{label}-{uuid.uuid4().hex[:12]}"
+    """A fresh path below this application's part of the shared folder, deleted when it ends."""
+    folder = f"{shared_root(spark)}/lamina-{spark.sparkContext.applicationId}"
+    if folder not in _marked:
+        storage.delete_on_exit(spark, folder)
+        _marked.add(folder)
+    return f"{folder}/{label}-{uuid.uuid4().hex[:12]}"
 
 
 def staged(df: DataFrame, label: str, partition_columns: list[str] | None = None) -> DataFrame:

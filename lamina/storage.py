@@ -34,6 +34,13 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
+def delete_on_exit(spark: SparkSession, path: str) -> None:
+    """Make the folder and have it deleted when the application ends."""
+    fs, hadoop_path = _fs(spark, path)
+    fs.mkdirs(hadoop_path)
+    fs.deleteOnExit(hadoop_path)
+
+
 def partition_path(spark: SparkSession, path: str, names, values) -> str:
     """Directory of one partition, escaped the way Spark writes it."""
     catalog = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog
