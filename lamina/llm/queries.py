@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm import byte_bpe, fair_mix, simhash_tiles, toxicity
+from lamina.llm import byte_bpe, fair_mix, pivot_dedup, simhash_tiles, toxicity, url_templates, vptree
 from lamina.llm.common import id_remainder, ship
 from lamina.suite import Suite, table
 
@@ -26,6 +26,12 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@suite.query()
+def op2_pivot_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return pivot_dedup.near_duplicates(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
 @suite.query()
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
@@ -34,6 +40,12 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(docs, "doc_id", "text", ranks, public_tokenizers.PATTERN)
 
 
+@suite.query()
+def op5_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return vptree.search(table(spark, sf_dir, "embeddings"), k=20, every=20, factor=1.0)
+
+
 @suite.query()
 def op8_simhash_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
@@ -84,3 +96,19 @@ def op8_simhash_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = fair_mix.mix(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+#: Rules of the URL filter, as (verdict, host and path).
+URL_RULES = [
+    ("allow", "org/"),
+    ("block", "example.org/es/"),
+    ("block", "example.org/en/1"),
+    ("allow", "com/fr/"),
+    ("block", "com/de/"),
+]
+
+
+@suite.query()
+def op10_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = url_templates.judge(table(spark, sf_dir, "pages"), URL_RULES)
+    return found.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict", "template", "purity")
