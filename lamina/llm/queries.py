@@ -6,7 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm import byte_bpe, fair_mix, pivot_dedup, simhash_tiles, toxicity, url_templates, vptree
+from lamina.llm import (
+    byte_bpe,
+    fair_mix,
+    ngram_lm,
+    pivot_dedup,
+    simhash_tiles,
+    toxicity,
+    url_templates,
+    vptree,
+)
 from lamina.llm.common import id_remainder, ship
 from lamina.suite import Suite, table
 
@@ -40,6 +49,12 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(docs, "doc_id", "text", ranks, public_tokenizers.PATTERN)
 
 
+@suite.query()
+def op4_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return ngram_lm.score(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 @suite.query()
 def op5_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
