@@ -9,14 +9,17 @@ from pyspark.sql import functions as F
 from lamina.llm import (
     byte_bpe,
     fair_mix,
+    license_scan,
     ngram_lm,
     pivot_dedup,
     simhash_tiles,
     toxicity,
+    training_order,
     url_templates,
     vptree,
 )
 from lamina.llm.common import id_remainder, ship
+from lamina.session import scratch
 from lamina.suite import Suite, table
 
 suite = Suite()
@@ -61,6 +64,37 @@ def op5_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vptree.search(table(spark, sf_dir, "embeddings"), k=20, every=20, factor=1.0)
 
 
+@suite.query()
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    found = license_scan.scan(table(spark, sf_dir, "documents"))
+    return license_scan.summary(found).withColumnRenamed("id", "doc_id")
+
+
+#: Tokens of a sequence, sequences of a shard, and the key of the order.
+LENGTH, PER_SHARD, KEY, PAD = 512, 4096, 20260, 50256
+
+
+@suite.query()
+def op7_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes the shards and reads every record back from them."""
+    ship(spark)
+    docs = table(spark, sf_dir, "documents")
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    tokens = byte_bpe.encode(docs, "text", ranks, public_tokenizers.PATTERN, ["doc_id"])
+    path = scratch(spark, "training-order")
+    training_order.write(training_order.cut(tokens, "doc_id", "ids", LENGTH, PAD), path, PER_SHARD, KEY)
+    found = training_order.read(spark, path, LENGTH, PER_SHARD)
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "part",
+        "slot",
+        "shard",
+        F.size("tokens").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join("tokens", " "), 256).alias("tokens_sha256"),
+    )
+
+
 @suite.query()
 def op8_simhash_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
