@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,11 +25,13 @@ class ColumnContract:
     nullable: bool | None = None
 
 
-@dataclass
+@dataclass(frozen=True)
 class ContractDiff:
-    added: list[str] = field(default_factory=list)
-    removed: list[str] = field(default_factory=list)
-    changed: list[dict] = field(default_factory=list)
+    """Names only in the schema, names only in the contract, and what differs in the others."""
+
+    added: tuple[str, ...] = ()
+    removed: tuple[str, ...] = ()
+    changed: tuple[dict, ...] = ()
 
     def __bool__(self) -> bool:
         return bool(self.added or self.removed or self.changed)
@@ -44,34 +46,45 @@ def declared_type(text: str) -> str:
     return ALIASES.get(compact, compact)
 
 
+def compare_columns(
+    spark: SparkSession, declared: Sequence[ColumnContract], schema: T.StructType, check_nullable: bool = True
+) -> DataFrame:
+    """Contract and schema side by side, one row per differing column.
+
+    (column_name, status, expected_type, actual_type, expected_nullable, actual_nullable);
+    the last four are set where that property differs. An undeclared property agrees with any.
+    """
+    kind = "column_name string, type string, nullable boolean"
+    wanted = [(c.name, declared_type(c.type) if c.type else None, c.nullable if check_nullable else None) for c in declared]
+    found = [(f.name, contract_type(f.dataType), f.nullable) for f in schema.fields]
+    side = {"want": wanted, "have": found}
+    tables = [spark.createDataFrame(v, kind).select("column_name", F.struct("type", "nullable").alias(k)) for k, v in side.items()]
+    both = tables[0].join(tables[1], "column_name", "full_outer")
+    unlike = {p: F.coalesce(F.col(f"want.{p}") != F.col(f"have.{p}"), F.lit(False)) for p in ("type", "nullable")}
+    status = (
+        F.when(F.col("want").isNull(), "added")
+        .when(F.col("have").isNull(), "removed")
+        .when(unlike["type"] | unlike["nullable"], "changed")
+    )
+    shown = [
+        F.when((status == "changed") & unlike[p], F.col(f"{s}.{p}")).alias(f"{label}_{p}")
+        for p in unlike for label, s in (("expected", "want"), ("actual", "have"))
+    ]
+    return both.select("column_name", status.alias("status"), *shown).filter(F.col("status").isNotNull())
+
+
 def diff(
     declared: Sequence[ColumnContract], schema: T.StructType, check_nullable: bool = True
 ) -> ContractDiff:
-    """Added, removed and changed columns; column order does not matter."""
-    want = {c.name: c for c in declared}
-    have = {f.name: f for f in schema.fields}
-    out = ContractDiff(sorted(have.keys() - want.keys()), sorted(want.keys() - have.keys()))
-    for name in sorted(want.keys() & have.keys()):
-        contract, actual = want[name], have[name]
-        expected = declared_type(contract.type) if contract.type else None
-        found = contract_type(actual.dataType)
-        bad_type = expected is not None and expected != found
-        bad_null = (
-            check_nullable
-            and contract.nullable is not None
-            and contract.nullable != actual.nullable
-        )
-        if bad_type or bad_null:
-            out.changed.append(
-                {
-                    "column": name,
-                    "expected_type": expected if bad_type else None,
-                    "actual_type": found if bad_type else None,
-                    "expected_nullable": contract.nullable if bad_null else None,
-                    "actual_nullable": actual.nullable if bad_null else None,
-                }
-            )
-    return out
+    """``compare_columns`` as a value; column order does not matter."""
+    spark = SparkSession.getActiveSession()
+    rows = sorted(compare_columns(spark, declared, schema, check_nullable).collect(), key=lambda r: r["column_name"])
+    named = {s: tuple(r["column_name"] for r in rows if r["status"] == s) for s in ("added", "removed")}
+    changed = tuple(
+        {"column": r["column_name"], **{k: v for k, v in r.asDict().items() if k not in ("column_name", "status")}}
+        for r in rows if r["status"] == "changed"
+    )
+    return ContractDiff(**named, changed=changed)
 
 
 def enforce(
@@ -98,9 +111,9 @@ def enforce(
     return found
 
 
-def cell_problem(contract: ColumnContract) -> Column:
-    """Null when the value fits; otherwise what is wrong with it."""
-    value = F.col(contract.name)
+def cell_problem(contract: ColumnContract, present: bool = True) -> Column:
+    """Null when the value fits; otherwise what is wrong with it. An absent column is null in every row."""
+    value = F.col(contract.name) if present else F.lit(None).cast("string")
     problem = F.when(F.lit(contract.nullable is False) & value.isNull(), F.lit("null"))
     if contract.type:
         cast = value.try_cast(declared_type(contract.type))
@@ -110,10 +123,9 @@ def cell_problem(contract: ColumnContract) -> Column:
 
 def conformance(df: DataFrame, declared: Sequence[ColumnContract]) -> DataFrame:
     """Per declared column the number of type and null violations, in one pass."""
-    present = [c for c in declared if c.name in df.columns]
     aggregates = []
-    for c in present:
-        problem = cell_problem(c)
+    for c in declared:
+        problem = cell_problem(c, c.name in df.columns)
         aggregates.append(
             F.struct(
                 F.lit(c.name).alias("column_name"),
@@ -143,12 +155,11 @@ def conform(
 ) -> tuple[DataFrame, DataFrame]:
     """(rows in the declared types, violating rows with ``_violations``)."""
     by_name: Mapping[str, ColumnContract] = {c.name: c for c in declared}
-    problems = [
-        F.when(cell_problem(c).isNotNull(), F.concat(F.lit(f"{c.name}:"), cell_problem(c)))
-        for c in declared
-        if c.name in df.columns
-    ]
-    flagged = df.withColumn("_violations", F.array_compact(F.array(*problems)))
+    problems = []
+    for c in declared:
+        problem = cell_problem(c, c.name in df.columns)
+        problems.append(F.when(problem.isNotNull(), F.concat(F.lit(f"{c.name}:"), problem)))
+    flagged = df.withColumn("_violations", F.array_compact(F.array(*problems)).cast("array<string>"))
     casts = []
     for name in df.columns:
         contract = by_name.get(name)

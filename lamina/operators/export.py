@@ -16,7 +16,8 @@ FORMATS = ("csv", "tsv", "jsonl")
 REPLACEMENT = (
     "versioned_delivery", "overwrite_in_place", "append_new_artifact", "partition_replace",
 )
-DEFAULT_MAX_ROWS = 1_000_000
+# Rows of one delivered file, so that each can be hashed as one value
+ROWS_PER_FILE = 1_000_000
 
 
 class ExportRefused(Exception):
@@ -33,7 +34,8 @@ class Publish:
     replacement: str = "versioned_delivery"
     required_columns: tuple[str, ...] = ()
     allow_empty: bool = False
-    max_rows: int | None = DEFAULT_MAX_ROWS
+    max_rows: int | None = None
+    order_by: tuple[str, ...] = ()
     compression: str | None = None
     partition_columns: tuple[str, ...] = ()
     owner: str | None = None
@@ -76,8 +78,15 @@ def plan_paths(spec: Publish, root: str, run_id: str, window_label: str | None =
     return {"run": f"{base}/run_id={run_id}/{file_name}", "stable": stable}
 
 
-def _write(df: DataFrame, spec: Publish, path: str, mode: str, partitions: Sequence[str] = ()):
-    writer = df.write.mode(mode)
+def _write(
+    df: DataFrame, spec: Publish, path: str, mode: str, partitions: Sequence[str] = (), single: bool = False
+):
+    if single:
+        df = df.repartition(1).sortWithinPartitions(*spec.order_by) if spec.order_by else df.repartition(1)
+    elif spec.order_by:
+        # the staged copy has no order: part files follow it again, each is sorted within
+        df = df.orderBy(*spec.order_by)
+    writer = df.write.mode(mode).option("maxRecordsPerFile", ROWS_PER_FILE)
     if partitions:
         writer = writer.partitionBy(*partitions).option("partitionOverwriteMode", "dynamic")
     if spec.compression:
@@ -103,7 +112,7 @@ def publish(
     other validations are decided on it, so a refused export leaves no delivery.
     """
     spark = df.sparkSession
-    missing = [c for c in (*spec.columns, *spec.required_columns) if c not in df.columns]
+    missing = [c for c in (*spec.columns, *spec.required_columns, *spec.order_by) if c not in df.columns]
     if missing:
         raise ExportRefused(f"{spec.name}: missing columns {missing}")
     if spec.columns:
@@ -120,13 +129,11 @@ def publish(
         if rows == 0 and not spec.allow_empty:
             raise ExportRefused(f"{spec.name}: no rows")
         ready = spark.read.schema(df.schema).parquet(stage)
-        if single_file:
-            ready = ready.coalesce(1)
-        _write(ready, spec, paths["run"], "errorifexists")
+        _write(ready, spec, paths["run"], "errorifexists", single=single_file)
         if spec.replacement == "partition_replace":
-            _write(ready, spec, paths["stable"], "overwrite", spec.partition_columns)
+            _write(ready, spec, paths["stable"], "overwrite", spec.partition_columns, single_file)
         elif paths["stable"]:
-            _write(ready, spec, paths["stable"], "overwrite")
+            _write(ready, spec, paths["stable"], "overwrite", single=single_file)
     finally:
         storage.delete(spark, stage)
     context = {

@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from lamina import storage
 from lamina.functions.masks import mask, unmask_for
+from lamina.operators.loads import load, read_table
 from lamina.operators.skew import lookup_join
+from lamina.session import scratch
 
 # weakest to strictest
 TIERS = ("public", "internal", "confidential", "restricted_pii")
@@ -156,9 +160,85 @@ def erase_cascade(
     return out
 
 
-def retention_statement(table: str, column: str, retention_days: int, reference: date) -> str:
-    """DELETE for providers that support it."""
-    if retention_days <= 0:
-        raise ValueError("retention_days must be positive")
-    limit = reference - timedelta(days=retention_days)
-    return f"DELETE FROM {table} WHERE {column} < DATE '{limit.isoformat()}'"
+def delete_rows(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    gone: Callable[[DataFrame], DataFrame],
+    partition_columns: Sequence[str] = (),
+) -> int:
+    """Delete from a stored table the rows that ``gone`` picks; returns their number.
+
+    ``gone`` maps the table to the rows to delete and may filter or semi-join. Only partitions
+    that hold such rows are read again and rewritten; those left empty are removed. Equal rows
+    go together: what is picked once is deleted wherever it occurs in the partition.
+    """
+    parts, folder = list(partition_columns), scratch(spark, "delete")
+    table = read_table(spark, path, schema)
+    names = schema.names
+    try:
+        gone(table).select(*names).write.parquet(f"{folder}/gone")
+        picked = read_table(spark, f"{folder}/gone", schema)
+        count = picked.count()
+        if not count:
+            return 0
+        touched = picked.select(*[F.col(c).alias(f"__{c}") for c in parts]).distinct()
+        same = F.lit(True)
+        for c in parts:
+            same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+        rows = table.join(touched, same, "left_semi") if parts else table
+        keys = [F.col(c).alias(f"__{c}") for c in names]
+        equal = F.lit(True)
+        for c in names:
+            equal = equal & F.col(c).eqNullSafe(F.col(f"__{c}"))
+        rows.join(picked.select(*keys).distinct(), equal, "left_anti").write.parquet(f"{folder}/kept")
+        kept = read_table(spark, f"{folder}/kept", schema)
+        if not parts:
+            load(kept, path, "full_refresh")
+            return count
+        load(kept, path, "partition_overwrite", parts)
+        empty = touched.join(kept.select(*parts).distinct(), same, "left_anti")
+        for row in empty.select(*[F.col(f"__{c}").cast("string") for c in parts]).toLocalIterator():
+            storage.delete(spark, storage.partition_path(spark, path, parts, row))
+        return count
+    finally:
+        storage.delete(spark, folder)
+
+
+def apply_retention(
+    spark: SparkSession, path: str, schema: T.StructType, column: str, retention_days: int,
+    reference: date, partition_columns: Sequence[str] = (),
+) -> int:
+    """Delete rows older than the retention period from a stored table."""
+    old = expired(column, retention_days, reference)
+    return delete_rows(spark, path, schema, lambda t: t.filter(old), partition_columns)
+
+
+def apply_erasure(
+    spark: SparkSession, path: str, schema: T.StructType, id_column: str, ids: DataFrame,
+    partition_columns: Sequence[str] = (),
+) -> int:
+    """Delete the rows of the listed ids from a stored table."""
+    listed = ids.select(F.col(ids.columns[0]).alias(id_column)).distinct()
+    return delete_rows(
+        spark, path, schema, lambda t: lookup_join(t, listed, [id_column], "left_semi"), partition_columns
+    )
+
+
+def erase_tree(tables: Mapping[str, DataFrame], links: Sequence[tuple[str, str, str, str]],
+               root: str, id_column: str, ids: DataFrame) -> dict[str, DataFrame]:
+    """Erase ids from ``root`` and, level by level, every row that refers to an erased one.
+
+    ``links`` holds (child table, its referring column, parent table, referred column), parents
+    before their children.
+    """
+    listed = ids.select(F.col(ids.columns[0]).alias(id_column)).distinct()
+    gone = {root: lookup_join(tables[root], listed, [id_column], "left_semi")}
+    out = {root: erase_ids(tables[root], id_column, ids)}
+    for child, column, parent, referred in links:
+        if parent not in gone:
+            raise ValueError(f"{child} comes before its parent {parent}")
+        keys = gone[parent].select(F.col(referred).alias(column)).distinct()
+        gone[child] = lookup_join(tables[child], keys, [column], "left_semi")
+        out[child] = erase_ids(tables[child], column, keys)
+    return {**tables, **out}

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lamina import storage
-from lamina.operators.skew import lookup_join
 from lamina.session import scratch
 
 MODES = ("full_refresh", "append", "partition_overwrite")
@@ -62,9 +61,9 @@ def load(
 ) -> LoadResult:
     """Publish ``df`` at ``path``.
 
-    ``df`` must not read ``path`` unless ``validate`` is given: then the output is
-    staged, checked by ``validate`` (which raises to refuse it), and only published
-    from the staged copy. The row count is the number of rows written in this load.
+    With ``validate``, and whenever ``df`` reads files below ``path`` that this load replaces,
+    the output is staged, checked by ``validate`` (which raises to refuse it), and only
+    published from the staged copy. The row count is the number of rows written in this load.
     """
     if mode not in MODES:
         raise ValueError(f"unknown load mode {mode!r}")
@@ -73,18 +72,43 @@ def load(
         raise ValueError(f"partition columns {missing} are not in the output")
     if mode == "partition_overwrite" and not partition_columns:
         raise ValueError("partition_overwrite needs partition columns")
-    if validate is None:
+    if validate is None and (mode == "append" or not _reads(df, path)):
         return _publish(clustered(df, partition_columns), path, mode, partition_columns)
     spark, stage = df.sparkSession, scratch(df.sparkSession, "stage")
     try:
         clustered(df, partition_columns).write.parquet(stage)
         ready = read_table(spark, stage, df.schema)
-        validate(ready)
+        if validate:
+            validate(ready)
         return _publish(ready, path, mode, partition_columns)
     finally:
         storage.delete(spark, stage)
 
 
+def _reads(df: DataFrame, path: str) -> bool:
+    """Whether the plan scans files at or below ``path``, or a folder that holds it."""
+    target = storage.qualified(df.sparkSession, path).rstrip("/") + "/"
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if not leaf.getClass().getSimpleName().startswith("LogicalRelation"):
+            continue
+        relation = leaf.relation()
+        if not relation.getClass().getSimpleName().startswith("HadoopFsRelation"):
+            continue
+        roots = relation.location().rootPaths()
+        for j in range(roots.size()):
+            root = storage.qualified(df.sparkSession, roots.apply(j).toString()).rstrip("/") + "/"
+            if root.startswith(target) or target.startswith(root):
+                return True
+    return False
+
+
+def publish_partitions(out: DataFrame, path: str, partition_columns: Sequence[str]) -> LoadResult:
+    """Replace the partitions of ``out`` as they are dealt to tasks, without regrouping."""
+    return _publish(out, path, "partition_overwrite", partition_columns)
+
+
 def _publish(out: DataFrame, path: str, mode: str, partition_columns: Sequence[str]) -> LoadResult:
     if mode == "append":
         rows = _write(out, path, "append", partition_columns)
@@ -123,23 +147,6 @@ def union_evolved(parts: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
-def repeated_matches(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Source keys that occur more than once and match a target row."""
-    return _repeated(source, keys).join(target.select(*keys).distinct(), list(keys), "left_semi")
-
-
-def _repeated(source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return source.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-
-
-def _check_unambiguous(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> None:
-    # the target is only read when the source repeats a key at all
-    if _repeated(source, keys).isEmpty():
-        return
-    if not repeated_matches(target, source, keys).isEmpty():
-        raise ValueError(f"several source rows match one target row on {list(keys)}")
-
-
 def upsert(
     target: DataFrame,
     source: DataFrame,
@@ -155,7 +162,9 @@ def upsert(
     """The target after MERGE; conditions may name ``t`` and ``s``.
 
     Keys match by plain equality, so null keys never match. Without value columns only
-    partition columns are updated. Several source rows for one matched key raise.
+    partition columns are updated. Several source rows for one matched key are an error
+    when the result is computed. Target and source meet once, in one outer join; rows with
+    a null key are spread over its tasks.
     """
     keys = list(keys)
     if not keys:
@@ -164,33 +173,46 @@ def upsert(
         raise ValueError("upsert needs an update or an insert branch")
     values = [c for c in (partition_columns if value_columns is None else value_columns)
               if c not in keys]
-    if update:
-        _check_unambiguous(target, source, keys)
     carried = list(dict.fromkeys([*keys, *values, *partition_columns]))
-    out = target
-    if update and values:
-        packed = source.select(*keys, F.struct(*source.columns).alias("s"))
-        joined = lookup_join(target, packed, keys)
-        hit = F.col("s").isNotNull()
-        if matched_condition:
-            joined = joined.select("s", F.struct(*target.columns).alias("t"))
-            hit = hit & F.coalesce(F.expr(matched_condition), F.lit(False))
-            old = {c: F.col(f"t.{c}") for c in target.columns}
-        else:
-            old = {c: F.col(c) for c in target.columns}
-        out = joined.select(
-            *[
-                (F.when(hit, F.col(f"s.{c}")).otherwise(old[c]) if c in values else old[c]).alias(c)
-                for c in target.columns
-            ]
-        )
-    if insert:
+    if not update:
         known = target.select(*keys).distinct()
         new = source.join(known, keys, "left_anti")
         if not_matched_condition:
             new = new.alias("s").filter(F.expr(not_matched_condition))
-        out = out.unionByName(new.select(*carried), allowMissingColumns=True)
-    return out.select(*target.columns)
+        return target.unionByName(new.select(*carried), allowMissingColumns=True).select(*target.columns)
+    repeated = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > 1)
+    old = _side(target, keys, "t")
+    new = _side(source.join(repeated, keys, "left"), keys, "s")
+    match = F.col("__tnull") == F.col("__snull")
+    for k in keys:
+        match = match & (F.col(f"__t_{k}") == F.col(f"__s_{k}"))
+    joined = old.join(new, match, "full_outer" if insert else "left")
+    there, here = F.col("t").isNotNull(), F.col("s").isNotNull()
+    refused = F.raise_error(F.lit(f"several source rows match one target row on {keys}")).cast("boolean")
+    joined = joined.filter(F.when(there & here & F.col("s.__n").isNotNull(), refused).otherwise(True))
+    hit = there & here
+    if matched_condition:
+        hit = hit & F.coalesce(F.expr(matched_condition), F.lit(False))
+    if not_matched_condition:
+        wanted = F.coalesce(F.expr(not_matched_condition), F.lit(False))
+        joined = joined.filter(there | wanted)
+    columns = []
+    for c in target.columns:
+        fresh = F.col(f"s.{c}") if c in source.columns else F.lit(None)
+        changed = F.when(hit, fresh).otherwise(F.col(f"t.{c}")) if c in values else F.col(f"t.{c}")
+        first = fresh if c in carried else F.lit(None)
+        columns.append(F.when(there, changed).otherwise(first).cast(target.schema[c].dataType).alias(c))
+    return joined.select(*columns)
+
+
+def _side(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """Rows as one struct, their keys, and a number that spreads rows with a null key."""
+    hashed = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    empty = F.lit(False)
+    for k in keys:
+        empty = empty | F.col(k).isNull()
+    spread = F.when(empty, F.xxhash64(*hashed)).otherwise(F.lit(0)).alias(f"__{name}null")
+    return df.select(F.struct(*df.columns).alias(name), *[F.col(k).alias(f"__{name}_{k}") for k in keys], spread)
 
 
 def upsert_into(
@@ -204,12 +226,18 @@ def upsert_into(
 ) -> LoadResult:
     """Upsert a parquet table in place, rewriting only the partitions it touches.
 
-    A row whose partition value changes touches the old and the new partition. Only
-    the list of touched directories comes to the driver. The partitions are replaced one
-    after the other: readers may see some of them new and some old meanwhile.
+    A row whose partition value changes touches the old and the new partition. The touched
+    partitions are a table that the target is joined to, so only they are read and no list
+    of them is collected; folders of partitions that end up empty are deleted one by one.
+    The partitions are replaced one after the other: readers may see some of them new and
+    some old meanwhile.
     """
     values = options.pop("value_columns", [c for c in schema.names if c not in keys])
     parts = list(partition_columns)
+    for c in parts:
+        if isinstance(schema[c].dataType, T.StringType):
+            # Spark stores an empty partition value as null
+            source = source.withColumn(c, F.nullif(F.col(c), F.lit("")))
     if not storage.has_files(spark, path):
         empty = spark.createDataFrame([], schema)
         first = upsert(empty, source, keys, values, parts, **options)
@@ -217,79 +245,38 @@ def upsert_into(
     target = read_table(spark, path, schema)
     if not parts:
         merged = upsert(target, source, keys, values, parts, **options)
-        return load(merged, path, "full_refresh", validate=lambda _: None)
-    hit = target.join(source.select(*keys).distinct(), list(keys), "left_semi")
-    touched = hit.select(*parts).union(source.select(*parts)).distinct()
-    touched_rows = touched.collect()
-    if not touched_rows:
-        return LoadResult(path, "upsert", 0, tuple(parts))
-    chosen = _partition_filter(parts, touched_rows)
-    merged = upsert(target.filter(chosen), source, keys, values, parts, **options)
-    kept: set = set()
-
-    def note_partitions(staged: DataFrame) -> None:
-        kept.update(staged.select(*parts).distinct().collect())
-
-    result = load(merged, path, "partition_overwrite", parts, validate=note_partitions)
-    for row in set(touched_rows) - kept:
-        storage.delete(spark, storage.partition_path(spark, path, parts, row))
+        return load(merged, path, "full_refresh")
+    folder = scratch(spark, "upsert")
+    try:
+        # the batch is read several times: once from where it comes from
+        source.write.parquet(f"{folder}/source")
+        source = read_table(spark, f"{folder}/source", source.schema)
+        hit = target.join(source.select(*keys).distinct(), list(keys), "left_semi")
+        touched = hit.select(*parts).union(source.select(*parts)).distinct()
+        touched.write.parquet(f"{folder}/touched")
+        touched = read_table(spark, f"{folder}/touched", touched.schema)
+        if touched.isEmpty():
+            return LoadResult(path, "upsert", 0, tuple(parts))
+        chosen = touched.select(*[F.col(c).alias(f"__{c}") for c in parts])
+        same = F.lit(True)
+        for c in parts:
+            same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+        merged = upsert(target.join(chosen, same, "left_semi"), source, keys, values, parts, **options)
+        clustered(merged, parts).write.parquet(f"{folder}/merged")
+        ready = read_table(spark, f"{folder}/merged", merged.schema)
+        filled = ready.select(*[F.col(c).alias(f"__{c}") for c in parts]).distinct()
+        vacated = touched.join(filled, same, "left_anti")
+        # Spark names a folder by the value's text
+        vacated.select(*[F.col(c).cast("string") for c in parts]).write.parquet(f"{folder}/vacated")
+        result = _publish(ready, path, "partition_overwrite", parts)
+        text = T.StructType([T.StructField(c, T.StringType()) for c in parts])
+        for row in read_table(spark, f"{folder}/vacated", text).toLocalIterator():
+            storage.delete(spark, storage.partition_path(spark, path, parts, row))
+    finally:
+        storage.delete(spark, folder)
     return LoadResult(path, "upsert", result.rows_written, tuple(parts))
 
 
-def _partition_filter(parts: Sequence[str], rows: Sequence) -> F.Column:
-    if len(parts) == 1:
-        wanted = [r[0] for r in rows if r[0] is not None]
-        keep = F.col(parts[0]).isin(wanted)
-        return keep | F.col(parts[0]).isNull() if len(wanted) < len(rows) else keep
-    keep = F.lit(False)
-    for r in rows:
-        one = F.lit(True)
-        for name, value in zip(parts, r):
-            one = one & F.col(name).eqNullSafe(F.lit(value))
-        keep = keep | one
-    return keep
-
-
-def merge_statement(
-    target: str,
-    source_query: str,
-    keys: Sequence[str],
-    value_columns: Sequence[str] | None = None,
-    partition_columns: Sequence[str] = (),
-    *,
-    update: bool = True,
-    insert: bool = True,
-    matched_condition: str | None = None,
-    not_matched_condition: str | None = None,
-) -> str:
-    """MERGE INTO for table providers that support it."""
-    if not target or not source_query or not keys:
-        raise ValueError("MERGE needs a target, a source query and key columns")
-    if not update and not insert:
-        raise ValueError("MERGE needs an update or an insert branch")
-    declared = [*partition_columns, *keys] if value_columns is None else [
-        c for c in value_columns if c not in keys
-    ]
-    values = list(dict.fromkeys(declared))
-    inserted = list(dict.fromkeys([*keys, *values, *partition_columns]))
-    lines = [
-        f"MERGE INTO {target} t",
-        f"USING ({source_query}) s",
-        "ON " + " AND ".join(f"t.{k} = s.{k}" for k in keys),
-    ]
-    if update and values:
-        extra = f" AND ({matched_condition})" if matched_condition else ""
-        sets = ", ".join(f"t.{c} = s.{c}" for c in values)
-        lines.append(f"WHEN MATCHED{extra} THEN UPDATE SET {sets}")
-    if insert:
-        extra = f" AND ({not_matched_condition})" if not_matched_condition else ""
-        sources = ", ".join(f"s.{c}" for c in inserted)
-        lines.append(
-            f"WHEN NOT MATCHED{extra} THEN INSERT ({', '.join(inserted)}) VALUES ({sources})"
-        )
-    return "\n".join(lines)
-
-
 def late_partitions(table: DataFrame, batch: DataFrame, event_column: str) -> DataFrame:
     """All rows of the event partitions that the batch of new arrivals touches.
 

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from lamina import storage
 from lamina.functions.literals import literal
-from lamina.operators.loads import LoadResult, load
+from lamina.operators.loads import LoadResult, load, publish_partitions
+from lamina.session import scratch
 
 MIN_INPUT_FILES = 5
 TARGET_FILE_BYTES = 128 * 1024 * 1024
@@ -52,29 +56,93 @@ def compaction_plan(
     )
 
 
+def layout(files: DataFrame, path: str) -> list[str]:
+    """Partition columns that the directories of a table name; all files must agree."""
+    below = F.substr("directory", F.lit(len(storage.qualified(files.sparkSession, path)) + 2))
+    names = F.transform(
+        F.filter(F.split(below, "/"), lambda x: x.contains("=")), lambda x: F.split_part(x, F.lit("="), F.lit(1))
+    )
+    found = files.select(names.alias("names")).distinct().limit(2).collect()
+    if len(found) > 1:
+        raise ValueError(f"{path}: files at different partition levels")
+    return list(found[0]["names"]) if found else []
+
+
 def compact(
     spark: SparkSession,
     path: str,
-    partition_columns: Sequence[str] = (),
+    partition_columns: Sequence[str] | None = None,
     min_input_files: int = MIN_INPUT_FILES,
     target_bytes: int = TARGET_FILE_BYTES,
     strategy: str = "binpack",
 ) -> LoadResult | None:
-    """Rewrite the partitions the plan names; None when there is nothing to do.
+    """Rewrite the partitions the plan names into its number of files; None without any.
 
-    The plan is one row per partition directory. The rewrite is staged and then
-    replaces exactly those partitions.
+    Partition columns come from the table's directories; naming others is refused. Their
+    values stay the text they are. The plan joins the table as a table, on the partition
+    columns, so other partitions are not read; exactly the planned ones are replaced.
     """
     if strategy != "binpack":
         raise NotImplementedError("only binpack compaction is supported")
-    plan = compaction_plan(list_files(spark, path), min_input_files, target_bytes)
-    directories = [r["directory"] for r in plan.select("directory").collect()]
-    if not directories:
+    files = list_files(spark, path)
+    parts = layout(files, path)
+    if partition_columns is not None and list(partition_columns) != parts:
+        raise ValueError(f"{path}: partitioned by {parts}, not by {list(partition_columns)}")
+    plan = compaction_plan(files, min_input_files, target_bytes)
+    sample = plan.limit(1).collect()
+    if not sample:
         return None
-    schema = spark.read.parquet(path).schema
-    rows = spark.read.schema(schema).option("basePath", path).parquet(*directories)
-    mode = "partition_overwrite" if partition_columns else "full_refresh"
-    return load(rows, path, mode, partition_columns, validate=lambda _: None)
+    body = spark.read.option("mergeSchema", True).parquet(sample[0]["directory"]).schema
+    if parts:
+        # the directories hold no partition column of their own
+        whole = spark.read.option("mergeSchema", True).parquet(path).schema
+        body = T.StructType([f for f in whole.fields if f.name not in parts])
+    schema = T.StructType([*body.fields, *[T.StructField(c, T.StringType()) for c in parts]])
+    rows = spark.read.schema(schema).parquet(path)
+    wanted = plan.select("output_files", *[_partition_value(c).alias(f"__{c}") for c in parts])
+    match = F.lit(True)
+    for c in parts:
+        match = match & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    if parts:
+        rows = rows.join(wanted, match)
+    else:
+        rows = rows.withColumn("output_files", F.lit(plan.first()["output_files"]))
+    hashed = [f.name for f in body.fields if not isinstance(f.dataType, T.MapType)]
+    spread = F.pmod(F.xxhash64(*hashed), F.greatest("output_files", F.lit(1)))
+    rows = rows.withColumn("__file", spread).repartition(*parts, "__file").select(*schema.names)
+    if not parts:
+        return load(rows, path, "full_refresh", validate=lambda _: None)
+    stage = scratch(spark, "compact")
+    try:
+        # staged in the layout it is published in, file by file
+        rows.write.partitionBy(*parts).parquet(stage)
+        ready = spark.read.schema(schema).parquet(stage)
+        files_each = ready.select(*parts, F.col("_metadata.file_path").alias("__path"), *body.names)
+        grouped = files_each.repartition(*parts, "__path").select(*schema.names)
+        return publish_partitions(grouped, path, parts)
+    finally:
+        storage.delete(spark, stage)
+
+
+def _partition_value(name: str) -> Column:
+    """Value of one partition column, from a directory's path as Spark escapes it."""
+    raw = F.regexp_extract("directory", f"/{re.escape(name)}=([^/]*)", 1)
+    text = F.url_decode(F.replace(raw, F.lit("+"), F.lit("%2B")))
+    return F.when(raw != "__HIVE_DEFAULT_PARTITION__", text)
+
+
+def remove_files(spark: SparkSession, files: DataFrame) -> int:
+    """Delete the files a listing names (for example ``orphan_files``); returns their number."""
+    gone = 0
+    for row in files.select("path").distinct().toLocalIterator():
+        storage.delete(spark, row["path"])
+        gone += 1
+    return gone
+
+
+def remove_runs(spark: SparkSession, runs: DataFrame, path_column: str = "path") -> int:
+    """Delete the folders of superseded runs (for example ``expired_runs``); returns their number."""
+    return remove_files(spark, runs.select(F.col(path_column).alias("path")).where("path is not null"))
 
 
 def expired_runs(
@@ -143,20 +211,3 @@ def report(
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
-
-
-def provider_call(
-    catalog: str, procedure: str, table: str, options: dict[str, str] | None = None, **arguments: str
-) -> str:
-    """CALL statement for table formats that bring their own maintenance procedures.
-
-    ``arguments`` are SQL literals, for example ``older_than="TIMESTAMP '2024-01-01'"``.
-    """
-    def quoted(text):
-        return "'" + str(text).replace("'", "''") + "'"
-
-    parts = [f"table => {quoted(table)}", *[f"{k} => {v}" for k, v in arguments.items()]]
-    if options:
-        pairs = ", ".join(f"{quoted(k)}, {quoted(v)}" for k, v in options.items())
-        parts.append(f"options => map({pairs})")
-    return f"CALL {catalog}.system.{procedure}({', '.join(parts)})"

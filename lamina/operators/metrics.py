@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lamina.operators.loads import LoadResult, load
+from lamina.operators.parity import row_differences
+from lamina.session import staged
 
 AGGREGATIONS = ("sum", "count_distinct", "average", "min", "max", "cumulative_rolling")
 
@@ -138,49 +140,41 @@ def compute(df: DataFrame, metric: Metric) -> DataFrame:
 def _accumulate(grouped: DataFrame, metric: Metric) -> DataFrame:
     """Running or rolling total over the time dimension within the other dimensions.
 
-    The rows are already aggregated, so a window holds one row per time value; dates
-    and months are few. A timestamp may be fine-grained: its running total is built
-    from totals per day and per second, so a window holds at most the days of the
-    table, the seconds of a day or the microseconds of a second.
+    Times of any ordered type are dealt into ranges first. A window holds the rows of one
+    range, or one total per range; neither holds a dimension tuple's whole history.
     """
     time = metric.time_dimension
     others = [d for d in metric.dims if d != time]
     name = metric.name
-    fine_grained = isinstance(grouped.schema[time].dataType, (T.TimestampType, T.TimestampNTZType))
+    ranged = grouped.repartitionByRange(*others, time).withColumn("__range", F.spark_partition_id())
+    ranged = staged(ranged, "running")
     if metric.rolling_periods is None:
-        blocks = ["second", "day"] if fine_grained else []
-        before = _before(grouped, name, others, time, blocks)
+        before = _before(ranged, F.col(name), others, time)
         return before.select(*metric.dims, (F.col("__before") + F.col(name)).alias(name))
-    if fine_grained:
-        raise ValueError(f"{metric.id}: truncate {time} to a date for a rolling total")
-    frame = W.partitionBy(*others).orderBy(time).rowsBetween(-(metric.rolling_periods - 1), 0)
-    return grouped.withColumn(name, F.sum(name).over(frame))
-
+    # every row counts for itself and for the following rows of its period
+    placed = _before(ranged, F.lit(1), others, time)
+    offset = F.explode(F.sequence(F.lit(0), F.lit(metric.rolling_periods - 1)))
+    spread = placed.select("*", offset.alias("__offset")).withColumn("__place", F.col("__before") + F.col("__offset"))
+    own = F.col("__offset") == 0
+    totals = spread.groupBy(*others, "__place").agg(
+        F.sum(name).alias(name), F.max(F.when(own, F.struct(F.col(time).alias("t")))).alias("__own")
+    )
+    columns = [F.col("__own.t").alias(d) if d == time else F.col(d) for d in metric.dims]
+    return totals.filter(F.col("__own").isNotNull()).select(*columns, name)
 
-def _before(
-    df: DataFrame, value: str, others: Sequence[str], order: str, blocks: Sequence[str]
-) -> DataFrame:
-    """``df`` plus ``__before``, the total of all earlier rows of the same ``others``.
 
-    With blocks (time units, finest first) the earlier blocks are added up first and
-    only the rows of one block meet in a window.
-    """
+def _before(ranged: DataFrame, value: Column, others: Sequence[str], order: str) -> DataFrame:
+    """``ranged`` plus ``__before``: the total of ``value`` over all earlier rows of the same ``others``."""
     earlier = (W.unboundedPreceding, -1)
-    if not blocks:
-        window = W.partitionBy(*others).orderBy(order).rowsBetween(*earlier)
-        return df.withColumn("__before", F.coalesce(F.sum(value).over(window), F.lit(0)))
-    unit, *coarser = blocks
-    block = f"__{unit}"
-    dated = df.withColumn(block, F.date_trunc(unit, order))
-    totals = dated.groupBy(*others, block).agg(F.sum(value).alias(value))
-    totals = _before(totals, value, others, block, coarser).select(
-        *others, block, F.col("__before").alias("__blocks")
-    )
-    window = W.partitionBy(*others, block).orderBy(order).rowsBetween(*earlier)
-    inner = dated.withColumn("__inner", F.coalesce(F.sum(value).over(window), F.lit(0)))
-    joined = inner.alias("a").join(totals.alias("b"), _dims_match([*others, block]))
-    total = (F.col("__blocks") + F.col("__inner")).alias("__before")
-    return joined.select(*[F.col(f"a.{c}") for c in df.columns], total)
+    rows = ranged.withColumn("__value", value)
+    totals = rows.groupBy(*others, "__range").agg(F.sum("__value").alias("__sum"))
+    window = W.partitionBy(*others).orderBy("__range").rowsBetween(*earlier)
+    totals = totals.withColumn("__ranges", F.coalesce(F.sum("__sum").over(window), F.lit(0)))
+    window = W.partitionBy(*others, "__range").orderBy(order).rowsBetween(*earlier)
+    inner = rows.withColumn("__inner", F.coalesce(F.sum("__value").over(window), F.lit(0)))
+    joined = inner.alias("a").join(totals.alias("b"), _dims_match([*others, "__range"]))
+    total = (F.col("__ranges") + F.col("__inner")).alias("__before")
+    return joined.select(*[F.col(f"a.{c}") for c in ranged.columns if c != "__range"], total)
 
 
 def _dims_match(names: Sequence[str]) -> Column:
@@ -229,8 +223,7 @@ def audit_stats(df: DataFrame, metric: Metric) -> DataFrame:
 
 def differences(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows that two ways of serving a metric do not share; empty when they agree."""
-    only_left = left.exceptAll(right).withColumn("side", F.lit("left"))
-    return only_left.unionByName(right.exceptAll(left).withColumn("side", F.lit("right")))
+    return row_differences(left, right)
 
 
 def write_audit(stats: DataFrame, path: str, mode: str, run_id: str, finished_at: str) -> None:

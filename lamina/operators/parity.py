@@ -55,6 +55,11 @@ def row_differences(left: DataFrame, right: DataFrame) -> DataFrame:
     columns = sorted(left.columns)
     if columns != sorted(right.columns):
         raise ValueError("the two versions have different columns")
-    a, b = left.select(*columns), right.select(*columns)
-    only_left = a.exceptAll(b).withColumn("side", F.lit("left"))
-    return only_left.unionByName(b.exceptAll(a).withColumn("side", F.lit("right")))
+    both = left.select(*columns, F.lit(1).alias("__side")).unionByName(
+        right.select(*columns, F.lit(-1).alias("__side"))
+    )
+    # equal rows cancel out; what is left stands on the side of its sign, as often
+    surplus = both.groupBy(*columns).agg(F.sum("__side").alias("__n")).filter(F.col("__n") != 0)
+    times = F.explode(F.sequence(F.lit(1).cast("bigint"), F.abs("__n")))
+    side = F.when(F.col("__n") > 0, "left").otherwise("right").alias("side")
+    return surplus.select(*columns, side, times.alias("__copy")).drop("__copy")

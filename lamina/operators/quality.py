@@ -318,18 +318,24 @@ def evaluate(
             )
         row = _result_row(c, dataset, F.col("bad"), F.col("bad"), F.col("total"))
         results.append(counted.select(F.inline(F.array(row))))
+    if not results:
+        return df.sparkSession.createDataFrame([], RESULT_SCHEMA)
     out = results[0]
     for r in results[1:]:
         out = out.unionByName(r)
     return out
 
 
+RESULT_SCHEMA = (
+    "check_name string, kind string, dataset string, status string,"
+    " observed double, expected double, message string"
+)
+
+
 def _skipped(df: DataFrame, check: Check, dataset: str) -> DataFrame:
     row = (check.check_name, check.kind, dataset, "skipped", None, 0.0,
            f"{check.target_dataset_id} was not supplied")
-    schema = ("check_name string, kind string, dataset string, status string,"
-              " observed double, expected double, message string")
-    return df.sparkSession.createDataFrame([row], schema)
+    return df.sparkSession.createDataFrame([row], RESULT_SCHEMA)
 
 
 def split_clean(

@@ -124,9 +124,14 @@ def _child_id() -> Column:
 def document_key(*parts: Column) -> Column:
     """Row key from what identifies a document: artifact and position, or its natural key.
 
-    128 bits of the digest: child tables repeat the key on every row, so its size counts.
+    Each part counts with its length, and a null is unlike any text. 128 bits of the digest:
+    child tables repeat the key on every row, so its size counts.
     """
-    digest = F.sha2(F.concat_ws("|", *[p.cast("string") for p in parts]), 256)
+    marked = []
+    for part in parts:
+        text = part.cast("string")
+        marked.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
+    digest = F.sha2(F.concat_ws("|", *marked), 256)
     return F.left(digest, F.lit(32))
 
 

@@ -60,6 +60,8 @@ def lookup_join(
     with null keys equal to each other if ``null_safe``. ``hot`` takes a list from
     ``hot_hashes`` of the same keys that is already at hand.
     """
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"a {how} join would keep unmatched copies of right rows")
     keys = list(keys)
     right_names = [f"__right_{k}" for k in keys]
     other = right.withColumnsRenamed(dict(zip(keys, right_names)))

@@ -70,6 +70,6 @@ def alerts(audit: DataFrame) -> DataFrame:
         F.concat_ws(" ", F.lit("run failed:"), "stage", "job_name").alias("message"),
         F.create_map(
             *[x for name in LABELS for x in (F.lit(name), F.col(name))],
-            F.lit("error_code"), F.left(F.col("error_code"), F.lit(64)),
+            F.lit("error_code"), F.col("error_code"),
         ).alias("labels"),
     )

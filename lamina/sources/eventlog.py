@@ -15,9 +15,8 @@ LOG_SCHEMA = (
     " value string, headers map<string,string>"
 )
 TOPIC = ["topic", "partition"]
-# Rows counted per block when a cap is too large for a ranked cut; see first_messages.
+# Offsets per counted block; see first_messages.
 BLOCK = 1 << 20
-RANKED_CAP = 1000
 
 
 def read_log(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -46,37 +45,31 @@ def from_offsets(log: DataFrame, starts: DataFrame | None = None, default: int =
     return joined.filter(keep).select(*log.columns)
 
 
-def first_messages(log: DataFrame, max_messages: int) -> DataFrame:
+def first_messages(log: DataFrame, max_messages: int, width: int = BLOCK) -> DataFrame:
     """The first ``max_messages`` by offset of every topic partition.
 
-    A small cap is a ranked cut, which Spark limits per task before the shuffle. For a
-    large cap the log is counted in blocks of offsets: blocks before the cap are taken
-    whole and only the block that crosses it is ranked, so no task sorts a whole topic.
+    The log is counted in blocks of ``width`` offsets: blocks before the cap are taken whole
+    and only the block that crosses it is ranked, so no task sorts a whole topic. A null topic
+    or partition is one like any other; a null offset counts as -1.
     """
-    if max_messages <= RANKED_CAP:
-        by_offset = W.partitionBy(*TOPIC).orderBy("offset")
-        ranked = log.withColumn("__rank", F.row_number().over(by_offset))
-        return ranked.filter(F.col("__rank") <= max_messages).drop("__rank")
-    return _first_by_blocks(log, max_messages, BLOCK)
-
-
-def _first_by_blocks(log: DataFrame, max_messages: int, width: int) -> DataFrame:
-    block = F.floor(F.col("offset") / width)
-    keyed = log.withColumn("__block", block)
+    offset = F.coalesce("offset", F.lit(-1))
+    keyed = log.withColumn("__block", F.floor(offset / width))
     counts = keyed.groupBy(*TOPIC, "__block").agg(F.count(F.lit(1)).alias("n"))
     running = W.partitionBy(*TOPIC).orderBy("__block").rowsBetween(W.unboundedPreceding, -1)
     counts = counts.withColumn("__before", F.coalesce(F.sum("n").over(running), F.lit(0)))
     wanted = counts.filter(F.col("__before") < max_messages).select(
-        *TOPIC, "__block", "__before", (F.col("__before") + F.col("n")).alias("__through")
-    )
-    rows = keyed.join(wanted, [*TOPIC, "__block"])
-    whole = rows.filter(F.col("__through") <= max_messages)
-    crossing = rows.filter(F.col("__through") > max_messages)
-    in_block = W.partitionBy(*TOPIC, "__block").orderBy("offset")
-    cut = crossing.withColumn("__rank", F.row_number().over(in_block)).filter(
-        F.col("__rank") <= F.lit(max_messages) - F.col("__before")
+        *[F.col(c).alias(f"__{c}") for c in TOPIC], F.col("__block").alias("__wanted"),
+        F.least(F.lit(max_messages) - F.col("__before"), F.col("n")).alias("__take"), F.col("n").alias("__n"),
     )
-    return whole.select(*log.columns).unionByName(cut.select(*log.columns))
+    match = F.col("__block") == F.col("__wanted")
+    for c in TOPIC:
+        match = match & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    rows = keyed.join(wanted, match)
+    crossing = F.col("__take") < F.col("__n")
+    ranked = W.partitionBy(*TOPIC, "__block").orderBy(offset)
+    cut = rows.filter(crossing).withColumn("__rank", F.row_number().over(ranked))
+    cut = cut.filter(F.col("__rank") <= F.col("__take"))
+    return rows.filter(~crossing).select(*log.columns).unionByName(cut.select(*log.columns))
 
 
 def offsets_after(pulled: DataFrame, before: DataFrame | None = None) -> DataFrame:

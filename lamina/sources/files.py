@@ -48,10 +48,21 @@ def undecodable_rows(df: DataFrame) -> DataFrame:
 
 
 def scan_json_lines(
-    spark: SparkSession, paths: str | list[str], schema: T.StructType | str | None = None
+    spark: SparkSession, paths: str | list[str], schema: T.StructType | str | None = None,
+    broken: str | None = None,
 ) -> DataFrame:
-    reader = spark.read.option("mode", "PERMISSIVE")
-    return (reader.schema(schema) if schema else reader).json(paths)
+    """One row per line. A broken line is an error, or goes whole into the column ``broken``."""
+    reader = spark.read
+    if broken is None:
+        reader = reader.option("mode", "FAILFAST")
+        return (reader.schema(schema) if schema else reader).json(paths)
+    reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", broken)
+    if schema is None:
+        schema = reader.json(paths).schema
+    elif isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    fields = [f for f in schema.fields if f.name != broken]
+    return reader.schema(T.StructType([*fields, T.StructField(broken, T.StringType())])).json(paths)
 
 
 def scan(spark: SparkSession, paths: str | list[str], payload_format: str) -> DataFrame:

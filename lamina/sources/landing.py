@@ -48,6 +48,10 @@ def landed_manifest(
     )
 
 
+#: Prefix of a data column whose name the directories of level 2 use.
+DATA_PREFIX = "data__"
+
+
 def level2_table_root(root: str, source: str, entity: str, table: str) -> str:
     return (
         f"{root}/level2/source={path_fragment(source)}"
@@ -66,12 +70,20 @@ def write_level2(
     run_id: str,
     partition: dict[str, str] | None = None,
 ) -> dict:
-    """One directory per table and run; a run is never written twice. Returns its manifest row."""
+    """One directory per table and run; a run is never written twice. Returns its manifest row.
+
+    Data columns called ``run_id`` or ``mapping_version`` are stored as ``data__run_id`` and
+    ``data__mapping_version``: the plain names are those of the directories.
+    """
     parts = {"mapping_version": mapping_version, **(partition or {}), "run_id": run_id}
     path = "/".join(
         [level2_table_root(root, source, entity, table),
          *[f"{k}={path_fragment(v)}" for k, v in parts.items()]]
     )
+    clash = sorted(({"mapping_version", "run_id"} | set(partition or {})) & set(df.columns) - set(partition or {}))
+    if clash:
+        # directory values would replace them on reading
+        df = df.withColumnsRenamed({c: f"{DATA_PREFIX}{c}" for c in clash})
     seen = Observation()
     # a constant partition value lives in the directory name, not in the file
     body = df.drop(*[k for k in (partition or {}) if k in df.columns])

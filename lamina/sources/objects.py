@@ -29,12 +29,12 @@ def list_objects(
         files = files.option("recursiveFileLookup", True)
     base = storage.qualified(spark, root)
     listed = files.load(start).select(
-        F.substring("path", len(base) + 2, 1 << 20).alias("key"),
+        F.substr("path", F.lit(len(base) + 2)).alias("key"),
         F.col("length").alias("size_bytes"),
         F.col("modificationTime").alias("modified"),
     )
     return listed if recursive else listed.filter(~F.contains(
-        F.substring("key", len(prefix.strip("/")) + 2 if prefix else 1, 1 << 20), F.lit("/")
+        F.substr("key", F.lit(len(prefix.strip("/")) + 2 if prefix else 1)), F.lit("/")
     ))
 
 

@@ -42,12 +42,12 @@ def delete_on_exit(spark: SparkSession, path: str) -> None:
 
 
 def partition_path(spark: SparkSession, path: str, names, values) -> str:
-    """Directory of one partition, escaped the way Spark writes it."""
+    """Directory of one partition; values are the texts that Spark's cast to string gives."""
     catalog = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog
     escape = catalog.ExternalCatalogUtils.escapePathName
 
     def text(value):
-        return "__HIVE_DEFAULT_PARTITION__" if value is None else escape(str(value))
+        return escape(value) if value else "__HIVE_DEFAULT_PARTITION__"
 
     return "/".join([path, *[f"{n}={text(v)}" for n, v in zip(names, values)]])
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lamina.operators.loads import upsert_into
+from lamina.operators.loads import latest_per_key, upsert_into
 
 BATCH = "_batch_id"
 
@@ -72,11 +72,23 @@ def result_table(path: str) -> Callable[[DataFrame, int], None]:
 
 
 def upsert_table(
-    path: str, schema: T.StructType, keys: Sequence[str], partition_columns: Sequence[str]
+    path: str,
+    schema: T.StructType,
+    keys: Sequence[str],
+    partition_columns: Sequence[str],
+    newest_first: Sequence[str] = (),
 ) -> Callable[[DataFrame, int], None]:
-    """Sink that upserts each batch by key; late rows land in their event-day partition."""
+    """Sink that upserts each batch by key; late rows land in their event-day partition.
+
+    A key that comes several times in a batch counts once: its newest row by ``newest_first``
+    (several such rows that differ otherwise are decided by their other columns). A batch that
+    is replayed changes nothing.
+    """
+    rest = [c for c in schema.names if c not in keys and c not in newest_first]
+
     def write(df: DataFrame, batch_id: int) -> None:
-        upsert_into(df.sparkSession, path, schema, df, keys, partition_columns)
+        newest = latest_per_key(df, keys, [*newest_first, *rest] or keys)
+        upsert_into(df.sparkSession, path, schema, newest, keys, partition_columns)
 
     return write
 

@@ -1,12 +1,13 @@
 """Masks, policies, retention and erasure."""
 
+import os
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
 from lamina.functions.masks import STRATEGIES, mask
-from lamina.operators import governance
+from lamina.operators import governance, loads
 from lamina.operators.governance import ColumnPolicy
 
 
@@ -78,8 +79,6 @@ def test_retention(spark):
     assert sorted(str(r["d"]) for r in kept.collect()) == ["2024-01-10", "None"]
     with pytest.raises(ValueError):
         governance.retain(df, "d", 0, date(2024, 1, 1))
-    text = governance.retention_statement("t", "d", 5, date(2024, 1, 10))
-    assert text == "DELETE FROM t WHERE d < DATE '2024-01-05'"
 
 
 def test_erasure(spark):
@@ -99,3 +98,31 @@ def test_erasure_reaches_children(spark):
     left = governance.erase_cascade(parent, {"c": (child, "_parent_row_id")}, "person", ids, "_row_id")
     assert [r["_row_id"] for r in left["parent"].collect()] == ["p2"]
     assert [r["v"] for r in left["c"].collect()] == ["y"]
+
+
+def test_retention_and_erasure_of_a_stored_table(spark, folder):
+    path, parts = f"{folder}/t", ["day"]
+    rows = spark.range(20).selectExpr("id", "date_add(DATE '2024-01-01', CAST(id % 5 AS INT)) AS day", "true AS ok")
+    loads.load(rows, path, "partition_overwrite", parts)
+    kept_files = {f for d, _, fs in os.walk(path) for f in fs if d.endswith("day=2024-01-05")}
+    assert governance.apply_retention(spark, path, rows.schema, "day", 2, date(2024, 1, 4), parts) == 4
+    assert not os.path.exists(f"{path}/day=2024-01-01")
+    ids = spark.createDataFrame([(1,), (2,), (99,)], "id long")
+    assert governance.apply_erasure(spark, path, rows.schema, "id", ids, parts) == 2
+    stored = loads.read_table(spark, path, rows.schema)
+    assert sorted(r["id"] for r in stored.collect()) == [i for i in range(20) if i % 5 and i not in (1, 2)]
+    assert kept_files == {f for d, _, fs in os.walk(path) for f in fs if d.endswith("day=2024-01-05")}
+    assert governance.apply_erasure(spark, path, rows.schema, "id", ids, parts) == 0
+
+
+def test_erasure_reaches_grandchildren(spark):
+    tables = {
+        "a": spark.createDataFrame([(1, "x"), (2, "y")], "person int, a string"),
+        "b": spark.createDataFrame([("x", "p"), ("x", "q"), ("y", "r")], "up string, b string"),
+        "c": spark.createDataFrame([("p", 1), ("q", 2), ("r", 3)], "up string, n int"),
+    }
+    ids = spark.createDataFrame([(1,)], "person int")
+    left = governance.erase_tree(tables, [("b", "up", "a", "a"), ("c", "up", "b", "b")], "a", "person", ids)
+    assert [r["n"] for r in left["c"].collect()] == [3]
+    with pytest.raises(ValueError):
+        governance.erase_tree(tables, [("c", "up", "b", "b")], "a", "person", ids)

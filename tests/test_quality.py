@@ -177,7 +177,7 @@ def test_contract_diff_buckets():
     declared = [ColumnContract("a", " bigint "), ColumnContract("b", "STRING", False),
                 ColumnContract("c"), ColumnContract("d", "Array<Map<String,Struct<x:Decimal(18, 4)>>>")]
     found = contracts.diff(declared, schema)
-    assert (found.added, found.removed) == ([], ["c"])
+    assert (found.added, found.removed) == ((), ("c",))
     assert [c["column"] for c in found.changed] == ["a", "b"]
     assert found.changed[0]["expected_type"] == "BIGINT"
     assert not contracts.diff([ColumnContract("a", "integer")], T._parse_datatype_string("a int"))
@@ -203,3 +203,16 @@ def test_conform_casts_clean_rows(spark):
     assert sorted(r["_violations"] for r in bad.collect()) == [["a:type"], ["b:null"]]
     counts = {r["column_name"]: tuple(r)[1:] for r in contracts.conformance(df, declared).collect()}
     assert counts == {"a": (1, 0), "b": (0, 1)}
+
+
+def test_an_absent_required_column_is_null_in_every_row(spark):
+    df = spark.createDataFrame([(1,), (2,)], "a int")
+    declared = [ColumnContract("a", "int"), ColumnContract("b", "string", nullable=False)]
+    with pytest.raises(contracts.ContractViolation):
+        contracts.enforce_rows(df, declared, "strict")
+    counts = {r["column_name"]: r["null_violations"] for r in contracts.conformance(df, declared).collect()}
+    assert counts == {"a": 0, "b": 2}
+
+
+def test_no_checks_give_no_results(spark):
+    assert quality.evaluate(spark.range(3), []).count() == 0

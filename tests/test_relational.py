@@ -11,77 +11,77 @@ from lamina.operators import relational
 from lamina.operators.normalize import normalize
 from lamina.sources import files, landing
 
-ORDER = {
-    "order_id": "O-1",
-    "customer": {"id": "C-1", "name": "Ann", "address": {"city": "Bern", "postcode": "3000"}},
-    "items": [
-        {
-            "sku": "A",
-            "quantity": 2,
-            "tags": ["new", "sale"],
-            "tax_breakdowns": [
-                {"rate": 0.1, "jurisdictions": [
-                    {"level": "state", "code": "S1"}, {"level": "city", "code": "C1"}]},
-                {"rate": 0.2, "jurisdictions": []},
-            ],
-        },
-        {
-            "sku": "B",
-            "quantity": 1,
-            "tags": [],
-            "tax_breakdowns": [{"rate": 0.3, "jurisdictions": [{"level": "x", "code": "X1"}]}],
-        },
+# a supplier with its parts, their price breaks and the nations each break holds for
+SUPPLIER = {
+    "s_suppkey": 17,
+    "contact": {"phone": "27-918", "site": {"nation": "PERU", "region": "AMERICA"}},
+    "parts": [
+        {"p_partkey": 3, "labels": ["steel", "large", "new"], "breaks": [
+            {"from_qty": 1, "cost": 9.5, "nations": [{"key": 1}, {"key": 2}, {"key": 4}]},
+            {"from_qty": 50, "cost": 8.0, "nations": [{"key": 3}]},
+            {"from_qty": 500, "cost": 7.25, "nations": []},
+        ]},
+        {"p_partkey": 5, "labels": [], "breaks": []},
+        {"p_partkey": 8, "labels": ["brass"], "breaks": [{"from_qty": 10, "cost": 2.0, "nations": []}]},
     ],
-    "priority_codes": ["p1", "p2"],
+    "audit_years": [1994, 1996, 1997],
 }
 
 
 @pytest.fixture
-def order_tables(spark, folder):
-    with open(f"{folder}/order.json", "w", encoding="utf-8") as handle:
-        json.dump(ORDER, handle, indent=2)
-    docs = files.scan_documents(spark, f"{folder}/order.json")
+def supplier_tables(spark, folder):
+    with open(f"{folder}/supplier.json", "w", encoding="utf-8") as handle:
+        json.dump(SUPPLIER, handle)
+    docs = files.scan_documents(spark, f"{folder}/supplier.json")
     key = relational.document_key(F.col(files.ARTIFACT), F.col(files.POSITION))
     body = docs.drop(files.ARTIFACT, files.POSITION)
-    specs = relational.plan_tables("orders", body.schema)
-    return specs, relational.relationalize(docs, "orders", key)
+    specs = relational.plan_tables("supplier", body.schema)
+    return specs, relational.relationalize(docs, "supplier", key)
 
 
-def test_tables_and_counts(order_tables):
-    _, tables = order_tables
-    counts = {name: df.count() for name, df in tables.items()}
-    assert counts == {
-        "orders": 1, "orders__items": 2, "orders__tags": 2, "orders__tax_breakdowns": 3,
-        "orders__jurisdictions": 3, "orders__priority_codes": 2,
+def test_tables_and_counts(supplier_tables):
+    _, tables = supplier_tables
+    assert {name.removeprefix("supplier"): df.count() for name, df in tables.items()} == {
+        "": 1, "__parts": 3, "__labels": 4, "__breaks": 4, "__nations": 4, "__audit_years": 3,
     }
 
 
-def test_struct_columns_are_prefixed(order_tables):
-    _, tables = order_tables
-    row = tables["orders"].first()
-    assert row["customer__address__city"] == "Bern"
-    assert row["order_id"] == "O-1"
+def test_struct_columns_are_prefixed(supplier_tables):
+    _, tables = supplier_tables
+    row = tables["supplier"].first()
+    assert (row["contact__site__nation"], row["contact__phone"], row["s_suppkey"]) == ("PERU", "27-918", 17)
 
 
-def test_children_point_at_their_parents(order_tables):
-    _, tables = order_tables
-    chain = ["orders", "orders__items", "orders__tax_breakdowns", "orders__jurisdictions"]
-    for parent, child in zip(chain, chain[1:]):
-        ids = {r["_row_id"] for r in tables[parent].collect()}
-        links = {r["_parent_row_id"] for r in tables[child].collect()}
-        assert links <= ids
-        keys = [r["_row_id"] for r in tables[child].collect()]
-        assert len(set(keys)) == len(keys)
-    tags = [(r["_array_index"], r["value"]) for r in tables["orders__tags"].collect()]
-    assert sorted(tags) == [(0, "new"), (1, "sale")]
+def test_children_point_at_their_parents(supplier_tables):
+    _, tables = supplier_tables
+    joined = tables["supplier__nations"].alias("n")
+    for depth, parent in enumerate(("breaks", "parts")):
+        up = tables[f"supplier__{parent}"].alias(parent)
+        child = "n" if depth == 0 else "breaks"
+        joined = joined.join(up, F.col(f"{child}._parent_row_id") == F.col(f"{parent}._row_id"))
+    found = joined.select("p_partkey", "from_qty", "key").collect()
+    assert sorted(map(tuple, found)) == [(3, 1, 1), (3, 1, 2), (3, 1, 4), (3, 50, 3)]
+    labels = tables["supplier__labels"].join(
+        tables["supplier__parts"], tables["supplier__labels"]["_parent_row_id"] == tables["supplier__parts"]["_row_id"]
+    )
+    assert sorted((r["p_partkey"], r["value"]) for r in labels.collect()) == [
+        (3, "large"), (3, "new"), (3, "steel"), (8, "brass"),
+    ]
+
+
+def test_keys_tell_nulls_and_separators_apart(spark):
+    rows = [("a", None, "b"), ("a", "b", None), ("a|b", "c", "x"), ("a", "b|c", "x"), ("", None, "b"), (None, "", "b")]
+    df = spark.createDataFrame(rows, "x string, y string, z string")
+    keys = df.select(relational.document_key(F.col("x"), F.col("y"), F.col("z")).alias("k")).collect()
+    assert len({r["k"] for r in keys}) == len(rows)
 
 
-def test_replay_gives_the_same_keys(spark, folder, order_tables):
-    _, tables = order_tables
+def test_replay_gives_the_same_keys(spark, folder, supplier_tables):
+    _, tables = supplier_tables
     first = {n: sorted(r["_row_id"] for r in df.collect()) for n, df in tables.items()}
-    docs = files.scan_documents(spark, f"{folder}/order.json").repartition(3)
+    docs = files.scan_documents(spark, f"{folder}/supplier.json").repartition(3)
     key = relational.document_key(F.col(files.ARTIFACT), F.col(files.POSITION))
-    again = relational.relationalize(docs, "orders", key)
+    again = relational.relationalize(docs, "supplier", key)
     assert first == {n: sorted(r["_row_id"] for r in df.collect()) for n, df in again.items()}
 
 
@@ -204,17 +204,17 @@ def test_broken_document_is_an_error(spark, folder):
         files.scan_documents(spark, f"{folder}/a.json", schema).collect()
 
 
-def test_normalize_writes_every_table_once(spark, folder, order_tables):
-    docs = files.scan_documents(spark, f"{folder}/order.json")
+def test_normalize_writes_every_table_once(spark, folder, supplier_tables):
+    docs = files.scan_documents(spark, f"{folder}/supplier.json")
     identity = [files.ARTIFACT, files.POSITION]
     key = relational.document_key(*[F.col(c) for c in identity])
     catalog, manifests = normalize(
         docs, f"{folder}/out", source="shop", entity="orders", row_id=key, run_id="r1",
         ingest_date="2024-01-02", partition={"ingest_date": "2024-01-02"}, identity_columns=identity,
     )
-    assert {m["table_name"]: m["rows_written"] for m in manifests}["orders__jurisdictions"] == 3
+    assert {m["table_name"]: m["rows_written"] for m in manifests}["orders__nations"] == 4
     root = landing.read_level2(spark, f"{folder}/out", "shop", "orders", "orders").first()
     assert root["source_name"] == "shop" and root["_run_id"] == "r1"
-    assert root["_row_id"] == order_tables[1]["orders"].first()["_row_id"]
+    assert root["_row_id"] == supplier_tables[1]["supplier"].first()["_row_id"]
     assert files.ARTIFACT not in root.asDict()
-    assert catalog.filter("table_name = 'orders'").count() == 5
+    assert catalog.filter("table_name = 'orders'").count() == 4

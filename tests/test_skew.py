@@ -5,6 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from lamina.operators import skew
 from lamina.operators.skew import hot_hashes, lookup_join
 
 
@@ -63,3 +64,9 @@ def test_negative_zero_and_types(spark):
     hot = hot_hashes(left, ["k"], hot_rows=10)
     assert hot
     assert lookup_join(left, right, ["k"], "inner", hot=hot).count() == 100
+
+
+@pytest.mark.parametrize("how", ["right", "full", "full_outer"])
+def test_joins_that_keep_right_rows_are_refused(spark, how):
+    with pytest.raises(ValueError):
+        skew.lookup_join(spark.range(1), spark.range(1), ["id"], how)

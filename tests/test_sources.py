@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lamina.operators import export, ingest, loads, maintenance, parity, state, telemetry
 from lamina.operators.export import ExportRefused, Publish
-from lamina.sources import database, eventlog, landing, objects, paged
+from lamina.sources import database, eventlog, files, landing, objects, paged
 from lamina.streaming import batches
 
 UTC = timezone.utc
@@ -95,18 +95,14 @@ def test_watermarks(spark, folder):
     assert "GreaterThan(updated_at" in scan._jdf.queryExecution().executedPlan().toString()
 
 
-def log_rows(spark):
-    rows = [("t", p, o) for p in (0, 1) for o in range(0, 40, 2 + p)] + [("u", 0, 5)]
-    return spark.createDataFrame(rows, "topic string, partition int, offset bigint")
-
-
 @pytest.mark.parametrize("cap", [1, 7, 13, 100])
 @pytest.mark.parametrize("width", [1, 5, 16, 1000])
-def test_block_cut_equals_ranked_cut(spark, cap, width):
-    log = log_rows(spark)
-    ranked = sorted(map(tuple, eventlog.first_messages(log, cap).collect()))
-    blocks = sorted(map(tuple, eventlog._first_by_blocks(log, cap, width).collect()))
-    assert ranked == blocks
+def test_first_messages_of_every_topic_partition(spark, cap, width):
+    rows = [(t, p, o) for t, p in (("t", 0), ("t", 1), (None, 0), ("u", None)) for o in range(0, 40, 2 + (p or 0))]
+    log = spark.createDataFrame([*rows, ("v", 0, 5)], "topic string, partition int, offset bigint")
+    want = [r for t, p in {r[:2] for r in rows} for r in sorted(x for x in rows if x[:2] == (t, p))[:cap]]
+    found = [tuple(r) for r in eventlog.first_messages(log, cap, width).collect()]
+    assert sorted(found, key=str) == sorted([*want, ("v", 0, 5)], key=str)
 
 
 def test_log_reading_and_offsets(spark, folder):
@@ -260,17 +256,17 @@ def files_below(path):
 
 
 def test_exports(spark, folder):
-    spec = Publish("sales", "daily", "csv", replacement="overwrite_in_place")
+    spec = Publish("sales", "daily", "csv", replacement="overwrite_in_place", max_rows=5, order_by=("total",))
     rows = export.publish(mart(spark), spec, folder, "r1", single_file=True).collect()
     paths = export.plan_paths(spec, folder, "r1")
     (run_file,) = files_below(paths["run"])
     text = open(run_file, encoding="utf-8").read().splitlines()
     assert text[0] == "order_date,total,note"
-    assert sorted(text[1:]) == ['2024-01-01,10,"say ""hi"", ok"', "2024-01-02,25,"]
+    assert text[1:] == ['2024-01-01,10,"say ""hi"", ok"', "2024-01-02,25,"]
     assert rows[0]["total_rows"] == 2 and rows[0]["size_bytes"] == os.path.getsize(run_file)
     assert files_below(paths["stable"])
     lines = Publish("sales", "daily", "jsonl", ("note",), compression="gzip",
-                    replacement="append_new_artifact")
+                    replacement="append_new_artifact", max_rows=5)
     export.publish(mart(spark), lines, folder, "r2", single_file=True)
     (packed,) = files_below(export.plan_paths(lines, folder, "r2")["stable"])
     assert '{"note":null}' in gzip.open(packed, "rt").read()
@@ -398,12 +394,91 @@ def test_read_table_keeps_partition_text(spark, folder):
     assert loads.read_table(spark, f"{folder}/t", df.schema).first()["d"] == "2026-01-01"
 
 
-def test_provider_call():
-    text = maintenance.provider_call(
-        "lake", "rewrite_data_files", "db.o'k", {"min-input-files": "5"}, strategy="'binpack'"
-    )
-    assert text == ("CALL lake.system.rewrite_data_files(table => 'db.o''k', "
-                    "strategy => 'binpack', options => map('min-input-files', '5'))")
+def many_files(spark, path, days, per_day, **more):
+    """``per_day`` files of one row each for every day (text such as 007)."""
+    for i in range(per_day):
+        rows = spark.createDataFrame([(10 * i + d, f"00{d}") for d in days], "id long, day string")
+        rows.coalesce(1).write.mode("append").partitionBy("day").parquet(path)
+
+
+def test_compaction_keeps_all_rows_and_text_partitions(spark, folder):
+    path = f"{folder}/t"
+    many_files(spark, path, range(7, 10), 6)
+    many_files(spark, path, [3], 2)
+    schema = spark.createDataFrame([], "id long, day string").schema
+    before = sorted(map(tuple, loads.read_table(spark, path, schema).collect()))
+    with pytest.raises(ValueError, match="partitioned by"):
+        maintenance.compact(spark, path, [])
+    with pytest.raises(ValueError, match="partitioned by"):
+        maintenance.compact(spark, path, ["id"])
+    assert maintenance.compact(spark, path).rows_written == 18
+    assert sorted(map(tuple, loads.read_table(spark, path, schema).collect())) == before
+    files = maintenance.list_files(spark, path).groupBy("directory").count().collect()
+    assert sorted((r["directory"][-7:], r["count"]) for r in files) == [
+        ("day=003", 2), ("day=007", 1), ("day=008", 1), ("day=009", 1),
+    ]
+    assert maintenance.compact(spark, path) is None
+
+
+def test_compaction_of_an_unpartitioned_table(spark, folder):
+    for i in range(6):
+        spark.range(i, i + 1).coalesce(1).write.mode("append").parquet(f"{folder}/t")
+    assert maintenance.compact(spark, f"{folder}/t").rows_written == 6
+    assert sorted(r["id"] for r in spark.read.parquet(f"{folder}/t").collect()) == list(range(6))
+    assert maintenance.list_files(spark, f"{folder}/t").count() == 1
+
+
+def test_orphans_and_runs_are_removed(spark, folder):
+    many_files(spark, f"{folder}/t", [1, 2], 2)
+    files = maintenance.list_files(spark, f"{folder}/t")
+    known = files.filter(F.col("directory").endswith("day=001")).select("path")
+    gone = maintenance.orphan_files(files, known, datetime(2100, 1, 1))
+    assert maintenance.remove_files(spark, gone) == 2
+    assert maintenance.list_files(spark, f"{folder}/t").count() == 2
+    runs = spark.createDataFrame([(f"{folder}/t/day=001",), (None,)], "path string")
+    assert maintenance.remove_runs(spark, runs) == 1
+    assert not os.path.exists(f"{folder}/t/day=001")
+
+
+def test_ordered_delivery_of_several_parts(spark, folder):
+    spec = export.Publish("d", "ordered", "jsonl", order_by=("id",))
+    rows = spark.range(4000).repartition(7)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        export.publish(rows, spec, folder, "r1")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    path = export.plan_paths(spec, folder, "r1")["run"]
+    parts = sorted(f for f in os.listdir(path) if f.startswith("part-"))
+    found = [json.loads(line)["id"] for f in parts for line in open(f"{path}/{f}", encoding="utf-8")]
+    assert len(parts) > 1 and found == list(range(4000))
+
+
+def test_broken_json_lines_fail_or_are_kept_whole(spark, folder):
+    put(f"{folder}/x.jsonl", '{"a": 1}\n{"a": \n{"a": 3}\n')
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|malformed"):
+        files.scan_json_lines(spark, f"{folder}/x.jsonl", "a int").collect()
+    found = files.scan_json_lines(spark, f"{folder}/x.jsonl", "a int", broken="_broken").collect()
+    assert sorted((r["a"], r["_broken"]) for r in found if r["a"]) == [(1, None), (3, None)]
+    assert [r["_broken"] for r in found if r["a"] is None] == ['{"a": ']
+
+
+def test_data_columns_named_like_level2_folders_survive(spark, folder):
+    df = spark.createDataFrame([(1, 5), (2, 6)], "id int, run_id int")
+    where = dict(source="s", entity="e", table="t")
+    landing.write_level2(df, folder, **where, mapping_version="m", run_id="r1")
+    found = landing.read_level2(spark, folder, "s", "e", "t").collect()
+    assert sorted((r["id"], r["data__run_id"], r["run_id"]) for r in found) == [(1, 5, "r1"), (2, 6, "r1")]
+
+
+def test_sink_takes_a_repeated_event_once(spark, folder):
+    schema = spark.createDataFrame([], "k int, v string, at int, day string").schema
+    sink = batches.upsert_table(f"{folder}/t", schema, ["k"], ["day"], ["at"])
+    twice = spark.createDataFrame([(1, "a", 1, "x"), (1, "a", 1, "x"), (1, "b", 2, "y"), (2, "c", 1, "x")], schema)
+    for number in range(2):
+        sink(twice, number)
+    stored = loads.read_table(spark, f"{folder}/t", schema)
+    assert sorted(map(tuple, stored.collect())) == [(1, "b", 2, "y"), (2, "c", 1, "x")]
 
 
 @pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "string", "bigint"])
@@ -455,14 +530,16 @@ def test_a_cluster_must_name_a_shared_folder():
     def session(master, setting):
         conf = SimpleNamespace(get=lambda key, default=None: setting)
         context = SimpleNamespace(
-            master=master, applicationId="app", getConf=lambda: SimpleNamespace(get=lambda key, default=None: None)
+            master=master, applicationId="app", getCheckpointDir=lambda: None,
+            getConf=lambda: SimpleNamespace(get=lambda key, default=None: setting),
         )
         return SimpleNamespace(conf=conf, sparkContext=context)
 
     assert shared_root(session("yarn", "hdfs://cluster/checkpoints/")) == "hdfs://cluster/checkpoints"
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_root(session("yarn", None))
-    assert shared_root(session("local[2]", None)) == shared_root(session("local[2]", None))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_root(session("local[2]", None))
 
 
 def test_range_shaped_pulls_are_partitioned(spark):
