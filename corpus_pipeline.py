@@ -55,7 +55,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     before = None
     for name, stage in STAGES[:-1]:
-        written = Staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        written = Staged(stage(spark, docs, sf_dir), f"pipeline-{name}", "zstd")
         if before:
             before.drop()
         docs, before = written.df, written

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,31 +42,81 @@ def id_remainder(column, modulus: int):
 
 
 class Staged:
-    """A table in the shared folder with its path, so that it can be deleted when no longer read."""
+    """A table in the shared folder with its path, so that it can be deleted when no longer read.
 
-    def __init__(self, df: DataFrame, label: str):
+    Uncompressed unless asked: most hold hashes, and each compressing writer keeps native buffers.
+    A table is written by no more tasks than keep the cluster's cores busy a few times over.
+    """
+
+    def __init__(self, df: DataFrame, label: str, compression: str = "none"):
         self.spark: SparkSession = df.sparkSession
         self.path = scratch(self.spark, label)
-        df.write.mode("errorifexists").parquet(self.path)
+        tasks = 4 * self.spark.sparkContext.defaultParallelism
+        writer = df.coalesce(tasks).write.mode("errorifexists").option("compression", compression)
+        writer.parquet(self.path)
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
 
     def drop(self) -> None:
         storage.delete(self.spark, self.path)
 
 
+#: Links that one task joins at a time before any of them are shuffled.
+CONTRACTED = 1 << 20
+
+
+def smallest_reached(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(nodes, root): distinct nodes of the links and the smallest node of each one's component."""
+    nodes, place = np.unique(np.concatenate([left, right]), return_inverse=True)
+    i, j = place[: len(left)], place[len(left) :]
+    root = np.arange(len(nodes))
+    while True:
+        low = np.minimum(root[i], root[j])
+        new = root.copy()
+        np.minimum.at(new, root[i], low)
+        np.minimum.at(new, root[j], low)
+        new = new[new]
+        if (new == root).all():
+            return nodes, nodes[root]
+        root = new
+
+
+def _contracted(links: DataFrame) -> DataFrame:
+    """Stars that connect what ``links`` (u, v) connect, for each task's links by themselves."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def stars() -> pa.RecordBatch:
+            left, right = (np.concatenate([b.column(k).to_numpy() for b in held]) for k in (0, 1))
+            held.clear()
+            nodes, root = smallest_reached(left, right)
+            apart = nodes != root
+            return pa.RecordBatch.from_arrays([pa.array(nodes[apart]), pa.array(root[apart])], ["u", "v"])
+
+        for batch in batches:
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= CONTRACTED:
+                yield stars()
+        if held:
+            yield stars()
+
+    return links.select("u", "v").mapInArrow(run, "u bigint, v bigint")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges`` (u, v longs): one row (node, root) per linked node.
 
-    ``root`` is the smallest node of the component. Alternates large-star and small-star
-    steps (every node is hung below the smallest neighbour) until the edges are stars; each
-    step is one written table in the shared folder, so no plan grows and a lost executor
-    costs one step at most. Only aggregates over edges are shuffled, hubs are pre-aggregated.
-    Null ends and self-links are ignored; no edges give an empty result.
+    ``root`` is the smallest node of the component. Tasks join the links they hold, then
+    large-star and small-star steps alternate (every node is hung below the smallest neighbour)
+    until the links are stars; each step is one written table in the shared folder, so no plan
+    grows and a lost executor costs one step at most. Null ends and self-links are ignored; no
+    links give an empty result.
     """
-    links = edges.where("u is not null and v is not null and u <> v").select(
-        F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")
-    )
-    current, seen = Staged(links.distinct(), "links"), None
+    links = edges.where("u is not null and v is not null and u <> v").select("u", "v")
+    raw = Staged(links, "links")
+    tasks = raw.spark.sparkContext.defaultParallelism
+    current, seen = Staged(_contracted(raw.df.coalesce(tasks)).distinct(), "links"), None
+    raw.drop()
     while True:
         mark = current.df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if mark[0] == 0 or mark == seen:
@@ -74,12 +127,12 @@ def components(edges: DataFrame) -> DataFrame:
         lowest = lowest.select(F.col("u").alias("n"), F.least("u", "m").alias("m"))
         large = both.where("v > u").join(lowest, F.col("u") == F.col("n"))
         large = large.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        # a node's own link to a smaller one stays through the row of that smaller neighbour
-        large = large.distinct()
-        lowest = large.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "n")
-        small = large.join(lowest, F.col("u") == F.col("n"))
+        large = Staged(large, "links")
+        lowest = large.df.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "n")
+        small = large.df.join(lowest, F.col("u") == F.col("n"))
         small = small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.unionByName(lowest.select(F.col("n").alias("u"), F.col("m").alias("v")))
         following = Staged(small.distinct(), "links")
+        large.drop()
         current.drop()
         current = following

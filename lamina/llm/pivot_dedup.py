@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lamina.llm.common import Staged, components
+from lamina.llm.common import Staged, components, smallest_reached
 
 #: Reference points, how many of the nearest describe a vector, and how many a pair must share.
 #: At cosine 0.93 in 64 dimensions all of 4,000 random pairs share two of eight.
@@ -131,17 +131,10 @@ def _pairs(lists: DataFrame, count: int, nearest: int, shared: int, least: float
                 shift = 0 if same else len(a.ids)
                 links = np.bincount(i, weights=b.weights[j], minlength=len(ids))
                 links += np.bincount(j + shift, weights=a.weights[i], minlength=len(ids))
-                root = ids.copy()
-                while True:  # smallest id reached, until nothing changes
-                    new = root.copy()
-                    np.minimum.at(new, i, root[j + shift])
-                    np.minimum.at(new, j + shift, root[i])
-                    if (new == root).all():
-                        break
-                    root = new
+                nodes, low = smallest_reached(ids[i], ids[j + shift])
                 at = np.flatnonzero(links)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[at]), pa.array(root[at]), pa.array(links[at].astype(np.int64))],
+                    [pa.array(ids[at]), pa.array(low[np.searchsorted(nodes, ids[at])]), pa.array(links[at].astype(np.int64))],
                     ["node", "root", "links"],
                 )
 

@@ -176,7 +176,7 @@ def fit(
     known.drop()
     texts = docs.select(docs[id_column].alias("id"), docs[text_column].alias("text"))
     rows = texts.join(F.broadcast(picked.df), "id").groupBy("id", "label").agg(F.min("text").alias("text"))
-    rows = Staged(rows, "labelled")
+    rows = Staged(rows, "labelled", "snappy")
     n = {r[0]: r[1] for r in rows.df.groupBy("label").count().collect()}
     toxic, clean = n.get(1, 0), n.get(0, 0)
     if not toxic or not clean:
