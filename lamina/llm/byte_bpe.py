@@ -20,8 +20,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lamina.llm.common import slices
+
 #: Memory bounds of one worker's caches; beyond them nothing is remembered, results are the same.
-WORDS_KEPT, WORD_BYTES_KEPT, PAIRS_KEPT = 600_000, 64, 600_000
+WORDS_KEPT, WORD_BYTES_KEPT, PAIRS_KEPT = 400_000, 64, 400_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -203,29 +205,49 @@ def decoder(path: str) -> Decoder:
     return _decoders[path]
 
 
-def encode(docs: DataFrame, text_column: str, ranks_path: str, pattern: str, keep: list[str]) -> DataFrame:
+def _id_lists(found: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, found)])
+    values = np.concatenate(found) if found else np.empty(0, "<i4")
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))
+
+
+def _bytes_of(lists: pa.ListArray, model: Decoder) -> pa.Array:
+    counts = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    raw, sizes = model.decode(lists.flatten().to_numpy(zero_copy_only=False))
+    byte_ends = np.concatenate([[0], np.cumsum(sizes)])
+    ends = byte_ends[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)].astype("<i4")
+    buffers = [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(raw.tobytes())]
+    return pa.Array.from_buffers(pa.binary(), len(lists), buffers)
+
+
+def encode(
+    docs: DataFrame, text_column: str, ranks_path: str, pattern: str, keep: list[str], round_trip: bool = False
+) -> DataFrame:
     """``docs[keep]`` with ``ids`` (array of int): the tokens of the whole text, no special tokens.
 
     Each match of ``pattern`` is encoded separately. A null or empty text has no ids; rows keep
-    their number and order within a partition, other columns are not read. ``ids`` may not be
-    a kept name. The rank file is read on each executor from ``ranks_path``.
+    their number and order within a partition, other columns are not read. With ``round_trip``
+    the ids are decoded again into ``decoded`` (binary). The added names may not be kept ones.
+    The rank file is read on each executor from ``ranks_path``.
     """
-    if "ids" in keep:
-        raise ValueError("a kept column may not be called ids")
+    added = ["ids", "decoded"] if round_trip else ["ids"]
+    if set(added) & set(keep):
+        raise ValueError(f"a kept column may not be called {' or '.join(added)}")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = encoder(ranks_path, pattern)
+        back = decoder(ranks_path) if round_trip else None
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            found = [model.encode(t) if t else np.empty(0, "<i4") for t in texts]
-            ends = np.cumsum([0, *map(len, found)])
-            values = np.concatenate(found) if found else np.empty(0, "<i4")
-            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], ids], [*keep, "ids"])
+            for part in slices(batch, 0):
+                texts = part.column(0).to_pylist()
+                ids = _id_lists([model.encode(t) if t else np.empty(0, "<i4") for t in texts])
+                columns = [ids, _bytes_of(ids, back)] if back else [ids]
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], *columns], [*keep, *added])
 
     kinds = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep]
+    kinds += ["ids array<int>", "decoded binary"][: len(added)]
     source = docs.select(docs[text_column].alias("__text"), *[docs[c] for c in keep])
-    return source.mapInArrow(run, ", ".join([*kinds, "ids array<int>"]))
+    return source.mapInArrow(run, ", ".join(kinds))
 
 
 def decode(tokens: DataFrame, ids_column: str, ranks_path: str) -> DataFrame:
@@ -239,15 +261,8 @@ def decode(tokens: DataFrame, ids_column: str, ranks_path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = decoder(ranks_path)
         for batch in batches:
-            lists = batch.column(at)
-            counts = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            raw, sizes = model.decode(lists.flatten().to_numpy(zero_copy_only=False))
-            byte_ends = np.concatenate([[0], np.cumsum(sizes)])
-            ends = byte_ends[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)]
-            out = pa.Array.from_buffers(
-                pa.binary(), len(lists), [None, pa.py_buffer(ends.astype("<i4").tobytes()), pa.py_buffer(raw.tobytes())]
-            )
-            yield pa.RecordBatch.from_arrays([*batch.columns, out], [*keep, "decoded"])
+            for part in slices(batch, at):
+                yield pa.RecordBatch.from_arrays([*part.columns, _bytes_of(part.column(at), model)], [*keep, "decoded"])
 
     kinds = [f"`{c}` {tokens.schema[c].dataType.simpleString()}" for c in keep]
     return tokens.select(*keep).mapInArrow(run, ", ".join([*kinds, "decoded binary"]))
@@ -255,7 +270,7 @@ def decode(tokens: DataFrame, ids_column: str, ranks_path: str) -> DataFrame:
 
 def digests(docs: DataFrame, id_column: str, text_column: str, ranks_path: str, pattern: str) -> DataFrame:
     """Encode, decode and condense: id, n_tokens, ids_sha256, decoded_sha256."""
-    tokens = decode(encode(docs, text_column, ranks_path, pattern, [id_column]), "ids", ranks_path)
+    tokens = encode(docs, text_column, ranks_path, pattern, [id_column], round_trip=True)
     return tokens.select(
         id_column,
         F.size("ids").cast("bigint").alias("n_tokens"),

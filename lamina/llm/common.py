@@ -9,6 +9,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +37,27 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
+#: Bytes of a column that a worker turns into Python objects at a time.
+SLICE_BYTES = 4 << 20
+
+
+def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """Consecutive parts of a batch with some megabytes of ``column`` each, one row at least.
+
+    Batches hold up to 64 MB; working in parts keeps what a worker makes of them small. The
+    column is text, binary or a list of 32-bit values.
+    """
+    values = batch.column(column)
+    if pa.types.is_list(values.type):
+        sizes = values.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) * 4
+    else:
+        sizes = pc.binary_length(values).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    part = np.cumsum(sizes) // SLICE_BYTES
+    starts = np.flatnonzero(np.diff(part, prepend=-1))
+    for start, end in zip(starts.tolist(), [*starts[1:].tolist(), batch.num_rows]):
+        yield batch.slice(start, end - start)
+
+
 def id_remainder(column, modulus: int):
     """crc32 of the id's decimal text modulo ``modulus``; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % modulus

@@ -18,6 +18,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lamina.llm.common import slices
+
 #: Words in a k-gram and k-grams in a window: every shared run of GRAM + WINDOW - 1 words is seen.
 GRAM, WINDOW = 3, 3
 #: Words that may be added or left out before the alignment leaves its band.
@@ -197,10 +199,11 @@ def scan(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = _index(given)
         for batch in batches:
-            found = [index.matches(t, coverage) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found, pa.list_(match))], ["id", "matches"]
-            )
+            for part in slices(batch, 1):
+                found = [index.matches(t, coverage) for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(found, pa.list_(match))], ["id", "matches"]
+                )
 
     kind = docs.schema[id_column].dataType.simpleString()
     shape = "array<struct<license:string,coverage:double,words:int,start:int,end:int>>"

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lamina.llm.common import Staged, components
+from lamina.llm.common import Staged, components, slices
 
 SEED = 42
 #: Distinct fingerprints in a tile, on average.
@@ -63,9 +63,10 @@ def with_fingerprint(docs: DataFrame, text_column: str, output: str, shingle: in
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(at).cast(pa.binary()).to_pylist()
-            found = np.array([fingerprint(t, shingle) for t in texts], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found.view(np.int64))], [*names, output])
+            for part in slices(batch, at):
+                texts = part.column(at).cast(pa.binary()).to_pylist()
+                found = np.array([fingerprint(t, shingle) for t in texts], dtype=np.uint64)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found.view(np.int64))], [*names, output])
 
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields]
     return docs.mapInArrow(run, ", ".join([*kinds, f"`{output}` bigint"]))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamina.llm.common import Staged, id_remainder
+from lamina.llm.common import Staged, id_remainder, slices
 
 #: Neutral terms for groups of people, by kind and language; each is swapped for the next.
 IDENTITY_TERMS = (
@@ -227,8 +227,9 @@ def score(docs: DataFrame, model: Model, text_column: str = "text", output: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = pa.array([model.score(t) for t in batch.column(at).to_pylist()], pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, found], [*names, output])
+            for part in slices(batch, at):
+                found = pa.array([model.score(t) for t in part.column(at).to_pylist()], pa.float64())
+                yield pa.RecordBatch.from_arrays([*part.columns, found], [*names, output])
 
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields]
     return docs.mapInArrow(run, ", ".join([*kinds, f"`{output}` double"]))

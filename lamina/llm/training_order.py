@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm.common import Staged
+from lamina.llm.common import Staged, slices
 
 #: A record: id, number of the part within the document, tokens used, flags, then the tokens.
 HEADER = np.dtype([("id", "<i8"), ("part", "<u4"), ("used", "<u2"), ("null", "u1")])
@@ -60,8 +60,8 @@ def cut(tokens: DataFrame, id_column: str, ids_column: str, length: int, pad: in
     kind = np.dtype([*HEADER.descr, ("tokens", "<u2", (length,))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys, lists = batch.column(0).to_pylist(), batch.column(1)
+        for part in (p for batch in batches for p in slices(batch, 1)):
+            keys, lists, found = part.column(0).to_pylist(), part.column(1), []
             for key, value in zip(keys, lists):
                 ids = value.values.to_numpy() if value.is_valid else np.empty(0, np.int32)
                 if len(ids) and (ids.min() < 0 or ids.max() > 65535):
@@ -75,7 +75,8 @@ def cut(tokens: DataFrame, id_column: str, ids_column: str, length: int, pad: in
                 flat = np.full(parts * length, pad, dtype="<u2")
                 flat[: len(ids)] = ids
                 rows["tokens"] = flat.reshape(parts, length)
-                yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in rows], pa.binary())], ["record"])
+                found += [r.tobytes() for r in rows]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], ["record"])
 
     if length > 65535:
         raise ValueError("a sequence holds 65535 tokens at most")
