@@ -23,6 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,7 +38,7 @@ ADD = 0.1
 #: Log10 probabilities are stored as multiples of this step, in 16 bits.
 STEP = 1 / 2048
 #: Tokens in a block, documents in a block, tokens for each bigram shard, documents for each word shard.
-BLOCK_TOKENS, BLOCK_DOCS, SHARD_TOKENS, SHARD_DOCS = 1 << 19, 1 << 15, 1 << 20, 8192
+BLOCK_TOKENS, BLOCK_DOCS, SHARD_TOKENS, SHARD_DOCS = 1 << 19, 1 << 15, 1 << 21, 8192
 #: A context's successors are dealt out in so many parts.
 PARTS = 16
 #: The end token: no word holds white space.
@@ -53,7 +54,19 @@ def _log(codes: np.ndarray) -> np.ndarray:
 
 
 def _binary(array: np.ndarray) -> bytes:
-    return array.tobytes()
+    """Compressed bytes of an array, the bytes of equal weight together."""
+    planes = np.ascontiguousarray(array).view(np.uint8).reshape(len(array), array.itemsize).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def _text(words) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(b"\n".join(words))
+
+
+def _array(packed: bytes, kind: str) -> np.ndarray:
+    raw = zstandard.ZstdDecompressor().decompress(packed)
+    size = np.dtype(kind).itemsize
+    return np.frombuffer(raw, np.uint8).reshape(size, -1).T.copy().view(kind).reshape(-1)
 
 
 def _mixed(values: np.ndarray) -> np.ndarray:
@@ -102,7 +115,7 @@ class _Block:
         for s in range(shards):
             a, b = bounds[s], bounds[s + 1]
             if a < b:
-                out.append({"block": number, "shard": s, "words": b"\n".join(names[order[a:b]]),
+                out.append({"block": number, "shard": s, "words": _text(names[order[a:b]]),
                             "counts": _binary(counts[a:b])})
         return out
 
@@ -147,7 +160,7 @@ def _answers(words: DataFrame, shards: int) -> DataFrame:
     def run(group: pa.Table) -> pa.Table:
         shard = group.column("shard")[0].as_py()
         totals: dict[bytes, int] = {}
-        lists = [(b, w.split(b"\n"), np.frombuffer(c, "<u4")) for b, w, c in zip(
+        lists = [(b, zstandard.ZstdDecompressor().decompress(w).split(b"\n"), _array(c, "<u4")) for b, w, c in zip(
             group.column("block").to_pylist(), group.column("words").to_pylist(), group.column("counts").to_pylist())]
         for _, names, counts in lists:
             for name, count in zip(names, counts.tolist()):
@@ -183,10 +196,10 @@ def _bigrams(blocks: DataFrame, total: int, distinct: int, shards: int, id_kind:
 
     def one(row: dict) -> pa.RecordBatch:
         parts = sorted(row["parts"], key=lambda p: p["shard"])
-        number = np.concatenate([np.frombuffer(p["numbers"], "<i8") for p in parts])
-        count = np.concatenate([np.frombuffer(p["counts"], "<i8") for p in parts])
-        tokens, ends = np.frombuffer(row["tokens"], "<u4"), np.frombuffer(row["ends"], "<i8")
-        held = np.frombuffer(row["held"], dtype=bool)
+        number = np.concatenate([_array(p["numbers"], "<i8") for p in parts])
+        count = np.concatenate([_array(p["counts"], "<i8") for p in parts])
+        tokens, ends = _array(row["tokens"], "<u4"), _array(row["ends"], "<i8")
+        held = _array(row["held"], "?")
         starts, sizes = np.concatenate([[0], ends[:-1]]), np.diff([0, *ends])
         unigram = np.log10(count + ADD) - norm
         stats = {
@@ -209,7 +222,7 @@ def _bigrams(blocks: DataFrame, total: int, distinct: int, shards: int, id_kind:
         for s in np.flatnonzero(np.diff(bounds)).tolist():
             p = slice(bounds[s], bounds[s + 1])
             out.append({
-                "shard": s, "block": row["block"], "v": _binary(v[p].astype("<i8")), "w": _binary(w[p].astype("<i8")),
+                "shard": s, "block": row["block"], "v": _binary(np.diff(v[p], prepend=0).astype("<i8")), "w": _binary(w[p].astype("<i8")),
                 "doc": _binary(doc[p]), "train": _binary(np.packbits(train[p])),
                 "context": _binary(context[p]), "word": _binary(word[p]),
             })
@@ -235,21 +248,22 @@ def _scored(sent: DataFrame, id_kind: str) -> DataFrame:
         if rows.num_rows:
             first = np.argsort(rows.column("block").to_numpy(), kind="stable")
             rows = rows.take(pa.array(first))
-            v, w = (_joined(rows, c, "<i8") for c in ("v", "w"))
+            v = np.concatenate([np.cumsum(_array(x, "<i8")) for x in rows.column("v").to_pylist()])
+            w = _joined(rows, "w", "<i8")
             context, word = (_joined(rows, c, "<u2") for c in ("context", "word"))
-            sizes = [len(x) // 4 for x in rows.column("doc").to_pylist()]
+            docs = [_array(x, "<u4") for x in rows.column("doc").to_pylist()]
+            sizes = [len(x) for x in docs]
             train = np.concatenate([
-                np.unpackbits(np.frombuffer(t, np.uint8), count=n) for t, n in zip(rows.column("train").to_pylist(), sizes)
+                np.unpackbits(_array(t, "u1"), count=n) for t, n in zip(rows.column("train").to_pylist(), sizes)
             ])
             logs = _grams(v, w, context, word, train)
             ends = np.cumsum(sizes)
-            for r, (doc, block) in enumerate(zip(rows.column("doc").to_pylist(), rows.column("block").to_pylist())):
-                doc = np.frombuffer(doc, "<u4")
+            for r, (doc, block) in enumerate(zip(docs, rows.column("block").to_pylist())):
                 sums = np.bincount(doc, weights=logs[ends[r] - sizes[r] : ends[r]])
                 touched = np.unique(doc)
                 out["block"].append(block)
                 out["doc"].append(_binary(touched.astype("<u4")))
-                out["sums"].append(_binary(sums[touched]))
+                out["sums"].append(_binary(sums[touched].astype("<f4")))
         kind = {"block": pa.int64(), "ids": pa.list_(_arrow(id_kind))}
         return pa.table({c: pa.array(x, kind.get(c, pa.binary())) for c, x in {**out, **extra}.items()})
 
@@ -257,13 +271,13 @@ def _scored(sent: DataFrame, id_kind: str) -> DataFrame:
 
 
 def _joined(rows: pa.Table, column: str, kind: str) -> np.ndarray:
-    return np.frombuffer(b"".join(rows.column(column).to_pylist()), kind)
+    return np.concatenate([_array(x, kind) for x in rows.column(column).to_pylist()])
 
 
 def _grams(v, w, context, word, train) -> np.ndarray:
     """Log10 probability of each bigram occurrence, by a trie of the occurrences marked ``train``."""
     order = np.lexsort((w, v))
-    new = np.empty(len(v), dtype=bool)
+    new = np.empty(len(v), "?")
     new[:1] = True
     new[1:] = (v[order][1:] != v[order][:-1]) | (w[order][1:] != w[order][:-1])
     first, gram = order[new], np.empty(len(v), dtype=np.int64)
@@ -299,7 +313,7 @@ def score(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     blocks = Staged(_blocks(rows, shards, id_kind), "lm-blocks")
     words = blocks.df.where("shard >= 0").select("block", "shard", "words", "counts")
     answers = Staged(_answers(words, shards), "lm-words")
-    sums = [np.frombuffer(r[0], "<i8") for r in answers.df.where("block = -1").select("counts").collect()]
+    sums = [_array(r[0], "<i8") for r in answers.df.where("block = -1").select("counts").collect()]
     total, distinct = (int(x) for x in np.sum(sums, axis=0)) if sums else (0, 0)
     parts = answers.df.where("block >= 0").groupBy("block").agg(
         F.collect_list(F.struct("shard", "numbers", "counts")).alias("parts")
@@ -314,13 +328,13 @@ def score(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
         ids, held, tokens, known, base = (stats.column(c)[0].as_py() for c in ("ids", "held", "tokens", "known", "base"))
         sums = np.zeros(len(ids))
         # the same order of additions in every run
-        parts = sorted(zip(group.column("doc").to_pylist(), group.column("sums").to_pylist()))
+        parts = sorted(p for p in zip(group.column("doc").to_pylist(), group.column("sums").to_pylist()) if p[0])
         for doc, part in parts:
-            sums[np.frombuffer(doc, "<u4")] += np.frombuffer(part, "<f8")
+            sums[_array(doc, "<u4")] += _array(part, "<f4")
         return pa.table({
-            "id": pa.array(ids, _arrow(id_kind)), "held_out": np.frombuffer(held, dtype=bool),
-            "n_tokens": np.frombuffer(tokens, "<i8"), "n_known": np.frombuffer(known, "<i8"),
-            "train_tokens": np.full(len(ids), total), "base_score": np.frombuffer(base, "<f8"), "score": sums,
+            "id": pa.array(ids, _arrow(id_kind)), "held_out": _array(held, "?"),
+            "n_tokens": _array(tokens, "<i8"), "n_known": _array(known, "<i8"),
+            "train_tokens": np.full(len(ids), total), "base_score": _array(base, "<f8"), "score": sums,
         })
 
     return scored.groupBy("block").applyInArrow(

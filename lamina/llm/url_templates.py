@@ -124,7 +124,8 @@ def judge(
     """One row (id, host, path, rule, template, purity, verdict) per row of ``pages``.
 
     A rule's verdict counts where one fits. All other URLs get "block" when the smoothed blocked
-    share of their template's labels reaches ``reject``, else "allow". Labels are the verdicts of
+    share of their template's labels reaches ``reject``, else "allow"; a template without labels
+    is never rejected. Labels are the verdicts of
     the rules, or ``label_column`` (1: block, 0: allow, null: none). Null URLs and those without
     :// have an empty host and path and are a template of their own; repeated rows count each
     time; without any label everything is allowed.
@@ -148,14 +149,15 @@ def judge(
     totals = trees.agg(F.sum("blocked"), F.sum("labelled")).first()
     overall = (totals[0] or 0) / totals[1] if totals[1] else 0.0
     templates = trees.groupBy("host", "template").agg(
-        ((F.sum("blocked") + PRIOR * overall) / (F.sum("labelled") + PRIOR)).alias("purity")
+        ((F.sum("blocked") + PRIOR * overall) / (F.sum("labelled") + PRIOR)).alias("purity"),
+        F.sum("labelled").alias("evidence"),
     )
     verdicts = trees.join(templates, ["host", "template"]).select(
-        "host", "parts", F.concat(F.lit("/"), F.array_join("template", "/")).alias("template"), "purity"
+        "host", "parts", F.concat(F.lit("/"), F.array_join("template", "/")).alias("template"), "purity", "evidence"
     )
     # a null verdict never meets: both sides come from the same rows
     rows = rows.join(verdicts, ["host", "parts"], "left")
-    learned = F.when(F.col("purity") >= reject, "block").otherwise("allow")
+    learned = F.when((F.col("evidence") > 0) & (F.col("purity") >= reject), "block").otherwise("allow")
     return rows.select(
         "id", "host", "path", F.col("found.rule").alias("rule"), "template", "purity",
         F.coalesce("found.verdict", learned).alias("verdict"),
