@@ -81,9 +81,9 @@ def op7_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     docs = table(spark, sf_dir, "documents")
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    tokens = byte_bpe.encode(docs, "text", ranks, public_tokenizers.PATTERN, ["doc_id"])
+    records = training_order.cut_texts(docs, "doc_id", "text", ranks, public_tokenizers.PATTERN, LENGTH, PAD)
     path = scratch(spark, "training-order")
-    training_order.write(training_order.cut(tokens, "doc_id", "ids", LENGTH, PAD), path, PER_SHARD, KEY)
+    training_order.write(records, path, PER_SHARD, KEY)
     found = training_order.read(spark, path, LENGTH, PER_SHARD)
     return found.select(
         F.col("id").alias("doc_id"),

@@ -9,6 +9,7 @@ stands at a known byte of a known file and a stopped run goes on there.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -51,31 +52,35 @@ def permute(numbers: np.ndarray, size: int, key: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
+def _records(key: int | None, ids: np.ndarray, length: int, pad: int) -> list[bytes]:
+    """A document's records: its ids in parts of ``length``, the last one padded."""
+    if len(ids) and (ids.min() < 0 or ids.max() > 65535):
+        raise ValueError("token ids have to fit in 16 bits")
+    parts = max(1, -(-len(ids) // length))
+    rows = np.zeros(parts, dtype=[*HEADER.descr, ("tokens", "<u2", (length,))])
+    rows["id"], rows["null"] = (0, 1) if key is None else (key, 0)
+    rows["part"] = np.arange(parts)
+    rows["used"] = length
+    rows["used"][-1] = len(ids) - (parts - 1) * length
+    flat = np.full(parts * length, pad, dtype="<u2")
+    flat[: len(ids)] = ids
+    rows["tokens"] = flat.reshape(parts, length)
+    return [r.tobytes() for r in rows]
+
+
 def cut(tokens: DataFrame, id_column: str, ids_column: str, length: int, pad: int) -> DataFrame:
     """(record binary): each row's ids in parts of ``length``, the last one padded with ``pad``.
 
     A row without ids (null or empty) is one part without tokens; a null id is marked. Ids have to
     fit in 16 bits.
     """
-    kind = np.dtype([*HEADER.descr, ("tokens", "<u2", (length,))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in (p for batch in batches for p in slices(batch, 1)):
-            keys, lists, found = part.column(0).to_pylist(), part.column(1), []
-            for key, value in zip(keys, lists):
+            found = []
+            for key, value in zip(part.column(0).to_pylist(), part.column(1)):
                 ids = value.values.to_numpy() if value.is_valid else np.empty(0, np.int32)
-                if len(ids) and (ids.min() < 0 or ids.max() > 65535):
-                    raise ValueError("token ids have to fit in 16 bits")
-                parts = max(1, -(-len(ids) // length))
-                rows = np.zeros(parts, dtype=kind)
-                rows["id"], rows["null"] = (0, 1) if key is None else (key, 0)
-                rows["part"] = np.arange(parts)
-                rows["used"] = length
-                rows["used"][-1] = len(ids) - (parts - 1) * length
-                flat = np.full(parts * length, pad, dtype="<u2")
-                flat[: len(ids)] = ids
-                rows["tokens"] = flat.reshape(parts, length)
-                found += [r.tobytes() for r in rows]
+                found += _records(key, ids, length, pad)
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], ["record"])
 
     if length > 65535:
@@ -84,6 +89,33 @@ def cut(tokens: DataFrame, id_column: str, ids_column: str, length: int, pad: in
     return tokens.select(tokens[id_column].cast("bigint"), ids).mapInArrow(run, "record binary")
 
 
+@lru_cache(maxsize=2)
+def _encoding(ranks_path: str, pattern: str):
+    # imported where texts are tokenised: the other functions take ids from anywhere
+    import tiktoken
+
+    from lamina.llm.byte_bpe import load_ranks
+
+    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=load_ranks(ranks_path), special_tokens={})
+
+
+def cut_texts(
+    docs: DataFrame, id_column: str, text_column: str, ranks_path: str, pattern: str, length: int, pad: int
+) -> DataFrame:
+    """As ``cut``, of texts that the same tasks tokenise with the library of the rank file."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = _encoding(ranks_path, pattern)
+        for part in (p for batch in batches for p in slices(batch, 1)):
+            found = []
+            for key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                ids = np.array(model.encode_ordinary(text or ""), dtype=np.int32)
+                found += _records(key, ids, length, pad)
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], ["record"])
+
+    return docs.select(docs[id_column].cast("bigint"), docs[text_column]).mapInArrow(run, "record binary")
+
+
 def write(records: DataFrame, path: str, per_shard: int, key: int) -> int:
     """Write records of one length to ``path``/shard=s, slot by slot; returns their number.
 
@@ -91,7 +123,7 @@ def write(records: DataFrame, path: str, per_shard: int, key: int) -> int:
     number of records and ``key``.
     """
     spark = records.sparkSession
-    table = Staged(records, "sequences")
+    table = Staged(records, "sequences", "zstd")
     places = table.df.select("record", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
     # as many files as write tasks: bounded by the cluster's cores
     counts = {r[0]: r[1] for r in places.groupBy("file").count().collect()}

@@ -5,12 +5,13 @@ import re
 
 import duckdb
 import numpy as np
+import public_tokenizers
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lamina.llm import fair_mix, queries, simhash_tiles, training_order, url_templates
+from lamina.llm import byte_bpe, fair_mix, queries, simhash_tiles, training_order, url_templates
 from lamina.llm.common import smallest_reached
 from lamina.session import scratch
 
@@ -230,6 +231,15 @@ def test_shards_read_back_whole_and_in_part(spark):
     assert all(r["length"] == training_order.stride(16) * min(10, size - 10 * r["shard"]) for r in shards)
 
 
+def test_texts_are_cut_as_their_tokens_are(spark, documents):
+    ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    docs = documents(ODD)
+    tokens = byte_bpe.encode(docs, "text", ranks, pattern, ["doc_id"])
+    one = training_order.cut(tokens, "doc_id", "ids", 8, 50256).collect()
+    other = training_order.cut_texts(docs, "doc_id", "text", ranks, pattern, 8, 50256).collect()
+    assert sorted(r["record"] for r in one) == sorted(r["record"] for r in other)
+
+
 def test_training_order_refuses_what_does_not_fit(spark):
     wide = spark.createDataFrame([(1, [70_000])], "doc_id long, ids array<int>")
     with pytest.raises(Exception, match="16 bits"):
