@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.session import staged
+from lamina.session import scratch, staged
 
 FIELD = "struct<namespace:string,name:string,field:string>"
 EVENT_SCHEMA = (
@@ -163,6 +163,10 @@ def column_edges(events: DataFrame, namespace: str = "lamina") -> DataFrame:
     ).distinct()
 
 
+#: Buckets of the nodes that steps leave from.
+BUCKETS = 64
+
+
 def impact(edges: DataFrame, start: str, direction: str, depth: int = 5) -> DataFrame:
     """(node, depth) of everything within ``depth`` steps; the start itself is excluded.
 
@@ -175,26 +179,28 @@ def impact(edges: DataFrame, start: str, direction: str, depth: int = 5) -> Data
         raise ValueError(f"unknown direction {direction!r}")
     here, there = ("source", "target") if direction == "downstream" else ("target", "source")
     spark = edges.sparkSession
-    # read once per level, so computed once
-    steps = staged(
-        edges.select(F.col(here).alias("here"), F.col(there).alias("there")), "impact-edges"
-    )
+    # written once by bucket of the node a step leaves from: a level reads its frontier's buckets
+    bucket = F.pmod(F.xxhash64("here"), F.lit(BUCKETS)).cast("int")
+    steps = edges.select(F.col(here).alias("here"), F.col(there).alias("there")).withColumn("bucket", bucket)
+    steps = staged(steps.repartition("bucket"), "impact-edges", ["bucket"])
+    found = scratch(spark, f"impact-{direction}")
     schema = "node string, depth int"
-    visited = frontier = spark.createDataFrame([(start, 0)], schema)
+
+    def add(rows: DataFrame) -> None:
+        rows.write.mode("append").parquet(found)
+
+    add(spark.createDataFrame([(start, 0)], schema))
     for level in range(1, depth + 1):
-        reached = (
-            steps.join(frontier, F.col("here") == F.col("node"), "left_semi")
-            .select(F.col("there").alias("node"))
-            .distinct()
-            .join(visited, "node", "left_anti")
-        )
-        frontier = staged(
-            reached.select("node", F.lit(level).alias("depth")), f"impact-{direction}-{level}"
-        )
-        if frontier.isEmpty():
+        visited = spark.read.schema(schema).parquet(found)
+        frontier = visited.filter(F.col("depth") == level - 1).select(F.col("node").alias("here"))
+        frontier = frontier.withColumn("bucket", bucket)
+        reached = steps.join(frontier, ["bucket", "here"], "left_semi").select(F.col("there").alias("node")).distinct()
+        seen = Observation()
+        add(reached.join(visited, "node", "left_anti").select("node", F.lit(level).alias("depth"))
+            .observe(seen, F.count(F.lit(1)).alias("n")))
+        if not seen.get["n"]:
             break
-        visited = visited.unionByName(frontier)
-    return visited.filter(F.col("depth") > 0)
+    return spark.read.schema(schema).parquet(found).filter(F.col("depth") > 0)
 
 
 def column_impact(edges: DataFrame, column: str, direction: str, depth: int = 5) -> DataFrame:

@@ -6,7 +6,7 @@ import json
 import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
-from datetime import date
+from datetime import date, datetime, timezone
 from functools import reduce
 from graphlib import CycleError, TopologicalSorter
 from pathlib import Path
@@ -14,7 +14,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from lamina import storage
-from lamina.operators import contracts, lineage, quality
+from lamina.operators import contracts, governance, lineage, quality, telemetry
 from lamina.operators.loads import LoadResult, default_partitions, load, read_table
 
 STAGES = ("level3", "level4")
@@ -46,6 +46,9 @@ class Model:
     not_null_columns: tuple[str, ...] = ()
     contract: str = "off"
     contract_columns: tuple[contracts.ColumnContract, ...] = ()
+    quality_policy: str = "blocking"
+    classification: str | None = None
+    policies: tuple[governance.ColumnPolicy, ...] = ()
 
     def __post_init__(self):
         if self.stage not in STAGES:
@@ -54,6 +57,8 @@ class Model:
             raise ValueError(f"{self.name}: bad table name {self.table!r}")
         if self.sources and self.stage != "level3":
             raise ValueError(f"{self.name}: only level3 models read sources")
+        if self.quality_policy not in ("blocking", "best_effort"):
+            raise ValueError(f"{self.name}: unknown quality policy {self.quality_policy!r}")
         names = [s.logical_name for s in self.sources]
         if len(set(names)) < len(names):
             raise ValueError(f"{self.name}: repeated source name")
@@ -107,7 +112,8 @@ def discover(
 
 def model_from_dict(spec: Mapping, sql: str) -> Model:
     target, checks = spec["target"], spec.get("quality") or {}
-    columns = (spec.get("governance") or {}).get("columns") or []
+    governed = spec.get("governance") or {}
+    columns = governed.get("columns") or []
     return Model(
         stage=spec["stage"],
         domain=spec["domain"].strip(),
@@ -125,6 +131,11 @@ def model_from_dict(spec: Mapping, sql: str) -> Model:
         contract_columns=tuple(
             contracts.ColumnContract(c["name"], c.get("type"), c.get("nullable")) for c in columns
         ),
+        quality_policy=checks.get("policy", "blocking"),
+        classification=governed.get("classification"),
+        policies=tuple(
+            governance.ColumnPolicy(c["name"], c.get("classification"), c.get("masking")) for c in columns
+        ),
     )
 
 
@@ -232,7 +243,12 @@ def table_path(warehouse: str, model: Model) -> str:
 
 
 class Runner:
-    """Runs models against a warehouse folder; ``read_source`` resolves level-3 inputs."""
+    """Runs models against a warehouse folder; ``read_source`` resolves level-3 inputs.
+
+    With ``quarantine_path`` the rows that break a check are written there, whether the model's
+    policy then blocks the load or lets it go on. With ``audit_path`` every model leaves an audit
+    row (``telemetry.AUDIT_SCHEMA``), failed ones included.
+    """
 
     def __init__(
         self,
@@ -240,11 +256,15 @@ class Runner:
         warehouse: str,
         context: Mapping,
         read_source: Callable[[SourceRef], DataFrame],
+        quarantine_path: str | None = None,
+        audit_path: str | None = None,
     ):
         self.spark = spark
         self.warehouse = warehouse
         self.context = context
         self.read_source = read_source
+        self.quarantine_path = quarantine_path
+        self.audit_path = audit_path
         self.outputs: dict[str, DataFrame] = {}
         self._tables: dict[str, str] = {}
         self.runs: list[ModelRun] = []
@@ -264,9 +284,43 @@ class Runner:
         ordered = in_order(models)
         self._tables = {m.id: m.table for m in ordered}
         for model in ordered:
-            self.runs.append(self._run_one(model))
+            started = datetime.now(timezone.utc).replace(tzinfo=None)
+            try:
+                done = self._run_one(model)
+            except Exception as error:
+                self._audit(model, "failed", started, None, [], type(error).__name__)
+                raise
+            self.runs.append(done)
+            self._audit(model, "success", started, done.load.rows_written, done.checks, None)
         return self.runs
 
+    def _audit(self, model: Model, status: str, started: datetime, rows: int | None, checks: list, error: str | None):
+        if not self.audit_path:
+            return
+        finished = datetime.now(timezone.utc).replace(tzinfo=None)
+        row = (
+            str(self.context.get("run_id")), "sql", model.id, str(self.context.get("environment")), "manual", status,
+            started, finished, None, rows, None, None, [(r["check_name"], r["status"]) for r in checks], error,
+        )
+        self.spark.createDataFrame([row], telemetry.AUDIT_SCHEMA).write.mode("append").parquet(self.audit_path)
+
+    def _quarantine(self, model: Model, staged: DataFrame, checks: list) -> None:
+        row_checks = [c for c in checks if c.kind != "row_count_min"]
+        if not self.quarantine_path or not row_checks:
+            return
+        _, bad = quality.split_clean(staged, row_checks)
+        records = quality.quarantine_records(
+            bad, run_id=str(self.context.get("run_id")), stage=model.stage, dataset=model.id,
+            environment=str(self.context.get("environment")), captured_at=datetime.now(timezone.utc).isoformat(),
+        )
+        quality.write_quarantine(records, self.quarantine_path)
+
+    def masked(self, model: Model, unmask_role: str | None = None, active_roles: Sequence[str] = ()) -> DataFrame:
+        """A finished model's output under the classification and maskings of its manifest."""
+        return governance.masked_view(
+            self.outputs[model.id], model.policies, model.classification, unmask_role, active_roles
+        )
+
     def _run_one(self, model: Model) -> ModelRun:
         df = self.frame(model)
         path = table_path(self.warehouse, model)
@@ -280,7 +334,12 @@ class Runner:
         rows: list = []
 
         def validate(staged: DataFrame) -> None:
-            rows.extend(quality.enforce(quality.evaluate(staged, checks), "blocking"))
+            rows.extend(quality.enforce(quality.evaluate(staged, checks), "best_effort"))
+            failed = [r for r in rows if r["status"] == "fail"]
+            if failed:
+                self._quarantine(model, staged, checks)
+            if failed and model.quality_policy == "blocking":
+                raise quality.QualityFailure(failed)
 
         parts = default_partitions(model.stage, model.load_mode, model.partition_columns)
         done = load(df, path, model.load_mode, parts, validate if checks else None)

@@ -9,10 +9,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lamina.operators import contracts, export, governance, loads, maintenance, metrics, relational
+from lamina.operators import contracts, export, governance, loads, maintenance, metrics, normalize, relational
 from lamina.operators.contracts import ColumnContract
 from lamina.operators.export import Publish
 from lamina.operators.metrics import Dimension, Metric
+from lamina.plans import models
 from lamina.session import scratch
 from lamina.sources import eventlog, files, landing
 from lamina.streaming import batches
@@ -293,3 +294,92 @@ def metric_cumulative_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
         (Dimension("o_custkey"), Dimension("o_orderkey", True)),
     )
     return metrics.compute(rows, spec).select("o_custkey", "o_orderkey", "running")
+
+
+MODEL = {
+    "stage": "level3", "domain": "sales", "name": "orders", "target": {"table_name": "orders_out"},
+    "sources": [{"logical_name": "raw_orders", "source_name": "shop", "entity_name": "orders"}],
+    "quality": {"policy": "best_effort", "not_null_columns": ["status"], "unique_columns": ["customer"]},
+    "governance": {"classification": "internal", "columns": [
+        {"name": "customer", "classification": "confidential", "masking": "hash_sha256"}]},
+}
+MODEL_SQL = "SELECT o_orderkey, nullif(o_orderstatus, 'P') AS status, CAST(o_custkey AS STRING) AS customer FROM raw_orders"
+
+
+def audited_run(spark: SparkSession, sf_dir: str):
+    path, model = scratch(spark, "audited"), models.model_from_dict(MODEL, MODEL_SQL)
+    runner = models.Runner(
+        spark, f"{path}/warehouse", models.token_context("test", "run-1"),
+        lambda ref: table(spark, sf_dir, "orders"), f"{path}/quarantine", f"{path}/audit",
+    )
+    runner.run([model])
+    return runner, model, path
+
+
+@suite.query("""
+    SELECT 'not_null:status' AS check_name, o_orderkey FROM orders WHERE o_orderstatus = 'P'
+    UNION ALL
+    SELECT 'unique:customer', o_orderkey FROM (
+        SELECT o_orderkey, count(*) OVER (PARTITION BY o_custkey) AS n FROM orders) WHERE n > 1
+""")
+def model_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A best-effort model loads everything and leaves its violating rows in quarantine."""
+    _, _, path = audited_run(spark, sf_dir)
+    kept = spark.read.schema("record string, check_name string").json(f"{path}/quarantine")
+    key = F.get_json_object("record", "$.o_orderkey").cast("bigint").alias("o_orderkey")
+    return kept.select("check_name", key)
+
+
+@suite.query("""
+    SELECT 'run-1' AS run_id, 'level3.sales.orders' AS job_name, 'success' AS status,
+           count(*) AS records_written, 2 AS failed_checks FROM orders
+""")
+def model_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, _, path = audited_run(spark, sf_dir)
+    failed = F.size(F.filter("validations", lambda v: v["status"] == "fail")).alias("failed_checks")
+    return spark.read.parquet(f"{path}/audit").select("run_id", "job_name", "status", "records_written", failed)
+
+
+@suite.query("""
+    SELECT o_orderkey, nullif(o_orderstatus, 'P') AS status, sha256(CAST(o_custkey AS VARCHAR)) AS customer FROM orders
+""")
+def model_masked_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classification and masking come from the model's manifest."""
+    runner, model, _ = audited_run(spark, sf_dir)
+    found = runner.masked(model)
+    return found.select("o_orderkey", "status", "customer")
+
+
+@suite.query("SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, c_mktsegment AS segment FROM customer")
+def csv_to_level2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A CSV entity is landed, flattened and written as a level-2 run."""
+    root = scratch(spark, "csv-level2")
+    rows = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment")
+    )
+    landing.land(rows, f"{root}/landed", "csv")
+    docs = files.scan_csv(spark, f"{root}/landed")
+    normalize.normalize(
+        docs, root, source="crm", entity="customers", row_id=relational.document_key(F.col("id")),
+        run_id="run-1", ingest_date="2024-01-02",
+    )
+    return landing.read_level2(spark, root, "crm", "customers", "customers").select("id", "name", "segment")
+
+
+@suite.query("""
+    SELECT o_orderpriority AS k, o_orderkey AS position, o_totalprice AS value FROM orders
+""")
+def map_and_nested_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Maps stay one column, inner arrays stay whole; both read back from the flattened tables."""
+    orders = table(spark, sf_dir, "orders")
+    docs = orders.groupBy("o_orderpriority").agg(
+        F.map_from_entries(F.array_agg(F.struct("o_orderkey", "o_totalprice"))).alias("prices"),
+        F.array_agg(F.array("o_orderkey", "o_custkey")).alias("pairs"),
+    )
+    tables = relational.relationalize(docs, "priorities", relational.document_key(F.col("o_orderpriority")))
+    root, pairs = tables["priorities"], tables["priorities__pairs"]
+    joined = pairs.join(root, pairs["_parent_row_id"] == root["_row_id"])
+    key = F.element_at("value", 1)
+    return joined.select(
+        F.col("o_orderpriority").alias("k"), key.alias("position"), F.element_at("prices", key).alias("value")
+    )
