@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import fnmatch
+import json
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from pathlib import Path
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +42,8 @@ class Publish:
     compression: str | None = None
     partition_columns: tuple[str, ...] = ()
     owner: str | None = None
+    dataset: str | None = None
+    query: str | None = None
 
     def __post_init__(self):
         if self.format not in FORMATS:
@@ -49,6 +54,74 @@ class Publish:
             raise ValueError(f"{self.name}: partition_replace needs partition columns")
 
 
+def publish_from_dict(spec: Mapping, query: str | None = None) -> Publish:
+    """A delivery from its manifest; ``source.selection_mode: query`` takes the SELECT beside it."""
+    source, delivery = spec["source"], spec["delivery"]
+    checks, by_query = spec.get("validation") or {}, source.get("selection_mode", "direct") == "query"
+    if by_query and not (query or "").strip():
+        raise ValueError(f"{spec['name']}: a query delivery needs query.sql")
+    columns, required = tuple(spec.get("columns") or ()), tuple(checks.get("required_columns") or ())
+    if columns and not set(required) <= set(columns):
+        raise ValueError(f"{spec['name']}: required columns are not among the declared ones")
+    packaging = (delivery.get("packaging") or {}).get("archive_format")
+    if packaging:
+        raise ValueError(f"{spec['name']}: archives are not written; use compression")
+    return Publish(
+        domain=spec["domain"].strip(),
+        name=spec["name"].strip(),
+        format=delivery["output_format"],
+        columns=columns,
+        path_template=delivery["path_template"],
+        replacement=delivery.get("replacement_mode", "versioned_delivery"),
+        required_columns=required,
+        allow_empty=not checks.get("require_non_empty", True),
+        compression=delivery.get("compression"),
+        partition_columns=tuple(delivery.get("partition_columns") or ()),
+        order_by=tuple(delivery.get("order_by") or ()),
+        owner=(spec.get("owner") or {}).get("owner_team"),
+        dataset=source["dataset"],
+        query=query if by_query else None,
+    )
+
+
+def discover(package: str, pattern: str = "*") -> list[Publish]:
+    """Deliveries under ``<package>/<domain>/<name>/`` whose folder matches the manifest."""
+    found = []
+    for manifest in sorted(Path(package).glob("*/*/manifest.*")):
+        if manifest.suffix not in (".yaml", ".yml", ".json"):
+            continue
+        text, sql = manifest.read_text(encoding="utf-8"), manifest.parent / "query.sql"
+        if manifest.suffix == ".json":
+            spec = json.loads(text)
+        else:
+            import yaml
+
+            spec = yaml.safe_load(text)
+        one = publish_from_dict(spec, sql.read_text(encoding="utf-8") if sql.exists() else None)
+        if (one.domain, one.name) != manifest.parent.parts[-2:]:
+            raise ValueError(f"{manifest}: manifest says {one.domain}.{one.name}")
+        if fnmatch.fnmatch(f"{one.domain}.{one.name}", pattern):
+            found.append(one)
+    return found
+
+
+def deliver(
+    spark: SparkSession,
+    spec: Publish,
+    read_dataset: Callable[[str], DataFrame],
+    root: str,
+    run_id: str,
+    window_label: str | None = None,
+    **options,
+) -> DataFrame:
+    """Publish what the delivery names: its dataset, or its SELECT over it."""
+    df = read_dataset(spec.dataset)
+    if spec.query:
+        df.createOrReplaceTempView(spec.dataset)
+        df = spark.sql(spec.query)
+    return publish(df, spec, root, run_id, window_label, **options)
+
+
 def render_path(spec: Publish, run_id: str, window_label: str | None = None) -> str:
     values = {
         "domain": spec.domain,

@@ -383,3 +383,23 @@ def map_and_nested_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select(
         F.col("o_orderpriority").alias("k"), key.alias("position"), F.element_at("prices", key).alias("value")
     )
+
+
+DELIVERY = {
+    "name": "big_days", "domain": "sales", "source": {"dataset": "daily", "selection_mode": "query"},
+    "delivery": {"output_format": "csv", "path_template": "{domain}/{window_label}/{publish_name}.{output_extension}"},
+    "columns": ["order_date", "orders"], "validation": {"required_columns": ["orders"]},
+}
+
+
+@suite.query("""
+    SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS order_date, CAST(count(*) AS VARCHAR) AS orders
+    FROM orders GROUP BY 1 HAVING count(*) >= 5
+""")
+def delivery_by_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A delivery defined by a manifest and a SELECT over its dataset."""
+    spec = export.publish_from_dict(DELIVERY, "SELECT order_date, n AS orders, 1 AS more FROM daily WHERE n >= 5")
+    days = table(spark, sf_dir, "orders").groupBy(F.to_date("o_orderdate").alias("order_date")).agg(F.count("*").alias("n"))
+    root = scratch(spark, "export")
+    export.deliver(spark, spec, lambda name: days, root, "run-1", "all")
+    return spark.read.csv(export.plan_paths(spec, root, "run-1", "all")["run"], header=True)

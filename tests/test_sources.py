@@ -298,6 +298,30 @@ def test_export_paths():
             Publish("d", "n", **bad)
 
 
+def test_delivery_definitions_from_files(spark, tmp_path):
+    base = {"domain": "geo", "source": {"dataset": "places"},
+            "delivery": {"output_format": "jsonl", "path_template": "{publish_name}.{output_extension}"}}
+    for name, mode, sql in (("all", "direct", None), ("few", "query", "SELECT id FROM places WHERE id < 2")):
+        where = tmp_path / "defs" / "geo" / name
+        where.mkdir(parents=True)
+        (where / "manifest.json").write_text(json.dumps(
+            {**base, "name": name, "source": {**base["source"], "selection_mode": mode}}))
+        if sql:
+            (where / "query.sql").write_text(sql)
+    specs = export.discover(str(tmp_path / "defs"))
+    assert [s.name for s in specs] == ["all", "few"] and export.discover(str(tmp_path / "defs"), "geo.f*") == specs[1:]
+    for spec, count in zip(specs, (5, 2)):
+        found = export.deliver(spark, spec, lambda name: spark.range(5), str(tmp_path / "out"), "r")
+        assert found.first()["total_rows"] == count
+    with pytest.raises(ValueError, match="query.sql"):
+        export.publish_from_dict({**base, "name": "x", "source": {"dataset": "d", "selection_mode": "query"}})
+    with pytest.raises(ValueError, match="required"):
+        export.publish_from_dict({**base, "name": "x", "columns": ["a"], "validation": {"required_columns": ["b"]}})
+    (tmp_path / "defs" / "geo" / "all" / "manifest.json").write_text(json.dumps({**base, "name": "other"}))
+    with pytest.raises(ValueError, match="manifest says"):
+        export.discover(str(tmp_path / "defs"))
+
+
 def test_compaction(spark, folder):
     path = f"{folder}/t"
     df = spark.range(60).withColumn("p", (F.col("id") % 2).cast("int"))
