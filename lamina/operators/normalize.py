@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +13,9 @@ from lamina.operators import relational
 from lamina.session import scratch
 from lamina.sources import landing
 
+#: Tables written side by side.
+TABLES_AT_ONCE = 4
+
 
 def normalize(
     docs: DataFrame,
@@ -39,16 +43,18 @@ def normalize(
     try:
         keyed.write.parquet(stage)
         stored = docs.sparkSession.read.schema(keyed.schema).parquet(stage)
-        manifests = [
-            landing.write_level2(
-                relational.with_lineage(
-                    relational.table_for(stored, spec, F.col("__key")), source, ingest_date, run_id
-                ),
+
+        def write(spec: relational.TableSpec) -> dict:
+            rows = relational.table_for(stored, spec, F.col("__key"))
+            return landing.write_level2(
+                relational.with_lineage(rows, source, ingest_date, run_id),
                 root, source=source, entity=entity, table=spec.name, mapping_version=version,
                 run_id=run_id, partition=partition,
             )
-            for spec in specs
-        ]
+
+        # the tables' jobs run side by side: one table's last tasks do not hold up the next
+        with ThreadPoolExecutor(max_workers=TABLES_AT_ONCE) as pool:
+            manifests = list(pool.map(write, specs))
     finally:
         storage.delete(docs.sparkSession, stage)
     return relational.mapping_catalog(docs.sparkSession, source, entity, specs), manifests

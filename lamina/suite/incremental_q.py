@@ -371,7 +371,9 @@ def incremental_log_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(schema).parquet(root)
 
 
-@suite.query("SELECT DISTINCT c_mktsegment AS folder, true AS has_bytes FROM customer")
+@suite.query("""
+    SELECT c_mktsegment AS folder, CAST(sum(strlen(c_name) + 1) AS BIGINT) AS bytes FROM customer GROUP BY 1
+""")
 def object_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listing of a file drop with one folder per market segment."""
     drop = scratch(spark, "drop")
@@ -380,6 +382,4 @@ def object_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = objects.list_objects(spark, drop, "customers")
     folder = F.regexp_extract("key", "^customers/c_mktsegment=([^/]+)/part-", 1)
     data = listed.filter(folder != "")
-    return data.groupBy(folder.alias("folder")).agg(
-        (F.sum("size_bytes") > 0).alias("has_bytes")
-    )
+    return data.groupBy(folder.alias("folder")).agg(F.sum("size_bytes").alias("bytes"))

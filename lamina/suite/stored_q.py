@@ -403,3 +403,47 @@ def delivery_by_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch(spark, "export")
     export.deliver(spark, spec, lambda name: days, root, "run-1", "all")
     return spark.read.csv(export.plan_paths(spec, root, "run-1", "all")["run"], header=True)
+
+
+@suite.query("""
+    SELECT c_mktsegment AS segment, strlen(string_agg(c_name, chr(10) ORDER BY c_custkey)) + 1 AS file_size_bytes,
+           sha256(string_agg(c_name, chr(10) ORDER BY c_custkey) || chr(10)) AS content_hash
+    FROM customer GROUP BY 1
+""")
+def landed_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes and hashes of landed files, one per segment, against those of the rows."""
+    path = scratch(spark, "landed")
+    rows = table(spark, sf_dir, "customer").repartition("c_mktsegment").sortWithinPartitions("c_mktsegment", "c_custkey")
+    rows.select("c_name", "c_mktsegment").write.partitionBy("c_mktsegment").text(path)
+    found = landing.landed_manifest(
+        spark, path, run_id="run-1", source="crm", entity="customers", payload_format="txt"
+    )
+    segment = F.regexp_extract("data_path", "c_mktsegment=([^/]+)/", 1).alias("segment")
+    return found.select(segment, "file_size_bytes", "content_hash")
+
+
+@suite.query("""
+    SELECT o_orderkey AS order_id, CASE WHEN year(o_orderdate) >= 1998 THEN o_orderpriority END AS priority FROM orders
+""")
+def schema_evolution_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Older files lack a column that later appends have."""
+    path, orders = scratch(spark, "evolved"), table(spark, sf_dir, "orders")
+    late = F.year("o_orderdate") >= 1998
+    loads.load(orders.filter(~late).select(F.col("o_orderkey").alias("order_id")), path, "append")
+    wide = orders.filter(late).select(F.col("o_orderkey").alias("order_id"), F.col("o_orderpriority").alias("priority"))
+    loads.load(wide, path, "append")
+    return spark.read.option("mergeSchema", True).parquet(path)
+
+
+@suite.query("""
+    SELECT o_orderpriority, quantile_disc(o_totalprice, 0.25) AS low, quantile_disc(o_totalprice, 0.5) AS middle,
+           quantile_disc(o_totalprice, 0.9) AS high
+    FROM orders GROUP BY 1
+""")
+def quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantiles with an accuracy beyond the number of rows are exact."""
+    price = table(spark, sf_dir, "orders").groupBy("o_orderpriority")
+    return price.agg(*[
+        F.percentile_approx("o_totalprice", q, 10_000_000).alias(name)
+        for q, name in ((0.25, "low"), (0.5, "middle"), (0.9, "high"))
+    ])
