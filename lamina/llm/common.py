@@ -67,15 +67,16 @@ class Staged:
     """A table in the shared folder with its path, so that it can be deleted when no longer read.
 
     Uncompressed unless asked: most hold hashes, and each compressing writer keeps native buffers.
-    A table is written by no more tasks than keep the cluster's cores busy a few times over.
+    ``light`` tables, which only shuffle and write little, are written by no more tasks than keep
+    the cluster's cores busy a few times over.
     """
 
-    def __init__(self, df: DataFrame, label: str, compression: str = "none"):
+    def __init__(self, df: DataFrame, label: str, compression: str = "none", light: bool = False):
         self.spark: SparkSession = df.sparkSession
         self.path = scratch(self.spark, label)
-        tasks = 4 * self.spark.sparkContext.defaultParallelism
-        writer = df.coalesce(tasks).write.mode("errorifexists").option("compression", compression)
-        writer.parquet(self.path)
+        if light:
+            df = df.coalesce(max(24, 4 * self.spark.sparkContext.defaultParallelism))
+        df.write.mode("errorifexists").option("compression", compression).parquet(self.path)
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
 
     def drop(self) -> None:
@@ -136,8 +137,8 @@ def components(edges: DataFrame) -> DataFrame:
     """
     links = edges.where("u is not null and v is not null and u <> v").select("u", "v")
     raw = Staged(links, "links")
-    tasks = raw.spark.sparkContext.defaultParallelism
-    current, seen = Staged(_contracted(raw.df.coalesce(tasks)).distinct(), "links"), None
+    tasks = max(8, raw.spark.sparkContext.defaultParallelism)
+    current, seen = Staged(_contracted(raw.df.coalesce(tasks)).distinct(), "links", light=True), None
     raw.drop()
     while True:
         mark = current.df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
@@ -149,12 +150,12 @@ def components(edges: DataFrame) -> DataFrame:
         lowest = lowest.select(F.col("u").alias("n"), F.least("u", "m").alias("m"))
         large = both.where("v > u").join(lowest, F.col("u") == F.col("n"))
         large = large.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = Staged(large, "links")
+        large = Staged(large, "links", light=True)
         lowest = large.df.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "n")
         small = large.df.join(lowest, F.col("u") == F.col("n"))
         small = small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.unionByName(lowest.select(F.col("n").alias("u"), F.col("m").alias("v")))
-        following = Staged(small.distinct(), "links")
+        following = Staged(small.distinct(), "links", light=True)
         large.drop()
         current.drop()
         current = following

@@ -101,7 +101,7 @@ def mix(
     queued = queued.withColumn("through", F.col("start") + F.col("run"))
     parts = [_finish(e) for e in range(max_epochs)]
     queued = queued.withColumn("times", F.when(F.col("target") > 0, F.array(*[_slice(p) for p in parts])))
-    queued = Staged(queued.select(*_ROW, "through", "times"), "mix").df
+    queued = Staged(queued.select(*_ROW, "through", "times"), "mix", light=True).df
     # where the budget ends: sums per slice of finish times are few, and the result is one row
     spent = queued.select("size", F.explode("times").alias("time")).groupBy("time").agg(F.sum("size").alias("words"))
     spent = spent.withColumn("until", F.sum("words").over(W.orderBy("time")))

@@ -171,7 +171,7 @@ def near_duplicates(
     )
     good = rows.where("id is not null and label is not null and vector is not null")
     classes = good.groupBy("label", "vector").agg(F.min("id").alias("rep"), F.count("*").alias("weight"))
-    classes = Staged(classes, "classes").df
+    classes = Staged(classes, "classes", light=True).df
     sample: dict[int, list] = {}
     for r in classes.orderBy(F.xxhash64("rep"), "rep").select("vector").limit(count).collect():
         sample.setdefault(len(r[0]), []).append(r[0])

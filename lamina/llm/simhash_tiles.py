@@ -128,15 +128,15 @@ def links(fps: DataFrame, radius: int = 3) -> DataFrame:
     the only thing broadcast; a crowded cell becomes many tiles, and each (tile, probing tile)
     pair is a row of its own, so no group grows with the data.
     """
-    distinct = Staged(fps.select("fp").distinct().withColumn("cell", _cell()), "fingerprints")
+    distinct = Staged(fps.select("fp").distinct().withColumn("cell", _cell()), "fingerprints", light=True)
     sizes = distinct.df.groupBy("cell").agg(F.ceil(F.count("*") / TILE).alias("tiles"))
-    sizes = Staged(sizes, "cells").df
+    sizes = Staged(sizes, "cells", light=True).df
     tiles = (
         distinct.df.join(F.broadcast(sizes), "cell")
         .groupBy("cell", F.pmod(F.xxhash64("fp"), "tiles").alias("tile"))
         .agg(F.collect_list("fp").alias("fps"))
     )
-    tiles = Staged(tiles, "tiles").df
+    tiles = Staged(tiles, "tiles", light=True).df
     distinct.drop()
     near = F.array(*[F.lit(x).cast("bigint") for x in _offsets(radius)])
     probes = (

@@ -170,13 +170,13 @@ def fit(
     known = known.select(labels[id_column].alias("id"), labels[label_column].cast("int").alias("label"))
     known = known.groupBy("id").agg(F.max("label").alias("label")).where(id_remainder("id", folds) != 0)
     known = known.withColumn("order", F.xxhash64("id"))
-    known = Staged(known, "labels")
+    known = Staged(known, "labels", light=True)
     picked = [known.df.where(F.col("label") == k).orderBy("order", "id").limit(per_class) for k in (0, 1)]
-    picked = Staged(picked[0].unionByName(picked[1]).select("id", "label"), "labels")
+    picked = Staged(picked[0].unionByName(picked[1]).select("id", "label"), "labels", light=True)
     known.drop()
     texts = docs.select(docs[id_column].alias("id"), docs[text_column].alias("text"))
     rows = texts.join(F.broadcast(picked.df), "id").groupBy("id", "label").agg(F.min("text").alias("text"))
-    rows = Staged(rows, "labelled", "snappy")
+    rows = Staged(rows, "labelled", "snappy", light=True)
     n = {r[0]: r[1] for r in rows.df.groupBy("label").count().collect()}
     toxic, clean = n.get(1, 0), n.get(0, 0)
     if not toxic or not clean:

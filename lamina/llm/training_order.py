@@ -15,6 +15,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lamina.llm.common import Staged, slices
@@ -24,6 +25,8 @@ HEADER = np.dtype([("id", "<i8"), ("part", "<u4"), ("used", "<u2"), ("null", "u1
 #: Each record ends with this byte; it is the writer's line separator.
 END = b"\n"
 ROUNDS = 6
+#: Files that the encoded records are first written to, at most: bounds the table of their offsets.
+MOST_FILES = 16_384
 
 
 def stride(length: int) -> int:
@@ -122,24 +125,21 @@ def write(records: DataFrame, path: str, per_shard: int, key: int) -> int:
     Numbers follow the files of a table written first; slots only depend on the numbers, the
     number of records and ``key``.
     """
-    spark = records.sparkSession
-    table = Staged(records, "sequences", "zstd")
+    table = Staged(records.coalesce(MOST_FILES), "sequences", "zstd")
     places = table.df.select("record", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
-    # as many files as write tasks: bounded by the cluster's cores
-    counts = {r[0]: r[1] for r in places.groupBy("file").count().collect()}
-    starts, size = [], 0
-    for name in sorted(counts):
-        starts.append((name, size))
-        size += counts[name]
+    counts = places.groupBy("file").agg(F.count("*").alias("n"))
+    size = counts.agg(F.sum("n")).first()[0]
     if not size:
         return 0
+    before = W.orderBy("file").rowsBetween(W.unboundedPreceding, -1)
+    first = counts.select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
 
     @F.pandas_udf("bigint")
     def slot_of(number: pd.Series) -> pd.Series:
         return pd.Series(permute(number.to_numpy(), size, key))
 
-    first = F.broadcast(spark.createDataFrame(starts, "file string, start bigint"))
-    slots = places.join(first, "file").withColumn("slot", slot_of(F.col("start") + F.col("row")))
+    # a row per file, of which there are MOST_FILES at most
+    slots = places.join(F.broadcast(first), "file").withColumn("slot", slot_of(F.col("start") + F.col("row")))
     slots = slots.withColumn("shard", F.expr(f"slot div {per_shard}"))
     shards = -(-size // per_shard)
     slots = slots.repartition(shards, "shard").sortWithinPartitions("shard", "slot")
