@@ -9,7 +9,17 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lamina.operators import contracts, export, governance, loads, maintenance, metrics, normalize, relational
+from lamina.operators import (
+    contracts,
+    export,
+    governance,
+    lineage,
+    loads,
+    maintenance,
+    metrics,
+    normalize,
+    relational,
+)
 from lamina.operators.contracts import ColumnContract
 from lamina.operators.export import Publish
 from lamina.operators.metrics import Dimension, Metric
@@ -24,33 +34,48 @@ suite = Suite()
 BUCKET = "lpad(CAST(o_orderkey % 12 AS {text}), 3, '0')"
 
 
-@suite.query(f"""
-    SELECT bucket, rows, total, CASE WHEN bucket < '006' THEN 1 ELSE 2 END AS files FROM (
-        SELECT {BUCKET.format(text='VARCHAR')} AS bucket, count(*) AS rows,
-               CAST(sum(o_orderkey) AS BIGINT) AS total FROM orders GROUP BY 1)
-""")
-def compact_text_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Partitions like 007, half of them with too few small files to be rewritten; files are counted."""
+def text_partitions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """Orders in partitions like 007: five files each below 006, two from there on."""
     path = scratch(spark, "small-files")
     rows = table(spark, sf_dir, "orders").select(
         "o_orderkey", F.expr(BUCKET.format(text="STRING")).alias("bucket"), (F.col("o_orderkey") % 5).alias("turn")
     )
+    rare = F.col("bucket") >= "006"
+    rows = rows.withColumn("turn", F.when(rare, F.least("turn", F.lit(1))).otherwise(F.col("turn")))
     for turn in range(5):
-        part = rows.filter(F.col("turn") == turn)
-        rare = F.col("bucket") < "006" if turn > 1 else F.lit(True)
-        if turn == 1:
-            # the remaining turns of the rarely written partitions come in one file
-            part = rows.filter((F.col("turn") == 1) | ((F.col("turn") > 1) & (F.col("bucket") >= "006")))
-        part.filter(rare).drop("turn").repartition(1).write.mode("append").partitionBy("bucket").parquet(path)
+        part = rows.filter(F.col("turn") == turn).drop("turn")
+        part.repartition(1).write.mode("append").partitionBy("bucket").parquet(path)
+    return rows.drop("turn"), path
+
+
+@suite.query(f"""
+    SELECT bucket, rows, total, CASE WHEN bucket < '006' THEN 1 ELSE files END AS files FROM (
+        SELECT {BUCKET.format(text='VARCHAR')} AS bucket, count(*) AS rows, CAST(sum(o_orderkey) AS BIGINT) AS total,
+               CAST(count(DISTINCT least(o_orderkey % 5, 1)) AS INTEGER) AS files FROM orders GROUP BY 1)
+""")
+def compact_text_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the partitions have too few small files to be rewritten; files are counted."""
+    rows, path = text_partitions(spark, sf_dir)
     maintenance.compact(spark, path)
-    schema = T.StructType([rows.schema["o_orderkey"], rows.schema["bucket"]])
-    stored = loads.read_table(spark, path, schema).withColumn("file", F.col("_metadata.file_name"))
+    stored = loads.read_table(spark, path, rows.schema).withColumn("file", F.col("_metadata.file_name"))
     return stored.groupBy("bucket").agg(
         F.count("*").alias("rows"), F.sum("o_orderkey").alias("total"),
         F.count_distinct("file").cast("int").alias("files"),
     )
 
 
+@suite.query(f"""
+    SELECT CAST(sum(files) AS BIGINT) AS files, count(*) FILTER (files >= 5) AS partitions_to_compact FROM (
+        SELECT {BUCKET.format(text='VARCHAR')} AS bucket, count(DISTINCT CASE
+                   WHEN {BUCKET.format(text='VARCHAR')} < '006' THEN o_orderkey % 5
+                   ELSE least(o_orderkey % 5, 1) END) AS files
+        FROM orders GROUP BY 1)
+""")
+def maintenance_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, path = text_partitions(spark, sf_dir)
+    return maintenance.report(spark, [path]).select("files", "partitions_to_compact")
+
+
 @suite.query("SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus <> 'P'")
 def refresh_from_itself(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "refresh")
@@ -350,6 +375,41 @@ def model_masked_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("o_orderkey", "status", "customer")
 
 
+@suite.query("""
+    SELECT 'raw_orders' AS source, c AS source_column, 'orders_out' AS target, t AS target_column
+    FROM (VALUES ('o_orderkey', 'o_orderkey'), ('o_orderstatus', 'status'), ('o_custkey', 'customer')) v(c, t)
+    WHERE (SELECT count(*) FROM orders) > 0
+""")
+def model_column_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Column edges from the lineage events of a model run."""
+    runner, _, _ = audited_run(spark, sf_dir)
+    edges = lineage.column_edges(runner.lineage_events("2024-01-01T00:00:00Z"))
+    dataset = F.when(F.col("source") == "shop.orders", "raw_orders").otherwise(F.col("source"))
+    return edges.withColumn("source", dataset)
+
+
+@suite.query("""
+    SELECT 'shop' AS source_name, strftime(o_orderdate, '%Y-%m') AS business_date, count(*) AS rows
+    FROM orders GROUP BY ALL
+""")
+def model_default_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A level-3 overwrite without declared partitions is stored by source and business date."""
+    spec = {"stage": "level3", "domain": "sales", "name": "dated", "target": {"table_name": "dated"},
+            "load_mode": "partition_overwrite",
+            "sources": [{"logical_name": "raw_orders", "source_name": "shop", "entity_name": "orders"}]}
+    sql = ("SELECT o_orderkey, 'shop' AS source_name, date_format(o_orderdate, 'yyyy-MM') AS business_date "
+           "FROM raw_orders")
+    path = scratch(spark, "default-parts")
+    runner = models.Runner(
+        spark, path, models.token_context("test", "run-1"), lambda ref: table(spark, sf_dir, "orders")
+    )
+    runner.run([models.model_from_dict(spec, sql)])
+    stored = spark.read.option("recursiveFileLookup", True).parquet(f"{path}/level3/dated")
+    where = F.regexp_extract(F.col("_metadata.file_path"), "/source_name=([^/]+)/business_date=([^/]+)/", 1)
+    month = F.regexp_extract(F.col("_metadata.file_path"), "/source_name=([^/]+)/business_date=([^/]+)/", 2)
+    return stored.groupBy(where.alias("source_name"), month.alias("business_date")).agg(F.count("*").alias("rows"))
+
+
 @suite.query("SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, c_mktsegment AS segment FROM customer")
 def csv_to_level2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A CSV entity is landed, flattened and written as a level-2 run."""
@@ -447,3 +507,18 @@ def quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.percentile_approx("o_totalprice", q, 10_000_000).alias(name)
         for q, name in ((0.25, "low"), (0.5, "middle"), (0.9, "high"))
     ])
+
+
+@suite.query("""
+    SELECT run_id, mode, CAST(round(sum(o_totalprice), 2) AS DOUBLE) AS total, count(DISTINCT o_orderpriority) AS values
+    FROM orders, (VALUES ('r1', 'table'), ('r2', 'view')) runs(run_id, mode) GROUP BY ALL
+""")
+def metric_audit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs of one metric leave two audit rows."""
+    path = scratch(spark, "metric-audit")
+    spec = Metric("sales", "by_priority", "level4.sales.orders.o_totalprice", "sum", (Dimension("o_orderpriority"),))
+    stats = metrics.audit_stats(table(spark, sf_dir, "orders"), spec)
+    for run, mode in (("r1", "table"), ("r2", "view")):
+        metrics.write_audit(stats, path, mode, run, "2024-01-01T00:00:00Z")
+    found = spark.read.parquet(path)
+    return found.select("run_id", "mode", F.round("total_sum", 2).alias("total"), F.col("non_null_count").alias("values"))
