@@ -24,6 +24,14 @@ from lamina.suite import Suite, table
 
 suite = Suite()
 
+#: Vectors with a direction; embeddings of the tables are lists of 32-bit floats.
+USABLE = """
+    SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+"""
+
 
 @suite.query()
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,7 +46,20 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@suite.query()
+@suite.query(f"""
+    WITH RECURSIVE usable AS ({USABLE} AND label IS NOT NULL),
+    links AS (
+        SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+        ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+        WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+    reached(a, b) AS (
+        SELECT a, b FROM links UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a),
+    lowest AS (SELECT a, min(b) AS low FROM reached GROUP BY a),
+    degrees AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+    SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(low, vec_id)) AS component_id,
+           vec_id <= coalesce(low, vec_id) AS kept
+    FROM embeddings LEFT JOIN degrees d ON d.a = vec_id LEFT JOIN lowest l ON l.a = vec_id
+""")
 def op2_pivot_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     return pivot_dedup.near_duplicates(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
@@ -58,7 +79,14 @@ def op4_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_lm.score(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
-@suite.query()
+@suite.query(f"""
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+        SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.e, v.e) AS score,
+               row_number() OVER (PARTITION BY q.vec_id ORDER BY list_inner_product(q.e, v.e) DESC, v.vec_id) AS rank
+        FROM ({USABLE}) q JOIN ({USABLE}) v ON q.vec_id <> v.vec_id AND len(q.e) = len(v.e)
+        WHERE q.vec_id % 20 = 0)
+    WHERE rank <= 20
+""")
 def op5_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     return vptree.search(table(spark, sf_dir, "embeddings"), k=20, every=20, factor=1.0)

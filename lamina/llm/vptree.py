@@ -123,11 +123,12 @@ class Search:
             return
         own = self.query_ids[q[i]] == ids[j]
         i, j = i[~own], j[~own]
-        # one row at a time in a fixed order of additions: equal vectors get equal scores
-        score = np.concatenate(
-            [(self.queries[q[i[a : a + 65536]]] * vectors[j[a : a + 65536]]).sum(axis=1) for a in range(0, len(i), 65536)]
-            or [np.empty(0)]
-        )
+        # products are added one after the other: equal vectors get equal scores everywhere
+        score = np.empty(len(i))
+        for at in range(0, len(i), 1 << 15):
+            part = slice(at, at + (1 << 15))
+            products = self.queries[q[i[part]]] * vectors[j[part]]
+            score[part] = np.add.accumulate(products, axis=1)[:, -1]
         worst, worst_id = self.worst[q[i]], self.worst_id[q[i]]
         better = (score > worst) | ((score == worst) & (ids[j] < worst_id))
         i, j, score = i[better], j[better], score[better]
