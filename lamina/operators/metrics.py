@@ -13,7 +13,6 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lamina.operators.loads import LoadResult, load
 from lamina.operators.parity import row_differences
