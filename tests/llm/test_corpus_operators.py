@@ -273,3 +273,18 @@ def test_pipeline_stages(spark):
     for row in before.collect():
         assert last[row["doc_id"]]["decoded_sha256"] == hashlib.sha256(row["text"].encode()).hexdigest()
     assert corpus_pipeline.run(spark, sf_dir).count() == before.count()
+
+
+def test_pipeline_stages_on_odd_rows_and_nothing(spark, documents):
+    sf_dir = "/root/testdata/sf0.001"
+    docs = documents([(*r, "s" if i % 2 else None) for i, r in enumerate(ODD)])
+    for docs in (docs, docs.limit(0)):
+        n = docs.count()
+        for name, stage in corpus_pipeline.STAGES:
+            found = stage(spark, docs, sf_dir)
+            if name != "byte_bpe":
+                assert found.columns == docs.columns
+            kept = found.count()
+            assert kept <= (2 * n if name == "source_mix" else n)
+            if name == "simhash_near_dedup":
+                assert kept == len({simhash(r["text"]) for r in docs.select("text").collect()}) or kept < n or not n
