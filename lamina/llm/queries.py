@@ -99,28 +99,29 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.summary(found).withColumnRenamed("id", "doc_id")
 
 
-#: Tokens of a sequence, sequences of a shard, and the key of the order.
-LENGTH, PER_SHARD, KEY, PAD = 512, 4096, 20260, 50256
+#: Tokens of a sequence, sequences of a shard, the key of the order, and the end token (also the filler).
+LENGTH, PER_SHARD, KEY, END = 512, 4096, 20260, 50256
 
 
 @suite.query()
 def op7_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Writes the shards and reads every record back from them."""
+    """Writes the shards and reads every record back from them, with the documents it holds."""
     ship(spark)
     docs = table(spark, sf_dir, "documents")
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    records = training_order.cut_texts(docs, "doc_id", "text", ranks, public_tokenizers.PATTERN, LENGTH, PAD)
+    records = training_order.pack_texts(
+        docs, "doc_id", "text", ranks, public_tokenizers.PATTERN, LENGTH, END, END
+    )
     path = scratch(spark, "training-order")
     training_order.write(records, path, PER_SHARD, KEY)
-    found = training_order.read(spark, path, LENGTH, PER_SHARD)
-    return found.select(
-        F.col("id").alias("doc_id"),
-        "part",
-        "slot",
-        "shard",
-        F.size("tokens").cast("bigint").alias("n_tokens"),
+    found = training_order.read(spark, path, LENGTH, PER_SHARD).select(
+        "slot", "shard", F.size("tokens").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join("tokens", " "), 256).alias("tokens_sha256"),
+    )
+    held = training_order.segments(spark, path).select(
+        "slot", F.col("segments.id").alias("doc_ids"), F.element_at("segments.offset", 1).alias("first_offset")
     )
+    return found.join(held, "slot")
 
 
 @suite.query()

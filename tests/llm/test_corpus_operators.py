@@ -214,38 +214,57 @@ def token_rows(spark):
     return rows, spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id long, ids array<int>, slot int, shard string")
 
 
+def rebuilt(found, held):
+    """Documents' ids in the order of their sequences, from tokens and segments."""
+    parts = {}
+    for slot, segments in held.items():
+        tokens = found[slot]
+        for s, after in zip(segments, [*segments[1:], None]):
+            piece = tokens[s["start"] : after["start"] if after else len(tokens)]
+            parts.setdefault(s["id"], []).append((s["offset"], piece))
+    return {k: sorted(v) for k, v in parts.items()}
+
+
 def test_shards_read_back_whole_and_in_part(spark):
     rows, tokens = token_rows(spark)
     path = scratch(spark, "shards")
-    records = training_order.cut(tokens, "doc_id", "ids", 16, 0)
-    size = training_order.write(records.repartition(3), path, 10, 99)
+    size = training_order.write(training_order.pack(tokens.repartition(3), "doc_id", "ids", 16, 1, 0), path, 10, 99)
     found = training_order.read(spark, path, 16, 10).collect()
     assert sorted(r["slot"] for r in found) == list(range(size)) and all(r["shard"] == r["slot"] // 10 for r in found)
-    want = [(k, p, (v or [])[16 * p : 16 * p + 16]) for k, v in rows for p in range(max(1, -(-len(v or []) // 16)))]
-    assert sorted(((r["id"], r["part"], r["tokens"]) for r in found), key=str) == sorted(want, key=str)
-    order = {r["slot"]: (r["id"], r["part"]) for r in found}
+    held = {r["slot"]: r["segments"] for r in training_order.segments(spark, path).collect()}
+    whole = rebuilt({r["slot"]: r["tokens"] for r in found}, held)
+    for key in {k for k, _ in rows}:
+        mine = [v or [] for k, v in rows if k == key]
+        # the pieces of one document follow each other; repeated rows give repeated pieces
+        assert sorted(x for _, p in whole[key] for x in p) == sorted(x for v in mine for x in [*v, 1])
+        if len(mine) == 1:
+            assert [x for _, p in whole[key] for x in p] == [*mine[0], 1]
+    assert sum(len(r["tokens"]) < 16 for r in found) <= 3  # the last of each task
+    tokens_of = {r["slot"]: r["tokens"] for r in found}
     resumed = training_order.read(spark, path, 16, 10, start=13, stop=34).collect()
-    assert {r["slot"]: (r["id"], r["part"]) for r in resumed} == {s: order[s] for s in range(13, 34)}
-    shards = spark.read.format("binaryFile").load(path).select("shard", "length").collect()
+    assert {r["slot"]: r["tokens"] for r in resumed} == {s: tokens_of[s] for s in range(13, 34)}
+    shards = spark.read.format("binaryFile").load(f"{path}/shards").select("shard", "length").collect()
     assert sorted(r["shard"] for r in shards) == list(range(-(-size // 10)))
     assert all(r["length"] == training_order.stride(16) * min(10, size - 10 * r["shard"]) for r in shards)
 
 
-def test_texts_are_cut_as_their_tokens_are(spark, documents):
+def test_texts_are_packed_as_their_tokens_are(spark, documents):
     ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    docs = documents(ODD)
+    docs = documents(ODD).coalesce(1)
     tokens = byte_bpe.encode(docs, "text", ranks, pattern, ["doc_id"])
-    one = training_order.cut(tokens, "doc_id", "ids", 8, 50256).collect()
-    other = training_order.cut_texts(docs, "doc_id", "text", ranks, pattern, 8, 50256).collect()
-    assert sorted(r["record"] for r in one) == sorted(r["record"] for r in other)
+    one = training_order.pack(tokens, "doc_id", "ids", 8, 50256, 50256).collect()
+    other = training_order.pack_texts(docs, "doc_id", "text", ranks, pattern, 8, 50256, 50256).collect()
+    assert one == other
 
 
 def test_training_order_refuses_what_does_not_fit(spark):
     wide = spark.createDataFrame([(1, [70_000])], "doc_id long, ids array<int>")
     with pytest.raises(Exception, match="16 bits"):
-        training_order.cut(wide, "doc_id", "ids", 4, 0).collect()
-    empty = training_order.cut(wide.limit(0), "doc_id", "ids", 4, 0)
-    assert training_order.write(empty, scratch(spark, "none"), 4, 1) == 0
+        training_order.pack(wide, "doc_id", "ids", 4, 1, 0).collect()
+    empty = training_order.pack(wide.limit(0), "doc_id", "ids", 4, 1, 0)
+    path = scratch(spark, "none")
+    assert training_order.write(empty, path, 4, 1) == 0
+    assert training_order.read(spark, path, 4, 4).count() == training_order.segments(spark, path).count() == 0
 
 
 def test_pipeline_stages(spark):
