@@ -33,7 +33,7 @@ def flattened(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 @suite.query("""
-    SELECT substr(sha256(CAST(doc_id AS VARCHAR)), 1, 32) AS _row_id, doc_id, lang AS meta__lang,
+    SELECT substr(sha256(length(CAST(doc_id AS VARCHAR)) || ':' || CAST(doc_id AS VARCHAR)), 1, 32) AS _row_id, doc_id, lang AS meta__lang,
            source AS meta__origin__source, n_chars AS meta__origin__n_chars
     FROM documents
 """)
@@ -42,7 +42,7 @@ def relationalize_root(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LINES = """
-    SELECT doc_id, substr(sha256(CAST(doc_id AS VARCHAR)), 1, 32) AS parent,
+    SELECT doc_id, substr(sha256(length(CAST(doc_id AS VARCHAR)) || ':' || CAST(doc_id AS VARCHAR)), 1, 32) AS parent,
            unnest(string_split(text, chr(10))) AS line,
            unnest(range(len(string_split(text, chr(10))))) AS i
     FROM documents
