@@ -23,6 +23,8 @@ from lamina.llm.common import Staged, components, smallest_reached
 #: Reference points, how many of the nearest describe a vector, and how many a pair must share.
 #: At cosine 0.93 in 64 dimensions all of 4,000 random pairs share two of eight.
 PIVOTS, NEAREST, SHARED = 128, 8, 2
+#: Vectors from which pivots are taken, and the cosine that two pivots taken from them stay below.
+SAMPLE, APART = 8192, 0.7
 #: Vectors in a tile, on average.
 TILE = 512
 
@@ -34,9 +36,22 @@ def usable(vector) -> Column:
     return F.coalesce(vector.isNotNull() & finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def pivots(sample: np.ndarray, size: int, count: int) -> np.ndarray:
-    """Unit reference points of ``size`` dimensions: rows of ``sample``, then seeded random directions."""
-    own = sample[:count].astype(np.float64)
+def spread(sample: np.ndarray, count: int) -> np.ndarray:
+    """Unit rows of ``sample``, in its order, at a cosine below APART to all rows taken before.
+
+    A crowd of near copies gives one pivot; with many, its members would order almost equal pivots by noise.
+    """
+    rows = _unit(sample)
+    free, taken = np.ones(len(rows), dtype=bool), []
+    while len(taken) < count and free.any():
+        taken.append(int(free.argmax()))
+        free &= rows @ rows[taken[-1]] < APART
+        free[taken[-1]] = False
+    return rows[taken]
+
+
+def pivots(own: np.ndarray, size: int, count: int) -> np.ndarray:
+    """Unit reference points of ``size`` dimensions: those of ``own``, then seeded random directions."""
     more = np.random.default_rng(size).normal(size=(count - len(own), size))
     points = np.concatenate([own.reshape(len(own), size), more])
     return points / np.linalg.norm(points, axis=1)[:, None]
@@ -160,8 +175,8 @@ def near_duplicates(
     ``component_id`` is the smallest id reachable. Rows without a usable vector, label or id have
     no links and are their own component; repeated rows count as rows of their own.
 
-    The pivots are a sample of ``count`` vectors (smallest hash of the id) of the table, topped up
-    with random directions; all vectors are indexed.
+    The pivots come from a sample of the table (SAMPLE distinct vectors, smallest hash of the id),
+    no two of them close to each other, topped up with random directions; all vectors are indexed.
     """
     vector = vectors[vector_column]
     rows = vectors.select(
@@ -172,10 +187,13 @@ def near_duplicates(
     good = rows.where("id is not null and label is not null and vector is not null")
     classes = good.groupBy("label", "vector").agg(F.min("id").alias("rep"), F.count("*").alias("weight"))
     classes = Staged(classes, "classes", light=True).df
+    first = classes.orderBy(F.xxhash64("rep"), "rep").select("vector").limit(SAMPLE).toArrow()
     sample: dict[int, list] = {}
-    for r in classes.orderBy(F.xxhash64("rep"), "rep").select("vector").limit(count).collect():
-        sample.setdefault(len(r[0]), []).append(r[0])
-    described = _described(classes, {k: np.array(v) for k, v in sample.items()}, count, nearest)
+    for r in first.column(0):
+        row = r.values.to_numpy()
+        sample.setdefault(len(row), []).append(row)
+    own = {size: spread(np.stack(rows), count) for size, rows in sample.items()}
+    described = _described(classes, own, count, nearest)
     entries = described.withColumn("size", F.size("vector")).withColumn("pivot", F.explode("near"))
     entries = Staged(entries, "entries")
     block = ["label", "size", "pivot"]

@@ -70,6 +70,17 @@ def test_pivot_tiles_of_a_crowded_list(spark, monkeypatch):
     assert sorted(map(tuple, found), key=str) == brute_links(rows)
 
 
+def test_pivot_recall_with_a_third_near_one_vector(spark):
+    rng = np.random.default_rng(5)
+    rows = rng.normal(size=(1200, 64))
+    rows[:400] = rows[0] + 0.25 * rng.normal(size=(400, 64))
+    unit = rows.astype(np.float32).astype(np.float64)
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    want = (unit @ unit.T >= 0.93).sum() - len(rows)
+    found = pivot_dedup.near_duplicates(frame(spark, [(i, v.tolist(), 0) for i, v in enumerate(rows)]))
+    assert want > 50_000 and found.agg(F.sum("n_links")).first()[0] >= 0.99 * want
+
+
 def test_pivot_on_odd_rows(spark):
     found = sorted(map(tuple, pivot_dedup.near_duplicates(frame(spark, ODD)).collect()), key=str)
     assert found == brute_links(ODD)
