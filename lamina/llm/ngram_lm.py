@@ -6,13 +6,15 @@ behind an end token. The work goes in blocks of documents, packed as binary arra
 1. Blocks number their own words; the table of blocks is written once.
 2. Each block's distinct words go to the words' shards, which count them, give every word a
    number and answer each block with the numbers and counts of its words.
-3. Each block sends its bigrams, with the coded unigram probability and the coded weight of the
-   context, to the bigrams' shards. A shard sums the training counts, builds a trie of smoothed
-   16-bit log probabilities in a mapped file, looks up all bigrams of all blocks and sends back
-   one sum per document.
-
-Shards are by (context, word modulo 16), and repeats are summed in the block, so that a very
-frequent word or pair is spread. Nothing of the size of the vocabulary meets in one place.
+3. Each block sends its distinct bigrams and their training counts, with the coded unigram
+   probability and the coded weight of the context, to the bigrams' shards. A shard sums the
+   counts, builds a trie of smoothed 16-bit log probabilities in a mapped file, looks up the
+   bigrams and sends each block one coded log probability for each of its bigrams.
+4. Blocks multiply by the occurrences in each document, which they kept.
+
+Shards are by (context, word modulo 16 or the number of shards, if larger), and repeats are
+summed in the block: a frequent context is spread over the shards, a frequent pair is one entry
+per block. Nothing of the size of the vocabulary meets in one place.
 """
 
 from __future__ import annotations
@@ -39,7 +41,7 @@ ADD = 0.1
 STEP = 1 / 2048
 #: Tokens in a block, documents in a block, tokens for each bigram shard, documents for each word shard.
 BLOCK_TOKENS, BLOCK_DOCS, SHARD_TOKENS, SHARD_DOCS = 1 << 19, 1 << 15, 1 << 21, 8192
-#: A context's successors are dealt out in so many parts.
+#: A context's successors are dealt out in so many parts, or as many as there are shards.
 PARTS = 16
 #: The end token: no word holds white space.
 END = b" "
@@ -180,8 +182,13 @@ def _answers(words: DataFrame, shards: int) -> DataFrame:
     return words.groupBy("shard").applyInArrow(run, "block bigint, shard int, numbers binary, counts binary")
 
 
-_SENT = "shard int, block bigint, v binary, w binary, doc binary, train binary, context binary, word binary"
-_STATS = "ids array<{}>, held binary, tokens binary, known binary, base binary"
+#: Of a block's bigrams by context and word: contexts as steps, places in the distinct words (steps, too),
+#: training counts; one code per distinct context and per distinct word.
+_GRAMS = ("v", "w", "words", "train", "context", "word")
+#: What a block keeps: of each bigram, in the order sent, the number of documents; these and the occurrences in each.
+_KEPT = ("held", "tokens", "known", "base", "spread", "docs", "times")
+_SENT = "shard int, block bigint, " + ", ".join(f"{c} binary" for c in _GRAMS)
+_STATS = "ids array<{}>, " + ", ".join(f"{c} binary" for c in _KEPT)
 
 
 def _bigrams(blocks: DataFrame, total: int, distinct: int, shards: int, id_kind: str) -> DataFrame:
@@ -189,10 +196,11 @@ def _bigrams(blocks: DataFrame, total: int, distinct: int, shards: int, id_kind:
     norm = np.log10(total + ADD * (distinct + 1)) if total or distinct else np.log10(ADD)
     kinds = pa.schema(
         [("shard", pa.int32()), ("block", pa.int64())]
-        + [(c, pa.binary()) for c in ("v", "w", "doc", "train", "context", "word")]
+        + [(c, pa.binary()) for c in _GRAMS]
         + [("ids", pa.list_(_arrow(id_kind)))]
-        + [(c, pa.binary()) for c in ("held", "tokens", "known", "base")]
+        + [(c, pa.binary()) for c in _KEPT]
     )
+    spans = max(PARTS, shards)
 
     def one(row: dict) -> pa.RecordBatch:
         parts = sorted(row["parts"], key=lambda p: p["shard"])
@@ -212,19 +220,28 @@ def _bigrams(blocks: DataFrame, total: int, distinct: int, shards: int, id_kind:
         before[starts] = row["end"]
         doc = np.repeat(np.arange(len(ends), dtype=np.uint32), sizes)
         v, w = number[before], number[tokens]
-        shard = (_mixed(v * PARTS + w % PARTS) % np.uint64(shards)).astype(np.int64)
+        shard = (_mixed(v * spans + w % spans) % np.uint64(shards)).astype(np.int64)
         order = np.lexsort((doc, w, v, shard))
         v, w, doc, shard = v[order], w[order], doc[order], shard[order]
+        new = (np.diff(v, prepend=-1) != 0) | (np.diff(w, prepend=-1) != 0)
+        first, held_in = np.flatnonzero(new), np.flatnonzero(new | (np.diff(doc, prepend=doc[:1]) != 0))
+        stats |= {
+            "spread": _binary(np.diff(np.searchsorted(held_in, first), append=len(held_in)).astype("<u4")),
+            "docs": _binary(doc[held_in]), "times": _binary(np.diff(held_in, append=len(doc)).astype("<u4")),
+        }
+        train = np.add.reduceat((~held)[doc].astype("<i8"), first).astype("<u4")
+        v, w, shard, order = v[first], w[first], shard[first], order[first]
         context, word = _code(np.log10(MU / (count + MU)))[before[order]], _code(unigram)[tokens[order]]
-        train = (~held)[doc]
         bounds = np.searchsorted(shard, np.arange(shards + 1))
         out = [stats]
         for s in np.flatnonzero(np.diff(bounds)).tolist():
             p = slice(bounds[s], bounds[s + 1])
+            words, at, place = np.unique(w[p], return_index=True, return_inverse=True)
             out.append({
-                "shard": s, "block": row["block"], "v": _binary(np.diff(v[p], prepend=0).astype("<i8")), "w": _binary(w[p].astype("<i8")),
-                "doc": _binary(doc[p]), "train": _binary(np.packbits(train[p])),
-                "context": _binary(context[p]), "word": _binary(word[p]),
+                "shard": s, "block": row["block"], "v": _binary(np.diff(v[p], prepend=0).astype("<i8")),
+                "w": _binary(place.astype("<u4")), "words": _binary(np.diff(words, prepend=0).astype("<i8")),
+                "train": _binary(train[p]), "context": _binary(context[p][np.diff(v[p], prepend=-1) != 0]),
+                "word": _binary(word[p][at]),
             })
         return pa.RecordBatch.from_pylist(out, kinds)
 
@@ -237,45 +254,39 @@ def _bigrams(blocks: DataFrame, total: int, distinct: int, shards: int, id_kind:
 
 
 def _scored(sent: DataFrame, id_kind: str) -> DataFrame:
-    """(block, doc, sums) of every shard and block; rows of block statistics pass through."""
-    kinds = "block bigint, doc binary, sums binary, " + _STATS.format(id_kind)
+    """(block, part, codes) of every shard and block; rows of what blocks keep pass through."""
+    kinds = "block bigint, part int, codes binary, " + _STATS.format(id_kind)
 
     def run(group: pa.Table) -> pa.Table:
         passed = group.filter(pa.compute.is_valid(group.column("ids")))
         rows = group.filter(pa.compute.is_null(group.column("ids")))
-        out = {"block": passed.column("block").to_pylist(), "doc": [b""] * passed.num_rows, "sums": [b""] * passed.num_rows}
-        extra = {c: passed.column(c).to_pylist() + [None] * rows.num_rows for c in ("ids", "held", "tokens", "known", "base")}
+        out = {"block": passed.column("block").to_pylist(), "part": [-1] * passed.num_rows, "codes": [b""] * passed.num_rows}
+        extra = {c: passed.column(c).to_pylist() + [None] * rows.num_rows for c in ("ids", *_KEPT)}
         if rows.num_rows:
-            first = np.argsort(rows.column("block").to_numpy(), kind="stable")
-            rows = rows.take(pa.array(first))
-            v = np.concatenate([np.cumsum(_array(x, "<i8")) for x in rows.column("v").to_pylist()])
-            w = _joined(rows, "w", "<i8")
-            context, word = (_joined(rows, c, "<u2") for c in ("context", "word"))
-            docs = [_array(x, "<u4") for x in rows.column("doc").to_pylist()]
-            sizes = [len(x) for x in docs]
-            train = np.concatenate([
-                np.unpackbits(_array(t, "u1"), count=n) for t, n in zip(rows.column("train").to_pylist(), sizes)
-            ])
-            logs = _grams(v, w, context, word, train)
-            ends = np.cumsum(sizes)
-            for r, (doc, block) in enumerate(zip(docs, rows.column("block").to_pylist())):
-                sums = np.bincount(doc, weights=logs[ends[r] - sizes[r] : ends[r]])
-                touched = np.unique(doc)
-                out["block"].append(block)
-                out["doc"].append(_binary(touched.astype("<u4")))
-                out["sums"].append(_binary(sums[touched].astype("<f4")))
-        kind = {"block": pa.int64(), "ids": pa.list_(_arrow(id_kind))}
+            grams = [_unpacked(*(rows.column(c)[r].as_py() for c in _GRAMS)) for r in range(rows.num_rows)]
+            ends = np.cumsum([len(g[0]) for g in grams])
+            codes = _grams(*(np.concatenate(x) for x in zip(*grams)))
+            out["block"] += rows.column("block").to_pylist()
+            out["part"] += rows.column("shard").to_pylist()
+            out["codes"] += [_binary(x.astype("<u4")) for x in np.split(codes, ends[:-1])]
+        kind = {"block": pa.int64(), "part": pa.int32(), "ids": pa.list_(_arrow(id_kind))}
         return pa.table({c: pa.array(x, kind.get(c, pa.binary())) for c, x in {**out, **extra}.items()})
 
     return sent.groupBy("shard").applyInArrow(run, kinds)
 
 
-def _joined(rows: pa.Table, column: str, kind: str) -> np.ndarray:
-    return np.concatenate([_array(x, kind) for x in rows.column(column).to_pylist()])
+def _unpacked(v: bytes, w: bytes, words: bytes, train: bytes, context: bytes, word: bytes) -> tuple[np.ndarray, ...]:
+    """Context, word, their codes and the training count of each bigram a block sent."""
+    contexts, place = np.cumsum(_array(v, "<i8")), _array(w, "<u4")
+    which = np.cumsum(np.diff(contexts, prepend=-1) != 0) - 1
+    return (
+        contexts, np.cumsum(_array(words, "<i8"))[place], _array(context, "<u2")[which], _array(word, "<u2")[place],
+        _array(train, "<u4"),
+    )
 
 
 def _grams(v, w, context, word, train) -> np.ndarray:
-    """Log10 probability of each bigram occurrence, by a trie of the occurrences marked ``train``."""
+    """Coded log10 probability of each block's bigrams, by a trie of those with training counts ``train``."""
     order = np.lexsort((w, v))
     new = np.empty(len(v), "?")
     new[:1] = True
@@ -286,12 +297,12 @@ def _grams(v, w, context, word, train) -> np.ndarray:
     # p(w | v) = weight of the unigram * (p(w) + c(v, w) / MU)
     smoothed = _log(context[first]) + np.log10(10 ** _log(word[first]) + counts / MU)
     seen = counts > 0
-    result = _log(context[first]) + _log(word[first])
+    result = context[first].astype(np.int64) + word[first]
     with tempfile.TemporaryDirectory(prefix="ngrams-") as folder:
         layout = Trie.write(f"{folder}/trie", v[first][seen], w[first][seen], _code(smoothed[seen]))
         trie = Trie(f"{folder}/trie", layout)
         at = trie.find(v[first], w[first])
-        result[at >= 0] = _log(trie.codes[at[at >= 0]])
+        result[at >= 0] = trie.codes[at[at >= 0]]
         del trie
     return result[gram]
 
@@ -325,12 +336,12 @@ def score(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
 
     def run(group: pa.Table) -> pa.Table:
         stats = group.filter(pa.compute.is_valid(group.column("ids")))
-        ids, held, tokens, known, base = (stats.column(c)[0].as_py() for c in ("ids", "held", "tokens", "known", "base"))
-        sums = np.zeros(len(ids))
-        # the same order of additions in every run
-        parts = sorted(p for p in zip(group.column("doc").to_pylist(), group.column("sums").to_pylist()) if p[0])
-        for doc, part in parts:
-            sums[_array(doc, "<u4")] += _array(part, "<f4")
+        ids, held, tokens, known, base, *kept = (stats.column(c)[0].as_py() for c in ("ids", *_KEPT))
+        spread, docs, times = (_array(x, "<u4") for x in kept)
+        # bigrams were sent by shard; sums of whole codes are exact
+        parts = sorted(p for p in zip(group.column("part").to_pylist(), group.column("codes").to_pylist()) if p[0] >= 0)
+        codes = np.repeat(np.concatenate([_array(x, "<u4") for _, x in parts]).astype(np.int64), spread)
+        sums = _log(np.bincount(docs, weights=codes * times, minlength=len(ids)))
         return pa.table({
             "id": pa.array(ids, _arrow(id_kind)), "held_out": _array(held, "?"),
             "n_tokens": _array(tokens, "<i8"), "n_known": _array(known, "<i8"),

@@ -133,6 +133,18 @@ def test_language_model_scores(documents, rows):
         assert abs(have[6] - expected[6]) <= expected[2] * ngram_lm.STEP * 1.01
 
 
+def test_language_model_sends_a_pair_once_per_block(documents, monkeypatch):
+    sent, scored = [], ngram_lm._scored
+    monkeypatch.setattr(ngram_lm, "_scored", lambda df, kind: sent.append(df) or scored(df, kind))
+    rows = [(k, "a b " * 500 + f"c{k % 3}") for k in range(40)]
+    found = ngram_lm.score(documents(rows).repartition(4)).collect()
+    for have, expected in zip(sorted(map(tuple, found)), sorted(brute_scores(rows))):
+        assert have[:5] == expected[:5] and abs(have[6] - expected[6]) <= expected[2] * ngram_lm.STEP * 1.01
+    lists = [ngram_lm._array(r[0], "<i8") for r in sent[0].where("v is not null").select("v").collect()]
+    # end a, a b, b a, b c0, b c1, b c2, c0 end, c1 end, c2 end
+    assert sum(map(len, lists)) <= 4 * 9
+
+
 def test_language_model_of_an_empty_table(documents):
     assert ngram_lm.score(documents(ODD).limit(0)).count() == 0
 
