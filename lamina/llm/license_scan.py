@@ -2,8 +2,8 @@
 
 Templates are cut into word k-grams; of each window of consecutive k-grams the one with the
 smallest hash is kept. These fingerprints form an inverted index. A document's k-grams that are
-in the index name (template, diagonal) candidates, and a local alignment in a band around the
-diagonal reports which share of the template is there and where.
+in the index name (template, diagonal) candidates, and local alignments in a band around the
+diagonal report which share of the template is there and where, for each copy in the band.
 """
 
 from __future__ import annotations
@@ -120,8 +120,11 @@ class Index:
                     start = high
         return found
 
-    def align(self, name: str, diagonal: int, words: list[str]) -> tuple[int, int, int]:
-        """Best local alignment in the band: matched words, first and last document word (inclusive)."""
+    def align(self, name: str, diagonal: int, words: list[str], low: int, high: int) -> tuple[int, int, int]:
+        """Best local alignment in the band with document words from ``low`` to ``high`` (exclusive).
+
+        Returns matched words, first and last document word (inclusive).
+        """
         template = self.words[name]
         width = 2 * BAND + 1
         # state: score, matched words, first and last matched document word
@@ -131,7 +134,7 @@ class Index:
             row = [nothing] * (width + 2)
             for k in range(1, width + 1):
                 j = diagonal + i + k - 1 - BAND
-                if not 0 <= j < len(words):
+                if not low <= j < high:
                     continue
                 score, matched, first, last = above[k]
                 if words[j] == wanted:
@@ -148,13 +151,26 @@ class Index:
             above = row
         return best[1:]
 
+    def copies(self, name: str, diagonal: int, words: list[str], least: float) -> list[tuple[int, int, int]]:
+        """Alignments in the band that cover ``least`` of the template: the best one, then left and right of it."""
+        size = len(self.words[name])
+        found, left = [], [(max(0, diagonal - BAND), min(len(words), diagonal + size + BAND))]
+        while left:
+            low, high = left.pop()
+            if high - low < max(1, least * size):
+                continue
+            matched, first, last = self.align(name, diagonal, words, low, high)
+            if matched >= max(1, least * size):
+                found.append((matched, first, last))
+                left += [(low, first), (last + 1, high)]
+        return found
+
     def matches(self, text: str | None, least: float) -> list[dict]:
         """Matches that cover ``least`` of their template, by place; overlaps go to the most words."""
         words = split(text or "")
         found = []
         for name, diagonal in self.candidates(words):
-            matched, first, last = self.align(name, diagonal, words)
-            if matched >= least * len(self.words[name]):
+            for matched, first, last in self.copies(name, diagonal, words, least):
                 found.append((matched, matched / len(self.words[name]), name, first, last))
         found.sort(key=lambda m: (-m[0], -m[1], m[3], m[2]))
         kept: list[tuple] = []

@@ -228,6 +228,16 @@ def test_licenses_are_found_with_their_spans(documents):
     assert found[5][0] == 2 and found[6][:3] == (1, "MIT-text", 1.0)
 
 
+@pytest.mark.parametrize("copies", [2, 4, 9])
+def test_consecutive_copies_of_a_notice_count_each(copies):
+    index = license_scan.Index(license_scan.TEMPLATES)
+    for name, notice in license_scan.TEMPLATES.items():
+        found = index.matches("\n".join([notice] * copies), 0.8)
+        assert [m["license"] for m in found] == [name] * copies
+        assert [m["coverage"] for m in found] == [1.0] * copies
+        assert [m["start"] for m in found] == [i * (len(notice) + 1) for i in range(copies)]
+
+
 def test_license_scan_of_odd_rows(documents):
     found = scanned(documents, ODD)
     assert all(v == (0, None, None, None, None) for v in found.values())
