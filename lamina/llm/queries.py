@@ -10,8 +10,11 @@ from lamina.llm import (
     byte_bpe,
     fair_mix,
     license_scan,
+    merkle_manifest,
     ngram_lm,
+    periodic_runs,
     pivot_dedup,
+    prefix_bpe,
     simhash_tiles,
     toxicity,
     training_order,
@@ -190,3 +193,49 @@ URL_RULES = [
 def op10_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = url_templates.judge(table(spark, sf_dir, "pages"), URL_RULES)
     return found.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict", "template", "purity")
+
+
+@suite.query()
+def op11_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return prefix_bpe.digests(table(spark, sf_dir, "documents"), "doc_id", "text", public_tokenizers.path("word_bpe_49k.json"))
+
+
+def planted_repeats(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text) with a tenth of the texts made periodic from some word on.
+
+    With h the checksum of the id and g = h // 10, texts with h % 10 = 0 and n > 0 words repeat from word
+    a = g % n on, with period p = 1 + (n - a) // (3 + g % 8), up to their n words.
+    """
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
+    docs = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, words).alias("words"))
+    n, g = F.size("words"), F.floor(F.col("h") / 10)
+    docs = docs.withColumns({"n": n, "a": (g % n).cast("int"), "g": g})
+    docs = docs.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    times = F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")
+    period = F.slice("words", F.col("a") + 1, F.col("p"))
+    text = F.concat(F.slice("words", F.lit(1), F.col("a")), F.flatten(F.array_repeat(period, times)))
+    text = F.array_join(F.slice(text, F.lit(1), F.col("n")), " ")
+    return docs.select("doc_id", F.when(F.col("n") > 0, text).otherwise(F.col("text")).alias("text"))
+
+
+@suite.query()
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return periodic_runs.digests(planted_repeats(table(spark, sf_dir, "documents")), "doc_id", "text")
+
+
+@suite.query()
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of all documents; where 7 divides the id's checksum, n_chars of the verified copy is one more."""
+    ship(spark)
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    altered = ["doc_id", "source", "lang", F.col("n_chars") + 1, "text"]
+    copy = F.when(id_remainder("doc_id", 7) == 0, merkle_manifest.leaf(altered))
+    found = merkle_manifest.manifest(table(spark, sf_dir, "documents"), "doc_id", "lang", columns, copy)
+    return found.select(
+        "doc_id", "leaf", "subroot", "root",
+        F.sha2(F.col("siblings").cast("binary"), 256).alias("proof_sha256"),
+        "folded_root", "verified",
+    )
