@@ -7,6 +7,7 @@ replaces its own output instead of adding to it.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,8 +38,8 @@ def run_available(
     sink: Callable[[DataFrame, int], None],
     checkpoint: str,
     output_mode: str = "append",
-) -> None:
-    """Process what is available, batch by batch, then stop."""
+) -> list[dict]:
+    """Process what is available, batch by batch, then stop; returns the progress of the last batches."""
     query = (
         stream.writeStream.foreachBatch(sink)
         .outputMode(output_mode)
@@ -47,6 +48,7 @@ def run_available(
         .start()
     )
     query.awaitTermination()
+    return [json.loads(progress.json) for progress in query.recentProgress]
 
 
 def batch_table(path: str) -> Callable[[DataFrame, int], None]:

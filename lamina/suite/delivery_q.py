@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +12,7 @@ from lamina.functions.literals import literal
 from lamina.operators import export, loads, maintenance, telemetry
 from lamina.operators.export import Publish
 from lamina.session import scratch
-from lamina.streaming import batches
+from lamina.streaming import batches, windows
 from lamina.suite import Suite, table
 
 suite = Suite()
@@ -244,21 +244,30 @@ def run_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM events GROUP BY ALL
 """)
 def stream_event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily counts kept up to date by a stream over event files."""
-    source, out = scratch(spark, "stream-in"), scratch(spark, "stream-out")
+    """Daily counts of a stream over event files: closed days as emitted, open ones from the state."""
+    source, out, checkpoint = (scratch(spark, f"stream-{part}") for part in ("in", "out", "state"))
     events = table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
-    # one drop of event files per event type
-    events.write.partitionBy("event_type").parquet(source)
-    stream = batches.read_files(spark, source, events.schema, max_files=2)
-    # the files hold whole types, so the times start again with each file
-    counts = batches.windowed_counts(stream, "ts", "1 day", ["event_type"], "3650 days")
-    counts = counts.withColumn("day", F.date_format("window_start", "yyyy-MM-dd"))
-    sink = batches.upsert_table(out, counts.schema, ["window_start", "event_type"], ["day"], ["n"])
-    batches.run_available(counts, sink, scratch(spark, "stream-state"), "update")
-    found = loads.read_table(spark, out, counts.schema)
+    for arrived in thirds_of_january(events):
+        arrived.write.mode("append").parquet(source)
+        counts = windows.closing_counts(
+            batches.read_files(spark, source, events.schema), "ts", "1 day", ["event_type"], "2 days"
+        )
+        batches.run_available(counts, batches.batch_table(out), checkpoint)
+    closed = spark.read.parquet(out).drop(batches.BATCH)
+    found = closed.unionByName(windows.open_windows(spark, checkpoint, ["event_type"]))
     return found.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "n")
 
 
+def third_of_january(time: str = "ts"):
+    """0, 1 or 2: events of the tables lie in January 2024; those of other times count to the ends."""
+    days = F.date_diff(F.col(time).cast("date"), F.lit(date(2024, 1, 1)))
+    return F.greatest(F.lit(0), F.least(F.lit(2), F.floor(days / 10))).cast("int")
+
+
+def thirds_of_january(events: DataFrame) -> list[DataFrame]:
+    return [events.where(third_of_january() == n) for n in range(3)]
+
+
 @suite.query("""
     SELECT event_type AS topic, count(*) AS messages, max(event_id) + 1 AS next_offset
     FROM events GROUP BY 1
@@ -295,3 +304,91 @@ def stream_late_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         arrived.write.mode("append").parquet(source)
         batches.run_available(batches.read_files(spark, source, events.schema), sink, checkpoint)
     return loads.read_table(spark, out, events.schema)
+
+
+ARRIVALS = """
+    placed AS (
+        SELECT *, greatest(0, least(2, date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) // 10)) AS third FROM events),
+    arrivals AS (
+        SELECT *, CASE WHEN event_id % 50 = 0 THEN least(2, third + 1) ELSE third END AS arrival FROM placed),
+    marked AS (
+        SELECT a.*, (SELECT max(e.ts) FROM arrivals e WHERE e.arrival < a.arrival) - INTERVAL 2 DAY AS mark
+        FROM arrivals a)
+"""
+
+
+@suite.query(f"""
+    WITH {ARRIVALS}, judged AS (
+        SELECT *, coalesce(ts < mark, false) AS late,
+            date_trunc('day', ts) + INTERVAL 1 DAY <= max(ts) FILTER (NOT coalesce(ts < mark, false)) OVER ()
+                - INTERVAL 2 DAY AS closed
+        FROM marked)
+    SELECT CASE WHEN late THEN 'late' WHEN closed THEN 'closed' ELSE 'open' END AS kind,
+           date_trunc('day', ts) AS day, event_type, count(*) AS n
+    FROM judged GROUP BY ALL
+""")
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily counts of what came in time, closed and open, and counts of the side table of late rows.
+
+    One event in fifty arrives ten days late, two are allowed.
+    """
+    source, routed, out, route_state, state = (scratch(spark, "stream-late") for _ in range(5))
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
+    third = third_of_january()
+    arrival = F.when(F.col("event_id") % 50 == 0, F.least(F.lit(2), third + 1)).otherwise(third)
+    sink = windows.route_late_rows(routed, "ts", "2 days")
+    for n in range(3):
+        events.where(arrival == n).write.mode("append").parquet(source)
+        batches.run_available(batches.read_files(spark, source, events.schema), sink, route_state)
+        rows = windows.punctual_rows(spark, routed, events.schema, "ts")
+        counts = windows.closing_counts(rows, "ts", "1 day", ["event_type"], "2 days")
+        batches.run_available(counts, batches.batch_table(out), state)
+    late = windows.late_rows(spark, routed, events.schema, "ts")
+    late = late.groupBy(F.date_trunc("day", "ts").alias("window_start"), "event_type").agg(F.count(F.lit(1)).alias("n"))
+    kinds = {
+        "closed": spark.read.parquet(out), "open": windows.open_windows(spark, state, ["event_type"]), "late": late,
+    }
+    parts = [
+        df.select(F.lit(kind).alias("kind"), F.col("window_start").cast("timestamp_ntz").alias("day"), "event_type", "n")
+        for kind, df in kinds.items()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@suite.query("""
+    WITH steps AS (
+        SELECT user_id, ts, CASE WHEN ts < lag(ts) OVER w + INTERVAL 6 HOUR THEN 0 ELSE 1 END AS opens
+        FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+    numbered AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS session FROM steps)
+    SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 6 HOUR AS session_end, count(*) AS n
+    FROM numbered GROUP BY user_id, session
+    HAVING max(ts) + INTERVAL 6 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY
+""")
+def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions of users (six hours apart) that have closed, over three runs of a stream."""
+    source, out, state = (scratch(spark, "stream-sessions") for _ in range(3))
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id")
+    for arrived in thirds_of_january(events):
+        arrived.write.mode("append").parquet(source)
+        stream = batches.read_files(spark, source, events.schema)
+        sessions = windows.closing_sessions(stream, "ts", "6 hours", ["user_id"], "1 day")
+        batches.run_available(sessions, batches.batch_table(out), state)
+    times = {c: F.col(c).cast("timestamp_ntz") for c in ("session_start", "session_end")}
+    return spark.read.parquet(out).drop(batches.BATCH).withColumns(times)
+
+
+@suite.query("SELECT event_id, event_type FROM events")
+def stream_first_occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the events comes twice in one run and again in the next; each is kept once."""
+    source, out, state = (scratch(spark, "stream-first") for _ in range(3))
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
+    again = None
+    for arrived in thirds_of_january(events):
+        repeated = arrived.where("event_id % 10 = 3")
+        files = arrived.unionByName(repeated)
+        (files.unionByName(again) if again else files).write.mode("append").parquet(source)
+        again = repeated
+        stream = batches.read_files(spark, source, events.schema)
+        first = windows.first_occurrences(stream, ["event_id"], "ts", "15 days")
+        batches.run_available(first, batches.batch_table(out), state)
+    return spark.read.parquet(out).select("event_id", "event_type")
