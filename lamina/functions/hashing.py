@@ -21,7 +21,7 @@ def artifact_id(run_id: Column, path: Column) -> Column:
     return F.substring(F.sha2(F.concat_ws(":", run_id, path), 256), 1, 24)
 
 
-def _row_hash(df: DataFrame) -> Column:
+def row_hash(df: DataFrame) -> Column:
     """64-bit hash of the row, columns in name order; null positions change the hash."""
     parts = []
     for name in sorted(df.columns):
@@ -36,7 +36,7 @@ def table_checksum(df: DataFrame) -> DataFrame:
     The xor alone cancels out pairs of equal rows, so the exact sum of the hashes
     goes with it. Both are partial aggregates: each task sends one row.
     """
-    hashed = df.select(_row_hash(df).alias("h"))
+    hashed = df.select(row_hash(df).alias("h"))
     return hashed.agg(
         F.count(F.lit(1)).alias("row_count"),
         F.bit_xor("h").alias("hash_xor"),
