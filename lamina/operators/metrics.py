@@ -13,6 +13,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lamina.operators.loads import LoadResult, load
 from lamina.operators.parity import row_differences
@@ -36,6 +37,7 @@ class Metric:
     dimensions: tuple[Dimension, ...] = ()
     filters: tuple[str, ...] = ()
     rolling_periods: int | None = None  # cumulative_rolling: None accumulates from the start
+    rolling_days: int | None = None  # cumulative_rolling: days of calendar time up to each row's
 
     def __post_init__(self):
         if not re.fullmatch(r"[A-Za-z_]\w*", self.name):
@@ -49,6 +51,9 @@ class Metric:
             raise ValueError(f"{self.name}: repeated dimension")
         if self.aggregation == "cumulative_rolling" and self.time_dimension is None:
             raise ValueError(f"{self.name}: cumulative_rolling needs a time dimension")
+        spans = [n for n in (self.rolling_periods, self.rolling_days) if n is not None]
+        if len(spans) > 1 or any(n < 1 for n in spans):
+            raise ValueError(f"{self.name}: rolling takes one number of periods or days")
 
     @property
     def id(self) -> str:
@@ -73,7 +78,10 @@ class Metric:
     @property
     def definition_hash(self) -> str:
         """One hash of the whole definition, filters included."""
-        return hashlib.sha256(json.dumps(asdict(self), sort_keys=True).encode()).hexdigest()
+        spec = asdict(self)
+        if self.rolling_days is None:
+            del spec["rolling_days"]
+        return hashlib.sha256(json.dumps(spec, sort_keys=True).encode()).hexdigest()
 
     @property
     def table_name(self) -> str:
@@ -87,7 +95,7 @@ def metric_from_dict(spec: Mapping) -> Metric:
     filters = tuple(f["predicate"] if isinstance(f, Mapping) else f
                     for f in spec.get("filters") or ())
     return Metric(spec["domain"], spec["name"], spec["query_ref"], spec["aggregation"], dims,
-                  filters, spec.get("rolling_periods"))
+                  filters, spec.get("rolling_periods"), spec.get("rolling_days"))
 
 
 def discover(package: str, pattern: str = "*") -> list[Metric]:
@@ -139,30 +147,63 @@ def compute(df: DataFrame, metric: Metric) -> DataFrame:
 def _accumulate(grouped: DataFrame, metric: Metric) -> DataFrame:
     """Running or rolling total over the time dimension within the other dimensions.
 
-    Times of any ordered type are dealt into ranges first. A window holds the rows of one
-    range, or one total per range; neither holds a dimension tuple's whole history.
+    Times of any ordered type are dealt into ranges first. A window holds the rows of one range and,
+    for rolling totals, the rows of the neighbouring one that its first rows still count; it never
+    holds a dimension tuple's whole history.
     """
     time = metric.time_dimension
     others = [d for d in metric.dims if d != time]
     name = metric.name
-    ranged = grouped.repartitionByRange(*others, time).withColumn("__range", F.spark_partition_id())
-    ranged = staged(ranged, "running")
+    if metric.rolling_days is not None:
+        return _rolling(grouped, others, *_calendar(grouped, time, metric.rolling_days), name).select(*metric.dims, name)
+    ranged = dealt(grouped, others, time)
     if metric.rolling_periods is None:
-        before = _before(ranged, F.col(name), others, time)
+        before = before_in_order(ranged, F.col(name), others, time)
         return before.select(*metric.dims, (F.col("__before") + F.col(name)).alias(name))
-    # every row counts for itself and for the following rows of its period
-    placed = _before(ranged, F.lit(1), others, time)
-    offset = F.explode(F.sequence(F.lit(0), F.lit(metric.rolling_periods - 1)))
-    spread = placed.select("*", offset.alias("__offset")).withColumn("__place", F.col("__before") + F.col("__offset"))
-    own = F.col("__offset") == 0
-    totals = spread.groupBy(*others, "__place").agg(
-        F.sum(name).alias(name), F.max(F.when(own, F.struct(F.col(time).alias("t")))).alias("__own")
-    )
-    columns = [F.col("__own.t").alias(d) if d == time else F.col(d) for d in metric.dims]
-    return totals.filter(F.col("__own").isNotNull()).select(*columns, name)
+    placed = before_in_order(ranged, F.lit(1), others, time)
+    return _rolling(placed, others, F.col("__before"), metric.rolling_periods, name).select(*metric.dims, name)
+
+
+#: Places that a range of rolling totals holds at least.
+PLACES = 4096
+
+
+def _calendar(rows: DataFrame, time: str, days: int) -> tuple[Column, int]:
+    """A time dimension as a number, and ``days`` in its unit."""
+    kind, column = rows.schema[time].dataType, F.col(time)
+    if isinstance(kind, T.DateType):
+        return F.unix_date(column).cast("bigint"), days
+    if isinstance(kind, T.TimestampNTZType):
+        column = column.cast("timestamp")
+    elif not isinstance(kind, T.TimestampType):
+        raise ValueError(f"{time}: calendar time needs dates or times, not {kind.simpleString()}")
+    return F.unix_micros(column), days * 86_400_000_000
+
+
+def _rolling(rows: DataFrame, others: Sequence[str], place: Column, reach: int, name: str) -> DataFrame:
+    """``rows`` with ``name`` summed over the places from ``reach`` - 1 before each row's place.
+
+    Places are cut into ranges as long as the reach; each range also gets the rows of the one before
+    that its first places reach, so a row is copied once at most. Rows without a place
+    count among themselves.
+    """
+    width = max(reach, PLACES)
+    own = F.floor(F.col("__place") / width)
+    ahead = F.floor((F.col("__place") + reach - 1) / width)
+    copies = F.when(F.col("__place").isNull(), F.array(own)).otherwise(F.array_distinct(F.array(own, ahead)))
+    spread = rows.withColumn("__place", place).withColumn("__own", own).withColumn("__part", F.explode(copies))
+    window = W.partitionBy(*others, "__part").orderBy("__place").rangeBetween(1 - reach, W.currentRow)
+    summed = spread.withColumn(name, F.sum(name).over(window))
+    return summed.where(F.col("__part").eqNullSafe(F.col("__own"))).drop("__place", "__own", "__part")
+
+
+def dealt(rows: DataFrame, others: Sequence[str], order: str) -> DataFrame:
+    """``rows`` in ranges of ``others`` and ``order``, written once, with the number of the range."""
+    ranged = rows.repartitionByRange(*others, order).withColumn("__range", F.spark_partition_id())
+    return staged(ranged, "running")
 
 
-def _before(ranged: DataFrame, value: Column, others: Sequence[str], order: str) -> DataFrame:
+def before_in_order(ranged: DataFrame, value: Column, others: Sequence[str], order: str) -> DataFrame:
     """``ranged`` plus ``__before``: the total of ``value`` over all earlier rows of the same ``others``."""
     earlier = (W.unboundedPreceding, -1)
     rows = ranged.withColumn("__value", value)

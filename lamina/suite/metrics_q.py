@@ -38,6 +38,7 @@ BUYERS = metric("buyers", "count_distinct", "customer_id")
 AVERAGE = metric("average_cents", "average", "cents", dims=(Dimension("order_date", True),))
 RUNNING = metric("running", "cumulative_rolling")
 QUARTERLY = metric("quarterly", "cumulative_rolling", rolling_periods=3)
+NINETY_DAYS = metric("ninety_days", "cumulative_rolling", "cents", (Dimension("status"), Dimension("order_date", True)), rolling_days=90)
 TOTAL = metric("grand_total", "sum", dims=())
 
 
@@ -112,6 +113,16 @@ def metric_rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(metrics.compute(mart(spark, sf_dir), QUARTERLY), "quarterly")
 
 
+@suite.query(f"""
+    SELECT status, order_date, CAST(sum(sum(cents)) OVER (PARTITION BY status ORDER BY order_date
+        RANGE BETWEEN INTERVAL 89 DAY PRECEDING AND CURRENT ROW) AS BIGINT) AS ninety_days
+    FROM ({MART}) GROUP BY status, order_date
+""")
+def metric_rolling_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of 90 days of calendar time; days without orders count as time."""
+    return metrics.compute(mart(spark, sf_dir), NINETY_DAYS)
+
+
 @suite.query(f"""
     SELECT 'metric.sales.buyers' AS metric_name, 'gauge' AS metric_type, priority, order_month,
            CAST(count(DISTINCT customer_id) AS DOUBLE) AS value

@@ -18,6 +18,7 @@ from lamina.operators import (
     metrics,
     normalize,
     relational,
+    sketches,
 )
 from lamina.operators.contracts import ColumnContract
 from lamina.operators.export import Publish
@@ -501,12 +502,9 @@ def schema_evolution_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM orders GROUP BY 1
 """)
 def quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Quantiles with an accuracy beyond the number of rows are exact."""
-    price = table(spark, sf_dir, "orders").groupBy("o_orderpriority")
-    return price.agg(*[
-        F.percentile_approx("o_totalprice", q, 10_000_000).alias(name)
-        for q, name in ((0.25, "low"), (0.5, "middle"), (0.9, "high"))
-    ])
+    """Exact quantiles from counted values in sorted ranges."""
+    wanted = {"low": 0.25, "middle": 0.5, "high": 0.9}
+    return sketches.exact_quantiles(table(spark, sf_dir, "orders"), ["o_orderpriority"], "o_totalprice", wanted)
 
 
 @suite.query("""
