@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from lamina import storage
 from lamina.functions.masks import mask, unmask_for
 from lamina.operators.loads import load, read_table
-from lamina.operators.skew import lookup_join
+from lamina.operators.skew import hot_hashes, lookup_join
 from lamina.session import scratch
 
 # weakest to strictest
@@ -125,12 +125,16 @@ def retain(df: DataFrame, column: str, retention_days: int, reference: date) ->
 
 def erase_where(df: DataFrame, conditions: Mapping[str, object]) -> DataFrame:
     """Drop the rows equal to all ``conditions`` (None matches null)."""
+    return df.filter(~_equal_all(conditions))
+
+
+def _equal_all(conditions: Mapping[str, object]) -> Column:
     if not conditions:
         raise ValueError("erasure needs at least one condition")
     hit = F.lit(True)
     for name, value in conditions.items():
         hit = hit & F.col(name).eqNullSafe(F.lit(value))
-    return df.filter(~hit)
+    return hit
 
 
 def erase_ids(df: DataFrame, id_column: str, ids: DataFrame) -> DataFrame:
@@ -165,39 +169,38 @@ def delete_rows(
     path: str,
     schema: T.StructType,
     gone: Callable[[DataFrame], DataFrame],
+    kept: Callable[[DataFrame], DataFrame],
     partition_columns: Sequence[str] = (),
 ) -> int:
-    """Delete from a stored table the rows that ``gone`` picks; returns their number.
+    """Delete rows from a stored table; returns their number.
 
-    ``gone`` maps the table to the rows to delete and may filter or semi-join. Only partitions
-    that hold such rows are read again and rewritten; those left empty are removed. Equal rows
-    go together: what is picked once is deleted wherever it occurs in the partition.
+    ``gone`` maps the table to the rows to delete and ``kept`` to all others; both filter it or join it by
+    key. Rows are never compared as a whole, so columns of any type are allowed. Only partitions that hold rows
+    to delete are read again and rewritten; those left empty are removed. When nothing is to be
+    deleted nothing is written, so a run that is repeated changes nothing.
     """
     parts, folder = list(partition_columns), scratch(spark, "delete")
     table = read_table(spark, path, schema)
-    names = schema.names
     try:
-        gone(table).select(*names).write.parquet(f"{folder}/gone")
-        picked = read_table(spark, f"{folder}/gone", schema)
-        count = picked.count()
+        # only the columns that decide, and one row per partition
+        counts = gone(table).groupBy(*[F.col(c).alias(f"__{c}") for c in parts]).agg(F.count(F.lit(1)).alias("__n"))
+        counts.write.parquet(f"{folder}/touched")
+        touched = spark.read.schema(counts.schema).parquet(f"{folder}/touched")
+        count = touched.agg(F.coalesce(F.sum("__n"), F.lit(0))).first()[0]
         if not count:
             return 0
-        touched = picked.select(*[F.col(c).alias(f"__{c}") for c in parts]).distinct()
+        touched = touched.drop("__n")
         same = F.lit(True)
         for c in parts:
             same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
         rows = table.join(touched, same, "left_semi") if parts else table
-        keys = [F.col(c).alias(f"__{c}") for c in names]
-        equal = F.lit(True)
-        for c in names:
-            equal = equal & F.col(c).eqNullSafe(F.col(f"__{c}"))
-        rows.join(picked.select(*keys).distinct(), equal, "left_anti").write.parquet(f"{folder}/kept")
-        kept = read_table(spark, f"{folder}/kept", schema)
+        kept(rows).select(*[F.col(f"`{c}`") for c in schema.names]).write.parquet(f"{folder}/kept")
+        left = read_table(spark, f"{folder}/kept", schema)
         if not parts:
-            load(kept, path, "full_refresh")
+            load(left, path, "full_refresh")
             return count
-        load(kept, path, "partition_overwrite", parts)
-        empty = touched.join(kept.select(*parts).distinct(), same, "left_anti")
+        load(left, path, "partition_overwrite", parts)
+        empty = touched.join(left.select(*parts).distinct(), same, "left_anti")
         for row in empty.select(*[F.col(f"__{c}").cast("string") for c in parts]).toLocalIterator():
             storage.delete(spark, storage.partition_path(spark, path, parts, row))
         return count
@@ -205,24 +208,93 @@ def delete_rows(
         storage.delete(spark, folder)
 
 
+def delete_where(
+    spark: SparkSession, path: str, schema: T.StructType, hit: Column, partition_columns: Sequence[str] = ()
+) -> int:
+    """Delete the rows of a stored table for which ``hit`` is true; where it is null they stay."""
+    return delete_rows(
+        spark, path, schema, lambda t: t.filter(hit), lambda t: t.filter(~F.coalesce(hit, F.lit(False))), partition_columns
+    )
+
+
 def apply_retention(
     spark: SparkSession, path: str, schema: T.StructType, column: str, retention_days: int,
     reference: date, partition_columns: Sequence[str] = (),
 ) -> int:
     """Delete rows older than the retention period from a stored table."""
-    old = expired(column, retention_days, reference)
-    return delete_rows(spark, path, schema, lambda t: t.filter(old), partition_columns)
+    return delete_where(spark, path, schema, expired(column, retention_days, reference), partition_columns)
+
+
+def apply_erasure_where(
+    spark: SparkSession, path: str, schema: T.StructType, conditions: Mapping[str, object],
+    partition_columns: Sequence[str] = (),
+) -> int:
+    """Delete the rows of a stored table that equal all ``conditions`` (None matches null)."""
+    return delete_where(spark, path, schema, _equal_all(conditions), partition_columns)
 
 
 def apply_erasure(
     spark: SparkSession, path: str, schema: T.StructType, id_column: str, ids: DataFrame,
     partition_columns: Sequence[str] = (),
 ) -> int:
-    """Delete the rows of the listed ids from a stored table."""
+    """Delete the rows of the listed ids from a stored table; rows without an id stay."""
     listed = ids.select(F.col(ids.columns[0]).alias(id_column)).distinct()
+    # the few hot ids are looked for once, in the whole table
+    hot = hot_hashes(read_table(spark, path, schema), [id_column])
     return delete_rows(
-        spark, path, schema, lambda t: lookup_join(t, listed, [id_column], "left_semi"), partition_columns
-    )
+        spark, path, schema,
+        lambda t: lookup_join(t, listed, [id_column], "left_semi", hot=hot),
+        lambda t: lookup_join(t, listed, [id_column], "left_anti", hot=hot),
+        partition_columns,
+    )
+
+
+@dataclass(frozen=True)
+class StoredTable:
+    path: str
+    schema: T.StructType
+    partition_columns: tuple[str, ...] = ()
+
+
+def erase_stored_tree(
+    spark: SparkSession, tables: Mapping[str, StoredTable], links: Sequence[tuple[str, str, str, str]],
+    root: str, id_column: str, ids: DataFrame,
+) -> dict[str, int]:
+    """Delete ids from the stored table ``root`` and, level by level, all rows that refer to a deleted one.
+
+    ``links`` holds (child table, its referring column, parent table, referred column), parents before their
+    children; a table may refer to several parents. The keys of all levels are written down first, then the
+    tables are rewritten from the last child to the root: a run that was broken off is repeated as a
+    whole, since the parents that name the rest are still there. Returns the rows deleted by table.
+    """
+    folder = scratch(spark, "erase-tree")
+
+    def noted(keys: DataFrame, name: str) -> DataFrame:
+        keys.distinct().write.parquet(f"{folder}/{name}")
+        return spark.read.schema(keys.schema).parquet(f"{folder}/{name}")
+
+    def stored(name: str) -> DataFrame:
+        return read_table(spark, tables[name].path, tables[name].schema)
+
+    try:
+        steps = [(root, id_column, noted(ids.select(F.col(ids.columns[0]).alias(id_column)), "ids"))]
+        for n, (child, column, parent, referred) in enumerate(links):
+            found = None
+            for name, key, keys in steps:
+                if name == parent:
+                    gone = lookup_join(stored(parent), keys, [key], "left_semi")
+                    gone = gone.select(F.col(referred).alias(column)).where(F.col(column).isNotNull())
+                    found = gone if found is None else found.unionByName(gone)
+            if found is None:
+                raise ValueError(f"{child} comes before its parent {parent}")
+            steps.append((child, column, noted(found, f"link-{n}")))
+        counts = dict.fromkeys([name for name, _, _ in steps], 0)
+        for name, key, keys in reversed(steps):
+            t = tables[name]
+            counts[name] += apply_erasure(spark, t.path, t.schema, key, keys, t.partition_columns)
+        return counts
+    finally:
+        storage.delete(spark, folder)
 
 
 def erase_tree(tables: Mapping[str, DataFrame], links: Sequence[tuple[str, str, str, str]],

@@ -44,6 +44,15 @@ def hot_hashes(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None)
     return [item["item"] for item in found["top"] or [] if item["count"] > limit]
 
 
+def _holds_map(dtype: T.DataType) -> bool:
+    """Maps cannot be hashed, at any depth."""
+    if isinstance(dtype, T.ArrayType):
+        return _holds_map(dtype.elementType)
+    if isinstance(dtype, T.StructType):
+        return any(_holds_map(f.dataType) for f in dtype.fields)
+    return isinstance(dtype, (T.MapType, T.VariantType))
+
+
 def lookup_join(
     left: DataFrame,
     right: DataFrame,
@@ -73,7 +82,7 @@ def lookup_join(
     hot = hot_hashes(left, keys) if hot is None else hot
     if not hot:
         return left.join(other, match, how).drop(*right_names)
-    hashed = [f.name for f in left.schema.fields if not isinstance(f.dataType, T.MapType)]
+    hashed = [F.col(f"`{f.name}`") for f in left.schema.fields if not _holds_map(f.dataType)]
     salt = F.pmod(F.xxhash64(*hashed), F.lit(SALTS)).cast("int")
     spread = left.withColumn(
         "__salt", F.when(_key_hash(left.schema, keys, keys).isin(hot), salt).otherwise(F.lit(0))

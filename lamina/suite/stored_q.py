@@ -178,6 +178,62 @@ def erasure_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loads.read_table(spark, path, rows.schema)
 
 
+def noted_orders(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """Stored orders by year with a map column, as flattened documents have them."""
+    path = scratch(spark, "noted")
+    notes = F.create_map(F.lit("status"), F.col("o_orderstatus"), F.lit("priority"), F.col("o_orderpriority"))
+    rows = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("order_date"), notes.alias("notes"),
+        F.year("o_orderdate").alias("order_year"),
+    )
+    loads.load(rows, path, "partition_overwrite", ["order_year"])
+    return rows, path
+
+
+@suite.query("""
+    SELECT o_orderkey, o_orderpriority AS priority FROM orders
+    WHERE NOT CAST(o_orderdate AS DATE) < DATE '2001-08-01' - INTERVAL 900 DAY
+      AND NOT (o_orderstatus = 'P' AND year(o_orderdate) = 2000)
+""")
+def retention_with_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Retention, then an erasure by conditions, on a stored table with a map column."""
+    rows, path = noted_orders(spark, sf_dir)
+    governance.apply_retention(spark, path, rows.schema, "order_date", 900, date(2001, 8, 1), ["order_year"])
+    partly = F.col("notes")["status"] == "P"
+    governance.delete_where(spark, path, rows.schema, partly & (F.col("order_year") == 2000), ["order_year"])
+    return loads.read_table(spark, path, rows.schema).select("o_orderkey", F.col("notes")["priority"].alias("priority"))
+
+
+@suite.query("""
+    WITH gone AS (SELECT c_custkey FROM customer WHERE c_acctbal < 0),
+    gone_orders AS (SELECT o_orderkey FROM orders WHERE o_custkey IN (FROM gone))
+    SELECT 'customer' AS name, c_custkey AS id, CAST(0 AS INTEGER) AS line FROM customer WHERE c_acctbal >= 0
+    UNION ALL SELECT 'orders', o_orderkey, 0 FROM orders WHERE o_custkey NOT IN (FROM gone)
+    UNION ALL SELECT 'lineitem', l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey NOT IN (FROM gone_orders)
+    UNION ALL SELECT 'deleted customer', (SELECT count(*) FROM gone), 0
+    UNION ALL SELECT 'deleted orders', (SELECT count(*) FROM gone_orders), 0
+    UNION ALL SELECT 'deleted lineitem', (SELECT count(*) FROM lineitem WHERE l_orderkey IN (FROM gone_orders)), 0
+""")
+def erasure_cascade_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers are deleted from their table, with their orders (which hold maps) and the orders' lines."""
+    orders, orders_path = noted_orders(spark, sf_dir)
+    tables = {"orders": governance.StoredTable(orders_path, orders.schema, ("order_year",))}
+    columns = {"customer": ["c_custkey", "c_acctbal"], "lineitem": ["l_orderkey", "l_linenumber"]}
+    for name, names in columns.items():
+        rows, path = table(spark, sf_dir, name).select(*names), scratch(spark, name)
+        loads.load(rows, path)
+        tables[name] = governance.StoredTable(path, rows.schema)
+    ids = table(spark, sf_dir, "customer").filter("c_acctbal < 0").select("c_custkey")
+    links = [("orders", "o_custkey", "customer", "c_custkey"), ("lineitem", "l_orderkey", "orders", "o_orderkey")]
+    counts = governance.erase_stored_tree(spark, tables, links, "customer", "c_custkey", ids)
+    found = spark.createDataFrame([(f"deleted {name}", n, 0) for name, n in counts.items()], "name string, id long, line int")
+    ids_of = {"customer": ("c_custkey", F.lit(0)), "orders": ("o_orderkey", F.lit(0)), "lineitem": ("l_orderkey", F.col("l_linenumber"))}
+    for name, (key, line) in ids_of.items():
+        left = loads.read_table(spark, tables[name].path, tables[name].schema)
+        found = found.unionByName(left.select(F.lit(name).alias("name"), F.col(key).alias("id"), line.alias("line")))
+    return found
+
+
 @suite.query("""
     SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey NOT IN (
         SELECT o_orderkey FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_mktsegment = 'BUILDING')

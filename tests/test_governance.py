@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lamina.functions.masks import STRATEGIES, mask
-from lamina.operators import governance, loads
+from lamina.operators import governance, loads, skew
 from lamina.operators.governance import ColumnPolicy
 
 
@@ -126,3 +126,57 @@ def test_erasure_reaches_grandchildren(spark):
     assert [r["n"] for r in left["c"].collect()] == [3]
     with pytest.raises(ValueError):
         governance.erase_tree(tables, [("c", "up", "b", "b")], "a", "person", ids)
+
+
+def noted(spark, folder, name="t", parts=("day",)):
+    rows = spark.range(30).selectExpr(
+        "id", "if(id % 6 = 0, null, id % 4) AS person", "map('a', id, 'b', null) AS m",
+        "array(named_struct('x', map(id, 'y'))) AS deep", "if(id % 5 = 4, null, id % 5) AS day",
+    )
+    loads.load(rows, f"{folder}/{name}", "partition_overwrite" if parts else "full_refresh", list(parts))
+    return rows, f"{folder}/{name}"
+
+
+def test_deletion_from_tables_with_maps(spark, folder, monkeypatch):
+    rows, path = noted(spark, folder)
+    assert governance.delete_where(spark, path, rows.schema, F.col("m")["a"] > 24, ["day"]) == 5
+    assert governance.apply_erasure_where(spark, path, rows.schema, {"day": None}, ["day"]) == 5
+    # hot ids are salted by a hash of the row, which leaves maps out
+    monkeypatch.setattr(skew, "HOT_ROWS", 2)
+    ids = spark.createDataFrame([(1,), (1,), (None,)], "x long")
+    before = loads.read_table(spark, path, rows.schema).count()
+    gone = governance.apply_erasure(spark, path, rows.schema, "person", ids, ["day"])
+    left = loads.read_table(spark, path, rows.schema).collect()
+    assert gone == before - len(left) > 0
+    want = {i for i in range(25) if i % 5 != 4 and (i % 6 == 0 or i % 4 != 1)}
+    assert {r.id for r in left} == want and all(r.m == {"a": r.id, "b": None} for r in left)
+    assert governance.delete_where(spark, path, rows.schema, F.lit(None).cast("boolean"), ["day"]) == 0
+
+
+def test_deletion_of_everything(spark, folder):
+    rows, path = noted(spark, folder, parts=())
+    assert governance.delete_where(spark, path, rows.schema, F.col("id") >= 0) == 30
+    assert loads.read_table(spark, path, rows.schema).count() == 0
+
+
+def test_stored_cascade_reaches_grandchildren_over_two_ways(spark, folder):
+    def stored(name, rows, schema, parts=()):
+        df = spark.createDataFrame(rows, schema)
+        loads.load(df, f"{folder}/{name}", "partition_overwrite" if parts else "full_refresh", parts)
+        return governance.StoredTable(f"{folder}/{name}", df.schema, tuple(parts))
+
+    tables = {
+        "a": stored("a", [(1, "x"), (2, "y"), (3, None)], "person int, a string"),
+        "b": stored("b", [("x", "p", 1), ("x", "q", 2), ("y", "r", 1), (None, "s", 1)], "up string, b string, d int", ["d"]),
+        "c": stored("c", [("p", 1, "y"), ("q", 2, "y"), ("r", 3, "y"), ("r", 4, "x"), (None, 5, None)], "up string, n int, a string"),
+    }
+    links = [("b", "up", "a", "a"), ("c", "up", "b", "b"), ("c", "a", "a", "a")]
+    ids = spark.createDataFrame([(1,), (3,), (9,)], "person int")
+    assert governance.erase_stored_tree(spark, tables, links, "a", "person", ids) == {"a": 2, "b": 2, "c": 3}
+    left = {n: loads.read_table(spark, t.path, t.schema).collect() for n, t in tables.items()}
+    assert [r.person for r in left["a"]] == [2]
+    assert sorted(r.b for r in left["b"]) == ["r", "s"]
+    assert sorted(r.n for r in left["c"]) == [3, 5]
+    assert governance.erase_stored_tree(spark, tables, links, "a", "person", ids) == {"a": 0, "b": 0, "c": 0}
+    with pytest.raises(ValueError, match="before its parent"):
+        governance.erase_stored_tree(spark, tables, links[1:], "a", "person", ids)
