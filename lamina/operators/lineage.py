@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from lamina.operators.skew import hot_hashes, lookup_join
 from lamina.session import scratch, staged
 
 FIELD = "struct<namespace:string,name:string,field:string>"
@@ -163,15 +164,22 @@ def column_edges(events: DataFrame, namespace: str = "lamina") -> DataFrame:
     ).distinct()
 
 
-#: Buckets of the nodes that steps leave from.
-BUCKETS = 64
-
-
 def impact(edges: DataFrame, start: str, direction: str, depth: int = 5) -> DataFrame:
     """(node, depth) of everything within ``depth`` steps; the start itself is excluded.
 
-    ``edges`` holds (source, target). Each level is one distributed join of the edges
-    with the frontier, written to the shared folder so lineage stays short.
+    ``edges`` holds (source, target).
+    """
+    starts = edges.sparkSession.createDataFrame([(start,)], "start string")
+    return impact_of_many(edges, starts, direction, depth).select("node", "depth")
+
+
+def impact_of_many(edges: DataFrame, starts: DataFrame, direction: str, depth: int = 5) -> DataFrame:
+    """(start, node, depth): the least number of steps from each start to everything it reaches.
+
+    ``starts`` has one column, of any number of nodes; repeated and null ones count once and not at all. A start
+    is not part of its own reach, cycles end where they meet it. Each level is one join of the edges with the
+    frontier of all starts; nodes with very many edges are spread over tasks, found once. Levels are
+    written to the shared folder, by depth, so lineage stays short.
     """
     if depth < 1:
         raise ValueError("depth must be at least 1")
@@ -179,28 +187,28 @@ def impact(edges: DataFrame, start: str, direction: str, depth: int = 5) -> Data
         raise ValueError(f"unknown direction {direction!r}")
     here, there = ("source", "target") if direction == "downstream" else ("target", "source")
     spark = edges.sparkSession
-    # written once by bucket of the node a step leaves from: a level reads its frontier's buckets
-    bucket = F.pmod(F.xxhash64("here"), F.lit(BUCKETS)).cast("int")
-    steps = edges.select(F.col(here).alias("here"), F.col(there).alias("there")).withColumn("bucket", bucket)
-    steps = staged(steps.repartition("bucket"), "impact-edges", ["bucket"])
+    steps = staged(edges.select(F.col(here).alias("here"), F.col(there).alias("there")).distinct(), "impact-edges")
+    hot = hot_hashes(steps, ["here"])
     found = scratch(spark, f"impact-{direction}")
-    schema = "node string, depth int"
+    schema = "start string, node string, depth int"
 
-    def add(rows: DataFrame) -> None:
-        rows.write.mode("append").parquet(found)
+    def add(rows: DataFrame) -> int:
+        seen = Observation()
+        rows.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").partitionBy("depth").parquet(found)
+        return seen.get["n"]
 
-    add(spark.createDataFrame([(start, 0)], schema))
+    first = starts.select(F.col(starts.columns[0]).alias("start")).where("start is not null").distinct()
+    reached = add(first.select("start", F.col("start").alias("node"), F.lit(0).alias("depth")))
     for level in range(1, depth + 1):
-        visited = spark.read.schema(schema).parquet(found)
-        frontier = visited.filter(F.col("depth") == level - 1).select(F.col("node").alias("here"))
-        frontier = frontier.withColumn("bucket", bucket)
-        reached = steps.join(frontier, ["bucket", "here"], "left_semi").select(F.col("there").alias("node")).distinct()
-        seen = Observation()
-        add(reached.join(visited, "node", "left_anti").select("node", F.lit(level).alias("depth"))
-            .observe(seen, F.count(F.lit(1)).alias("n")))
-        if not seen.get["n"]:
+        if not reached:
             break
-    return spark.read.schema(schema).parquet(found).filter(F.col("depth") > 0)
+        visited = spark.read.schema(schema).parquet(found)
+        frontier = visited.where(F.col("depth") == level - 1).select("start", F.col("node").alias("here"))
+        new = lookup_join(steps, frontier, ["here"], "inner", hot=hot)
+        new = new.select("start", F.col("there").alias("node")).distinct()
+        new = new.join(visited.select("start", "node"), ["start", "node"], "left_anti")
+        reached = add(new.withColumn("depth", F.lit(level)))
+    return spark.read.schema(schema).parquet(found).where(F.col("depth") > 0)
 
 
 def column_impact(edges: DataFrame, column: str, direction: str, depth: int = 5) -> DataFrame:

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -131,12 +133,21 @@ def _partition_value(name: str) -> Column:
     return F.when(raw != "__HIVE_DEFAULT_PARTITION__", text)
 
 
+#: Deletions that are under way at a time, and paths that are held for them.
+DELETING, HELD = 32, 1024
+
+
 def remove_files(spark: SparkSession, files: DataFrame) -> int:
-    """Delete the files a listing names (for example ``orphan_files``); returns their number."""
+    """Delete the files a listing names (for example ``orphan_files``); returns their number.
+
+    Paths stream to the driver in batches; the file system deletes many of a batch at once. Paths that
+    are gone already count, so a run that was broken off can be repeated.
+    """
     gone = 0
-    for row in files.select("path").distinct().toLocalIterator():
-        storage.delete(spark, row["path"])
-        gone += 1
+    paths = (row["path"] for row in files.select("path").where("path is not null").distinct().toLocalIterator())
+    with ThreadPoolExecutor(DELETING) as pool:
+        while batch := list(islice(paths, HELD)):
+            gone += sum(1 for _ in pool.map(lambda path: storage.delete(spark, path), batch))
     return gone
 
 

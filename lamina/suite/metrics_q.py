@@ -290,3 +290,21 @@ def impact_downstream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def impact_upstream(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges = lineage.table_edges(lineage_events(spark, sf_dir))
     return lineage.impact(edges, "report:A", "upstream", 4)
+
+
+@suite.query(f"""
+    WITH RECURSIVE edges AS ({EDGES}), walk(start, node, depth) AS (
+        SELECT start, start, 0 FROM (
+            SELECT 'region:' || r_regionkey AS start FROM region
+            UNION ALL SELECT 'customer:' || c_custkey FROM customer WHERE c_custkey % 10 = 3)
+        UNION
+        SELECT w.start, e.target, w.depth + 1 FROM walk w JOIN edges e ON e.source = w.node WHERE w.depth < 3)
+    SELECT start, node, CAST(min(depth) AS INTEGER) AS depth FROM walk WHERE depth > 0 GROUP BY start, node
+""")
+def impact_many_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All that lies up to three steps below each region and each tenth customer, in one run."""
+    edges = lineage.table_edges(lineage_events(spark, sf_dir))
+    regions = table(spark, sf_dir, "region").select(F.concat(F.lit("region:"), "r_regionkey").alias("start"))
+    some = table(spark, sf_dir, "customer").where("c_custkey % 10 = 3")
+    starts = regions.unionByName(some.select(F.concat(F.lit("customer:"), "c_custkey").alias("start")))
+    return lineage.impact_of_many(edges, starts, "downstream", 3)
