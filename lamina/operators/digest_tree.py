@@ -12,7 +12,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,55 +20,18 @@ from lamina import storage
 from lamina.functions.hashing import row_hash
 from lamina.operators.loads import read_table
 from lamina.operators.parity import row_differences
+from lamina.operators.ranges import MOST_RANGES, find_bounds, key_struct, range_of, read_bounds
 
 RANGE, SLICE = "_range", "_slice"
 
-#: Ranges of the first version, and slices of each range. Bounds are written into the plan of later
-#: versions, so there are MOST_RANGES of them at most.
-RANGES, SLICES, MOST_RANGES = 256, 64, 4096
+#: Ranges of the first version, and slices of each range.
+RANGES, SLICES = 256, 64
 
 LEVELS = ("root", "group", "range", "slice")
 DIGEST = ["rows", "hash_xor", "hash_sum"]
 NODES = f"level string, grp int, {RANGE} int, {SLICE} int, rows bigint, hash_xor bigint, hash_sum decimal(38,0)"
 
 
-def _key(columns: Sequence[str]) -> Column:
-    return F.struct(*[F.col(f"`{c}`").alias(f"k{n}") for n, c in enumerate(columns)])
-
-
-def _find_bounds(df: DataFrame, keys: Sequence[str], ranges: int, path: str) -> None:
-    """Write the least key of each of about ``ranges`` parts of equal size."""
-    parts = df.select(_key(keys).alias("key")).repartitionByRange(ranges, "key")
-    least = parts.groupBy(F.spark_partition_id().alias("part")).agg(F.min("key").alias("low"))
-    least.write.parquet(path)
-
-
-def _bounds(spark: SparkSession, path: str) -> list:
-    return [r.low for r in spark.read.parquet(path).orderBy("low").select("low").collect()]
-
-
-def _range_of(keys: Sequence[str], bounds: list, schema: T.StructType) -> Column:
-    """Number of bounds up to the key, found in two steps of about a square root of them each.
-
-    Keys below the first bound count to the first range; null is the least value.
-    """
-    if len(bounds) < 2:
-        return F.lit(0)
-    kind = T.StructType([T.StructField(f"k{n}", schema[c].dataType) for n, c in enumerate(keys)])
-    step = math.isqrt(len(bounds) - 1) + 1
-    groups = [bounds[i : i + step] for i in range(0, len(bounds), step)]
-
-    def literal(row) -> Column:
-        return F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, kind.fields)])
-
-    firsts = F.array(*[literal(g[0]) for g in groups])
-    inner = F.array(*[F.array(*map(literal, g)) for g in groups])
-    # struct comparison takes nulls as the least values
-    group = F.greatest(F.size(F.filter(firsts, lambda low: low <= _key(keys))) - 1, F.lit(0))
-    within = F.size(F.filter(F.get(inner, group), lambda low: low <= _key(keys))) - 1
-    return (group * step + F.greatest(within, F.lit(0))).cast("int")
-
-
 def write_version(
     df: DataFrame, path: str, keys: Sequence[str], like: str | None = None, ranges: int = RANGES, slices: int = SLICES
 ) -> None:
@@ -83,18 +46,18 @@ def write_version(
     if not 0 < ranges <= MOST_RANGES:
         raise ValueError(f"ranges are 1 to {MOST_RANGES}")
     if like is None:
-        _find_bounds(df, keys, ranges, f"{path}/bounds")
+        find_bounds(df, keys, ranges, f"{path}/bounds")
         spark.createDataFrame([(slices,)], "slices int").coalesce(1).write.parquet(f"{path}/shape")
     else:
         for part in ("bounds", "shape"):
             spark.read.parquet(f"{like}/{part}").coalesce(1).write.parquet(f"{path}/{part}")
-    bounds, slices = _bounds(spark, f"{path}/bounds"), spark.read.parquet(f"{path}/shape").first()[0]
-    placed = df.withColumn(RANGE, _range_of(keys, bounds, df.schema))
+    bounds, slices = read_bounds(spark, f"{path}/bounds"), spark.read.parquet(f"{path}/shape").first()[0]
+    placed = df.withColumn(RANGE, range_of(keys, bounds, df.schema))
     # rebalancing splits large ranges over tasks and keeps the files of small ones few
     placed.hint("rebalance", F.col(RANGE)).write.partitionBy(RANGE).parquet(f"{path}/rows")
     rows = read_version(spark, path, df.schema, ranged=True)
     hashed = rows.select(
-        RANGE, F.pmod(F.xxhash64(_key(keys)), F.lit(slices)).cast("int").alias(SLICE), row_hash(df).alias("h")
+        RANGE, F.pmod(F.xxhash64(key_struct(keys)), F.lit(slices)).cast("int").alias(SLICE), row_hash(df).alias("h")
     )
     step = math.isqrt(max(len(bounds) - 1, 0)) + 1
     leaves = hashed.groupBy(RANGE, SLICE).agg(
@@ -130,7 +93,7 @@ def unequal_nodes(spark: SparkSession, left: str, right: str) -> DataFrame:
     Levels are read from the top and only below unequal nodes, so equal versions cost two rows. Versions
     of different bounds or slices are refused.
     """
-    if _bounds(spark, f"{left}/bounds") != _bounds(spark, f"{right}/bounds"):
+    if read_bounds(spark, f"{left}/bounds") != read_bounds(spark, f"{right}/bounds"):
         raise ValueError("the versions have different bounds; write one like the other")
     if spark.read.parquet(f"{left}/shape").first() != spark.read.parquet(f"{right}/shape").first():
         raise ValueError("the versions have different slices")
@@ -167,7 +130,7 @@ def version_differences(
 
     def part(path: str) -> DataFrame:
         rows = read_version(spark, path, schema, ranged=True).where(F.col(RANGE).isin(touched))
-        rows = rows.withColumn(SLICE, F.pmod(F.xxhash64(_key(keys)), F.lit(slices)).cast("int"))
+        rows = rows.withColumn(SLICE, F.pmod(F.xxhash64(key_struct(keys)), F.lit(slices)).cast("int"))
         # one small row for each unequal slice
         found = rows.join(F.broadcast(unequal.select(RANGE, SLICE)), [RANGE, SLICE], "left_semi")
         return found.select(*[F.col(f"`{c}`") for c in schema.names])

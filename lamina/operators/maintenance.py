@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from lamina import storage
 from lamina.functions.literals import literal
 from lamina.operators.loads import LoadResult, load, publish_partitions
+from lamina.operators.ranges import find_bounds, range_of, read_bounds
 from lamina.session import scratch
 
 MIN_INPUT_FILES = 5
@@ -77,15 +78,21 @@ def compact(
     min_input_files: int = MIN_INPUT_FILES,
     target_bytes: int = TARGET_FILE_BYTES,
     strategy: str = "binpack",
+    sort_columns: Sequence[str] = (),
 ) -> LoadResult | None:
     """Rewrite the partitions the plan names into its number of files; None without any.
 
     Partition columns come from the table's directories; naming others is refused. Their
     values stay the text they are. The plan joins the table as a table, on the partition
     columns, so other partitions are not read; exactly the planned ones are replaced.
+
+    ``binpack`` deals the rows to files by their hash. ``sort`` sorts them by ``sort_columns`` together (see
+    ``interleaved``), so that each file of a partition covers a small part of every one of them.
     """
-    if strategy != "binpack":
-        raise NotImplementedError("only binpack compaction is supported")
+    if strategy not in ("binpack", "sort"):
+        raise ValueError(f"unknown compaction strategy {strategy!r}")
+    if (strategy == "sort") != bool(sort_columns):
+        raise ValueError("sort takes sort columns, binpack none")
     files = list_files(spark, path)
     parts = layout(files, path)
     if partition_columns is not None and list(partition_columns) != parts:
@@ -109,6 +116,8 @@ def compact(
         rows = rows.join(wanted, match)
     else:
         rows = rows.withColumn("output_files", F.lit(plan.first()["output_files"]))
+    if strategy == "sort":
+        return _sorted(rows, path, schema, parts, sort_columns, plan)
     hashed = [f.name for f in body.fields if not isinstance(f.dataType, T.MapType)]
     spread = F.pmod(F.xxhash64(*hashed), F.greatest("output_files", F.lit(1)))
     rows = rows.withColumn("__file", spread).repartition(*parts, "__file").select(*schema.names)
@@ -126,6 +135,50 @@ def compact(
         storage.delete(spark, stage)
 
 
+#: Bits of each column in an interleaved key, and of the whole key.
+COLUMN_BITS, KEY_BITS = 12, 62
+
+
+def interleaved(df: DataFrame, columns: Sequence[str]) -> Column:
+    """A number that sorts rows by several columns together (a Z-order).
+
+    Each column is cut into up to 4,096 ranges with equally many rows, so that its distribution and type do not matter;
+    the bits of the ranges' numbers take turns, highest first. Null is the least value.
+    """
+    if not columns or len(set(columns)) < len(columns):
+        raise ValueError("sort columns are given once each")
+    bits = min(COLUMN_BITS, KEY_BITS // len(columns))
+    key = F.lit(0).cast("bigint")
+    for turn, column in enumerate(columns):
+        path = scratch(df.sparkSession, "bounds")
+        find_bounds(df, [column], 1 << bits, path)
+        bounds = read_bounds(df.sparkSession, path)
+        # few ranges are spread over all numbers, so that each column counts alike
+        shift = bits - max(len(bounds) - 1, 1).bit_length()
+        place = F.shiftleft(range_of([column], bounds, df.schema).cast("bigint"), shift)
+        for bit in range(bits):
+            key = key.bitwiseOR(F.shiftleft(F.shiftright(place, bit).bitwiseAND(F.lit(1)), bit * len(columns) + turn))
+    return key
+
+
+def _sorted(
+    rows: DataFrame, path: str, schema: T.StructType, parts: Sequence[str], sort_columns: Sequence[str], plan: DataFrame
+) -> LoadResult:
+    """Rewrite ``rows`` in as many ranges of the interleaved key as the plan has files."""
+    spark, stage = rows.sparkSession, scratch(rows.sparkSession, "compact")
+    files = plan.agg(F.sum(F.greatest("output_files", F.lit(1)))).first()[0]
+    keyed = rows.select(*[F.col(f"`{c}`") for c in schema.names], interleaved(rows, sort_columns).alias("__key"))
+    order = [*parts, "__key"]
+    try:
+        keyed.write.parquet(stage)
+        stored = T.StructType([*schema.fields, T.StructField("__key", T.LongType())])
+        ready = spark.read.schema(stored).parquet(stage)
+        ranged = ready.repartitionByRange(files, *order).sortWithinPartitions(*order).select(*schema.names)
+        return publish_partitions(ranged, path, parts) if parts else load(ranged, path, "full_refresh")
+    finally:
+        storage.delete(spark, stage)
+
+
 def _partition_value(name: str) -> Column:
     """Value of one partition column, from a directory's path as Spark escapes it."""
     raw = F.regexp_extract("directory", f"/{re.escape(name)}=([^/]*)", 1)

@@ -9,7 +9,7 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from lamina.operators import intervals, metrics, sketches
+from lamina.operators import intervals, loads, maintenance, metrics, sketches
 from lamina.operators.metrics import Dimension, Metric
 
 
@@ -154,3 +154,30 @@ def test_rolling_periods_count_rows_once_or_twice(spark):
     assert Metric("m", "a", "level4.m.x.n", "sum").definition_hash != spec.definition_hash
     with pytest.raises(ValueError, match="one number"):
         Metric("m", "t", "level4.m.x.n", "cumulative_rolling", (Dimension("t", True),), rolling_periods=2, rolling_days=3)
+
+
+@pytest.mark.parametrize("parts", [[], ["part"]])
+def test_sorted_files_hardly_overlap(spark, folder, parts):
+    r = random.Random(4)
+    data = [(i, r.random() if i % 50 else None, r.choice("abcdefghij") * r.randint(1, 3), {"k": i}, i % 2) for i in range(4_000)]
+    df = spark.createDataFrame(data, "i int, x double, s string, m map<string,int>, part int")
+    writer = df.repartition(30).write.partitionBy(*parts) if parts else df.repartition(30).write
+    writer.parquet(f"{folder}/t")
+    size = maintenance.list_files(spark, f"{folder}/t").agg(F.sum("size_bytes")).first()[0]
+    maintenance.compact(spark, f"{folder}/t", target_bytes=size // 16, strategy="sort", sort_columns=["x", "s"])
+    stored = loads.read_table(spark, f"{folder}/t", df.schema)
+    assert sorted(map(str, stored.collect())) == sorted(map(str, df.collect()))
+    rows = stored.select("x", "s", "part", F.input_file_name().alias("f")).collect()
+    files = defaultdict(list)
+    for row in rows:
+        files[row.f].append(row)
+    assert 8 <= len(files) <= 24
+    places = {v: n for n, v in enumerate(sorted({row.s for row in rows}))}
+    xs = [[row.x for row in rows_ if row.x is not None] for rows_ in files.values()]
+    ss = [[places[row.s] for row in rows_] for rows_ in files.values()]
+    for values, whole in ((xs, 1.0), (ss, len(places) - 1)):
+        assert sum(max(v) - min(v) for v in values) / len(values) < 0.65 * whole
+    with pytest.raises(ValueError, match="sort columns"):
+        maintenance.compact(spark, f"{folder}/t", strategy="sort")
+    with pytest.raises(ValueError, match="unknown"):
+        maintenance.compact(spark, f"{folder}/t", strategy="zorder")
