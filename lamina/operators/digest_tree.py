@@ -20,7 +20,7 @@ from lamina import storage
 from lamina.functions.hashing import row_hash
 from lamina.operators.loads import read_table
 from lamina.operators.parity import row_differences
-from lamina.operators.ranges import MOST_RANGES, find_bounds, key_struct, range_of, read_bounds
+from lamina.operators.ranges import MOST_RANGES, find_bounds, key_struct, read_bounds, with_range
 
 RANGE, SLICE = "_range", "_slice"
 
@@ -52,7 +52,7 @@ def write_version(
         for part in ("bounds", "shape"):
             spark.read.parquet(f"{like}/{part}").coalesce(1).write.parquet(f"{path}/{part}")
     bounds, slices = read_bounds(spark, f"{path}/bounds"), spark.read.parquet(f"{path}/shape").first()[0]
-    placed = df.withColumn(RANGE, range_of(keys, bounds, df.schema))
+    placed = with_range(df, RANGE, keys, f"{path}/bounds")
     # rebalancing splits large ranges over tasks and keeps the files of small ones few
     placed.hint("rebalance", F.col(RANGE)).write.partitionBy(RANGE).parquet(f"{path}/rows")
     rows = read_version(spark, path, df.schema, ranged=True)

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from lamina import storage
 from lamina.functions.literals import literal
 from lamina.operators.loads import LoadResult, load, publish_partitions
-from lamina.operators.ranges import find_bounds, range_of, read_bounds
+from lamina.operators.ranges import find_bounds, with_range
 from lamina.session import scratch
 
 MIN_INPUT_FILES = 5
@@ -139,26 +139,27 @@ def compact(
 COLUMN_BITS, KEY_BITS = 12, 62
 
 
-def interleaved(df: DataFrame, columns: Sequence[str]) -> Column:
-    """A number that sorts rows by several columns together (a Z-order).
+def interleaved(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
+    """``df`` with a number that sorts rows by several columns together (a Z-order).
 
-    Each column is cut into up to 4,096 ranges with equally many rows, so that its distribution and type do not matter;
-    the bits of the ranges' numbers take turns, highest first. Null is the least value.
+    Each column is cut into about 4,096 ranges with equally many rows, so that its distribution and type do not
+    matter; the bits of the ranges' numbers take turns, highest first. Null is the least value.
     """
     if not columns or len(set(columns)) < len(columns):
         raise ValueError("sort columns are given once each")
-    bits = min(COLUMN_BITS, KEY_BITS // len(columns))
-    key = F.lit(0).cast("bigint")
+    spark, bits = df.sparkSession, min(COLUMN_BITS, KEY_BITS // len(columns))
+    out, key = df, F.lit(0).cast("bigint")
     for turn, column in enumerate(columns):
-        path = scratch(df.sparkSession, "bounds")
+        path, place = scratch(spark, "bounds"), f"__place{turn}"
         find_bounds(df, [column], 1 << bits, path)
-        bounds = read_bounds(df.sparkSession, path)
-        # few ranges are spread over all numbers, so that each column counts alike
-        shift = bits - max(len(bounds) - 1, 1).bit_length()
-        place = F.shiftleft(range_of([column], bounds, df.schema).cast("bigint"), shift)
+        out = with_range(out, place, [column], path)
+        # spread over all numbers, so that each bit halves the rows
+        count = spark.read.parquet(path).count()
+        out = out.withColumn(place, F.floor(F.col(place) * F.lit(1 << bits) / F.lit(max(count, 1))).cast("bigint"))
         for bit in range(bits):
-            key = key.bitwiseOR(F.shiftleft(F.shiftright(place, bit).bitwiseAND(F.lit(1)), bit * len(columns) + turn))
-    return key
+            own = F.shiftright(F.col(place), bit).bitwiseAND(F.lit(1))
+            key = key.bitwiseOR(F.shiftleft(own, bit * len(columns) + turn))
+    return out.withColumn(name, key).drop(*[f"__place{turn}" for turn in range(len(columns))])
 
 
 def _sorted(
@@ -167,7 +168,7 @@ def _sorted(
     """Rewrite ``rows`` in as many ranges of the interleaved key as the plan has files."""
     spark, stage = rows.sparkSession, scratch(rows.sparkSession, "compact")
     files = plan.agg(F.sum(F.greatest("output_files", F.lit(1)))).first()[0]
-    keyed = rows.select(*[F.col(f"`{c}`") for c in schema.names], interleaved(rows, sort_columns).alias("__key"))
+    keyed = interleaved(rows.select(*[F.col(f"`{c}`") for c in schema.names]), sort_columns, "__key")
     order = [*parts, "__key"]
     try:
         keyed.write.parquet(stage)

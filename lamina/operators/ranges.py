@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-#: Bounds are written into the plans that use them, so there are this many at most.
+#: Every task that places rows gets all bounds, so there are about this many at most.
 MOST_RANGES = 4096
 
 
@@ -18,33 +16,41 @@ def key_struct(columns: Sequence[str]) -> Column:
 
 
 def find_bounds(df: DataFrame, keys: Sequence[str], ranges: int, path: str) -> None:
-    """Write the least key of each of about ``ranges`` parts of equal size."""
-    parts = df.select(key_struct(keys).alias("key")).repartitionByRange(ranges, "key")
-    least = parts.groupBy(F.spark_partition_id().alias("part")).agg(F.min("key").alias("low"))
-    least.write.parquet(path)
+    """Write the keys that begin about ``ranges`` parts of equal size: each so many-th of the sorted keys.
+
+    Tasks sort a range of the keys each, so there are as many tasks as the keys need, not one for each bound.
+    """
+    step = max(1, -(-df.count() // ranges))
+    parts = df.select(key_struct(keys).alias("low")).repartitionByRange("low").sortWithinPartitions("low")
+    # the row's place in its task
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    chosen = parts.withColumn("place", place).where(F.col("place") % step == 0)
+    chosen.select("low").distinct().write.parquet(path)
 
 
 def read_bounds(spark: SparkSession, path: str) -> list:
     return [r.low for r in spark.read.parquet(path).orderBy("low").select("low").collect()]
 
 
-def range_of(keys: Sequence[str], bounds: list, schema: T.StructType) -> Column:
-    """Number of bounds up to the key, found in two steps of about a square root of them each.
+def with_range(df: DataFrame, name: str, keys: Sequence[str], path: str) -> DataFrame:
+    """``df`` with the number of bounds up to each row's key, found in two steps of about a square root of them.
 
     Keys below the first bound count to the first range; null is the least value.
     """
-    if len(bounds) < 2:
-        return F.lit(0)
-    kind = T.StructType([T.StructField(f"k{n}", schema[c].dataType) for n, c in enumerate(keys)])
-    step = math.isqrt(len(bounds) - 1) + 1
-    groups = [bounds[i : i + step] for i in range(0, len(bounds), step)]
-
-    def literal(row) -> Column:
-        return F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, kind.fields)])
-
-    firsts = F.array(*[literal(g[0]) for g in groups])
-    inner = F.array(*[F.array(*map(literal, g)) for g in groups])
-    # struct comparison takes nulls as the least values
-    group = F.greatest(F.size(F.filter(firsts, lambda low: low <= key_struct(keys))) - 1, F.lit(0))
-    within = F.size(F.filter(F.get(inner, group), lambda low: low <= key_struct(keys))) - 1
-    return (group * step + F.greatest(within, F.lit(0))).cast("int")
+    lows = F.array_sort(F.collect_list("low"))
+    # one row with at most MOST_RANGES and some bounds, which every task gets
+    bounds = df.sparkSession.read.parquet(path).agg(lows.alias("lows"))
+    step = F.greatest(F.ceil(F.sqrt(F.size("lows"))).cast("int"), F.lit(1))
+    bounds = bounds.withColumn("step", step)
+    begins = F.when(F.size("lows") > 0, F.sequence(F.lit(0), F.size("lows") - 1, F.col("step"))).otherwise(F.array(F.lit(0)))
+    groups = F.transform(begins, lambda i: F.slice("lows", i + 1, F.col("step")))
+    bounds = bounds.select(F.col("step").alias("__step"), groups.alias("__groups"))
+    bounds = bounds.withColumn("__firsts", F.transform("__groups", lambda g: F.get(g, F.lit(0))))
+
+    def last(lows: Column) -> Column:
+        # struct comparison takes nulls as the least values
+        return F.greatest(F.size(F.filter(lows, lambda low: low <= key_struct(keys))) - 1, F.lit(0))
+
+    placed = df.crossJoin(F.broadcast(bounds)).withColumn("__group", last(F.col("__firsts")))
+    place = F.col("__group") * F.col("__step") + last(F.get("__groups", F.col("__group")))
+    return placed.withColumn(name, place.cast("int")).drop("__step", "__groups", "__firsts", "__group")
