@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import zipfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -63,6 +64,21 @@ def id_remainder(column, modulus: int):
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % modulus
 
 
+#: Has Spark delete the shuffle files of a query when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Queries that run in this block leave no shuffle files: their result is written, nothing reads them again."""
+    usual = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, usual)
+
+
 class Staged:
     """A table in the shared folder with its path, so that it can be deleted when no longer read.
 
@@ -76,7 +92,8 @@ class Staged:
         self.path = scratch(self.spark, label)
         if light:
             df = df.coalesce(max(24, 4 * self.spark.sparkContext.defaultParallelism))
-        df.write.mode("errorifexists").option("compression", compression).parquet(self.path)
+        with shuffles_removed(self.spark):
+            df.write.mode("errorifexists").option("compression", compression).parquet(self.path)
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
 
     def drop(self) -> None:

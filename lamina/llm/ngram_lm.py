@@ -10,7 +10,8 @@ behind an end token. The work goes in blocks of documents, packed as binary arra
    probability and the coded weight of the context, to the bigrams' shards. A shard sums the
    counts, builds a trie of smoothed 16-bit log probabilities in a mapped file, looks up the
    bigrams and sends each block one coded log probability for each of its bigrams.
-4. Blocks multiply by the occurrences in each document, which they kept.
+4. Blocks find their bigrams' occurrences in each document once more and add the codes up; only
+   distinct bigrams and their codes are ever exchanged.
 
 Shards are by (context, word modulo 16 or the number of shards, if larger), and repeats are
 summed in the block: a frequent context is spread over the shards, a frequent pair is one entry
@@ -24,7 +25,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -185,62 +185,57 @@ def _answers(words: DataFrame, shards: int) -> DataFrame:
 #: Of a block's bigrams by context and word: contexts as steps, places in the distinct words (steps, too),
 #: training counts; one code per distinct context and per distinct word.
 _GRAMS = ("v", "w", "words", "train", "context", "word")
-#: What a block keeps: of each bigram, in the order sent, the number of documents; these and the occurrences in each.
-_KEPT = ("held", "tokens", "known", "base", "spread", "docs", "times")
 _SENT = "shard int, block bigint, " + ", ".join(f"{c} binary" for c in _GRAMS)
-_STATS = "ids array<{}>, " + ", ".join(f"{c} binary" for c in _KEPT)
 
 
-def _bigrams(blocks: DataFrame, total: int, distinct: int, shards: int, id_kind: str) -> DataFrame:
-    """Rows for the bigram shards, and one row per block with what the words alone say."""
-    norm = np.log10(total + ADD * (distinct + 1)) if total or distinct else np.log10(ADD)
-    kinds = pa.schema(
-        [("shard", pa.int32()), ("block", pa.int64())]
-        + [(c, pa.binary()) for c in _GRAMS]
-        + [("ids", pa.list_(_arrow(id_kind)))]
-        + [(c, pa.binary()) for c in _KEPT]
-    )
-    spans = max(PARTS, shards)
+def _norm(total: int, distinct: int) -> float:
+    return np.log10(total + ADD * (distinct + 1)) if total or distinct else np.log10(ADD)
 
-    def one(row: dict) -> pa.RecordBatch:
+
+class _Numbered:
+    """A block whose words have the numbers and counts of the corpus, and its bigrams in the order sent."""
+
+    def __init__(self, row: dict, shards: int):
         parts = sorted(row["parts"], key=lambda p: p["shard"])
         number = np.concatenate([_array(p["numbers"], "<i8") for p in parts])
-        count = np.concatenate([_array(p["counts"], "<i8") for p in parts])
-        tokens, ends = _array(row["tokens"], "<u4"), _array(row["ends"], "<i8")
-        held = _array(row["held"], "?")
-        starts, sizes = np.concatenate([[0], ends[:-1]]), np.diff([0, *ends])
-        unigram = np.log10(count + ADD) - norm
-        stats = {
-            "shard": int(row["block"] % shards), "block": row["block"], "ids": row["ids"], "held": row["held"],
-            "tokens": _binary(sizes.astype("<i8")),
-            "known": _binary(np.add.reduceat((count > 0)[tokens].astype("<i8"), starts)),
-            "base": _binary(np.add.reduceat(unigram[tokens], starts)),
-        }
-        before = np.concatenate([[0], tokens[:-1]]).astype(np.uint32)
-        before[starts] = row["end"]
-        doc = np.repeat(np.arange(len(ends), dtype=np.uint32), sizes)
-        v, w = number[before], number[tokens]
+        self.count = np.concatenate([_array(p["counts"], "<i8") for p in parts])
+        self.tokens, ends = _array(row["tokens"], "<u4"), _array(row["ends"], "<i8")
+        self.held = _array(row["held"], "?")
+        self.starts, self.sizes = np.concatenate([[0], ends[:-1]]), np.diff([0, *ends])
+        before = np.concatenate([[0], self.tokens[:-1]]).astype(np.uint32)
+        before[self.starts] = row["end"]
+        doc = np.repeat(np.arange(len(ends), dtype=np.uint32), self.sizes)
+        v, w = number[before], number[self.tokens]
+        spans = max(PARTS, shards)
         shard = (_mixed(v * spans + w % spans) % np.uint64(shards)).astype(np.int64)
         order = np.lexsort((doc, w, v, shard))
-        v, w, doc, shard = v[order], w[order], doc[order], shard[order]
-        new = (np.diff(v, prepend=-1) != 0) | (np.diff(w, prepend=-1) != 0)
-        first, held_in = np.flatnonzero(new), np.flatnonzero(new | (np.diff(doc, prepend=doc[:1]) != 0))
-        stats |= {
-            "spread": _binary(np.diff(np.searchsorted(held_in, first), append=len(held_in)).astype("<u4")),
-            "docs": _binary(doc[held_in]), "times": _binary(np.diff(held_in, append=len(doc)).astype("<u4")),
-        }
-        train = np.add.reduceat((~held)[doc].astype("<i8"), first).astype("<u4")
-        v, w, shard, order = v[first], w[first], shard[first], order[first]
-        context, word = _code(np.log10(MU / (count + MU)))[before[order]], _code(unigram)[tokens[order]]
-        bounds = np.searchsorted(shard, np.arange(shards + 1))
-        out = [stats]
+        v, w, self.doc = v[order], w[order], doc[order]
+        self.new = (np.diff(v, prepend=-1) != 0) | (np.diff(w, prepend=-1) != 0)
+        self.first = np.flatnonzero(self.new)
+        # distinct bigrams, the shard of each, and the token where it occurs first
+        self.v, self.w, self.shard, self.at = v[self.first], w[self.first], shard[order][self.first], order[self.first]
+        self.before = before
+
+
+def _bigrams(blocks: DataFrame, total: int, distinct: int, shards: int) -> DataFrame:
+    """What each block sends to each bigram shard: its distinct bigrams there and their training counts."""
+    norm = _norm(total, distinct)
+    kinds = pa.schema([("shard", pa.int32()), ("block", pa.int64())] + [(c, pa.binary()) for c in _GRAMS])
+
+    def one(row: dict) -> pa.RecordBatch:
+        own = _Numbered(row, shards)
+        train = np.add.reduceat((~own.held)[own.doc].astype("<i8"), own.first).astype("<u4")
+        context = _code(np.log10(MU / (own.count + MU)))[own.before[own.at]]
+        word = _code(np.log10(own.count + ADD) - norm)[own.tokens[own.at]]
+        bounds = np.searchsorted(own.shard, np.arange(shards + 1))
+        out = []
         for s in np.flatnonzero(np.diff(bounds)).tolist():
             p = slice(bounds[s], bounds[s + 1])
-            words, at, place = np.unique(w[p], return_index=True, return_inverse=True)
+            words, at, place = np.unique(own.w[p], return_index=True, return_inverse=True)
             out.append({
-                "shard": s, "block": row["block"], "v": _binary(np.diff(v[p], prepend=0).astype("<i8")),
+                "shard": s, "block": row["block"], "v": _binary(np.diff(own.v[p], prepend=0).astype("<i8")),
                 "w": _binary(place.astype("<u4")), "words": _binary(np.diff(words, prepend=0).astype("<i8")),
-                "train": _binary(train[p]), "context": _binary(context[p][np.diff(v[p], prepend=-1) != 0]),
+                "train": _binary(train[p]), "context": _binary(context[p][np.diff(own.v[p], prepend=-1) != 0]),
                 "word": _binary(word[p][at]),
             })
         return pa.RecordBatch.from_pylist(out, kinds)
@@ -250,29 +245,20 @@ def _bigrams(blocks: DataFrame, total: int, distinct: int, shards: int, id_kind:
             for r in range(batch.num_rows):
                 yield one({c: batch.column(c)[r].as_py() for c in batch.schema.names})
 
-    return blocks.mapInArrow(run, _SENT + ", " + _STATS.format(id_kind))
+    return blocks.mapInArrow(run, _SENT)
 
 
-def _scored(sent: DataFrame, id_kind: str) -> DataFrame:
-    """(block, part, codes) of every shard and block; rows of what blocks keep pass through."""
-    kinds = "block bigint, part int, codes binary, " + _STATS.format(id_kind)
+def _scored(sent: DataFrame) -> DataFrame:
+    """(block, part, codes) of every shard and block: a code for each bigram the block sent there."""
 
-    def run(group: pa.Table) -> pa.Table:
-        passed = group.filter(pa.compute.is_valid(group.column("ids")))
-        rows = group.filter(pa.compute.is_null(group.column("ids")))
-        out = {"block": passed.column("block").to_pylist(), "part": [-1] * passed.num_rows, "codes": [b""] * passed.num_rows}
-        extra = {c: passed.column(c).to_pylist() + [None] * rows.num_rows for c in ("ids", *_KEPT)}
-        if rows.num_rows:
-            grams = [_unpacked(*(rows.column(c)[r].as_py() for c in _GRAMS)) for r in range(rows.num_rows)]
-            ends = np.cumsum([len(g[0]) for g in grams])
-            codes = _grams(*(np.concatenate(x) for x in zip(*grams)))
-            out["block"] += rows.column("block").to_pylist()
-            out["part"] += rows.column("shard").to_pylist()
-            out["codes"] += [_binary(x.astype("<u4")) for x in np.split(codes, ends[:-1])]
-        kind = {"block": pa.int64(), "part": pa.int32(), "ids": pa.list_(_arrow(id_kind))}
-        return pa.table({c: pa.array(x, kind.get(c, pa.binary())) for c, x in {**out, **extra}.items()})
-
-    return sent.groupBy("shard").applyInArrow(run, kinds)
+    def run(rows: pa.Table) -> pa.Table:
+        grams = [_unpacked(*(rows.column(c)[r].as_py() for c in _GRAMS)) for r in range(rows.num_rows)]
+        ends = np.cumsum([len(g[0]) for g in grams])
+        codes = _grams(*(np.concatenate(x) for x in zip(*grams)))
+        packed = [_binary(x.astype("<u4")) for x in np.split(codes, ends[:-1])]
+        return pa.table({"block": rows.column("block"), "part": rows.column("shard"), "codes": pa.array(packed, pa.binary())})
+
+    return sent.groupBy("shard").applyInArrow(run, "block bigint, part int, codes binary")
 
 
 def _unpacked(v: bytes, w: bytes, words: bytes, train: bytes, context: bytes, word: bytes) -> tuple[np.ndarray, ...]:
@@ -324,32 +310,47 @@ def score(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     blocks = Staged(_blocks(rows, shards, id_kind), "lm-blocks")
     words = blocks.df.where("shard >= 0").select("block", "shard", "words", "counts")
     answers = Staged(_answers(words, shards), "lm-words")
-    sums = [_array(r[0], "<i8") for r in answers.df.where("block = -1").select("counts").collect()]
-    total, distinct = (int(x) for x in np.sum(sums, axis=0)) if sums else (0, 0)
+    # of every word shard its sums, which tasks add up
+    sums = answers.df.where("block = -1").select("counts").mapInArrow(_summed, "total bigint, kinds bigint")
+    total, distinct = sums.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("kinds"), F.lit(0))).first()
     parts = answers.df.where("block >= 0").groupBy("block").agg(
         F.collect_list(F.struct("shard", "numbers", "counts")).alias("parts")
     )
     texts = blocks.df.where("shard = -1").select("block", "ids", "held", "ends", "tokens", "end")
+    numbered = Staged(texts.join(parts, "block"), "lm-texts")
+    blocks.drop()
+    answers.drop()
     gram_shards = max(8, -(-total // SHARD_TOKENS))
-    sent = _bigrams(texts.join(parts, "block"), total, distinct, gram_shards, id_kind)
-    scored = _scored(sent, id_kind)
-
-    def run(group: pa.Table) -> pa.Table:
-        stats = group.filter(pa.compute.is_valid(group.column("ids")))
-        ids, held, tokens, known, base, *kept = (stats.column(c)[0].as_py() for c in ("ids", *_KEPT))
-        spread, docs, times = (_array(x, "<u4") for x in kept)
+    scored = Staged(_scored(_bigrams(numbered.df, total, distinct, gram_shards)), "lm-codes")
+    norm = _norm(total, distinct)
+
+    def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        row = {c: texts.column(c)[0].as_py() for c in texts.schema.names}
+        own = _Numbered(row, gram_shards)
+        parts = sorted(zip(answers.column("part").to_pylist(), answers.column("codes").to_pylist()))
+        codes = np.concatenate([_array(x, "<u4") for _, x in parts]).astype(np.int64)
         # bigrams were sent by shard; sums of whole codes are exact
-        parts = sorted(p for p in zip(group.column("part").to_pylist(), group.column("codes").to_pylist()) if p[0] >= 0)
-        codes = np.repeat(np.concatenate([_array(x, "<u4") for _, x in parts]).astype(np.int64), spread)
-        sums = _log(np.bincount(docs, weights=codes * times, minlength=len(ids)))
+        places = codes[np.cumsum(own.new) - 1]
+        sums = _log(np.bincount(own.doc, weights=places, minlength=len(row["ids"])))
+        unigram = np.log10(own.count + ADD) - norm
         return pa.table({
-            "id": pa.array(ids, _arrow(id_kind)), "held_out": _array(held, "?"),
-            "n_tokens": _array(tokens, "<i8"), "n_known": _array(known, "<i8"),
-            "train_tokens": np.full(len(ids), total), "base_score": _array(base, "<f8"), "score": sums,
+            "id": pa.array(row["ids"], _arrow(id_kind)), "held_out": own.held, "n_tokens": own.sizes.astype("<i8"),
+            "n_known": np.add.reduceat((own.count > 0)[own.tokens].astype("<i8"), own.starts),
+            "train_tokens": np.full(len(row["ids"]), total), "base_score": np.add.reduceat(unigram[own.tokens], own.starts),
+            "score": sums,
         })
 
-    return scored.groupBy("block").applyInArrow(
+    # a group is one block and the codes of its bigrams
+    return numbered.df.groupBy("block").cogroup(scored.df.groupBy("block")).applyInArrow(
         run,
         f"id {id_kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
         "base_score double, score double",
     )
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Training tokens and distinct words of the word shards whose packed sums come in."""
+    for batch in batches:
+        sums = [_array(packed, "<i8") for packed in batch.column(0).to_pylist()]
+        columns = [pa.array([int(x[n]) for x in sums], pa.int64()) for n in (0, 1)]
+        yield pa.RecordBatch.from_arrays(columns, ["total", "kinds"])

@@ -135,7 +135,7 @@ def test_language_model_scores(documents, rows):
 
 def test_language_model_sends_a_pair_once_per_block(documents, monkeypatch):
     sent, scored = [], ngram_lm._scored
-    monkeypatch.setattr(ngram_lm, "_scored", lambda df, kind: sent.append(df) or scored(df, kind))
+    monkeypatch.setattr(ngram_lm, "_scored", lambda df: sent.append(df) or scored(df))
     rows = [(k, "a b " * 500 + f"c{k % 3}") for k in range(40)]
     found = ngram_lm.score(documents(rows).repartition(4)).collect()
     for have, expected in zip(sorted(map(tuple, found)), sorted(brute_scores(rows))):
