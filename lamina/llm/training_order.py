@@ -21,7 +21,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lamina import storage
-from lamina.llm.common import Staged, slices
+from lamina.llm.common import Staged, shuffles_removed, slices
 
 #: A record: the number of tokens used, then the tokens.
 HEADER = np.dtype([("used", "<u4")])
@@ -32,6 +32,8 @@ SEGMENTS = "array<struct<id:bigint,start:int,offset:bigint>>"
 ROUNDS = 6
 #: Files that the encoded records are first written to, at most: bounds the table of their offsets.
 MOST_FILES = 16_384
+#: Shards are written in so many turns; the shuffle files of one turn are on disk at a time.
+WAVES = 2
 
 
 def stride(length: int) -> int:
@@ -153,8 +155,11 @@ def write(records: DataFrame, path: str, per_shard: int, key: int) -> int:
     """Write records to ``path``/shards/shard=s, slot by slot; returns their number.
 
     Numbers follow the files of a table written first; slots only depend on the numbers, the
-    number of records and ``key``. ``path``/segments has (slot, segments).
+    number of records and ``key``. Each task writes one range of slots, a shard; ``path``/shards may not exist.
+    ``path``/segments has (slot, segments).
     """
+    if storage.exists(records.sparkSession, f"{path}/shards"):
+        raise FileExistsError(f"{path}/shards")
     table = Staged(records.coalesce(MOST_FILES), "sequences", "zstd")
     places = table.df.select("record", "segments", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
     counts = places.groupBy("file").agg(F.count("*").alias("n"))
@@ -175,10 +180,15 @@ def write(records: DataFrame, path: str, per_shard: int, key: int) -> int:
     slots.select("slot", "segments").write.mode("errorifexists").parquet(f"{path}/segments")
     slots = slots.withColumn("shard", F.expr(f"slot div {per_shard}"))
     shards = -(-size // per_shard)
-    slots = slots.repartition(shards, "shard").sortWithinPartitions("shard", "slot")
-    # bytes pass through the text writer unchanged
-    out = slots.select(F.col("record").cast("string").alias("value"), "shard")
-    out.write.partitionBy("shard").option("lineSep", END.decode()).mode("errorifexists").text(f"{path}/shards")
+    wave = -(-shards // WAVES)
+    for begin in range(0, shards, wave):
+        # part p of a wave holds one range of slots, its shard number ``begin`` + p
+        part = slots.where((F.col("shard") >= begin) & (F.col("shard") < begin + wave))
+        part = part.repartitionById(min(wave, shards - begin), (F.col("shard") - begin).cast("int"))
+        # bytes pass through the text writer unchanged
+        out = part.sortWithinPartitions("shard", "slot").select(F.col("record").cast("string").alias("value"), "shard")
+        with shuffles_removed(table.spark):
+            out.write.partitionBy("shard").option("lineSep", END.decode()).mode("append").text(f"{path}/shards")
     table.drop()
     return size
 
