@@ -191,6 +191,7 @@ URL_RULES = [
 
 @suite.query()
 def op10_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     found = url_templates.judge(table(spark, sf_dir, "pages"), URL_RULES)
     return found.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict", "template", "purity")
 

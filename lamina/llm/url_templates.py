@@ -1,21 +1,30 @@
 """URL filter: rules by host and path, and a tree of path templates for everything else.
 
-Each host has a tree of path segments. Segments that look variable (numbers, dates, hashes) or
-that hardly repeat below a node become wildcards; branches below one node whose labels do not
-differ significantly are merged. A template's share of blocked labels, smoothed towards the
-share of all labels, decides what its unlabelled URLs get. Labels are the rules' own verdicts
-unless a label column is given.
+Each host has a tree of path segments, as deep as its paths. Segments that look variable (numbers,
+dates, hashes) become wildcards. Other branches below one node are merged on evidence only: those that
+go on alike and have all their labels blocked, all allowed, or both in shares that an exact test does
+not tell apart. Branches that are wholly blocked and wholly allowed never share a template. Where most
+URLs have a segment of their own, the next URL will bring a new one: if no labels below the node
+contradict each other, all its branches become one wildcard. A template's share of blocked labels,
+smoothed towards the share of all labels, decides what its unlabelled URLs get; without labels
+of its own it is never rejected. Labels are the rules' own verdicts unless a label column is given.
 
 Paths are aggregated before anything else, and the tree is grown level by level as joins of
-counted nodes, so a host with a third of all URLs is not one task's work.
+counted nodes, so a host with a third of all URLs is not one task's work. What has no branches any
+more is finished at once, however deep it goes on.
 """
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lamina.llm.common import Staged
+from lamina.operators.skew import lookup_join
 
 #: Segments that are variable by their form, with the wildcard that stands for them.
 SHAPES = (
@@ -25,12 +34,13 @@ SHAPES = (
     (r"^(?=.*[0-9])[0-9a-fA-F]{12,}$", "{hex}"),
     (r"^(.*[^0-9])?[0-9]{3,}(\.[A-Za-z0-9]{1,5})?$", "$1{n}$2"),
 )
-#: Levels with nodes of their own; what lies deeper is one tail wildcard.
-DEPTH = 6
-#: A node with more children than this, most of them met once or twice, has variable children.
-FANOUT, REPEATS = 24, 3.0
-#: Standard errors within which a branch's blocked share agrees with that of its siblings.
-AGREE = 2.0
+#: Share of URLs whose segment occurs once, from which a node's segments are variable (the chance that the
+#: next URL brings a new one, after Good and Turing).
+NEW = 0.5
+#: Branches differ when such unlike labels, or more unlike ones, come about by chance less often than this.
+CHANCE = 0.05
+#: Labels up to which the test counts all cases; beyond, the normal distribution is as good.
+EXACT = 2_000
 #: Labels' worth of weight that the overall blocked share has in each template's purity.
 PRIOR = 4.0
 
@@ -70,47 +80,121 @@ def _shape(segment: Column) -> Column:
 
 
 def segments(path: Column) -> Column:
-    """Path segments by form, the first ``DEPTH`` one by one and a tail wildcard for the rest."""
+    """Path segments by form, all of them."""
     parts = F.transform(F.split(F.substr(path, F.lit(2)), "/"), _shape)
-    deep = F.concat(F.slice(parts, 1, DEPTH), F.array(F.lit("{tail}")))
-    parts = F.when(F.size(parts) > DEPTH, deep).otherwise(parts)
     return F.when(path == "", F.array().cast("array<string>")).otherwise(parts)
 
 
+def chance(blocked: int, labelled: int, all_blocked: int, all_labelled: int) -> float:
+    """Probability of shares as unlike as these between a part of the labels and the rest (two-sided, exact)."""
+    rest, allowed = all_labelled - labelled, all_labelled - all_blocked
+    if not labelled or not rest or not all_blocked or not allowed:
+        return 1.0
+    if all_labelled > EXACT:
+        share = all_blocked / all_labelled
+        error = math.sqrt(share * (1 - share) * (1 / labelled + 1 / rest))
+        return math.erfc(abs(blocked / labelled - (all_blocked - blocked) / rest) / error / math.sqrt(2))
+
+    def log_choose(n: int, k: int) -> float:
+        return math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1)
+
+    cases = range(max(0, labelled - allowed), min(labelled, all_blocked) + 1)
+    logs = {k: log_choose(all_blocked, k) + log_choose(allowed, labelled - k) for k in cases}
+    whole = log_choose(all_labelled, labelled)
+    return min(1.0, sum(math.exp(x - whole) for x in logs.values() if x <= logs[blocked] + 1e-9))
+
+
+def _chances(blocked: pd.Series, labelled: pd.Series, all_blocked: pd.Series, all_labelled: pd.Series) -> pd.Series:
+    return pd.Series([chance(*map(int, r)) for r in zip(blocked, labelled, all_blocked, all_labelled)], dtype="float64")
+
+
+def _branches(here: DataFrame, level: int) -> DataFrame:
+    """(host, template, part, general): what each branch of the nodes at one level is called."""
+    node = ["host", "template"]
+    # what a branch looks like: how most of its paths go on (of equally many, the last by name)
+    following = F.coalesce(F.get(F.col("parts"), F.lit(level)), F.lit(""))
+    sums = [F.sum(c).alias(c) for c in ("urls", "blocked", "labelled")]
+    forms = here.groupBy(*node, "part", following.alias("form")).agg(*sums)
+    most = F.max(F.struct("urls", "form"))["form"].alias("form")
+    branches = forms.groupBy(*node, "part").agg(*sums, most)
+    kind = (
+        F.when(F.col("labelled") == 0, "none").when(F.col("blocked") == 0, "allowed")
+        .when(F.col("blocked") == F.col("labelled"), "blocked").otherwise("mixed")
+    )
+    branches = branches.withColumn("kind", kind)
+    # siblings that go on alike and have the same kind of labels; of mixed ones those whose shares agree
+    kin = [*node, "form", "kind"]
+    pooled = branches.groupBy(*kin).agg(
+        F.sum("blocked").alias("all_blocked"), F.sum("labelled").alias("all_labelled"), F.count("*").alias("kin")
+    )
+    branches = branches.join(pooled, kin)
+    odds = F.pandas_udf(_chances, "double")("blocked", "labelled", "all_blocked", "all_labelled")
+    agrees = (F.col("kind") != "mixed") | ((F.col("kin") > 1) & (odds >= CHANCE))
+    branches = branches.withColumn("agrees", agrees)
+    own_kind = F.when(F.col("kind") != "none", F.col("kind"))
+    nodes = branches.groupBy(*node).agg(
+        F.count("*").alias("children"), F.sum("urls").alias("below"), F.count_if(F.col("urls") == 1).alias("singles"),
+        (F.count_distinct(own_kind) <= 1).alias("one_kind"), F.count_if(F.col("kind") == "mixed").alias("mixed"),
+    )
+    branches = branches.join(nodes, node)
+    # one mixed branch may contradict itself below, so that its children have to tell
+    variable = (F.col("children") > 1) & (F.col("singles") > NEW * F.col("below")) & F.col("one_kind") & (F.col("mixed") == 0)
+    label = F.when(F.col("kind") == "none", "").otherwise(F.concat(F.lit(":"), "kind"))
+    general = (
+        F.when(F.col("part").startswith("{"), F.col("part"))
+        .when(variable, "{*}")
+        .when((F.col("kin") > 1) & F.col("agrees"), F.concat(F.lit("{~"), F.col("form"), label, F.lit("}")))
+        .otherwise(F.col("part"))
+    )
+    return branches.select(*node, "part", general.alias("general"))
+
+
 def grow(paths: DataFrame) -> DataFrame:
-    """``paths`` (host, parts, urls, blocked, labelled) with ``template``: its generalised segments."""
-    trees = paths.withColumn("template", F.array().cast("array<string>"))
-    for level in range(1, DEPTH + 2):
-        if level > 1 and not trees.where(F.size("parts") >= level).limit(1).count():
-            break
-        here = trees.where(F.size("parts") >= level).withColumn("part", F.element_at("parts", level))
-        node = ["host", "template"]
-        # what a branch looks like: how most of its paths go on
-        following = F.coalesce(F.get(F.col("parts"), F.lit(level)), F.lit(""))
-        sums = [F.sum(c).alias(c) for c in ("urls", "blocked", "labelled")]
-        branches = here.groupBy(*node, "part").agg(*sums, F.max(F.struct("urls", following.alias("form")))["form"].alias("form"))
-        fan = branches.groupBy(*node).agg(F.count("*").alias("children"), F.sum("urls").alias("below"))
-        branches = branches.join(fan, node)
-        variable = (F.col("children") > FANOUT) & (F.col("below") < REPEATS * F.col("children"))
-        branches = branches.withColumn("general", F.when(variable, "{*}").otherwise(F.col("part")))
-        # siblings that go on alike and whose blocked shares agree become one branch
-        kin = [*node, "form"]
-        pooled = branches.groupBy(*kin).agg(
-            F.sum("blocked").alias("all_blocked"), F.sum("labelled").alias("all_labelled"), F.count("*").alias("kin")
-        )
-        branches = branches.join(pooled, kin)
-        share = (F.col("all_blocked") + 0.5) / (F.col("all_labelled") + 1.0)
-        error = F.sqrt(share * (1 - share) / F.greatest("labelled", F.lit(1)))
-        own = F.when(F.col("labelled") > 0, F.col("blocked") / F.greatest("labelled", F.lit(1))).otherwise(share)
-        merge = (F.col("kin") > 1) & (F.abs(own - share) <= AGREE * error)
-        wild = F.col("general").startswith("{")
-        general = F.when(merge & ~wild, F.concat(F.lit("{~"), F.col("form"), F.lit("}"))).otherwise(F.col("general"))
-        branches = branches.select(*node, "part", general.alias("general"))
-        done = trees.where(F.size("parts") < level)
-        grown = here.join(branches, [*node, "part"])
-        grown = grown.withColumn("template", F.concat("template", F.array("general"))).select(*trees.columns)
-        trees = Staged(done.unionByName(grown), "templates").df
-    return trees
+    """``paths`` (host, parts, urls, blocked, labelled) with ``template``: its generalised segments.
+
+    There are as many levels as some paths of a host share segments and one more, each a written table.
+    """
+    node, columns = ["host", "template"], [*paths.columns, "template"]
+    growing = paths.withColumn("template", F.array().cast("array<string>"))
+    held, finished, level = None, [], 0
+    while True:
+        level += 1
+        # a path alone in its node has nothing to merge with
+        sizes = growing.groupBy(*node).agg(F.count("*").alias("paths"))
+        counted = lookup_join(growing, sizes, node, "inner")
+        over = (F.col("paths") == 1) | (F.size("parts") < level)
+        rest = F.concat("template", F.slice("parts", level, F.greatest(F.size("parts"), F.lit(1))))
+        finished.append(Staged(counted.where(over).withColumn("template", rest).select(*columns), "templates").df)
+        here = counted.where(~over).withColumn("part", F.element_at("parts", level))
+        branches = Staged(_branches(here, level), "branches")
+        grown = lookup_join(here, branches.df, [*node, "part"], "inner")
+        grown = grown.withColumn("template", F.concat("template", F.array("general"))).select(*columns)
+        following = Staged(grown, "templates")
+        branches.drop()
+        if held:
+            held.drop()
+        held, growing = following, following.df
+        if growing.isEmpty():
+            return reduce(DataFrame.unionByName, finished)
+
+
+def _purities(trees: DataFrame, overall: float) -> DataFrame:
+    """(host, template, purity, evidence); a template without labels has the purity of the nearest node above with some."""
+    sums = [F.sum("blocked").alias("blocked"), F.sum("labelled").alias("labelled")]
+    templates = trees.groupBy("host", "template").agg(*sums)
+    length = F.size("template")
+    above = F.transform(F.sequence(F.lit(0), length), lambda n: F.slice("template", F.lit(1), n))
+    nodes = templates.where("labelled > 0").select("host", F.explode(above).alias("node"), "blocked", "labelled")
+    nodes = nodes.groupBy("host", "node").agg(*sums)
+    bare = templates.where("labelled = 0").select("host", "template", F.explode(above).alias("node"))
+    nearest = bare.join(nodes, ["host", "node"]).groupBy("host", "template").agg(
+        F.max_by(F.struct("blocked", "labelled"), F.size("node")).alias("near")
+    )
+    own = F.when(F.col("labelled") > 0, F.struct("blocked", "labelled")).otherwise(F.col("near"))
+    found = templates.join(nearest, ["host", "template"], "left").withColumn("own", own)
+    blocked, labelled = (F.coalesce(F.col(f"own.{c}"), F.lit(0)) for c in ("blocked", "labelled"))
+    purity = (blocked + PRIOR * overall) / (labelled + PRIOR)
+    return found.select("host", "template", purity.alias("purity"), F.col("labelled").alias("evidence"))
 
 
 def judge(
@@ -128,7 +212,8 @@ def judge(
     is never rejected. Labels are the verdicts of
     the rules, or ``label_column`` (1: block, 0: allow, null: none). Null URLs and those without
     :// have an empty host and path and are a template of their own; repeated rows count each
-    time; without any label everything is allowed.
+    time, an empty table gives an empty one, paths of any depth are taken whole; without any label
+    everything is allowed. Other columns are not read.
     """
     url = pages[url_column]
     label = pages[label_column] if label_column else F.lit(None).cast("int")
@@ -148,15 +233,11 @@ def judge(
     trees = grow(Staged(paths, "paths").df)
     totals = trees.agg(F.sum("blocked"), F.sum("labelled")).first()
     overall = (totals[0] or 0) / totals[1] if totals[1] else 0.0
-    templates = trees.groupBy("host", "template").agg(
-        ((F.sum("blocked") + PRIOR * overall) / (F.sum("labelled") + PRIOR)).alias("purity"),
-        F.sum("labelled").alias("evidence"),
-    )
-    verdicts = trees.join(templates, ["host", "template"]).select(
+    verdicts = trees.join(_purities(trees, overall), ["host", "template"]).select(
         "host", "parts", F.concat(F.lit("/"), F.array_join("template", "/")).alias("template"), "purity", "evidence"
     )
-    # a null verdict never meets: both sides come from the same rows
-    rows = rows.join(verdicts, ["host", "parts"], "left")
+    # one page may hold a third of all rows; both sides come from the same rows, without nulls
+    rows = lookup_join(rows, verdicts, ["host", "parts"], "left")
     learned = F.when((F.col("evidence") > 0) & (F.col("purity") >= reject), "block").otherwise("allow")
     return rows.select(
         "id", "host", "path", F.col("found.rule").alias("rule"), "template", "purity",

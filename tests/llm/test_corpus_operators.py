@@ -1,7 +1,9 @@
 """SimHash, mixing, URL templates, training order and the pipeline against brute force."""
 
 import hashlib
+import math
 import re
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -193,6 +195,99 @@ def test_purity_by_hand(spark):
     assert found[100] == pytest.approx((0 + 4 * overall) / (8 + 4))  # the eight leaves are merged
 
 
+def brute_templates(rows):
+    """Template, purity and evidence of each path by one host's tree of nodes, for (parts, blocked, labelled) rows."""
+    paths = {}
+    for parts, blocked, labelled in rows:
+        old = paths.get(parts, (0, 0, 0))
+        paths[parts] = (old[0] + 1, old[1] + blocked, old[2] + labelled)
+    template = {p: () for p in paths}
+    open_paths, level = set(paths), 0
+    while open_paths:
+        nodes = {}
+        for p in open_paths:
+            nodes.setdefault(template[p], set()).add(p)
+        following = set()
+        for node, held in nodes.items():
+            here = {p for p in held if len(p) > level and len(held) > 1}
+            for p in held - here:
+                template[p] = node + p[level:]
+            branches = {}
+            for p in here:
+                b = branches.setdefault(p[level], {"sums": [0, 0, 0], "forms": Counter()})
+                b["sums"] = [x + y for x, y in zip(b["sums"], paths[p])]
+                b["forms"][p[level + 1] if len(p) > level + 1 else ""] += paths[p][0]
+            for b in branches.values():
+                _, blocked, labelled = b["sums"]
+                b["form"] = max(b["forms"], key=lambda f: (b["forms"][f], f))
+                b["kind"] = "none" if not labelled else "allowed" if not blocked else "blocked" if blocked == labelled else "mixed"
+            kinds = {b["kind"] for b in branches.values()} - {"none"}
+            singles = sum(b["sums"][0] == 1 for b in branches.values())
+            below = sum(b["sums"][0] for b in branches.values())
+            variable = len(branches) > 1 and singles > 0.5 * below and len(kinds) <= 1 and "mixed" not in kinds
+            for name, b in branches.items():
+                kin = [c for c in branches.values() if (c["form"], c["kind"]) == (b["form"], b["kind"])]
+                pooled = [sum(c["sums"][n] for c in kin) for n in (1, 2)]
+                agrees = b["kind"] != "mixed" or (len(kin) > 1 and url_templates.chance(*b["sums"][1:], *pooled) >= 0.05)
+                b["name"] = name
+                if variable and not name.startswith("{"):
+                    b["name"] = "{*}"
+                elif not name.startswith("{") and len(kin) > 1 and agrees:
+                    b["name"] = "{~" + b["form"] + ("" if b["kind"] == "none" else ":" + b["kind"]) + "}"
+            for p in here:
+                template[p] = node + (branches[p[level]]["name"],)
+            following |= here
+        open_paths, level = following, level + 1
+    return {p: "/" + "/".join(t) for p, t in template.items()}
+
+
+def test_templates_are_those_of_a_plain_tree_at_every_depth(spark):
+    rng = np.random.default_rng(8)
+    rows = []
+    for i in range(700):
+        parts = [str(rng.choice(list("abcde"))) for _ in range(rng.integers(1, 10))]
+        if rng.random() < 0.3:
+            parts[-1] = f"only{'xyz'[i % 3]}-{chr(97 + i % 26)}{chr(97 + i // 26)}"
+        label = None if rng.random() < 0.6 else int((parts[0] in "ab") ^ (rng.random() < 0.1 * (parts[0] in "bc")))
+        rows.append((i, parts, label))
+    rows += [(800, list("ab") + ["q"] * 9, 1), (801, list("ab") + ["q"] * 9 + ["r"], None)]
+    df = spark.createDataFrame([(i, "http://h.net/" + "/".join(p), k) for i, p, k in rows], "page_id long, url string, spam int")
+    want = brute_templates([(tuple(p), k or 0, int(k is not None)) for _, p, k in rows])
+    found = url_templates.judge(df, [], label_column="spam").collect()
+    assert {r["id"]: r["template"] for r in found} == {i: want[tuple(p)] for i, p, _ in rows}
+    groups = {}
+    for i, p, k in rows:
+        groups.setdefault(want[tuple(p)], []).append(k)
+    overall = sum(k or 0 for _, _, k in rows) / sum(k is not None for _, _, k in rows)
+    for r in found:
+        labels = [k for k in groups[r["template"]] if k is not None]
+        if labels:
+            assert r["purity"] == pytest.approx((sum(labels) + 4 * overall) / (len(labels) + 4))
+        assert r["verdict"] == ("block" if labels and r["purity"] >= 0.5 else "allow")
+
+
+def test_few_labels_of_siblings_block_nothing(spark):
+    rows = [(i, f"http://a.net/de/{i}", 1) for i in range(3)] + [(10, "http://a.net/fr/1", 0)]
+    rows += [(100 + i, f"http://a.net/en/{i}", None) for i in range(40)]
+    df = spark.createDataFrame(rows, "page_id long, url string, spam int")
+    found = {r["id"]: r for r in url_templates.judge(df, [], label_column="spam").collect()}
+    # the one label of its sibling does not outweigh the share of all labels, which is 3 in 4
+    assert {r["verdict"] for k, r in found.items() if k < 100} == {"block"}
+    assert {r["verdict"] for k, r in found.items() if k >= 100} == {"allow"}
+    assert len({found[k]["template"] for k in (0, 10, 100)}) == 3
+    # an unlabelled branch shows the purity of the node above it
+    assert found[100]["purity"] == pytest.approx((3 + 4 * 0.75) / (4 + 4))
+
+
+def test_chance_is_exact():
+    for blocked, labelled, all_blocked, all_labelled in [(3, 3, 3, 4), (1, 5, 9, 20), (0, 4, 10, 14), (7, 10, 8, 30)]:
+        ways = {k: math.comb(all_blocked, k) * math.comb(all_labelled - all_blocked, labelled - k) for k in range(labelled + 1)}
+        want = sum(w for w in ways.values() if w <= ways[blocked]) / math.comb(all_labelled, labelled)
+        assert url_templates.chance(blocked, labelled, all_blocked, all_labelled) == pytest.approx(want)
+    assert url_templates.chance(50, 1_000, 1_500, 30_000) == pytest.approx(1.0)
+    assert url_templates.chance(500, 1_000, 1_500, 30_000) < 1e-9 and url_templates.chance(2, 2, 2, 2) == 1.0
+
+
 def test_no_labels_allow_everything(spark):
     found = url_templates.judge(pages(spark, URLS), [])
     assert {r["verdict"] for r in found.collect()} == {"allow"}
