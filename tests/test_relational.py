@@ -11,62 +11,87 @@ from lamina.operators import relational
 from lamina.operators.normalize import normalize
 from lamina.sources import files, landing
 
-# a supplier with its parts, their price breaks and the nations each break holds for
-SUPPLIER = {
-    "s_suppkey": 17,
-    "contact": {"phone": "27-918", "site": {"nation": "PERU", "region": "AMERICA"}},
-    "parts": [
-        {"p_partkey": 3, "labels": ["steel", "large", "new"], "breaks": [
-            {"from_qty": 1, "cost": 9.5, "nations": [{"key": 1}, {"key": 2}, {"key": 4}]},
-            {"from_qty": 50, "cost": 8.0, "nations": [{"key": 3}]},
-            {"from_qty": 500, "cost": 7.25, "nations": []},
-        ]},
-        {"p_partkey": 5, "labels": [], "breaks": []},
-        {"p_partkey": 8, "labels": ["brass"], "breaks": [{"from_qty": 10, "cost": 2.0, "nations": []}]},
-    ],
-    "audit_years": [1994, 1996, 1997],
-}
+SF = "/root/testdata/sf0.001"
+
+LINE = "struct<number:int,quantity:double>"
+ORDER = f"struct<o_orderkey:bigint,status:string,lines:array<{LINE}>>"
+NATION = f"""
+    n_nationkey int, labels map<string,string>,
+    market struct<
+        currency:string,
+        buyers:array<struct<c_custkey:bigint,history:array<{ORDER}>>>,
+        sellers:array<struct<s_suppkey:bigint,balance:double>>>
+"""
+
+
+def given(spark, name):
+    return spark.read.parquet(f"{SF}/{name}.parquet")
+
+
+def nation_documents(spark):
+    """A document per nation of the given tables: buyers with their orders and lines, and sellers beside them."""
+    lines = F.array_agg(F.struct(F.col("l_linenumber").alias("number"), F.col("l_quantity").alias("quantity"))).alias("lines")
+    orders = given(spark, "orders").join(given(spark, "lineitem").groupBy("l_orderkey").agg(lines), F.expr("o_orderkey = l_orderkey"), "left")
+    history = F.array_agg(F.struct("o_orderkey", F.col("o_orderstatus").alias("status"), "lines")).alias("history")
+    customers = given(spark, "customer").join(orders.groupBy("o_custkey").agg(history), F.expr("c_custkey = o_custkey"), "left")
+    buyers = customers.groupBy("c_nationkey").agg(F.array_agg(F.struct("c_custkey", "history")).alias("buyers"))
+    sellers = given(spark, "supplier").groupBy("s_nationkey").agg(
+        F.array_agg(F.struct("s_suppkey", F.col("s_acctbal").alias("balance"))).alias("sellers")
+    )
+    found = given(spark, "nation").join(given(spark, "region"), F.expr("n_regionkey = r_regionkey"))
+    found = found.join(buyers, F.expr("n_nationkey = c_nationkey"), "left").join(sellers, F.expr("n_nationkey = s_nationkey"), "left")
+    labels = F.create_map(F.lit("nation"), "n_name", F.lit("region"), "r_name")
+    market = F.struct(F.lower(F.left("n_name", F.lit(3))).alias("currency"), "buyers", "sellers")
+    return found.select("n_nationkey", labels.alias("labels"), market.alias("market"))
+
+
+@pytest.fixture
+def nations_file(spark, folder):
+    with open(f"{folder}/nations.json", "w", encoding="utf-8") as handle:
+        handle.write("[" + ",\n".join(nation_documents(spark).toJSON().collect()) + "]")
+    return f"{folder}/nations.json"
 
 
 @pytest.fixture
-def supplier_tables(spark, folder):
-    with open(f"{folder}/supplier.json", "w", encoding="utf-8") as handle:
-        json.dump(SUPPLIER, handle)
-    docs = files.scan_documents(spark, f"{folder}/supplier.json")
+def nations(spark, nations_file):
+    docs = files.scan_documents(spark, nations_file, T.StructType.fromDDL(NATION))
     key = relational.document_key(F.col(files.ARTIFACT), F.col(files.POSITION))
-    body = docs.drop(files.ARTIFACT, files.POSITION)
-    specs = relational.plan_tables("supplier", body.schema)
-    return specs, relational.relationalize(docs, "supplier", key)
-
-
-def test_tables_and_counts(supplier_tables):
-    _, tables = supplier_tables
-    assert {name.removeprefix("supplier"): df.count() for name, df in tables.items()} == {
-        "": 1, "__parts": 3, "__labels": 4, "__breaks": 4, "__nations": 4, "__audit_years": 3,
-    }
-
-
-def test_struct_columns_are_prefixed(supplier_tables):
-    _, tables = supplier_tables
-    row = tables["supplier"].first()
-    assert (row["contact__site__nation"], row["contact__phone"], row["s_suppkey"]) == ("PERU", "27-918", 17)
-
-
-def test_children_point_at_their_parents(supplier_tables):
-    _, tables = supplier_tables
-    joined = tables["supplier__nations"].alias("n")
-    for depth, parent in enumerate(("breaks", "parts")):
-        up = tables[f"supplier__{parent}"].alias(parent)
-        child = "n" if depth == 0 else "breaks"
-        joined = joined.join(up, F.col(f"{child}._parent_row_id") == F.col(f"{parent}._row_id"))
-    found = joined.select("p_partkey", "from_qty", "key").collect()
-    assert sorted(map(tuple, found)) == [(3, 1, 1), (3, 1, 2), (3, 1, 4), (3, 50, 3)]
-    labels = tables["supplier__labels"].join(
-        tables["supplier__parts"], tables["supplier__labels"]["_parent_row_id"] == tables["supplier__parts"]["_row_id"]
+    return relational.relationalize(docs, "nation", key)
+
+
+def test_every_array_is_a_table_with_all_its_elements(spark, nations):
+    given_as = {
+        "nation": "nation", "nation__market__buyers": "customer", "nation__market__sellers": "supplier",
+        "nation__history": "orders", "nation__lines": "lineitem",
+    }
+    assert {name: df.count() for name, df in nations.items()} == {n: given(spark, t).count() for n, t in given_as.items()}
+
+
+def test_structs_are_flattened_and_maps_stay(spark, nations):
+    found = {r["n_nationkey"]: (r["market__currency"], r["labels"]) for r in nations["nation"].collect()}
+    named = given(spark, "nation").join(given(spark, "region"), F.expr("n_regionkey = r_regionkey")).collect()
+    want = {r.n_nationkey: (r.n_name[:3].lower(), {"nation": r.n_name, "region": r.r_name}) for r in named}
+    assert found == want
+
+
+def test_rows_lead_up_to_their_documents(spark, nations):
+    """Quantities summed from the lowest table by the root's key are those of the given tables."""
+    joined, above = nations["nation__lines"].alias("lines"), "lines"
+    for name in ("nation__history", "nation__market__buyers", "nation"):
+        joined = joined.join(nations[name].alias(name), F.col(f"{above}._parent_row_id") == F.col(f"{name}._row_id"))
+        above = name
+    found = joined.groupBy("n_nationkey").agg(F.sum("quantity").alias("q"), F.count_distinct("o_orderkey").alias("n"))
+    lines = given(spark, "lineitem").join(given(spark, "orders"), F.expr("l_orderkey = o_orderkey"))
+    want = lines.join(given(spark, "customer"), F.expr("o_custkey = c_custkey")).groupBy("c_nationkey").agg(
+        F.sum("l_quantity").alias("q"), F.count_distinct("o_orderkey").alias("n")
     )
-    assert sorted((r["p_partkey"], r["value"]) for r in labels.collect()) == [
-        (3, "large"), (3, "new"), (3, "steel"), (8, "brass"),
-    ]
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_arrays_side_by_side_have_the_same_parents(spark, nations):
+    sellers = nations["nation__market__sellers"].alias("s")
+    found = sellers.join(nations["nation"].alias("n"), F.expr("s._parent_row_id = n._row_id")).select("s_suppkey", "n_nationkey")
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, given(spark, "supplier").select("s_suppkey", "s_nationkey").collect()))
 
 
 def test_keys_tell_nulls_and_separators_apart(spark):
@@ -76,13 +101,13 @@ def test_keys_tell_nulls_and_separators_apart(spark):
     assert len({r["k"] for r in keys}) == len(rows)
 
 
-def test_replay_gives_the_same_keys(spark, folder, supplier_tables):
-    _, tables = supplier_tables
-    first = {n: sorted(r["_row_id"] for r in df.collect()) for n, df in tables.items()}
-    docs = files.scan_documents(spark, f"{folder}/supplier.json").repartition(3)
+def test_replay_gives_the_same_keys(spark, nations_file, nations):
+    first = {n: sorted(r["_row_id"] for r in df.select("_row_id").collect()) for n, df in nations.items()}
+    assert all(len(ids) == len(set(ids)) for ids in first.values())
+    docs = files.scan_documents(spark, nations_file, T.StructType.fromDDL(NATION)).repartition(3)
     key = relational.document_key(F.col(files.ARTIFACT), F.col(files.POSITION))
-    again = relational.relationalize(docs, "supplier", key)
-    assert first == {n: sorted(r["_row_id"] for r in df.collect()) for n, df in again.items()}
+    again = relational.relationalize(docs, "nation", key)
+    assert first == {n: sorted(r["_row_id"] for r in df.select("_row_id").collect()) for n, df in again.items()}
 
 
 def test_array_under_struct_and_field_called_value(spark):
@@ -204,17 +229,19 @@ def test_broken_document_is_an_error(spark, folder):
         files.scan_documents(spark, f"{folder}/a.json", schema).collect()
 
 
-def test_normalize_writes_every_table_once(spark, folder, supplier_tables):
-    docs = files.scan_documents(spark, f"{folder}/supplier.json")
+def test_normalize_writes_every_table_once(spark, folder, nations_file, nations):
+    docs = files.scan_documents(spark, nations_file, T.StructType.fromDDL(NATION))
     identity = [files.ARTIFACT, files.POSITION]
     key = relational.document_key(*[F.col(c) for c in identity])
     catalog, manifests = normalize(
-        docs, f"{folder}/out", source="shop", entity="orders", row_id=key, run_id="r1",
+        docs, f"{folder}/out", source="world", entity="nation", row_id=key, run_id="r1",
         ingest_date="2024-01-02", partition={"ingest_date": "2024-01-02"}, identity_columns=identity,
     )
-    assert {m["table_name"]: m["rows_written"] for m in manifests}["orders__nations"] == 4
-    root = landing.read_level2(spark, f"{folder}/out", "shop", "orders", "orders").first()
-    assert root["source_name"] == "shop" and root["_run_id"] == "r1"
-    assert root["_row_id"] == supplier_tables[1]["supplier"].first()["_row_id"]
-    assert files.ARTIFACT not in root.asDict()
-    assert catalog.filter("table_name = 'orders'").count() == 4
+    assert {m["table_name"]: m["rows_written"] for m in manifests} == {n: df.count() for n, df in nations.items()}
+    roots = landing.read_level2(spark, f"{folder}/out", "world", "nation", "nation").collect()
+    assert {(r["source_name"], r["_run_id"]) for r in roots} == {("world", "r1")}
+    assert {r["_row_id"] for r in roots} == {r["_row_id"] for r in nations["nation"].collect()}
+    assert files.ARTIFACT not in roots[0].asDict()
+    assert sorted(r["column_name"] for r in catalog.where("table_name = 'nation'").collect()) == [
+        "labels", "market__currency", "n_nationkey",
+    ]
