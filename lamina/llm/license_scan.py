@@ -9,6 +9,7 @@ diagonal report which share of the template is there and where, for each copy in
 from __future__ import annotations
 
 import re
+from bisect import bisect
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
@@ -173,10 +174,14 @@ class Index:
             for matched, first, last in self.copies(name, diagonal, words, least):
                 found.append((matched, matched / len(self.words[name]), name, first, last))
         found.sort(key=lambda m: (-m[0], -m[1], m[3], m[2]))
+        # kept matches by place: as they do not overlap, only the neighbours can
         kept: list[tuple] = []
+        begins: list[int] = []
         for match in found:
-            if all(match[4] < k[3] or match[3] > k[4] for k in kept):
-                kept.append(match)
+            at = bisect(begins, match[4])
+            if at == 0 or kept[at - 1][4] < match[3]:
+                begins.insert(at, match[3])
+                kept.insert(at, match)
         if not kept:
             return []
         # places in the stored text: lower-casing may change lengths, so its own words are counted
@@ -185,7 +190,7 @@ class Index:
             spans = [(-1, -1)] * len(words)
         return [
             {"license": name, "coverage": share, "words": matched, "start": spans[first][0], "end": spans[last][1]}
-            for matched, share, name, first, last in sorted(kept, key=lambda m: (m[3], m[2]))
+            for matched, share, name, first, last in kept
         ]
 
 
@@ -228,7 +233,7 @@ def scan(
 
 
 def summary(found: DataFrame) -> DataFrame:
-    """(id, n_matches, license, coverage, span_start, span_end): the match with the most words."""
+    """(id, n_matches, license, coverage, span_start, span_end): the match with the most words; then all matches."""
     order = F.transform("matches", lambda m: F.struct(m["words"], m["coverage"], -m["start"], m["license"], m["end"]))
     best = F.array_max(order)
     return found.select(
@@ -238,4 +243,5 @@ def summary(found: DataFrame) -> DataFrame:
         best["coverage"].alias("coverage"),
         (-best["col3"]).cast("bigint").alias("span_start"),
         best["end"].cast("bigint").alias("span_end"),
+        "matches",
     )

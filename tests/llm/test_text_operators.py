@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import time
 import zlib
 from collections import Counter
 
@@ -255,3 +256,17 @@ def test_license_lines_of_the_table(spark):
     for key, row in found[found.n_matches > 0].iterrows():
         span = docs.text[key][int(row.span_start) : int(row.span_end)]
         assert license_scan.split(span) == license_scan.split(license_scan.TEMPLATES[row.license])
+
+
+def test_a_text_of_license_lines_takes_linear_time():
+    index = license_scan.Index(license_scan.TEMPLATES)
+    line = license_scan.TEMPLATES["MIT"]
+    took = {}
+    for copies in (1_000, 8_000):
+        started = time.process_time()
+        found = index.matches("\n".join([line] * copies), 0.8)
+        took[copies] = time.process_time() - started
+        assert len(found) == copies and all(m["license"] == "MIT" and m["coverage"] == 1.0 for m in found)
+        assert all(a["end"] <= b["start"] for a, b in zip(found, found[1:]))
+    assert took[8_000] < 24 * took[1_000] + 0.5
+    print(took)
