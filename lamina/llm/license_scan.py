@@ -232,8 +232,8 @@ def scan(
     return source.mapInArrow(run, f"id {kind}, matches {shape}")
 
 
-def summary(found: DataFrame) -> DataFrame:
-    """(id, n_matches, license, coverage, span_start, span_end): the match with the most words; then all matches."""
+def summary(found: DataFrame, whole: bool = False) -> DataFrame:
+    """(id, n_matches, license, coverage, span_start, span_end): the match with the most words; if ``whole``, all ``matches``, too."""
     order = F.transform("matches", lambda m: F.struct(m["words"], m["coverage"], -m["start"], m["license"], m["end"]))
     best = F.array_max(order)
     return found.select(
@@ -243,5 +243,5 @@ def summary(found: DataFrame) -> DataFrame:
         best["coverage"].alias("coverage"),
         (-best["col3"]).cast("bigint").alias("span_start"),
         best["end"].cast("bigint").alias("span_end"),
-        "matches",
+        *["matches"] * whole,
     )

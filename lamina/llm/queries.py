@@ -99,7 +99,7 @@ def op5_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     found = license_scan.scan(table(spark, sf_dir, "documents"))
-    return license_scan.summary(found).withColumnRenamed("id", "doc_id")
+    return license_scan.summary(found, whole=True).withColumnRenamed("id", "doc_id")
 
 
 #: Tokens of a sequence, sequences of a shard, the key of the order, and the end token (also the filler).
