@@ -253,7 +253,7 @@ def lineage_events(spark: SparkSession, sf_dir: str, columns: bool = False) -> D
     kinds = F.when(
         F.col("job_name") == "c_nationkey", F.array(F.lit("START"), F.lit("COMPLETE"))
     ).otherwise(F.array(F.lit("COMPLETE")))
-    events.withColumn("event_type", F.explode(kinds)).write.json(path)
+    lineage.write_events(events.withColumn("event_type", F.explode(kinds)), path)
     return lineage.read_events(spark, path)
 
 

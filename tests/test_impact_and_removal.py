@@ -5,6 +5,7 @@ import random
 from collections import defaultdict, deque
 
 import pytest
+from pyspark.sql import functions as F
 
 from lamina.operators import lineage, maintenance, skew
 
@@ -61,3 +62,30 @@ def test_files_go_in_batches_and_once(spark, folder, monkeypatch):
     assert maintenance.remove_files(spark, listed) == 30
     assert sorted(os.listdir(f"{folder}/t")) == sorted(f"f{i}" for i in range(30, 40))
     assert maintenance.remove_files(spark, listed) == 30
+
+
+def test_events_are_compressed_and_no_file_is_large(spark, folder, monkeypatch):
+    monkeypatch.setattr(lineage, "FILE_EVENTS", 300)
+    names = F.concat(F.lit("order:"), "id")
+    facet = 'struct("lamina" AS namespace, concat("customer:", id) AS name, "id" AS field)'
+    events = spark.range(0, 2000, 1, 2).select(
+        F.lit("COMPLETE").alias("event_type"), F.lit("2024-01-01T00:00:00Z").alias("event_time"),
+        F.md5(names).alias("run_id"), F.lit("job").alias("job_name"),
+        F.expr('array(struct("lamina" AS namespace, concat("customer:", id) AS name))').alias("inputs"),
+        F.expr(
+            'array(struct("lamina" AS namespace, concat("order:", id) AS name, struct(struct('
+            f'map("key", struct(array({facet}) AS inputFields)) AS fields) AS columnLineage) AS facets))'
+        ).alias("outputs"),
+    )
+    events.write.json(f"{folder}/plain")
+    lineage.write_events(events, f"{folder}/events")
+
+    def size(path):
+        return sum(os.path.getsize(os.path.join(path, f)) for f in os.listdir(path) if f.startswith("part-"))
+
+    written = [f for f in os.listdir(f"{folder}/events") if f.startswith("part-")]
+    assert len(written) == 8 and size(f"{folder}/events") < size(f"{folder}/plain") / 4
+    found = lineage.column_edges(lineage.read_events(spark, f"{folder}/events"))
+    assert {tuple(r) for r in found.collect()} == {
+        (f"customer:{n}", "id", f"order:{n}", "key") for n in range(2000)
+    }
