@@ -198,7 +198,7 @@ def impact_of_many(edges: DataFrame, starts: DataFrame, direction: str, depth: i
         raise ValueError(f"unknown direction {direction!r}")
     here, there = ("source", "target") if direction == "downstream" else ("target", "source")
     spark = edges.sparkSession
-    steps = staged(edges.select(F.col(here).alias("here"), F.col(there).alias("there")).distinct(), "impact-edges")
+    steps = staged(edges.select(F.col(here).alias("here"), F.col(there).alias("there")).distinct(), "impact-edges", codec="zstd")
     hot = hot_hashes(steps, ["here"])
     found = scratch(spark, f"impact-{direction}")
     schema = "start string, node string, depth int"
