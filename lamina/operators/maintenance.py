@@ -170,8 +170,14 @@ def _sorted(
     files = plan.agg(F.sum(F.greatest("output_files", F.lit(1)))).first()[0]
     keyed = interleaved(rows.select(*[F.col(f"`{c}`") for c in schema.names]), sort_columns, "__key")
     order = [*parts, "__key"]
+    limit, usual = "spark.sql.codegen.hugeMethodLimit", spark.conf.get("spark.sql.codegen.hugeMethodLimit")
     try:
-        keyed.write.parquet(stage)
+        # the lookups of several columns make one method that the JVM would not compile: Spark shall run them one by one
+        spark.conf.set(limit, "8000")
+        try:
+            keyed.write.parquet(stage)
+        finally:
+            spark.conf.set(limit, usual)
         stored = T.StructType([*schema.fields, T.StructField("__key", T.LongType())])
         ready = spark.read.schema(stored).parquet(stage)
         ranged = ready.repartitionByRange(files, *order).sortWithinPartitions(*order).select(*schema.names)

@@ -3,7 +3,7 @@
 import pytest
 
 from lamina.operators import digest_tree as tree
-from lamina.operators import parity
+from lamina.operators import parity, ranges
 
 SCHEMA = "a bigint, b string, x double, y string"
 
@@ -80,3 +80,15 @@ def test_unlike_versions_are_refused(spark, folder, make):
         make([], "x", ranges=tree.MOST_RANGES + 1)
     with pytest.raises(ValueError, match="called"):
         tree.write_version(spark.range(3).withColumnRenamed("id", tree.SLICE), f"{folder}/y", [tree.SLICE])
+
+
+def test_ranges_of_keys_are_looked_up_without_a_copy_of_the_bounds_per_row(spark, folder):
+    keys = [None, *range(0, 400, 2)] * 3
+    rows = spark.createDataFrame([(k,) for k in keys], "k int")
+    ranges.find_bounds(rows, ["k"], 50, f"{folder}/bounds")
+    lows = [low.k0 for low in ranges.read_bounds(spark, f"{folder}/bounds")]
+    placed = ranges.with_range(rows.union(spark.createDataFrame([(-5,), (999,), (7,)], "k int")), "place", ["k"], f"{folder}/bounds")
+    rank = lambda k: (k is not None, k or 0)
+    for row in placed.collect():
+        assert row.place == max(sum(rank(low) <= rank(row.k) for low in lows) - 1, 0)
+    assert "NestedLoop" not in placed._jdf.queryExecution().executedPlan().toString()
