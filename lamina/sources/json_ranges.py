@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -33,6 +34,9 @@ BRACE, QUOTE, BACKSLASH, COMMA = b"}", ord('"'), ord("\\"), ord(",")
 OPENING, CLOSING = (ord("{"), ord("[")), (ord("}"), ord("]"))
 BLANK = b" \t\r\n"
 
+#: Tasks for each core that a scan in ranges of a given size has at most, about.
+TASKS_A_CORE = 16
+
 #: Whether a byte is a bracket or a comma, and how it changes the depth.
 STEP = np.zeros(256, dtype=np.int64)
 STEP[list(OPENING)], STEP[list(CLOSING)] = 1, -1
@@ -76,15 +80,19 @@ def _condensed(raw: np.ndarray) -> tuple[int, list[tuple[int, dict[int, int]]]]:
 def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, bytes]]:
     """((file, start of range, further columns), bytes) for the rows of each range in each batch."""
     for batch in batches:
-        keys = list(zip(*(batch.column(n).to_pylist() for n in range(1, batch.num_columns))))
-        texts, at = batch.column(0).to_pylist(), 0
-        while at < len(keys):
-            end = at
-            while end < len(keys) and keys[end] == keys[at]:
-                end += 1
+        if not batch.num_rows:
+            continue
+        # keys become Python objects once a stretch, not once a row
+        new = np.zeros(batch.num_rows, dtype=bool)
+        new[0] = True
+        for column in (batch.column(1), batch.column(2)):
+            new[1:] |= pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+        starts = np.flatnonzero(new).tolist()
+        texts = batch.column(0).fill_null(b"")
+        for at, end in zip(starts, [*starts[1:], batch.num_rows]):
+            key = tuple(batch.column(n)[at].as_py() for n in range(1, batch.num_columns))
             # values ended at a brace, which the reader took away; perhaps not the last of the file
-            yield keys[at], BRACE.join([*[t or b"" for t in texts[at:end]], b""])
-            at = end
+            yield key, BRACE.join([*texts.slice(at, end - at).to_pylist(), b""])
 
 
 def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,11 +250,13 @@ def scan_json_ranges(
     ``range_bytes`` is the size of a range for this scan (by default the session's for files). The elements are
     written to the shared folder once; without a schema they are read once more to infer it.
     """
-    conf, name = spark.conf, "spark.sql.files.maxPartitionBytes"
-    usual = conf.get(name)
+    conf, name, most = spark.conf, "spark.sql.files.maxPartitionBytes", "spark.sql.files.maxPartitionNum"
+    usual, usual_most = conf.get(name), conf.get(most, None)
     try:
         if range_bytes:
             conf.set(name, str(range_bytes))
+            # small ranges share tasks, which cost more than they
+            conf.set(most, str(TASKS_A_CORE * spark.sparkContext.defaultParallelism))
         kinds = "file string, start bigint, size bigint, bytes bigint, quotes bigint, head string"
         kinds += "".join(f", depth{n} bigint, commas{n} map<bigint,bigint>" for n in (0, 1))
         rows = _file_rows(spark, paths)
@@ -257,6 +267,10 @@ def scan_json_ranges(
         parts = staged(placed.mapInArrow(_elements, ELEMENTS), "json-elements")
     finally:
         conf.set(name, usual)
+        if usual_most is None:
+            conf.unset(most)
+        else:
+            conf.set(most, usual_most)
     whole = parts.where("part = 0").select("file", "position", "text")
     split = parts.where("part > 0").groupBy("file", "position").agg(
         F.array_sort(F.collect_list(F.struct("start", "part", "text"))).alias("parts")
