@@ -3,6 +3,7 @@
 import json
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import types as T
 
@@ -75,3 +76,35 @@ def test_broken_documents_are_errors(spark, shared, text):
         out.write(text)
     with pytest.raises(Exception, match="after the end of the document|MALFORMED|has no end"):
         json_ranges.scan_json_ranges(spark, f"{shared}/a.json", T.StructType.fromDDL("id int")).collect()
+
+
+def test_keys_of_a_stretch_are_made_once(monkeypatch):
+    made = []
+    rows = 1_000
+    columns = [[b"x"] * rows, ["f"] * 600 + ["g"] * 400, [0] * 300 + [7] * 300 + [0] * 400, [9] * rows]
+    kinds = [pa.binary(), pa.string(), pa.int64(), pa.int64()]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["value", "file", "start", "size"])
+
+    class Counted:
+        """A batch whose key columns count the values taken out of them as Python objects."""
+
+        num_rows, num_columns = rows, 4
+
+        def column(self, n):
+            if n:
+                made.append(n)
+            return batch.column(n) if n == 0 else Column(batch.column(n))
+
+    class Column:
+        def __init__(self, values):
+            self.values = values
+
+        def __getitem__(self, at):
+            return self.values[at]
+
+        def to_pylist(self):
+            raise AssertionError("keys of all rows became Python objects")
+
+    found = list(json_ranges._stretches(iter([Counted()])))
+    assert [(key, len(raw)) for key, raw in found] == [(("f", 0, 9), 600), (("f", 7, 9), 600), (("g", 0, 9), 800)]
+    assert len(made) < 20

@@ -127,6 +127,16 @@ def test_overlaps_of_times_and_of_empty_tables(spark):
         intervals.overlap_join(a.withColumn("e", F.lit("x")), b, ("s", "e"), ("t", "f"))
 
 
+def test_tasks_of_overlaps_follow_the_pairs(spark, monkeypatch):
+    monkeypatch.setattr(intervals, "TASK_PAIRS", 2_000)
+    a = spark.range(400).select("id", (F.col("id") % 40).alias("k"), F.lit(1.0).alias("s"))
+    b = spark.range(400).select(F.col("id").alias("j"), (F.col("id") % 40).alias("k"), F.lit(0.0).alias("t"), F.lit(2.0).alias("f"))
+    found = intervals.overlap_join(a, b, ("s", "s"), ("t", "f"), ["k"], closed=True)
+    # 4,000 pairs that overlap are compared, and some that meet in bins twice
+    assert found.rdd.getNumPartitions() > 1
+    assert found.count() == found.distinct().count() == 4_000
+
+
 @pytest.mark.parametrize("kind", ["date", "timestamp"])
 def test_calendar_totals_count_gaps_as_time(spark, kind):
     r = random.Random(9)
