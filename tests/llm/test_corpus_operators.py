@@ -402,3 +402,11 @@ def test_pipeline_stages_on_odd_rows_and_nothing(spark, documents):
             assert kept <= (2 * n if name == "source_mix" else n)
             if name == "simhash_near_dedup":
                 assert kept == len({simhash(r["text"]) for r in docs.select("text").collect()}) or kept < n or not n
+
+
+def test_finished_templates_are_one_table(spark):
+    rows = [("h", ["a", "b", "c", str(n)], 1, n % 2, 1) for n in range(8)] + [("h", ["a", "x"], 1, 0, 1), ("h", ["z"], 1, 0, 1)]
+    paths = spark.createDataFrame(rows, "host string, parts array<string>, urls bigint, blocked bigint, labelled bigint")
+    found = url_templates.grow(paths)
+    assert "Union" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(tuple(r.parts) for r in found.collect()) == sorted(tuple(r[1]) for r in rows)
