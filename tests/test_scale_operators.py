@@ -137,6 +137,63 @@ def test_tasks_of_overlaps_follow_the_pairs(spark, monkeypatch):
     assert found.count() == found.distinct().count() == 4_000
 
 
+def rows_that_meet(monkeypatch):
+    """Filled by a join: rows of both sides for their bins, and for their blocks as well."""
+    counts, split = [], intervals._split
+
+    def counted(a, b, *rest):
+        blocks = split(a, b, *rest)
+        counts.extend(side.count() for side in (a, b, *blocks))
+        return blocks
+
+    monkeypatch.setattr(intervals, "_split", counted)
+    return counts
+
+
+@pytest.mark.parametrize("closed", [True, False])
+def test_a_few_long_intervals_copy_no_short_ones(spark, monkeypatch, closed):
+    counts = rows_that_meet(monkeypatch)
+    r = random.Random(3)
+    starts = [r.randint(0, 2_400) for _ in range(3_000)]
+    left = [(i, float(s), float(s + 1 + i % 5)) for i, s in enumerate(starts)]
+    right = [(i, float(s), float(s + r.randint(0, 20))) for i, s in enumerate(starts[:60])] + [(60, 0.0, 3_000.0)]
+    a, b = spark.createDataFrame(left, "i int, s double, e double"), spark.createDataFrame(right, "j int, t double, f double")
+    found = intervals.overlap_join(a, b, ("s", "e"), ("t", "f"), closed=closed)
+    want = Counter((x[0], y[0]) for x in left for y in right if overlaps(x[1:], y[1:], closed))
+    assert Counter((x.i, x.j) for x in found.collect()) == want
+    # hardly more than once each; the long one is cut
+    assert counts[0] < 1.5 * len(left) and counts[1] < 0.2 * len(left)
+
+
+def test_blocks_of_few_pairs_are_not_copied(spark, monkeypatch):
+    counts = rows_that_meet(monkeypatch)
+    a = spark.range(900).select("id", F.lit(0.0).alias("s"))
+    b = spark.range(2).select(F.col("id").alias("j"), F.lit(0.0).alias("t"))
+    found = intervals.overlap_join(a, b, ("s", "s"), ("t", "t"), closed=True, crowded=30)
+    assert found.count() == found.distinct().count() == 1_800
+    # 900 rows in blocks of 300 at most, not of 30
+    assert counts == [900, 2, 900, 6]
+
+
+def test_pairs_come_in_the_order_of_their_bounds(spark, monkeypatch):
+    monkeypatch.setattr(intervals, "TASK_PAIRS", 1_000)
+    r = random.Random(4)
+    a = spark.createDataFrame([(i, r.randint(0, 9)) for i in range(500)], "i int, s int").repartition(7)
+    b = spark.createDataFrame([(j, 0, r.randint(7, 15)) for j in range(40)], "j int, t int, f int")
+    # sides as large as to need blocks are not broadcast
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = intervals.overlap_join(a, b, ("s", "s"), ("t", "f"), closed=True)
+        rows = found.select("s", "f", F.spark_partition_id().alias("task")).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(rows) > 9_000
+    turns = sum(x.task == y.task and x.s > y.s for x, y in zip(rows, rows[1:]))
+    # a block begins again at the least bound; in the order of arrival nearly every other row would
+    assert turns < 60
+
+
 @pytest.mark.parametrize("kind", ["date", "timestamp"])
 def test_calendar_totals_count_gaps_as_time(spark, kind):
     r = random.Random(9)
